@@ -6,12 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from groundshift.llm import suffix_dedup
+from groundshift.llm import fm_dedup, pieces, suffix_dedup
 from groundshift.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digest(table(spark, sf_dir, "documents"))
+
+
+def op6_fm_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fm_dedup.digest(table(spark, sf_dir, "documents"))
+
+
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(table(spark, sf_dir, "documents"))
 
