@@ -20,10 +20,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from groundshift.llm.shared import Rolling, byte_values, groups, mix, partitions_for, powers, signed, small_batches, utf8, words, written
+from groundshift.llm.shared import Rolling, byte_values, groups, mix, partitions_for, signed, small_batches, utf8, words, written
 
 #: Runs that a task merges before it sends them off; bounds its memory.
 FLUSH = 1_000_000
@@ -137,8 +137,8 @@ def _local(unit: Unit, buckets: int) -> Callable:
         mark["mixed"] = 2
         again["mixed"] = 3  # known as repeated: on its way to the next step only
         every = np.concatenate([r, mark, again])
-        key = np.concatenate([np.where(mixed, r["text"], kg), mark_kg, again["text"]])
-        bucket = ((key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
+        key = np.concatenate([np.where(mixed, r["text"], kg), mark_kg, mix(again["doc"].astype("u8"))])
+        bucket = _range_of(key, buckets)
         order = np.lexsort((every["lo"], every["doc"], bucket))
         every, bucket = every[order], bucket[order]
         edge = np.r_[np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]), len(bucket)] if len(bucket) else np.zeros(1, np.int64)
@@ -225,11 +225,53 @@ def _fetch(unit: Unit) -> Callable:
     return task
 
 
-FOUND = "open boolean, doc bigint, lo int, hi int, h0 bigint, h1 bigint"
+FOUND = "bucket int, doc bigint, lo int, hi int, n int, blob binary"
+OPEN = [("h0", "u8"), ("h1", "u8"), ("doc", "i8"), ("lo", "i4")]
 
 
-def _bucket(unit: Unit, kernel: Callable) -> Callable:
-    """Compare the runs of a bucket. kernel(body, ends, off, n, place) gets them in the order of places and returns, for each window, whether it has occurred before in the bucket."""
+def _found(rows: list[tuple]) -> pa.RecordBatch:
+    """bucket, doc, lo, hi of spans; or bucket, n, blob of windows to be compared across buckets."""
+    types = (pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, types, strict=True)], ["bucket", "doc", "lo", "hi", "n", "blob"])
+
+
+def _range_of(h: np.ndarray, buckets: int) -> np.ndarray:
+    return ((h >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
+
+
+def _across(unit: Unit) -> Callable:
+    """Windows that were new in their bucket, by hash: all but the first of each are spans too."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got: list[np.ndarray] = []
+        for batch in batches:
+            spans = batch.filter(batch.column(5).is_null())
+            if spans.num_rows:
+                yield spans
+            packed = batch.filter(batch.column(5).is_valid())
+            for n, blob in zip(packed.column(4).to_pylist(), packed.column(5).to_pylist(), strict=True):
+                got.append(np.frombuffer(pa.decompress(blob, n * np.dtype(OPEN).itemsize, codec="zstd", asbytes=True), OPEN))
+        if not got:
+            return
+        r = np.concatenate(got)
+        r = r[np.lexsort((r["lo"], r["doc"], r["h1"], r["h0"]))]
+        first = np.r_[True, (r["h0"][1:] != r["h0"][:-1]) | (r["h1"][1:] != r["h1"][:-1])]
+        head = r[np.flatnonzero(first)[np.cumsum(first) - 1]]
+        r = r[(r["doc"] != head["doc"]) | (r["lo"] != head["lo"])]
+        r = r[np.lexsort((r["lo"], r["doc"]))]
+        if not len(r):
+            return
+        new = np.flatnonzero(np.r_[True, (r["doc"][1:] != r["doc"][:-1]) | (r["lo"][1:] > r["lo"][:-1] + unit.window)])
+        stop = np.r_[new[1:], len(r)] - 1
+        none = [None] * len(new)
+        # windows that overlap or touch make one span: all between is covered
+        yield _found([np.zeros(len(new), np.int32), r["doc"][new], r["lo"][new], r["lo"][stop] + np.int32(unit.window), none, none])
+
+    return task
+
+
+def _bucket(unit: Unit, kernel: Callable, buckets: int) -> Callable:
+    """Compare the runs of a bucket. kernel(body, ends, off, n, doc, lo) gets them in the order of places and returns, for each window, whether it has occurred before in the bucket."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = [x for x in batches if x.num_rows]
@@ -245,8 +287,7 @@ def _bucket(unit: Unit, kernel: Callable) -> Callable:
         width = 8 if unit.words else 1
         flat = np.frombuffer(data, np.uint64 if unit.words else np.uint8)[ends[0] // width : ends[-1] // width]
         ends = (ends - ends[0]) // width
-        place = np.cumsum(np.r_[True, (doc[1:] != doc[:-1]) | (lo[1:] + off[1:] != lo[:-1] + off[:-1])])
-        seen = kernel(flat, ends, off, n, place)  # for all windows, run after run
+        seen = kernel(flat, ends, off, n, doc, lo)  # for all windows, run after run
         run = np.repeat(np.arange(len(n)), n + 1)
         j = np.arange(len(run)) - np.repeat(np.r_[0, np.cumsum(n + 1)][:-1], n + 1)
         # k-grams that may go on in another bucket: those of the smallest and the largest leading tokens
@@ -264,10 +305,19 @@ def _bucket(unit: Unit, kernel: Callable) -> Callable:
         roll = Rolling(flat if unit.words else byte_values(flat))
         h = roll.spans(ends[run[free]] + j[free], ends[run[free]] + j[free] + unit.window)
         h2 = Rolling(mix(flat + np.uint64(1)) if unit.words else mix(byte_values(flat))).spans(ends[run[free]] + j[free], ends[run[free]] + j[free] + unit.window)
-        ps = lo[run[free]] + j[free]
-        arr = [np.r_[d, doc[run[free]]], np.r_[s, ps].astype("i4"), np.r_[e, ps + unit.window].astype("i4"), np.r_[d, signed(h)], np.r_[s, signed(h2)]]
-        for i in range(0, len(arr[0]), 65536):
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(i, min(i + 65536, len(arr[0]))) >= len(d)), *(pa.array(x[i : i + 65536]) for x in arr)], ["open", "doc", "lo", "hi", "h0", "h1"])
+        if len(d):
+            none = [None] * len(d)
+            yield _found([_range_of(mix(d.astype(np.uint64)), buckets), d, s.astype("i4"), e.astype("i4"), none, none])
+        r = np.zeros(len(free), OPEN)
+        r["h0"], r["h1"], r["doc"], r["lo"] = h, h2, doc[run[free]], lo[run[free]] + j[free]
+        to = _range_of(h, buckets)
+        order = np.argsort(to, kind="stable")
+        r, to = r[order], to[order]
+        edge = np.r_[np.flatnonzero(np.r_[True, to[1:] != to[:-1]]), len(to)] if len(to) else np.zeros(1, np.int64)
+        blobs = [pa.compress(r[i:k].tobytes(), codec="zstd", asbytes=True) for i, k in zip(edge[:-1], edge[1:], strict=True)]
+        if blobs:
+            none = [None] * len(blobs)
+            yield _found([to[edge[:-1]], none, none, none, np.diff(edge).astype("i4"), blobs])
 
     return task
 
@@ -282,9 +332,8 @@ def repeated_spans(docs: DataFrame, unit: Unit, kernel: Callable, placed: DataFr
     whole = merged.where(F.col("kind") == _SPAN).select("doc", "lo", (F.col("lo") + F.col("n") + unit.window).alias("hi"))
     wanted = merged.where(F.col("kind") == _RUN).groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("lo", "n", "off"))).alias("runs"))
     texts = placed.join(wanted.hint("shuffle_hash"), "doc").select("doc", "text", "runs").mapInArrow(_fetch(unit), TEXTS)
-    found = texts.repartitionByRange(parts, "t0", "t1", "doc", "lo").mapInArrow(_bucket(unit, kernel), FOUND)
-    by = Window.partitionBy("open", "h0", "h1").orderBy("doc", "lo")
-    found = found.withColumn("nth", F.rank().over(by)).where(~F.col("open") | (F.col("nth") > 1)).select("doc", "lo", "hi")
+    found = texts.repartitionByRange(parts, "t0", "t1", "doc", "lo").mapInArrow(_bucket(unit, kernel, parts), FOUND)
+    found = found.repartition(parts, "bucket").mapInArrow(_across(unit), FOUND).select("doc", "lo", "hi")
     return whole.unionByName(found).groupBy("doc").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
 
 

@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 import math
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import groundshift
+
 #: Rows of one Arrow batch. Texts can be long; a batch stays a few megabytes.
 BATCH_ROWS = 512
 
@@ -19,7 +24,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once a session: their Python need not have it installed."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(groundshift.__file__).parent
+    at = Path(tempfile.mkdtemp()) / "groundshift.zip"
+    with zipfile.ZipFile(at, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    context.addPyFile(str(at))
+    _shipped.add(context.applicationId)
+
+
 def small_batches(spark: SparkSession) -> None:
+    """What Arrow tasks of this subpackage need of the session."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
