@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from groundshift.llm import decontaminate, fm_dedup, language, near_dedup, pieces, quality, suffix_dedup, urls
+from groundshift.llm import decontaminate, fm_dedup, html, language, near_dedup, pieces, quality, suffix_dedup, token_counts, urls
 from groundshift.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,10 @@ def op6_fm_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fm_dedup.digest(table(spark, sf_dir, "documents"))
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extracted(table(spark, sf_dir, "pages"))
+
+
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(table(spark, sf_dir, "documents"))
 
@@ -44,6 +48,10 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.classes(table(spark, sf_dir, "documents"))
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.counted(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 

@@ -20,13 +20,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from groundshift.llm.shared import Rolling, byte_values, groups, mix, partitions_for, signed, small_batches, utf8, words, written
 
 #: Runs that a task merges before it sends them off; bounds its memory.
-FLUSH = 1_000_000
+FLUSH = 400_000
 #: Longest piece of a document whose anchors are computed at once.
 PIECE = 1 << 20
 RUN = [("kg", "u4"), ("text", "u8"), ("doc", "i8"), ("lo", "i4"), ("n", "u1"), ("off", "u1"), ("mixed", "u1")]
@@ -137,7 +137,7 @@ def _local(unit: Unit, buckets: int) -> Callable:
         mark["mixed"] = 2
         again["mixed"] = 3  # known as repeated: on its way to the next step only
         every = np.concatenate([r, mark, again])
-        key = np.concatenate([np.where(mixed, r["text"], kg), mark_kg, mix(again["doc"].astype("u8"))])
+        key = np.concatenate([np.where(mixed, r["text"], mix(kg)), mix(mark_kg), mix(again["doc"].astype("u8"))])  # hashes of anchors are small
         bucket = _range_of(key, buckets)
         order = np.lexsort((every["lo"], every["doc"], bucket))
         every, bucket = every[order], bucket[order]
@@ -331,7 +331,8 @@ def repeated_spans(docs: DataFrame, unit: Unit, kernel: Callable, placed: DataFr
     merged = written(merged)
     whole = merged.where(F.col("kind") == _SPAN).select("doc", "lo", (F.col("lo") + F.col("n") + unit.window).alias("hi"))
     wanted = merged.where(F.col("kind") == _RUN).groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("lo", "n", "off"))).alias("runs"))
-    texts = placed.join(wanted.hint("shuffle_hash"), "doc").select("doc", "text", "runs").mapInArrow(_fetch(unit), TEXTS)
+    columns = ["doc", "text", "runs", *(c for c in placed.columns if c not in ("doc", "text"))]
+    texts = placed.join(wanted.hint("shuffle_hash"), "doc").select(*columns).mapInArrow(_fetch(unit), TEXTS)
     found = texts.repartitionByRange(parts, "t0", "t1", "doc", "lo").mapInArrow(_bucket(unit, kernel, parts), FOUND)
     found = found.repartition(parts, "bucket").mapInArrow(_across(unit), FOUND).select("doc", "lo", "hi")
     return whole.unionByName(found).groupBy("doc").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
@@ -346,10 +347,10 @@ def kept_mask(length: int, spans) -> np.ndarray:
 NO_ID = -(1 << 63)
 
 
-def place(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc, text) of documents as they are read, and the same dealt by document, an exchange that two later joins share. A null doc_id sorts before all others; rows that repeat a doc_id are one document."""
-    d = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("doc"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return d, d.repartition(partitions_for(docs, 4 << 20), "doc")
+def place(docs: DataFrame, *more: Column) -> tuple[DataFrame, DataFrame]:
+    """(doc, text) of documents as they are read, and the same with more columns dealt by document, an exchange that two later joins share. A null doc_id sorts before all others; rows that repeat a doc_id are one document."""
+    d = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("doc"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *more)
+    return d.select("doc", "text"), d.repartition(partitions_for(docs, 4 << 20), "doc")
 
 
 def first_seen(key: np.ndarray, place: np.ndarray) -> np.ndarray:

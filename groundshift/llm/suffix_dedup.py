@@ -18,8 +18,9 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from groundshift.llm.repeats import NO_ID, Unit, first_seen, kept_mask, place, repeated_spans, row_spans
 from groundshift.llm.shared import utf8
@@ -88,9 +89,9 @@ def kernel(unit: Unit) -> Callable:
     return seen
 
 
-def spans_of(docs: DataFrame, unit: Unit = BYTES) -> tuple[DataFrame, DataFrame]:
-    """(doc, text) dealt by document, and (doc, spans) of repeated bytes."""
-    d, placed = place(docs)
+def spans_of(docs: DataFrame, unit: Unit = BYTES, *more: Column) -> tuple[DataFrame, DataFrame]:
+    """(doc, text, more) dealt by document, and (doc, spans) of repeated bytes."""
+    d, placed = place(docs, *more)
     return placed, repeated_spans(d, unit, kernel(unit), placed)
 
 
@@ -129,14 +130,15 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if at[i] < at[i + 1]:
                 text = text[kept_mask(len(text), (lo[at[i] : at[i + 1]], hi[at[i] : at[i + 1]]))]
             out.append(text.tobytes().decode("utf-8", "ignore"))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], ["doc", "cut"])
+        yield pa.RecordBatch.from_arrays([batch.column(3), pa.array(out, pa.string())], ["rest", "cut"])
 
 
 def remove_repeats(docs: DataFrame, unit: Unit = BYTES) -> DataFrame:
-    """docs with repeated spans cut from text; a character of which only some bytes are repeated goes too. Null texts stay null; other columns stay. doc_id is unique here."""
-    placed, spans = spans_of(docs, unit)
-    cut = placed.join(spans.hint("shuffle_hash"), "doc").select("doc", "text", "spans").mapInArrow(_cut, "doc bigint, cut string")
-    cut = cut.groupBy("doc").agg(F.first("cut").alias("__cut"))
-    key = F.coalesce(docs["doc_id"].cast("bigint"), F.lit(NO_ID))
-    joined = docs.withColumn("__doc", key).join(cut.withColumnRenamed("doc", "__doc").hint("shuffle_hash"), "__doc", "left")
-    return joined.withColumn("text", F.coalesce("__cut", "text")).select(*docs.columns)
+    """docs with repeated spans cut from text; a character of which only some bytes are repeated goes too. Null texts stay null; all other columns stay."""
+    others = [c for c in docs.columns if c != "text"]
+    rest = F.struct(*(docs[c].alias(f"c{i}") for i, c in enumerate(others)), docs["text"].isNull().alias("none")).alias("rest")
+    placed, spans = spans_of(docs, unit, rest)
+    joined = placed.join(spans.hint("shuffle_hash"), "doc", "left").select("doc", "text", "spans", "rest")
+    out = joined.mapInArrow(_cut, T.StructType([joined.schema["rest"], T.StructField("cut", T.StringType())]))
+    text = F.when(~F.col("rest.none"), F.col("cut"))
+    return out.select(*(text.alias(c) if c == "text" else F.col(f"rest.c{others.index(c)}").alias(c) for c in docs.columns))
