@@ -250,105 +250,6 @@ def encode_with_digest(docs: DataFrame, model: str | None = None) -> DataFrame:
     return _encoded(docs, model, True)
 
 
-def encode(self, text: str) -> list[int]:
-        return [i for s in self.segments(text) for i in self.numbers(self.segment(s))]
-
-    def spelled(self, ids: list[int]) -> str:
-        """Text of ids with the leading blank still there."""
-        out, held = [], bytearray()
-        for i in [*ids, -1]:
-            if i in self.byte_of:
-                held.append(self.byte_of[i])
-                continue
-            if held:
-                out.append(held.decode("utf-8", "replace"))
-                held.clear()
-            if i >= 0:
-                out.append(" ⁇ " if i == self.unknown else self.text[i])
-        return "".join(out).replace(SPACE, " ")
-
-    def decode(self, ids: list[int]) -> str:
-        return self.spelled(ids).removeprefix(" ")
-
-
-class Remembered(dict):
-    """Text between blanks to (ids joined by commas, number of ids, text); what a generation did not use again is forgotten.
-
-    A key is a text that a blank precedes, or a line feed and the text behind it.
-    """
-
-    def __init__(self, pieces: Pieces):
-        super().__init__()
-        self.pieces, self.old = pieces, {}
-        self.number = {t: str(i) for t, i in pieces.ids.items()}
-        self.spelling = {t: pieces.spelled([i]) for t, i in pieces.ids.items()}
-
-    def encoded(self, segments: list[str]) -> tuple[str, int, str]:
-        parts = [p for s in segments for p in self.pieces.segment(s)]
-        try:
-            return ",".join([self.number[p] for p in parts]), len(parts), "".join([self.spelling[p] for p in parts])
-        except KeyError:  # bytes
-            ids = self.pieces.numbers(parts)
-            return ",".join(map(str, ids)), len(ids), self.pieces.spelled(ids)
-
-    def __missing__(self, key: str):
-        got = self.old.pop(key, None)
-        if got is None:
-            got = self.encoded(["\n", *self.pieces.cut(key[1:])] if key[:1] == "\n" else self.pieces.cut(SPACE + key))
-        if len(self) >= REMEMBER:
-            self.old = dict(self)
-            self.clear()
-        if len(key) <= 64:
-            self[key] = got
-        return got
-
-    def text(self, text: str) -> list[tuple[str, int, str]]:
-        """Encoded parts of a text."""
-        if not text:
-            return []
-        if self.pieces.simple:
-            s = text.replace("\n", " \n")
-            if "  " not in s and s[0] != " " and s[-1] != " " and SPACE not in s:
-                return [self[k] for k in s.split(" ")]
-        return [self.encoded([s]) for s in self.pieces.segments(text)]
-
-
-_loaded: dict[str, Remembered] = {}
-
-
-def remembered(path: str) -> Remembered:
-    if path not in _loaded:
-        _loaded[path] = Remembered(Pieces(path))
-    return _loaded[path]
-
-
-def default_model() -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path("piece_bpe_32k.model")
-
-
-DIGEST = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-
-
-def digest(docs: DataFrame, model: str | None = None) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of each document. model: a file that every executor has; None: the public one."""
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = remembered(model or default_model())
-        for batch in batches:
-            n, ids_sha, text_sha = [], [], []
-            for text in batch.column(1).to_pylist():
-                got = memory.text(text or "")
-                n.append(sum([x[1] for x in got]))
-                ids_sha.append(hashlib.sha256(",".join([x[0] for x in got]).encode()).hexdigest())
-                text_sha.append(hashlib.sha256("".join([x[2] for x in got]).removeprefix(" ").encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    small_batches(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(task, DIGEST)
-
-
 def encode(docs: DataFrame, model: str | None = None, column: str = "ids") -> DataFrame:
     """docs with a column of the ids of text (array of int); null for null texts. A column of that name is replaced."""
 
