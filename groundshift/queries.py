@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
 
-def queries() -> dict:
-    return {}
+from groundshift.plans import catalog, evidence, land, stats  # noqa: F401  they register their queries
+from groundshift.plans.registry import QUERIES, SQL, Query
 
 
-def oracle_sql() -> dict:
-    return {}
+def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return QUERIES["E04_parcel_priority"](spark, sf_dir)
+
+
+def queries() -> dict[str, Query]:
+    return dict(QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(SQL)
