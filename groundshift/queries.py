@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from groundshift.plans import catalog, evidence, land, stats  # noqa: F401  they register their queries
+from groundshift.plans import catalog, clusters, evidence, land, stats  # noqa: F401  they register their queries
 from groundshift.plans.registry import QUERIES, SQL, Query
 
 
