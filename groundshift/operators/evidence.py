@@ -9,7 +9,7 @@ NEW, EXPANSION, DEMOLITION, OTHER = "NEW_BUILDING", "EXPANSION_OR_RECONSTRUCTION
 #: Risk of a compensation status.
 RISK = {"POST_BASELINE_UNVERIFIED": 1.0, "STRADDLES_BASELINE": 0.6, "POST_BASELINE_PERMITTED": 0.3, "UNKNOWN": 0.5, "PRE_BASELINE": 0.0}
 #: Weights of the building priority.
-WEIGHTS = {"confidence": 0.35, "ratio": 0.25, "uncertainty": 0.25, "relevance": 0.15}
+WEIGHTS = {"confidence": 0.40, "ratio": 0.30, "uncertainty": 0.20, "relevance": 0.10}
 
 
 def latest_by(register: DataFrame, key: str, date: str, tie: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 SIZE = 10.0
 #: Score of a persistence status.
-PERSISTENCE_SCORES = {"PERSISTENT": 100.0, "UNCONFIRMED": 60.0, "TEMPORARY": 30.0}
+PERSISTENCE_SCORES = {"PERSISTENT": 100.0, "UNCONFIRMED": 50.0, "TEMPORARY": 30.0}
 
 
 def coverage(features: DataFrame, key: str, size: float = SIZE, least: float = 1e-6) -> DataFrame:
@@ -49,7 +49,7 @@ def weighted_median(cover: DataFrame, pixels: DataFrame, key: str, value: str, b
     return j.where(F.col("run") >= F.col("whole") / 2).groupBy(key, by).agg(F.min(value).alias("median"))
 
 
-def priority(parcels: DataFrame, full_ratio: float = 0.5, near: float = 50.0, far: float = 500.0, weights: tuple[float, float, float] = (0.4, 0.4, 0.2), high: float = 60.0, medium: float = 40.0, least_area: float = 100.0) -> DataFrame:
+def priority(parcels: DataFrame, full_ratio: float = 0.5, near: float = 0.0, far: float = 500.0, weights: tuple[float, float, float] = (0.4, 0.35, 0.25), high: float = 60.0, medium: float = 40.0, least_area: float = 300.0) -> DataFrame:
     """Scores from 0 to 100 of decline ratio, persistence and distance to rail, their weighted mean, and a rank among candidates."""
     clamp = lambda x: F.greatest(F.lit(0.0), F.least(F.lit(1.0), x))
     persistence = F.coalesce(F.create_map(*(F.lit(x) for kv in PERSISTENCE_SCORES.items() for x in kv))[F.col("persistence_status")], F.lit(0.0))

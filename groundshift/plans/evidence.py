@@ -20,8 +20,8 @@ _TYPED = f"""{_JOINED}, t AS (SELECT *, CASE WHEN change_ratio = 0 AND near_chan
         WHEN matched AND approved IS NOT NULL THEN 'EXPANSION_OR_RECONSTRUCTION' WHEN change_ratio >= 0.5e0 THEN 'NEW_BUILDING' ELSE 'EXPANSION_OR_RECONSTRUCTION' END AS change_type,
         CASE WHEN change_ratio > 0 AND NOT (matched AND approved IS NOT NULL) THEN brightness_delta IS NULL OR brightness_delta >= 0 END AS consistent,
         CASE WHEN NOT matched THEN 1e0 WHEN coalesce(approved BETWEEN DATE '{T1}' AND DATE '{T2}', FALSE) THEN 0.1e0 ELSE 0.6e0 END AS uncertainty FROM j)"""
-_SCORED = f"""{_TYPED}, s AS (SELECT *, round(0.35e0 * greatest(0e0, least(1e0, coalesce(max_change_score, 0e0))) + 0.25e0 * greatest(0e0, least(1e0, coalesce(change_ratio, 0e0))) + 0.25e0 * uncertainty
-        + 0.15e0 * CASE WHEN change_type IN ('NEW_BUILDING', 'EXPANSION_OR_RECONSTRUCTION', 'DEMOLITION') THEN 1e0 ELSE 0.3e0 END, 4) AS priority_score FROM t)"""
+_SCORED = f"""{_TYPED}, s AS (SELECT *, round(0.40e0 * greatest(0e0, least(1e0, coalesce(max_change_score, 0e0))) + 0.30e0 * greatest(0e0, least(1e0, coalesce(change_ratio, 0e0))) + 0.20e0 * uncertainty
+        + 0.10e0 * CASE WHEN change_type IN ('NEW_BUILDING', 'EXPANSION_OR_RECONSTRUCTION', 'DEMOLITION') THEN 1e0 ELSE 0.3e0 END, 4) AS priority_score FROM t)"""
 
 
 def _joined(spark, sf_dir):

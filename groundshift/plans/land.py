@@ -160,9 +160,9 @@ def rail_distance(spark, sf_dir):
 
 _PRIO = f"""{_AREAS}, {ctes('rail')}, {_DIST}, j AS (SELECT areas.*, distance AS rail_distance, decline_area / nullif(evaluable_area, 0) AS decline_ratio,
         CASE WHEN decline_area <= 0 THEN 'NONE' WHEN persistent_area >= temporary_area AND persistent_area >= unconfirmed_area THEN 'PERSISTENT' WHEN temporary_area >= unconfirmed_area THEN 'TEMPORARY' ELSE 'UNCONFIRMED' END AS persistence_status FROM areas JOIN dist USING (pnu)),
-    s AS (SELECT *, greatest(0e0, least(1e0, coalesce(decline_ratio, 0e0) / 0.5e0)) * 100 AS score_ratio, CASE persistence_status WHEN 'PERSISTENT' THEN 100e0 WHEN 'UNCONFIRMED' THEN 60e0 WHEN 'TEMPORARY' THEN 30e0 ELSE 0e0 END AS score_persistence,
-        greatest(0e0, least(1e0, (500e0 - rail_distance) / 450e0)) * 100 AS score_rail, decline_area >= 100 AS candidate FROM j),
-    p AS (SELECT *, (0.4e0 * score_ratio + 0.4e0 * score_persistence + 0.2e0 * score_rail) / (0.4e0 + 0.4e0 + 0.2e0) AS priority_score FROM s)"""
+    s AS (SELECT *, greatest(0e0, least(1e0, coalesce(decline_ratio, 0e0) / 0.5e0)) * 100 AS score_ratio, CASE persistence_status WHEN 'PERSISTENT' THEN 100e0 WHEN 'UNCONFIRMED' THEN 50e0 WHEN 'TEMPORARY' THEN 30e0 ELSE 0e0 END AS score_persistence,
+        greatest(0e0, least(1e0, (500e0 - rail_distance) / 500e0)) * 100 AS score_rail, decline_area >= 300 AS candidate FROM j),
+    p AS (SELECT *, (0.4e0 * score_ratio + 0.35e0 * score_persistence + 0.25e0 * score_rail) / (0.4e0 + 0.35e0 + 0.25e0) AS priority_score FROM s)"""
 
 
 @query("E04_parcel_priority", f"WITH {_PRIO} SELECT pnu, persistence_status, round(decline_area, 4) AS decline_area, round(priority_score, 6) AS priority_score, CASE WHEN candidate THEN row_number() OVER (PARTITION BY candidate ORDER BY round(priority_score, 9) DESC, round(decline_area, 6) DESC, pnu) END AS priority_rank, CASE WHEN NOT candidate THEN 'NONE' WHEN round(priority_score, 9) >= 60 THEN 'HIGH' WHEN round(priority_score, 9) >= 40 THEN 'MEDIUM' ELSE 'LOW' END AS tier FROM p")
