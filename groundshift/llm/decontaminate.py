@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from groundshift.llm.shared import written
+
 WINDOW = 8
 #: Windows that one alignment must share with an item (all, if the item has fewer).
 LEAST = 3
@@ -30,15 +32,17 @@ def _tokens(text: Column) -> Column:
 
 
 def _template(x: Column, i: Column) -> Column:
-    """The typed placeholder of a token, or its lower-case text."""
+    """The typed placeholder of a token, or its lower-case text. What most tokens are comes with the fewest steps."""
     code = F.ascii(x)
-    low = F.lower(x)
+    capital = F.when(i == 0, F.lower(x)).when(F.lower(x).isin(UNITS), F.lit(_UNIT)).otherwise(F.lit(_NAME))
     return (
-        F.when(code.isin(46, 33, 63, 10), F.lower(F.ltrim(x, F.lit(".!?\n\r\t "))))
+        F.when((code >= 97) & (code <= 122), F.when(x.isin(UNITS), F.lit(_UNIT)).otherwise(F.lower(x)))
+        .when(code.isin(46, 33, 63, 10), F.lower(F.ltrim(x, F.lit(".!?\n\r\t "))))
         .when((code >= 48) & (code <= 57), F.lit(_NUM))
-        .when(low.isin(UNITS), F.lit(_UNIT))
-        .when((i > 0) & (low != x), F.lit(_NAME))
-        .otherwise(low)
+        .when((code >= 65) & (code <= 90), capital)
+        .when(x.isin(UNITS), F.lit(_UNIT))
+        .when((i > 0) & (F.lower(x) != x), F.lit(_NAME))
+        .otherwise(F.lower(x))
     )
 
 
@@ -47,21 +51,25 @@ def _is_slot(t: Column) -> Column:
 
 
 def _windows(df: DataFrame, key: str, extra: list[str]) -> DataFrame:
-    """key, extra columns, place and hash of each window."""
-    empty = F.array().cast("array<bigint>")
-    df = df.withColumn("h", F.transform("template", lambda t: F.xxhash64(t)))
-    n = F.size("template")
-    step = 1
+    """key, extra columns, place and hash of each window; one row without a hash where a text has no window.
+
+    The outer form keeps the optimizer from testing the array for emptiness beforehand, which would compute it once more.
+    """
+    df = df.withColumn("h1", F.transform("tokens", lambda x, i: F.xxhash64(_template(x, i))))
+    empty, n, step = F.array().cast("array<bigint>"), F.size("tokens"), 1
     while step < WINDOW:
-        long = n - (2 * step - 1)
-        df = df.withColumn("h", F.when(n >= 2 * step, F.zip_with(F.slice("h", F.lit(1), long), F.slice("h", F.lit(step + 1), long), lambda a, b: F.xxhash64(a, b))).otherwise(empty))
+        long, h = n - (2 * step - 1), f"h{step}"
+        df = df.withColumn(f"h{2 * step}", F.when(n >= 2 * step, F.zip_with(F.slice(h, F.lit(1), long), F.slice(h, F.lit(step + 1), long), lambda a, b: F.xxhash64(a, b))).otherwise(empty))
         step *= 2
-    return df.select(key, *extra, F.posexplode("h").alias("at", "h"))
+    return df.select(key, *extra, F.posexplode_outer(f"h{WINDOW}").alias("at", "h"))
+
+
+def _tokenized(df: DataFrame, key: str, text: str) -> DataFrame:
+    return df.select(F.col(key).cast("bigint").alias(key), _tokens(F.col(text)).alias("tokens"))
 
 
 def _templated(df: DataFrame, key: str, text: str) -> DataFrame:
-    df = df.select(F.col(key).cast("bigint").alias(key), _tokens(F.col(text)).alias("tokens"))
-    return df.withColumn("template", F.transform("tokens", _template))
+    return _tokenized(df, key, text).withColumn("template", F.transform("tokens", _template))
 
 
 def benchmark_windows(benchmark: DataFrame, key: str = "item_id", text: str = "text") -> DataFrame:
@@ -71,7 +79,7 @@ def benchmark_windows(benchmark: DataFrame, key: str = "item_id", text: str = "t
     values = F.zip_with("tokens", "template", lambda x, t: F.when(_is_slot(t), F.lower(F.ltrim(x, F.lit(".!?\n\r\t ")))))
     w = _windows(b.withColumn("values", values), key, ["needed", "values"])
     w = w.withColumn("slots", F.slice("values", F.col("at") + 1, F.lit(WINDOW)))
-    w = w.where(F.size(F.filter("slots", lambda v: v.isNotNull())) * 2 <= WINDOW)
+    w = w.where(F.col("h").isNotNull() & (F.size(F.filter("slots", lambda v: v.isNotNull())) * 2 <= WINDOW))
     return w.select(F.col(key).alias("item_id"), F.col("at").alias("item_at"), "h", "needed", "slots")
 
 
@@ -81,15 +89,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     few = items.count() <= BROADCAST_WINDOWS
     d = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     slim = items.select("h", "item_id", "item_at", "needed")
-    hits = _windows(_templated(d, "doc_id", "text"), "doc_id", []).join(F.broadcast(slim) if few else slim, "h")
+    hits = _windows(_tokenized(d, "doc_id", "text"), "doc_id", []).join(F.broadcast(slim) if few else slim, "h")
     hits = hits.select("doc_id", "item_id", "needed", "at", "item_at", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
     aligned = hits.groupBy("doc_id", "item_id", "shift").agg(F.count(F.lit(1)).alias("n_windows"), F.first("needed").alias("needed"), F.min("item_at").alias("a"), F.max("item_at").alias("z"))
-    aligned = aligned.where(F.col("n_windows") >= F.col("needed"))
+    aligned = written(aligned.where(F.col("n_windows") >= F.col("needed")))
     # slots of the aligned part, from the texts of the documents concerned only
     found = aligned.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "shift", "a", "z", "n_windows")).alias("found"))
-    texts = _templated(d.join(found.select("doc_id"), "doc_id", "left_semi"), "doc_id", "text").dropDuplicates(["doc_id"]).join(found, "doc_id")
+    texts = d.join(found.hint("shuffle_hash"), "doc_id").select("doc_id", _tokens(F.col("text")).alias("tokens"), "found")
     values = F.transform("tokens", lambda x: F.lower(F.ltrim(x, F.lit(".!?\n\r\t "))))
-    parts = texts.withColumn("values", values).select("doc_id", "values", F.explode("found").alias("f"))
+    parts = texts.withColumn("values", values).select("doc_id", "values", F.explode_outer("found").alias("f"))
     parts = parts.select("doc_id", "f.*", F.slice("values", F.col("f.a") + F.col("f.shift") + 1, F.col("f.z") - F.col("f.a") + WINDOW).alias("theirs"))
     whole = _templated(benchmark.where(F.col("item_id").isNotNull()), "item_id", "text").dropDuplicates(["item_id"])
     ours = F.zip_with("tokens", "template", lambda x, t: F.when(_is_slot(t), F.lower(F.ltrim(x, F.lit(".!?\n\r\t ")))))
@@ -99,7 +107,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     pairs = F.array_distinct(pairs)
     parts = parts.withColumn("pairs", pairs)
     parts = parts.withColumn("consistent", F.size(F.array_distinct(F.transform("pairs", lambda p: p.o))) == F.size("pairs"))
-    return parts.where("consistent").groupBy("doc_id", "item_id").agg(F.max("n_windows").alias("n_windows"), F.max(F.size("pairs")).cast("bigint").alias("n_slots"), F.count(F.lit(1)).alias("n_alignments"))
+    return parts.where("consistent").groupBy("doc_id", "item_id").agg(F.max("n_windows").alias("n_windows"), F.max(F.size("pairs")).cast("bigint").alias("n_slots"), F.countDistinct("shift").alias("n_alignments"))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
