@@ -5,7 +5,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from groundshift.functions import keys
-from groundshift.operators import evidence, indices, parcels, series, statistics
+from groundshift.operators import evidence, indices, parcels, reporting, series, statistics
 
 
 def one(spark, **columns):
@@ -71,3 +71,10 @@ def test_neighbours_widen_their_ring(spark):
     df = spark.createDataFrame([(1, 0.0, 0.0), (2, 1.0, 0.0), (3, 1000.0, 0.0)], "id int, x double, y double")
     got = {(x.id, x["rank"]): x.other for x in statistics.neighbours(df, 2, 2.0).collect()}
     assert got == {(1, 1): 2, (1, 2): 3, (2, 1): 1, (2, 2): 3, (3, 1): 2, (3, 2): 1}
+
+
+def test_route_visits_tiers_in_turn(spark):
+    rows = [(1, 1, "LOW", 0.9, 0.0, 0.0), (1, 2, "HIGH", 0.5, 10.0, 0.0), (1, 3, "HIGH", 0.8, 50.0, 0.0), (1, 4, "HIGH", 0.1, 40.0, 0.0), (1, 5, "HIGH", 0.7, None, None), (2, 6, "LOW", 0.0, 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "project int, site_id int, tier string, score double, x double, y double")
+    got = {r.site_id: r.route_order for r in reporting.routed(df, "project").collect()}
+    assert got == {3: 1, 4: 2, 2: 3, 1: 4, 5: 5, 6: 1}
