@@ -3,26 +3,33 @@
 Numbers, units and names (words with a capital that do not begin a sentence) become typed placeholders; windows of eight template
 tokens, at least half of them words, are hash-joined with those of the benchmark. For each alignment of a document with an item, the
 values in the slots must be consistent: one value in the item stands for one value in the document. So a question with other
-numbers or names is caught as well as a copy.
+numbers or names is caught as well as a copy. An item with too few such windows is compared whole: all its windows, or the one of its
+own length if it is shorter than eight tokens, must match in one alignment. Then it must hold four words for its values to differ; else
+they must be equal. Its first token stands for a word and for a name, as it may not begin a sentence of the document.
 
-Definite results: null and empty texts match nothing; items of fewer than eight tokens have no window and match nothing;
+Definite results: null and empty texts match nothing; an item of fewer than eight tokens matches word for word;
 repeated rows count once; an empty documents or benchmark table gives an empty result; other columns play no part.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from groundshift.llm.shared import written
 
 WINDOW = 8
-#: Windows that one alignment must share with an item (all, if the item has fewer).
+#: Windows that one alignment must share with an item (all, if the item has fewer or fewer of them are usable).
 LEAST = 3
 #: Benchmark windows up to this number are broadcast (24 bytes each); more are joined by a shuffle.
 BROADCAST_WINDOWS = 1_000_000
 #: Units of measure and of money.
 UNITS = "% $ € £ ° mm cm m km in ft yd mi mg g kg lb lbs oz ml l s sec second seconds min minute minutes h hr hour hours day days week weeks month months year years mph kmh hz khz mhz w kw v usd eur gbp dollar dollars cent cents euro euros pound pounds percent degree degrees meter meters metre metres kilometer kilometers mile miles inch inches foot feet gram grams kilogram kilograms liter liters".split()
+#: Units only right after a number.
+LOOSE = "in l s m g h w v mi sec".split()
+_TRIM = ".!?\n\r\t "
 _TOKEN = r"(?:[.!?\n]\s*)?[\p{L}\p{N}]+(?:[.,][0-9]+)*|[%$€£°]"
 _NUM, _UNIT, _NAME = "<num>", "<unit>", "<name>"
 
@@ -31,15 +38,26 @@ def _tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text.cast("string"), F.lit("")), F.lit(_TOKEN), F.lit(0))
 
 
+def _digit(x: Column) -> Column:
+    return F.ascii(x).between(48, 57)
+
+
 def _template(x: Column, i: Column) -> Column:
     """The typed placeholder of a token, or its lower-case text. What most tokens are comes with the fewest steps."""
     code = F.ascii(x)
-    capital = F.when(i == 0, F.lower(x)).when(F.lower(x).isin(UNITS), F.lit(_UNIT)).otherwise(F.lit(_NAME))
+    before = F.ltrim(F.when(i > 0, F.get("tokens", i - 1)), F.lit(_TRIM))
+
+    def unit(word: Column, other: Column) -> Column:
+        """A unit or what it is where no number stands before it."""
+        return F.when(word.isin(LOOSE), F.when(_digit(before), F.lit(_UNIT)).otherwise(other)).otherwise(F.lit(_UNIT))
+
+    name = F.when(F.lower(x).isin(UNITS), unit(F.lower(x), F.lit(_NAME))).otherwise(F.lit(_NAME))
+    begun = F.ltrim(x, F.lit(_TRIM))
     return (
-        F.when((code >= 97) & (code <= 122), F.when(x.isin(UNITS), F.lit(_UNIT)).otherwise(F.lower(x)))
-        .when(code.isin(46, 33, 63, 10), F.lower(F.ltrim(x, F.lit(".!?\n\r\t "))))
+        F.when((code >= 97) & (code <= 122), F.when(x.isin(UNITS), unit(x, x)).otherwise(F.lower(x)))
+        .when(code.isin(46, 33, 63, 10), F.when(_digit(begun), F.lit(_NUM)).otherwise(F.lower(begun)))
         .when((code >= 48) & (code <= 57), F.lit(_NUM))
-        .when((code >= 65) & (code <= 90), capital)
+        .when((code >= 65) & (code <= 90), F.when(i == 0, F.lower(x)).otherwise(name))
         .when(x.isin(UNITS), F.lit(_UNIT))
         .when((i > 0) & (F.lower(x) != x), F.lit(_NAME))
         .otherwise(F.lower(x))
@@ -50,18 +68,19 @@ def _is_slot(t: Column) -> Column:
     return t.isin(_NUM, _UNIT, _NAME)
 
 
-def _windows(df: DataFrame, key: str, extra: list[str]) -> DataFrame:
-    """key, extra columns, place and hash of each window; one row without a hash where a text has no window.
+def _windows(df: DataFrame, key: str, extra: list[str], template: Column, size: int = WINDOW) -> DataFrame:
+    """key, extra columns, place and hash of each window of size tokens; one row without a hash where a text has no window.
 
     The outer form keeps the optimizer from testing the array for emptiness beforehand, which would compute it once more.
     """
-    df = df.withColumn("h1", F.transform("tokens", lambda x, i: F.xxhash64(_template(x, i))))
-    empty, n, step = F.array().cast("array<bigint>"), F.size("tokens"), 1
-    while step < WINDOW:
-        long, h = n - (2 * step - 1), f"h{step}"
-        df = df.withColumn(f"h{2 * step}", F.when(n >= 2 * step, F.zip_with(F.slice(h, F.lit(1), long), F.slice(h, F.lit(step + 1), long), lambda a, b: F.xxhash64(a, b))).otherwise(empty))
-        step *= 2
-    return df.select(key, *extra, F.posexplode_outer(f"h{WINDOW}").alias("at", "h"))
+    df = df.withColumn("h1", template)
+    empty, n, step = F.array().cast("array<bigint>"), F.size("h1"), 1
+    while step < size:
+        wide = min(2 * step, size)
+        long, h = n - (wide - 1), f"h{step}"
+        df = df.withColumn(f"h{wide}", F.when(n >= wide, F.zip_with(F.slice(h, F.lit(1), long), F.slice(h, F.lit(wide - step + 1), long), lambda a, b: F.xxhash64(a, b))).otherwise(empty))
+        step = wide
+    return df.select(key, *extra, F.posexplode_outer(f"h{size}").alias("at", "h"))
 
 
 def _tokenized(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -72,41 +91,70 @@ def _templated(df: DataFrame, key: str, text: str) -> DataFrame:
     return _tokenized(df, key, text).withColumn("template", F.transform("tokens", _template))
 
 
+def _slots(place: Column, size: Column | int) -> Column:
+    """How many slots a window of the template has."""
+    return F.size(F.filter(F.slice("template", place + 1, size), _is_slot))
+
+
 def benchmark_windows(benchmark: DataFrame, key: str = "item_id", text: str = "text") -> DataFrame:
-    """item_id, item_at, h, needed, slots (array of values with their place, null where a word is) of each usable window."""
+    """item_id, item_at, h, needed, exact (values must be equal), size (tokens of the window) of each window to be looked for."""
     b = _templated(benchmark.where(F.col(key).isNotNull()).dropDuplicates([key, text]), key, text)
-    b = b.withColumn("needed", F.least(F.size("template") - (WINDOW - 1), F.lit(LEAST)))
-    values = F.zip_with("tokens", "template", lambda x, t: F.when(_is_slot(t), F.lower(F.ltrim(x, F.lit(".!?\n\r\t ")))))
-    w = _windows(b.withColumn("values", values), key, ["needed", "values"])
-    w = w.withColumn("slots", F.slice("values", F.col("at") + 1, F.lit(WINDOW)))
-    w = w.where(F.col("h").isNotNull() & (F.size(F.filter("slots", lambda v: v.isNotNull())) * 2 <= WINDOW))
-    return w.select(F.col(key).alias("item_id"), F.col("at").alias("item_at"), "h", "needed", "slots")
+    n, first = F.size("template"), F.ltrim(F.get("tokens", F.lit(0)), F.lit(_TRIM))
+    usable = F.size(F.filter(F.sequence(F.lit(0), n - WINDOW), lambda p: _slots(p, F.lit(WINDOW)) * 2 <= WINDOW))
+    b = b.where(n > 0).withColumn("usable", F.when(n >= WINDOW, usable).otherwise(F.lit(0)))
+    most = F.least(n - (WINDOW - 1), F.lit(LEAST))
+    b = b.withColumn("whole", (n < WINDOW) | (F.col("usable") < most)).withColumn("size", F.least(n, F.lit(WINDOW)))
+    b = b.withColumn("needed", F.when(F.col("whole"), n - F.col("size") + 1).otherwise(most))
+    b = b.withColumn("exact", F.col("whole") & ((n < WINDOW) | ((n - _slots(F.lit(0), n)) * 2 < WINDOW)))
+    # what the first token is at the begin of a sentence and within one
+    kinds = F.when(_digit(first), F.array(F.lit(_NUM))).otherwise(
+        F.array_compact(F.array(F.lower(first), F.when(F.lower(first) != first, F.lit(_NAME)), F.when(F.lower(first).isin(UNITS), F.lit(_UNIT))))
+    )
+    b = b.select("*", F.posexplode(F.array_distinct(kinds)).alias("kind", "begins"))
+    b = b.withColumn("kinds", F.concat(F.array("begins"), F.slice("template", F.lit(2), n)))
+    hashes, keep = F.transform("kinds", lambda t: F.xxhash64(t)), ["needed", "exact", "size", "whole", "kind", "template"]
+    lengths = _tokenized(benchmark, key, text).select(F.least(F.size("tokens"), F.lit(WINDOW)).alias("size")).distinct().collect()  # nine at most
+    sizes = sorted({r["size"] for r in lengths} - {0}) or [WINDOW]
+    parts = [_windows(b.where(F.col("size") == size), key, keep, hashes, size) for size in sizes]
+    w = reduce(DataFrame.unionByName, parts).where((F.col("kind") == 0) | (F.col("at") == 0))
+    w = w.where(F.col("h").isNotNull() & (F.col("whole") | (_slots(F.col("at"), F.lit(WINDOW)) * 2 <= WINDOW)))
+    return w.select(F.col(key).alias("item_id"), F.col("at").alias("item_at"), "h", "needed", "exact", "size")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, n_windows, n_slots, n_alignments of each document that holds (part of) an item."""
-    items = benchmark_windows(benchmark)
-    few = items.count() <= BROADCAST_WINDOWS
+    items = written(benchmark_windows(benchmark))
+    sizes = {r["size"]: r["count"] for r in items.groupBy("size").count().collect()}  # eight at most
+    few = sum(sizes.values()) <= BROADCAST_WINDOWS
     d = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    slim = items.select("h", "item_id", "item_at", "needed")
-    hits = _windows(_tokenized(d, "doc_id", "text"), "doc_id", []).join(F.broadcast(slim) if few else slim, "h")
-    hits = hits.select("doc_id", "item_id", "needed", "at", "item_at", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
-    aligned = hits.groupBy("doc_id", "item_id", "shift").agg(F.count(F.lit(1)).alias("n_windows"), F.first("needed").alias("needed"), F.min("item_at").alias("a"), F.max("item_at").alias("z"))
+    hashes = F.transform("tokens", lambda x, i: F.xxhash64(_template(x, i)))
+
+    def hits_of(size: int) -> DataFrame:
+        slim = items.where(F.col("size") == size)
+        return _windows(_tokenized(d, "doc_id", "text"), "doc_id", [], hashes, size).join(F.broadcast(slim) if few else slim, "h")
+
+    hits = reduce(DataFrame.unionByName, [hits_of(size) for size in sorted(sizes) or [WINDOW]])
+    hits = hits.select("doc_id", "item_id", "needed", "exact", "size", "at", "item_at", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
+    aligned = hits.groupBy("doc_id", "item_id", "shift").agg(F.count(F.lit(1)).alias("n_windows"), *(F.first(c).alias(c) for c in ("needed", "exact", "size")), F.min("item_at").alias("a"), F.max("item_at").alias("z"))
     aligned = written(aligned.where(F.col("n_windows") >= F.col("needed")))
     # slots of the aligned part, from the texts of the documents concerned only
-    found = aligned.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "shift", "a", "z", "n_windows")).alias("found"))
+    found = aligned.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "shift", "a", "z", "n_windows", "exact", "size")).alias("found"))
     texts = d.join(found.hint("shuffle_hash"), "doc_id").select("doc_id", _tokens(F.col("text")).alias("tokens"), "found")
-    values = F.transform("tokens", lambda x: F.lower(F.ltrim(x, F.lit(".!?\n\r\t "))))
+    values = F.transform("tokens", lambda x: F.lower(F.ltrim(x, F.lit(_TRIM))))
     parts = texts.withColumn("values", values).select("doc_id", "values", F.explode_outer("found").alias("f"))
-    parts = parts.select("doc_id", "f.*", F.slice("values", F.col("f.a") + F.col("f.shift") + 1, F.col("f.z") - F.col("f.a") + WINDOW).alias("theirs"))
+    parts = parts.select("doc_id", "f.*", F.slice("values", F.col("f.a") + F.col("f.shift") + 1, F.col("f.z") - F.col("f.a") + F.col("f.size")).alias("theirs"))
     whole = _templated(benchmark.where(F.col("item_id").isNotNull()), "item_id", "text").dropDuplicates(["item_id"])
-    ours = F.zip_with("tokens", "template", lambda x, t: F.when(_is_slot(t), F.lower(F.ltrim(x, F.lit(".!?\n\r\t ")))))
-    whole = whole.select("item_id", ours.alias("ours"))
+    ours = F.zip_with("tokens", "template", lambda x, t: F.when(_is_slot(t), F.lower(F.ltrim(x, F.lit(_TRIM)))))
+    whole = whole.select("item_id", ours.alias("ours"), values.alias("all_ours"))
     parts = parts.join(F.broadcast(whole) if few else whole, "item_id")
-    pairs = F.filter(F.zip_with(F.slice("ours", F.col("a") + 1, F.col("z") - F.col("a") + WINDOW), "theirs", lambda o, t: F.struct(o.alias("o"), t.alias("t"))), lambda p: p.o.isNotNull())
-    pairs = F.array_distinct(pairs)
-    parts = parts.withColumn("pairs", pairs)
-    parts = parts.withColumn("consistent", F.size(F.array_distinct(F.transform("pairs", lambda p: p.o))) == F.size("pairs"))
+    here = [F.col("a") + 1, F.col("z") - F.col("a") + F.col("size")]
+    pairs = F.filter(F.zip_with(F.slice("ours", *here), "theirs", lambda o, t: F.struct(o.alias("o"), t.alias("t"))), lambda p: p.o.isNotNull())
+    parts = parts.withColumn("pairs", F.array_distinct(pairs))
+    # the first token may have been a name on both sides
+    begin = F.when(F.col("a") == 0, F.array(F.struct(F.get("all_ours", F.lit(0)).alias("o"), F.get("theirs", F.lit(0)).alias("t")))).otherwise(F.slice("pairs", 1, 0))
+    parts = parts.withColumn("stands", F.array_union("pairs", begin))
+    parts = parts.withColumn("consistent", F.size(F.array_distinct(F.transform("stands", lambda p: p.o))) == F.size("stands"))
+    parts = parts.where(~F.col("exact") | (F.slice("all_ours", *here) == F.col("theirs")))
     return parts.where("consistent").groupBy("doc_id", "item_id").agg(F.max("n_windows").alias("n_windows"), F.max(F.size("pairs")).cast("bigint").alias("n_slots"), F.countDistinct("shift").alias("n_alignments"))
 
 

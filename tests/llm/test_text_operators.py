@@ -177,3 +177,15 @@ def test_decontamination_finds_other_parameters(spark):
     assert decontaminate.leaks(d.limit(0), b).count() == 0 and decontaminate.leaks(d, b.limit(0)).count() == 0
     twice = spark.createDataFrame([(0, ITEM.replace("2", "3"))], "item_id bigint, text string")  # one value cannot stand for two
     assert decontaminate.leaks(d.where("doc_id = 2"), twice).count() == 0
+
+
+def test_decontamination_finds_items_with_few_usable_windows(spark):
+    train, legs = "A train travels 60 km in 2 hours and 90 km in 3 hours.", "How many legs do six spiders and two ants have?"
+    b = spark.createDataFrame([(0, train), (1, legs), (2, "5 birds sit on the old tree by the river"), (3, "What is 3 plus 5?"), (4, "1 2 3 4 5 6 7 8 9")], "item_id bigint, text string")
+    docs = [
+        (1, "He said. " + train), (2, "Note: A train travels 70 km in 4 hours and 80 km in 5 hours."), (3, "A train travels 70 km in 4 hours and 80 km in 4 hours and"),
+        (4, "Question: " + legs), (5, legs.lower()), (6, "So. 5 birds sit on the old tree by the river"), (7, "he asked: what is 3 plus 5? and"), (8, "What is 4 plus 5?"),
+        (9, "0 1 2 3 4 5 6 7 8 9 1"), (10, "11 12 13 14 15 16 17 18 19 20"), (11, "A train travels 60 km in 2 hours and 90 miles in 3 days"),
+    ]
+    d = spark.createDataFrame(docs, "doc_id bigint, text string")
+    assert {(r.doc_id, r.item_id) for r in decontaminate.leaks(d, b).collect()} == {(1, 0), (2, 0), (3, 0), (4, 1), (5, 1), (6, 2), (7, 3), (9, 4)}
