@@ -1,7 +1,8 @@
 """Text of HTML pages as it would be laid out.
 
 A tokenizer and a tree builder with implied tags (paragraphs, list items, table parts, head and body) make a tree in which
-every node knows its display; what is not visible (head, scripts, hidden attributes and styles) is left out. Rendering keeps blank lines
+every node knows its display; what is not visible (head, scripts, hidden attributes and styles) is left out. What a table holds outside
+captions and cells stands before it. Rendering keeps blank lines
 between blocks, marks and indents list items, and aligns table cells in columns.
 
 Definite results: a null page has null text; an empty one has empty text; unclosed, stray and misnested tags never fail; text of any
@@ -27,8 +28,8 @@ PADDED = 120
 #: Elements by their role.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title xmp iframe noembed noframes".split())
-HIDDEN = set("head script style template noscript iframe object svg math audio video canvas datalist select textarea title noembed noframes meta link base input".split())
-BLOCK = set("html body address article aside blockquote center details dialog dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre section summary table tr ul caption thead tbody tfoot legend".split())
+HIDDEN = set("head script style template noscript iframe object audio video canvas datalist title noembed noframes meta link base input".split())
+BLOCK = set("html body address article aside blockquote center details dialog dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre section summary table tr ul caption thead tbody tfoot legend option optgroup".split())
 SPACED = set("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol dl table figure hr menu".split())
 #: Which open elements a start tag ends, and where the search for them stops.
 ENDS = {
@@ -42,6 +43,7 @@ ENDS = {
     "thead": ({"thead", "tbody", "tfoot", "tr", "td", "th", "p", "caption", "colgroup"}, {"table"}),
     "tbody": ({"thead", "tbody", "tfoot", "tr", "td", "th", "p", "caption", "colgroup"}, {"table"}),
     "tfoot": ({"thead", "tbody", "tfoot", "tr", "td", "th", "p", "caption", "colgroup"}, {"table"}),
+    "caption": ({"caption", "thead", "tbody", "tfoot", "tr", "td", "th", "p", "colgroup"}, {"table"}),
     "option": ({"option"}, {"select"}),
     "body": ({"head"}, set()),
 }
@@ -117,7 +119,7 @@ def tree(page: str) -> Node:
             if cut is not None:
                 del open_nodes[cut:]
         a = _attributes(m["attrs"] or "")
-        hidden = tag in HIDDEN or "hidden" in a or a.get("aria-hidden", "").lower() == "true" or bool(_HIDING.search(a.get("style", "")))
+        hidden = tag in HIDDEN or "hidden" in a or bool(_HIDING.search(a.get("style", "")))
         node = Node(tag, hidden)
         if tag == "ol" and a.get("start", "").lstrip("-").isdigit():
             node.start = int(a["start"])
@@ -130,7 +132,8 @@ def tree(page: str) -> Node:
         if tag in RAW:
             close = re.compile(f"</{tag}[\\s/>]", re.I).search(page, at)
             stop_at = close.start() if close else n
-            node.children.append(page[at:stop_at])
+            raw = page[at:stop_at]
+            node.children.append(entities.unescape(raw) if tag == "textarea" else raw)
             at = page.find(">", stop_at) + 1 if close else n
             at = at or n
         elif tag not in VOID and node is not open_nodes[-1] and not (m[0].endswith("/>") and tag not in BLOCK and hidden):
@@ -175,25 +178,42 @@ class _Lines:
         self.gap = True
 
 
-def _cells(table: Node) -> list[list[str]]:
+#: What a table's rows and cells may stand in.
+_PARTS = {"tr", "thead", "tbody", "tfoot", "colgroup", "col"}
+
+
+def _table(table: Node) -> tuple[list[Node], Node, list[list[str]]]:
+    """Captions at any depth, a node of what stands outside captions and cells, and the text of the cells by row."""
+    captions: list[Node] = []
+    loose = Node("div")
     rows: list[list[str]] = []
 
-    def walk(node: Node) -> None:
+    def walk(node: Node, into: Node) -> None:
         for c in node.children:
-            if isinstance(c, str) or c.hidden:
+            if isinstance(c, str):
+                into.children.append(c)
+            elif c.hidden:
                 continue
-            if c.tag in ("td", "th"):
+            elif c.tag == "caption":
+                captions.append(c)
+            elif c.tag in ("td", "th"):
                 if not rows:
                     rows.append([])
                 rows[-1].append(" ".join(" ".join(render_lines(c)).split()))
-            elif c.tag == "tr":
-                rows.append([])
-                walk(c)
-            elif c.tag != "caption":
-                walk(c)
+            elif c.tag in _PARTS:
+                if c.tag == "tr":
+                    rows.append([])
+                into.children.append(" ")
+                walk(c, into)
+            elif c.tag == "table":
+                into.children.append(c)
+            else:  # an element misplaced in the table, which may hold cells
+                shell = Node(c.tag, start=c.start)
+                into.children.append(shell)
+                walk(c, shell)
 
-    walk(table)
-    return [r for r in rows if r]
+    walk(table, loose)
+    return captions, loose, [r for r in rows if r]
 
 
 def _layout(node: Node, out: _Lines) -> None:
@@ -217,17 +237,14 @@ def _layout(node: Node, out: _Lines) -> None:
             continue
         if c.tag == "table":
             out.space()
-            for caption in (x for x in c.children if isinstance(x, Node) and x.tag == "caption" and not x.hidden):
+            captions, loose, rows = _table(c)
+            for caption in captions:
                 _layout(caption, out)
                 out.line()
-            loose = _Lines()  # text in a table outside cells stands before it
-            for x in c.children:
-                if isinstance(x, str):
-                    loose.word(x)
-            loose.line()
-            rows = _cells(c)
+            _layout(loose, out)
+            out.line()
             width = [max((len(r[k]) for r in rows if k < len(r)), default=0) for k in range(max(map(len, rows), default=0))]
-            lines = loose.lines + [" | ".join(x.ljust(w) if w <= PADDED else x for x, w in zip(r, width, strict=False)).rstrip() for r in rows]
+            lines = [" | ".join(x.ljust(w) if w <= PADDED else x for x, w in zip(r, width, strict=False)).rstrip() for r in rows]
             if lines:
                 out.put(lines)
             out.space()

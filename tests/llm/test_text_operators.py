@@ -160,6 +160,22 @@ def test_html_rows(spark):
     assert {r.page_id: r.text for r in html.extracted(df).collect()} == {1: "a", 2: None, 3: ""}
 
 
+@pytest.mark.parametrize(
+    "page, words",
+    [
+        ("<table><tr><td>x</td></tr><div>note</div></table>", "note x"),
+        ("<table><tr>Hello<td>x</td></tr></table>", "Hello x"),
+        ("<table><tbody>a<tr><td>x<td>y<caption>c</caption></table>end", "c a x | y end"),
+        ("<table>p<b>q</b><tr><td>x<table><tr>in<td>n</table></table>", "pq x in n"),
+        ("<table><form><tr><td>x</td></tr>f</form></table>", "f x"),
+        ("<p>a<textarea>b &amp; c</textarea><select><option>d<option>e</select><math><mi>f</mi></math><svg><text>g</text></svg><i aria-hidden=true>h</i>", "ab & c d e fgh"),
+        ("<table><tr><td>x</td></tr><div hidden>no</div><script>no</script></table>", "x"),
+    ],
+)
+def test_html_keeps_all_visible_text(page, words):
+    assert " ".join(html.render(page).split()) == words
+
+
 ITEM = "If Anna has 3 apples and gives 2 of them to Bob every day in the long week now"
 
 
