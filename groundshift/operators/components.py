@@ -4,21 +4,36 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def shared_dir(spark) -> str:
-    """A new folder below spark.checkpoint.dir, or below /tmp where it is unset, as in tests."""
+def shared_dir(spark: SparkSession) -> str:
+    """A new folder below spark.checkpoint.dir, which all executors share; without that setting only a local session has one."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return f"{base or 'file:///tmp/checkpoints'}/{uuid.uuid4().hex}"
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        base = "file:///tmp/checkpoints"
+    return f"{base}/{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame) -> DataFrame:
-    """Cut the lineage of a loop through a table in the shared folder; lost executors do not lose it."""
-    path = shared_dir(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Cut the lineage through a table in the shared folder; lost executors do not lose it. The table goes when the session ends."""
+    spark = df.sparkSession
+    path = shared_dir(spark)
+    df.write.option("compression", "zstd").parquet(path)
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_to = at
+    return out
+
+
+def dropped(df: DataFrame) -> None:
+    """Delete a written table that nothing needs any more, as that of a loop's last round."""
+    at = df._written_to
+    at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -27,14 +42,18 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     Each round takes the neighbours' least label and then the label of that label, so rounds grow with the logarithm of a component's width.
     """
     both = written(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct())
-    labels = written(nodes.select("node", F.col("node").alias("label")))
+    last = written(nodes.select("node", F.col("node").alias("label")))
+    labels = last
     while True:
         near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("label").alias("near"))
         best = labels.join(near, labels["node"] == near["a"], "left").select("node", "label", F.least("label", "near").alias("best"))
         up = best.select(F.col("node").alias("up"), F.col("best").alias("top"))
         step = written(best.join(up, best["best"] == up["up"]).select("node", "label", F.least("best", "top").alias("next")))
         labels = step.select("node", F.col("next").alias("label"))
+        dropped(last)
+        last = step
         if step.where("next <> label").limit(1).count() == 0:
+            dropped(both)
             return labels
 
 
