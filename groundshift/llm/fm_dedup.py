@@ -1,10 +1,13 @@
-"""Substring removal over words with an FM-index per shard.
+"""Substring removal over words with a compressed FM-index per shard.
 
-Shards hold the texts around the anchors whose k-gram occurs in several surroundings (see repeats). A shard's texts, as word
-numbers with a separator after each, make a Burrows-Wheeler transform, sorted as deep as a window needs, in a wavelet
-tree of packed bits with block counts. Documents' windows stream through backward search: each word narrows the interval of suffixes that
-begin with the words read so far; a window drops out once its interval holds itself alone, else its matching statistic has
-reached the threshold, and the earliest place within the interval tells whether it started before.
+Shards hold the texts around the anchors whose k-gram occurs at several places (see repeats). A shard's different texts, as word
+numbers with a separator after each, make a Burrows-Wheeler transform in a wavelet tree of packed bits with block counts; of
+the suffix order only every STEP-th text position is kept. Documents' texts stream through backward search: from each
+place on, words are read backwards while the interval of suffixes that begin with them holds another one. The number of words read is the
+matching statistic of that place (not counted beyond the window); where it reaches the window, the interval is reported and the places in
+it are found by steps of the transform up to a kept position. The earliest of them tells whether the window started before.
+
+Words are compared by 64 bits of a hash, and windows by twenty of them.
 
 Definite results: null text has no words; texts shorter than the window lose nothing; empty tables give empty results; a
 null doc_id sorts first; rows that repeat a doc_id are one document and do not count against each other.
@@ -24,6 +27,8 @@ from groundshift.llm.repeats import NO_ID, Unit, kept_mask, place, repeated_span
 from groundshift.llm.shared import utf8, word_spans
 
 WORDS = Unit(window=20, gram=7, words=True)
+#: Text positions of which one is kept.
+STEP = 8
 
 
 class WaveletTree:
@@ -43,10 +48,13 @@ class WaveletTree:
         every = np.arange(symbols)
         self.bottom = self._down(every, np.zeros(symbols, np.int64))
 
+    def _ones(self, k: int, at: np.ndarray) -> np.ndarray:
+        block, rest = at >> 6, (at & 63).astype(np.uint64)
+        return self.before[k][block] + np.bitwise_count(self.bits[k][block] & ((np.uint64(1) << rest) - np.uint64(1)))
+
     def _down(self, symbol: np.ndarray, at: np.ndarray) -> np.ndarray:
         for k in range(self.levels):
-            block, rest = at >> 6, (at & 63).astype(np.uint64)
-            ones = self.before[k][block] + np.bitwise_count(self.bits[k][block] & ((np.uint64(1) << rest) - np.uint64(1)))
+            ones = self._ones(k, at)
             at = np.where((symbol >> (self.levels - 1 - k)) & 1, self.zeros[k] + ones, at - ones)
         return at
 
@@ -54,12 +62,22 @@ class WaveletTree:
         """How often each symbol stands before each place."""
         return self._down(symbol, at) - self.bottom[symbol]
 
+    def read(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The symbol at each place, and how often it stands before."""
+        symbol = np.zeros(len(at), np.int64)
+        for k in range(self.levels):
+            bit = ((self.bits[k][at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)).astype(np.int64)
+            ones = self._ones(k, at)
+            at = np.where(bit == 1, self.zeros[k] + ones, at - ones)
+            symbol = symbol << 1 | bit
+        return symbol, at - self.bottom[symbol]
+
 
-def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes in order of their first depth symbols or more, by prefix doubling."""
+def suffix_order(text: np.ndarray) -> np.ndarray:
+    """Suffixes in order, by prefix doubling."""
     rank, k = np.unique(text, return_inverse=True)[1].astype(np.int64), 1
     order = np.argsort(rank, kind="stable")
-    while k < depth:
+    while True:
         behind = np.zeros_like(rank)
         behind[:-k] = rank[k:] + 1
         key = rank * (len(text) + 1) + behind
@@ -67,31 +85,49 @@ def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
         key = key[order]
         rank[order] = np.cumsum(np.r_[0, key[1:] != key[:-1]])
         if rank[order[-1]] == len(text) - 1:
-            break
+            return order
         k *= 2
-    return order
 
 
 class FMIndex:
-    def __init__(self, text: np.ndarray, depth: int):
-        """text: symbols, 0 for separators."""
-        self.order = suffix_order(text, depth + 1)
+    def __init__(self, text: np.ndarray, step: int = STEP):
+        """text: symbols, 0 for separators. An end mark below all of them is added."""
+        text = np.r_[text + 1, 0]
+        order = suffix_order(text)
         symbols = int(text.max()) + 1
         self.first = np.r_[0, np.cumsum(np.bincount(text, minlength=symbols))]
-        self.tree = WaveletTree(text[self.order - 1], symbols)
-
-    def search(self, text: np.ndarray, start: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-        """For the windows of a text: the interval of suffixes that begin with them, empty where nothing but the window itself does."""
-        n, lo_all, hi_all = len(start), np.zeros(len(start), np.int64), np.zeros(len(start), np.int64)
+        self.tree = WaveletTree(text[order - 1], symbols)
+        kept = order % step == 0
+        self.kept, self.places = WaveletTree(kept.astype(np.int64), 2), order[kept].astype(np.int32 if len(text) < 1 << 31 else np.int64)
+
+    def search(self, text: np.ndarray, start: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For the windows of a text: how many of their last words stand elsewhere too (the whole window at most), and the interval of suffixes that begin with those words."""
+        n = len(start)
+        far, lo_all, hi_all = np.full(n, length), np.zeros(n, np.int64), np.zeros(n, np.int64)
         live, lo, hi = np.arange(n), np.zeros(n, np.int64), np.full(n, self.tree.n, np.int64)
         for k in range(length - 1, -1, -1):
-            symbol = text[start[live] + k]
+            symbol = text[start[live] + k] + 1
             base = self.first[symbol]
-            lo, hi = base + self.tree.rank(symbol, lo), base + self.tree.rank(symbol, hi)
-            stay = hi - lo > 1
-            live, lo, hi = live[stay], lo[stay], hi[stay]
+            a, z = base + self.tree.rank(symbol, lo), base + self.tree.rank(symbol, hi)
+            stay = z - a > 1
+            gone = live[~stay]
+            far[gone], lo_all[gone], hi_all[gone] = length - 1 - k, lo[~stay], hi[~stay]
+            live, lo, hi = live[stay], a[stay], z[stay]
         lo_all[live], hi_all[live] = lo, hi
-        return lo_all, hi_all
+        return far, lo_all, hi_all
+
+    def locate(self, row: np.ndarray) -> np.ndarray:
+        """Text position of each suffix: back through the text until a kept position."""
+        out, live, steps = np.zeros(len(row), np.int64), np.arange(len(row)), 0
+        while len(live):
+            bit, before = self.kept.read(row)
+            known = bit == 1
+            out[live[known]] = self.places[before[known]].astype(np.int64) + steps
+            live, row = live[~known], row[~known]
+            symbol, rank = self.tree.read(row)
+            row = self.first[symbol] + rank
+            steps += 1
+        return out
 
 
 def kernel(unit: Unit) -> Callable:
@@ -107,20 +143,23 @@ def kernel(unit: Unit) -> Callable:
         count = n + 1
         run = np.repeat(np.arange(m), count)
         start = ends[run] + run + np.arange(len(run)) - np.repeat(np.cumsum(count) - count, count)
-        index = FMIndex(text, unit.window)
-        out = np.zeros(len(start), bool)
+        index = FMIndex(text)
+        low, high = np.zeros(len(start), np.int64), np.zeros(len(start), np.int64)
         for i in range(0, len(start), 1 << 18):
-            part = start[i : i + (1 << 18)]
-            a, z = index.search(text, part, unit.window)
-            hit = np.flatnonzero(z > a)
-            if not len(hit):
-                continue
-            spans, inverse = np.unique(a[hit], return_inverse=True)
+            far, a, z = index.search(text, start[i : i + (1 << 18)], unit.window)
+            reported = far >= unit.window
+            low[i : i + len(far)], high[i : i + len(far)] = np.where(reported, a, 0), np.where(reported, z, 0)
+        out, hit = np.zeros(len(start), bool), np.flatnonzero(high > low)
+        if len(hit):
+            # intervals of equal length windows are the same or apart
+            spans, inverse = np.unique(low[hit], return_inverse=True)
             stop = np.zeros(len(spans), np.int64)
-            stop[inverse] = z[hit]
-            placed = np.r_[where[index.order], np.iinfo(np.int64).max]
-            least = np.minimum.reduceat(placed, np.c_[spans, stop].ravel())[::2]
-            out[i + hit] = least[inverse] < where[part[hit]]
+            stop[inverse] = high[hit]
+            size = stop - spans
+            rows = np.repeat(spans - np.r_[0, np.cumsum(size)[:-1]], size) + np.arange(int(size.sum()))
+            places = np.concatenate([where[index.locate(rows[i : i + (1 << 18)])] for i in range(0, len(rows), 1 << 18)])
+            least = np.minimum.reduceat(places, np.r_[0, np.cumsum(size)[:-1]])
+            out[hit] = least[inverse] < where[start[hit]]
         return out
 
     return seen
@@ -153,6 +192,6 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def digest(docs: DataFrame, unit: Unit = WORDS) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 of each document."""
     placed, spans = spans_of(docs, unit)
-    joined = placed.join(spans.hint("shuffle_hash"), "doc", "left").select("doc", "text", "spans")
+    joined = placed.join(spans.hint("merge"), "doc", "left").select("doc", "text", "spans")
     out = joined.mapInArrow(_digest, "doc bigint, n_words bigint, n_removed bigint, kept_sha256 string")
     return out.withColumn("doc", F.when(F.col("doc") != NO_ID, F.col("doc"))).withColumnRenamed("doc", "doc_id")

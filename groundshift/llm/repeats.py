@@ -5,12 +5,13 @@ Both substring operators share this frame and differ in the kernel that compares
 1. Sampling that keeps every match: of the hashes of the k-grams in a window, the smallest one's place (leftmost in a
    tie) is the window's anchor. It depends on the window's content alone, so equal windows have equal anchors.
    Consecutive windows of one anchor make a run; a run has about (W - k) / 2 windows.
-2. A run whose whole text (all its windows) repeats is repeated whole: known from a 64-bit hash of that text. Each task
-   first merges its own equal runs, so that a key comes from a task once, however often a text is copied.
-3. Only runs whose anchor's k-gram occurs with different texts around it stay. Their texts are fetched, range-partitioned by the
-   leading tokens after the anchor with splitters that Spark samples, and compared by the kernel within each bucket.
-   Documents break ties in the splitters, so that a k-gram which a third of the documents share is spread over buckets.
-4. Windows of a k-gram at the end of a bucket that are new there are compared across buckets by a hash of their text.
+2. Runs whose anchor's k-gram occurs at one place only cannot repeat and go no further. This is all that hashes of
+   k-grams decide. Each task counts its own k-grams first, so that a key comes from a task once, however often it occurs.
+3. The texts of all other runs are fetched, range-partitioned by the leading tokens after the anchor with splitters that Spark samples, and
+   compared by the kernel within each bucket, token by token. Equal texts of a task travel as one text with its places; they
+   are equal token by token, not by hash. Documents break ties in the splitters, so that a k-gram which a third of the
+   documents share is spread over buckets. A task works on one bucket at a time, whatever its partition holds.
+4. Windows of a k-gram at the end of a bucket that are new there are compared across buckets by 128 bits of their text.
 """
 
 from __future__ import annotations
@@ -23,22 +24,24 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from groundshift.llm.shared import Rolling, byte_values, groups, mix, partitions_for, signed, small_batches, utf8, words, written
+from groundshift.llm.shared import Rolling, byte_values, groups, mix, partitions_for, pieces_of, signed, small_batches, utf8, words, written
 
-#: Runs that a task merges before it sends them off; bounds its memory.
-FLUSH = 400_000
-#: Longest piece of a document whose anchors are computed at once.
-PIECE = 1 << 20
-RUN = [("kg", "u4"), ("text", "u8"), ("doc", "i8"), ("lo", "i4"), ("n", "u1"), ("off", "u1"), ("mixed", "u1")]
+RUN = [("kg", "u4"), ("doc", "i8"), ("lo", "i4"), ("n", "u1"), ("off", "u1"), ("kind", "u1")]
+_ONE, _MARK, _MORE = 0, 1, 2
 
 
 @dataclass(frozen=True)
 class Unit:
-    """What a token is: a byte or a word."""
+    """What a token is, a byte or a word, and what bounds a task's memory: runs counted before they are sent off, the longest
+    piece of a document whose anchors are computed at once, tokens fetched at once, and runs of a bucket."""
 
     window: int
     gram: int
     words: bool
+    flush: int = 400_000
+    piece: int = 1 << 20
+    fetch: int = 1 << 22
+    bucket: int = 150_000
 
     def values(self, b: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Token values of all rows and for each row the index of its first token."""
@@ -50,12 +53,11 @@ class Unit:
 
 
 def runs(v: np.ndarray, rows: np.ndarray, unit: Unit) -> tuple[np.ndarray, ...]:
-    """k-gram hash, text hash, row, first window's start in its row, number of further windows, anchor's offset of each run."""
+    """k-gram hash, row, first window's start in its row, number of further windows, anchor's offset of each run."""
     w, k, n = unit.window, unit.gram, len(v)
     if n < w:
-        return tuple(np.zeros(0, t) for t in ("u8", "u8", "i8", "i4", "u1", "u1"))
-    roll = Rolling(v)
-    grams = roll.grams(k)
+        return tuple(np.zeros(0, t) for t in ("u8", "i8", "i4", "u1", "u1"))
+    grams = Rolling(v).grams(k)
     m, s, width = grams & np.uint64(0xFFFFFFFFFFFFFF80), 1, w - k + 1
     while 2 * s <= width:
         m = np.minimum(m[:-s], m[s:] + np.uint64(s))
@@ -69,26 +71,25 @@ def runs(v: np.ndarray, rows: np.ndarray, unit: Unit) -> tuple[np.ndarray, ...]:
     a = p + (m[p] & np.uint64(127)).astype(np.int64)
     new = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (p[1:] != p[:-1] + 1)])
     lo, hi, a = p[new], p[np.r_[new[1:], len(p)] - 1], a[new]
-    text = mix(roll.spans(lo, hi + w) + (hi - lo).astype(np.uint64) * np.uint64(257) + (a - lo).astype(np.uint64))
-    return grams[a], text, row[lo], (lo - rows[row[lo]]).astype("i4"), (hi - lo).astype("u1"), (a - lo).astype("u1")
+    return grams[a], row[lo], (lo - rows[row[lo]]).astype("i4"), (hi - lo).astype("u1"), (a - lo).astype("u1")
 
 
 def _pieces(v: np.ndarray, rows: np.ndarray, unit: Unit) -> Iterator[tuple[np.ndarray, ...]]:
-    if len(v) <= 2 * PIECE or len(rows) > 2:
+    if len(v) <= 2 * unit.piece or len(rows) > 2:
         yield runs(v, rows, unit)
         return
-    for at in range(0, len(v), PIECE):  # one long document: pieces overlap by less than a window
-        part = v[at : at + PIECE + unit.window - 1]
-        kg, text, row, lo, n, off = runs(part, np.array([0, len(part)]), unit)
-        yield kg, text, row, lo + np.int32(at), n, off
+    for at in range(0, len(v), unit.piece):  # one long document: pieces overlap by less than a window
+        part = v[at : at + unit.piece + unit.window - 1]
+        kg, row, lo, n, off = runs(part, np.array([0, len(part)]), unit)
+        yield kg, row, lo + np.int32(at), n, off
 
 
-def _sorted_blob(r: np.ndarray) -> bytes:
+def _packed(r: np.ndarray) -> bytes:
     """Fields after one another, compressed; in the order of places, whose differences are small."""
     return pa.compress(b"".join(np.ascontiguousarray(r[f]).tobytes() for f, _ in RUN), codec="zstd", asbytes=True)
 
 
-def _from_blob(blob: bytes, n: int) -> np.ndarray:
+def _unpacked(blob: bytes, n: int) -> np.ndarray:
     raw, at, out = pa.decompress(blob, n * np.dtype(RUN).itemsize, codec="zstd", asbytes=True), 0, np.empty(n, RUN)
     for f, t in RUN:
         size = np.dtype(t).itemsize * n
@@ -97,52 +98,43 @@ def _from_blob(blob: bytes, n: int) -> np.ndarray:
     return out
 
 
-def _order(r: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For r in the order of text, document, place: which are the first of their text, and which are at a later place than the first (rows that repeat a document are not later)."""
-    if not len(r):
-        return np.zeros(0, bool), np.zeros(0, bool)
-    first = np.r_[True, r["text"][1:] != r["text"][:-1]]
-    head = np.flatnonzero(first)[np.cumsum(first) - 1]
-    return first, (r["doc"] != r["doc"][head]) | (r["lo"] != r["lo"][head])
+def _edges(x: np.ndarray) -> np.ndarray:
+    """Where each stretch of equal values begins, and the length."""
+    return np.r_[np.flatnonzero(np.r_[True, x[1:] != x[:-1]]), len(x)] if len(x) else np.zeros(1, np.int64)
 
 
-def _by_gram(r: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """r in the order of k-grams, where each k-gram begins, and its number of texts (r has each text once)."""
-    r = r[np.argsort(r["kg"], kind="stable")]
-    begin = np.flatnonzero(np.r_[True, r["kg"][1:] != r["kg"][:-1]]) if len(r) else np.zeros(0, np.int64)
-    return r, begin, np.diff(np.r_[begin, len(r)])
+def _at_several_places(r: np.ndarray, kg: np.ndarray) -> np.ndarray:
+    """Whether the k-gram of each run occurs at two places or more (rows that repeat a document are one place)."""
+    order = np.lexsort((r["lo"].astype(np.int64) + r["off"], r["doc"], kg))
+    edge = _edges(kg[order])
+    doc, at = r["doc"][order], (r["lo"].astype(np.int64) + r["off"])[order]
+    head = np.repeat(edge[:-1], np.diff(edge))
+    other = (doc != doc[head]) | (at != at[head])
+    out = np.zeros(len(r), bool)
+    if len(r):
+        out[order] = np.repeat(np.logical_or.reduceat(other, edge[:-1]), np.diff(edge))
+    return out
 
 
 SLIM = "bucket int, n int, blob binary"
-DONE = "kind int, doc bigint, lo int, n int, off int"
-_SPAN, _RUN = 0, 1
+PLACES = "doc bigint, lo int, n int, off int"
 
 
 def _local(unit: Unit, buckets: int) -> Callable:
-    """Runs of a task, merged, dealt to buckets: by k-gram where it is with one text here, else by text."""
+    """Runs of a task dealt to buckets by k-gram; those of a k-gram at several places here are settled, and one mark tells its bucket."""
 
     def deal(parts: list[np.ndarray], grams: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         r, kg = np.concatenate(parts), np.concatenate(grams)
-        order = np.lexsort((r["lo"], r["doc"], r["text"]))
-        r, kg = r[order], kg[order]
-        first, later = _order(r)
-        again, r, kg = r[later], r[first], kg[first]
-        order = np.argsort(kg, kind="stable")
-        r, kg = r[order], kg[order]
-        begin = np.flatnonzero(np.r_[True, kg[1:] != kg[:-1]]) if len(r) else np.zeros(0, np.int64)
-        count = np.diff(np.r_[begin, len(r)])
-        mixed = np.repeat(count > 1, count)
-        r["mixed"] = mixed
-        mark, mark_kg = r[begin[count > 1]].copy(), kg[begin[count > 1]]  # tells the k-gram's bucket that it has other texts
-        mark["mixed"] = 2
-        again["mixed"] = 3  # known as repeated: on its way to the next step only
-        every = np.concatenate([r, mark, again])
-        key = np.concatenate([np.where(mixed, r["text"], mix(kg)), mix(mark_kg), mix(again["doc"].astype("u8"))])  # hashes of anchors are small
-        bucket = _range_of(key, buckets)
+        several = _at_several_places(r, kg)
+        _, first = np.unique(kg[several], return_index=True)
+        mark, mark_kg = r[several][first].copy(), kg[several][first]
+        r["kind"][several], mark["kind"] = _MORE, _MARK
+        key = np.concatenate([np.where(several, mix(r["doc"].astype("u8")), mix(kg)), mix(mark_kg)])  # hashes of anchors are small
+        every, bucket = np.concatenate([r, mark]), _range_of(key, buckets)
         order = np.lexsort((every["lo"], every["doc"], bucket))
         every, bucket = every[order], bucket[order]
-        edge = np.r_[np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]), len(bucket)] if len(bucket) else np.zeros(1, np.int64)
-        rows = [(int(bucket[i]), int(j - i), _sorted_blob(every[i:j])) for i, j in zip(edge[:-1], edge[1:], strict=True)]
+        edge = _edges(bucket)
+        rows = [(int(bucket[i]), int(j - i), _packed(every[i:j])) for i, j in zip(edge[:-1], edge[1:], strict=True)]
         if rows:
             b, n, blob = zip(*rows, strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(b, pa.int32()), pa.array(n, pa.int32()), pa.array(blob, pa.binary())], ["bucket", "n", "blob"])
@@ -153,15 +145,15 @@ def _local(unit: Unit, buckets: int) -> Callable:
             ids, (b, off) = batch.column(0).to_numpy(zero_copy_only=False), utf8(batch.column(1))
             for i, j in groups(off):
                 v, rows = unit.values(b[off[i] : off[j]], off[i : j + 1] - off[i])
-                for kg, text, row, lo, n, a in _pieces(v, rows, unit):
+                for kg, row, lo, n, a in _pieces(v, rows, unit):
                     r = np.zeros(len(kg), RUN)
-                    r["kg"], r["text"], r["doc"], r["lo"], r["n"], r["off"] = kg.astype("u4"), text, ids[i:j][row], lo, n, a
+                    r["kg"], r["doc"], r["lo"], r["n"], r["off"] = kg.astype("u4"), ids[i:j][row], lo, n, a
                     parts.append(r)
                     grams.append(kg)
                     size += len(kg)
-            if size >= FLUSH:
-                yield from deal(parts, grams)
-                parts, grams, size = [], [], 0
+                    if size >= unit.flush:
+                        yield from deal(parts, grams)
+                        parts, grams, size = [], [], 0
         if size:
             yield from deal(parts, grams)
 
@@ -169,32 +161,85 @@ def _local(unit: Unit, buckets: int) -> Callable:
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One bucket range: runs that repeat whole, and first runs of k-grams that have several texts."""
-    got: dict[int, list[np.ndarray]] = {}
+    """Places of the runs whose k-gram occurs at several; rows come bucket by bucket, and one bucket is held at a time."""
+
+    def closed(parts: list[np.ndarray]) -> pa.RecordBatch:
+        r = np.concatenate(parts)
+        go = r["kind"] == _MORE
+        rest = np.flatnonzero(~go)
+        at = _at_several_places(r[rest], r["kg"][rest]) | np.isin(r["kg"][rest], r["kg"][r["kind"] == _MARK])
+        go[rest] = at & (r["kind"][rest] == _ONE)
+        out = r[go]
+        out = out[np.lexsort((out["lo"], out["doc"]))]
+        return pa.RecordBatch.from_arrays([pa.array(out[f].astype(t)) for f, t in (("doc", "i8"), ("lo", "i4"), ("n", "i4"), ("off", "i4"))], ["doc", "lo", "n", "off"])
+
+    held, now = [], None
     for batch in batches:
         for bucket, n, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            got.setdefault(bucket, []).append(_from_blob(blob, n))
-    for bucket in sorted(got):
-        r = np.concatenate(got.pop(bucket))
-        known, marks = r[r["mixed"] == 3], r[r["mixed"] == 2]
-        r = r[r["mixed"] < 2]
-        r = r[np.lexsort((r["lo"], r["doc"], r["text"]))]
-        first, later = _order(r)
-        again = np.concatenate([known, r[later]])
-        r, begin, count = _by_gram(r[first])
-        several = np.repeat(count > 1, count) | (r["mixed"] == 1) | np.isin(r["kg"], marks["kg"])
-        out = np.concatenate([again, r[several]])
-        kind = np.r_[np.full(len(again), _SPAN), np.full(int(several.sum()), _RUN)].astype(np.int32)
-        order = np.lexsort((out["lo"], out["doc"], kind))
-        out, kind = out[order], kind[order]
-        yield pa.RecordBatch.from_arrays([pa.array(kind), *(pa.array(out[f].astype(t)) for f, t in (("doc", "i8"), ("lo", "i4"), ("n", "i4"), ("off", "i4")))], ["kind", "doc", "lo", "n", "off"])
-
-
-TEXTS = "t0 bigint, t1 bigint, doc bigint, lo int, n int, off int, body binary"
+            if held and bucket != now:
+                yield closed(held)
+                held = []
+            now = bucket
+            held.append(_unpacked(blob, n))
+    if held:
+        yield closed(held)
+
+
+TEXTS = "t0 bigint, t1 bigint, doc bigint, lo int, n int, off int, body binary, more binary"
+PLACE = [("doc", "i8"), ("lo", "i4")]
+
+
+def _spread(start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Indices of all tokens of the given stretches, one after another."""
+    ends = np.cumsum(length)
+    return np.repeat(start - (ends - length), length) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def distinct(flat: np.ndarray, ends: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """For each text (its tokens end at ends) the first one with the same tokens and the same anchor. A hash proposes it, the tokens decide."""
+    if len(ends) < 2:
+        return np.zeros(0, np.int64)
+    length = np.diff(ends)
+    h = Rolling(mix(flat.astype(np.uint64) + np.uint64(1))).spans(ends[:-1], ends[1:]) + off.astype(np.uint64)
+    _, first, inverse = np.unique(h, return_index=True, return_inverse=True)
+    rep = first[inverse]
+    own = np.arange(len(rep))
+    asked = np.flatnonzero((rep != own) & (length == length[rep]) & (off == off[rep]))
+    out = own.copy()
+    for part in np.array_split(asked, max(1, int(length[asked].sum()) >> 21)):
+        if len(part):
+            differ = flat[_spread(ends[part], length[part])] != flat[_spread(ends[rep[part]], length[part])]
+            bad = np.logical_or.reduceat(differ, np.r_[0, np.cumsum(length[part])[:-1]])
+            out[part[~bad]] = rep[part[~bad]]
+    return out
+
+
+def _binaries(flat: np.ndarray, ends: np.ndarray) -> pa.Array:
+    ends, width = np.ascontiguousarray(ends, np.int64), flat.itemsize
+    return pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends * width), pa.py_buffer(flat.tobytes())]).cast(pa.binary())
 
 
 def _fetch(unit: Unit) -> Callable:
-    """From (doc, text, runs): the text of each run, and its two leading 8-byte tokens from the anchor on."""
+    """From (doc, text, runs): the text of each run, once for equal ones, with its places and its two leading 8-byte tokens from the anchor on."""
+
+    def fetched(v, start, lo, n, off, ids):
+        length = n + unit.window
+        ends = np.r_[0, np.cumsum(length)]
+        body = v[_spread(start, length)]
+        rep = distinct(body, ends, off)
+        order = np.lexsort((lo, ids, rep))
+        edge = _edges(rep[order])
+        head = order[edge[:-1]]  # the earliest place of each text
+        places = np.zeros(len(ids), PLACE)
+        places["doc"], places["lo"] = ids[order], lo[order]
+        flat, size = body[_spread(ends[head], length[head])], np.r_[0, np.cumsum(length[head])]
+        lead = flat if unit.words else np.r_[flat, np.zeros(16, np.uint8)]
+        first = size[:-1] + off[head]
+        t = [lead[first], lead[first + 1]] if unit.words else [np.ascontiguousarray(lead[first[:, None] + np.arange(q, q + 8)]).view(">u8").ravel().astype("u8") for q in (0, 8)]
+        t = [signed(x ^ np.uint64(1 << 63)) for x in t]
+        several = np.diff(edge) > 1
+        blobs = pa.array([places[i + 1 : j].tobytes() if more else None for i, j, more in zip(edge[:-1].tolist(), edge[1:].tolist(), several.tolist(), strict=True)], pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(t[0]), pa.array(t[1]), pa.array(ids[head]), *(pa.array(x[head].astype("i4")) for x in (lo, n, off)), _binaries(flat, size), blobs], ["t0", "t1", "doc", "lo", "n", "off", "body", "more"])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -205,22 +250,17 @@ def _fetch(unit: Unit) -> Callable:
             flat, size = lists.flatten(), np.diff(lists.offsets.to_numpy())
             lo, n, a = (flat.field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(3))
             row = np.repeat(np.arange(len(size)), size)
-            for i, j in groups(off):
-                v, rows = unit.raw(b[off[i] : off[j]], off[i : j + 1] - off[i])
+            for i, j in groups(off, unit.fetch):
                 here = slice(*np.searchsorted(row, [i, j]))
                 if here.start == here.stop:
                     continue
-                at, length = rows[row[here] - i] + lo[here], n[here] + unit.window
-                ends = np.r_[0, np.cumsum(length)]
-                index = np.repeat(at - ends[:-1], length) + np.arange(ends[-1])
-                body = v[index]
-                lead = body if unit.words else np.r_[body, np.zeros(16, np.uint8)]
-                first = ends[:-1] + a[here]
-                t = [lead[first], lead[first + 1]] if unit.words else [np.ascontiguousarray(lead[first[:, None] + np.arange(q, q + 8)]).view(">u8").ravel().astype("u8") for q in (0, 8)]
-                t = [signed(x ^ np.uint64(1 << 63)) for x in t]
-                width = body.itemsize
-                binary = pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(ends * width), pa.py_buffer(body.tobytes())]).cast(pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(t[0]), pa.array(t[1]), pa.array(ids[row[here]]), *(pa.array(x[here].astype("i4")) for x in (lo, n, a)), binary], ["t0", "t1", "doc", "lo", "n", "off", "body"])
+                v, rows = unit.raw(b[off[i] : off[j]], off[i : j + 1] - off[i])
+                start = rows[row[here] - i] + lo[here]
+                cut = np.searchsorted(np.cumsum(n[here] + unit.window), np.arange(unit.fetch, int((n[here] + unit.window).sum()), unit.fetch))
+                for x, y in zip(np.r_[0, cut], np.r_[cut, len(start)], strict=True):
+                    if x < y:
+                        part = slice(here.start + x, here.start + y)
+                        yield fetched(v, start[x:y], lo[part], n[part], a[part], ids[row[part]])
 
     return task
 
@@ -240,20 +280,10 @@ def _range_of(h: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def _across(unit: Unit) -> Callable:
-    """Windows that were new in their bucket, by hash: all but the first of each are spans too."""
+    """Windows that were new in their bucket, by hash: all but the first of each are spans too. Rows come bucket by bucket, and one is held at a time."""
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got: list[np.ndarray] = []
-        for batch in batches:
-            spans = batch.filter(batch.column(5).is_null())
-            if spans.num_rows:
-                yield spans
-            packed = batch.filter(batch.column(5).is_valid())
-            for n, blob in zip(packed.column(4).to_pylist(), packed.column(5).to_pylist(), strict=True):
-                got.append(np.frombuffer(pa.decompress(blob, n * np.dtype(OPEN).itemsize, codec="zstd", asbytes=True), OPEN))
-        if not got:
-            return
-        r = np.concatenate(got)
+    def closed(parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        r = np.concatenate(parts)
         r = r[np.lexsort((r["lo"], r["doc"], r["h1"], r["h0"]))]
         first = np.r_[True, (r["h0"][1:] != r["h0"][:-1]) | (r["h1"][1:] != r["h1"][:-1])]
         head = r[np.flatnonzero(first)[np.cumsum(first) - 1]]
@@ -267,75 +297,133 @@ def _across(unit: Unit) -> Callable:
         # windows that overlap or touch make one span: all between is covered
         yield _found([np.zeros(len(new), np.int32), r["doc"][new], r["lo"][new], r["lo"][stop] + np.int32(unit.window), none, none])
 
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, now = [], None
+        for batch in batches:
+            spans = batch.filter(batch.column(5).is_null())
+            if spans.num_rows:
+                yield spans
+            packed = batch.filter(batch.column(5).is_valid())
+            for bucket, n, blob in zip(*(packed.column(k).to_pylist() for k in (0, 4, 5)), strict=True):
+                if held and bucket != now:
+                    yield from closed(held)
+                    held = []
+                now = bucket
+                held.append(np.frombuffer(pa.decompress(blob, n * np.dtype(OPEN).itemsize, codec="zstd", asbytes=True), OPEN))
+        if held:
+            yield from closed(held)
+
     return task
 
 
-def _bucket(unit: Unit, kernel: Callable, buckets: int) -> Callable:
-    """Compare the runs of a bucket. kernel(body, ends, off, n, doc, lo) gets them in the order of places and returns, for each window, whether it has occurred before in the bucket."""
+def _flat(column: pa.ChunkedArray, order: np.ndarray, dtype) -> tuple[np.ndarray, np.ndarray]:
+    """Values of binaries in an order, and where each ends."""
+    body = pa.concat_arrays([c.cast(pa.large_binary()) for c in column.chunks]).take(pa.array(order))
+    _, o, data = body.buffers()
+    ends = np.frombuffer(o, np.int64)[body.offset : body.offset + len(body) + 1]
+    width = np.dtype(dtype).itemsize
+    flat = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if ends[-1] > ends[0] else np.zeros(0, np.uint8)
+    return np.ascontiguousarray(flat).view(dtype), (ends - ends[0]) // width
+
+
+def compared(unit: Unit, kernel: Callable, t: pa.Table, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Spans of one bucket, and its open windows.
+
+    kernel(flat, ends, off, n, doc, lo) gets different texts with their earliest places, in the order of the anchors' places, and returns for each
+    window of each text whether it also occurs in the bucket at an earlier place.
+    """
+    t0, t1, doc, lo, n, off = (t.column(k).to_numpy() for k in range(6))
+    order = np.lexsort((lo + off, doc))
+    t0, t1, doc, lo, n, off = (x[order].astype(np.int64) for x in (t0, t1, doc, lo, n, off))
+    flat, ends = _flat(t.column(6), order, np.uint64 if unit.words else np.uint8)
+    more, more_ends = _flat(t.column(7).fill_null(b""), order, np.dtype(PLACE))
+    rep = distinct(flat, ends, off)  # rows are in the order of places: the first of equal texts is the earliest
+    head = np.flatnonzero(rep == np.arange(len(rep)))
+    length = np.diff(ends)[head]
+    flat, ends = flat[_spread(ends[head], length)], np.r_[0, np.cumsum(length)]
+    # all other places of a text are later than its earliest one: what the text shows holds for all their windows
+    owner = np.r_[rep, np.repeat(rep, np.diff(more_ends))]
+    d, s = np.r_[doc, more["doc"]], np.r_[lo, more["lo"].astype(np.int64)]
+    later = (d != doc[owner]) | (s != lo[owner])
+    out_d, out_s, out_e = [d[later]], [s[later]], [s[later] + n[owner[later]] + unit.window]
+    t0, t1, doc, lo, n, off = (x[head] for x in (t0, t1, doc, lo, n, off))
+    seen = kernel(flat, ends, off, n, doc, lo)
+    run = np.repeat(np.arange(len(n)), n + 1)
+    j = np.arange(len(run)) - np.repeat(np.r_[0, np.cumsum(n + 1)][:-1], n + 1)
+    at = np.flatnonzero(seen)
+    if len(at):
+        begin = np.flatnonzero(np.r_[True, (run[at][1:] != run[at][:-1]) | (at[1:] != at[:-1] + 1)])
+        a, z = at[begin], at[np.r_[begin[1:], len(at)] - 1]
+        out_d, out_s, out_e = [*out_d, doc[run[a]]], [*out_s, lo[run[a]] + j[a]], [*out_e, lo[run[a]] + j[z] + unit.window]
+    d, s, e = map(np.concatenate, (out_d, out_s, out_e))
+    # spans of a bucket that overlap are one: fewer rows travel
+    order = np.lexsort((s, d))
+    d, s, e = d[order], s[order], e[order]
+    if len(d):
+        _, inverse = np.unique(d, return_inverse=True)
+        reach = np.maximum.accumulate(e + inverse * (1 << 32)) - inverse * (1 << 32)
+        begin = np.flatnonzero(np.r_[True, (d[1:] != d[:-1]) | (s[1:] > reach[:-1])])
+        d, s, e = d[begin], s[begin], reach[np.r_[begin[1:], len(reach)] - 1]
+        none = [None] * len(d)
+        yield _found([_range_of(mix(d.astype(np.uint64)), buckets), d, s.astype("i4"), e.astype("i4"), none, none])
+    # k-grams that may go on in another bucket: those of the smallest and the largest leading tokens
+    ranked = np.lexsort((t1, t0))
+    touch = np.zeros(len(n), bool)
+    for x in (ranked[0], ranked[-1]):
+        touch |= (t0 == t0[x]) & (t1 == t1[x])
+    free = np.flatnonzero(~seen & touch[run])
+    r = np.zeros(len(free), OPEN)
+    from_, values = ends[run[free]] + j[free], flat if unit.words else byte_values(flat)
+    r["h0"], r["h1"] = Rolling(values).spans(from_, from_ + unit.window), Rolling(mix(values + np.uint64(1))).spans(from_, from_ + unit.window)
+    r["doc"], r["lo"] = doc[run[free]], lo[run[free]] + j[free]
+    to = _range_of(r["h0"], buckets)
+    order = np.argsort(to, kind="stable")
+    r, to = r[order], to[order]
+    edge = _edges(to)
+    blobs = [pa.compress(r[i:k].tobytes(), codec="zstd", asbytes=True) for i, k in zip(edge[:-1], edge[1:], strict=True)]
+    if blobs:
+        none = [None] * len(blobs)
+        yield _found([to[edge[:-1]], none, none, none, np.diff(edge).astype("i4"), blobs])
+
+
+def _bucketed(unit: Unit, kernel: Callable, buckets: int) -> Callable:
+    """Rows come in the order of leading tokens; they are cut into buckets where the tokens change, or at twice the size, and one bucket is held at a time."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = [x for x in batches if x.num_rows]
-        if not got:
-            return
-        t = pa.Table.from_batches(got)
-        t0, t1, doc, lo, n, off = (t.column(k).to_numpy() for k in range(6))
-        order = np.lexsort((lo + off, doc))
-        t0, t1, doc, lo, n, off = (x[order].astype(np.int64) for x in (t0, t1, doc, lo, n, off))
-        body = t.column(6).combine_chunks().cast(pa.large_binary()).take(pa.array(order))
-        _, o, data = body.buffers()
-        ends = np.frombuffer(o, np.int64)[body.offset : body.offset + len(body) + 1]
-        width = 8 if unit.words else 1
-        flat = np.frombuffer(data, np.uint64 if unit.words else np.uint8)[ends[0] // width : ends[-1] // width]
-        ends = (ends - ends[0]) // width
-        seen = kernel(flat, ends, off, n, doc, lo)  # for all windows, run after run
-        run = np.repeat(np.arange(len(n)), n + 1)
-        j = np.arange(len(run)) - np.repeat(np.r_[0, np.cumsum(n + 1)][:-1], n + 1)
-        # k-grams that may go on in another bucket: those of the smallest and the largest leading tokens
-        ranked = np.lexsort((t1, t0))
-        touch = np.zeros(len(n), bool)
-        for x in (ranked[0], ranked[-1]):
-            touch |= (t0 == t0[x]) & (t1 == t1[x])
-        at = np.flatnonzero(seen)
-        new = np.r_[True, (run[at][1:] != run[at][:-1]) | (at[1:] != at[:-1] + 1)] if len(at) else np.zeros(0, bool)
-        begin = np.flatnonzero(new)
-        stop = np.r_[begin[1:], len(at)] - 1
-        a, z = (at[begin], at[stop]) if len(at) else (at, at)
-        d, s, e = doc[run[a]], lo[run[a]] + j[a], lo[run[a]] + j[z] + unit.window
-        free = np.flatnonzero(~seen & touch[run])
-        roll = Rolling(flat if unit.words else byte_values(flat))
-        h = roll.spans(ends[run[free]] + j[free], ends[run[free]] + j[free] + unit.window)
-        h2 = Rolling(mix(flat + np.uint64(1)) if unit.words else mix(byte_values(flat))).spans(ends[run[free]] + j[free], ends[run[free]] + j[free] + unit.window)
-        if len(d):
-            none = [None] * len(d)
-            yield _found([_range_of(mix(d.astype(np.uint64)), buckets), d, s.astype("i4"), e.astype("i4"), none, none])
-        r = np.zeros(len(free), OPEN)
-        r["h0"], r["h1"], r["doc"], r["lo"] = h, h2, doc[run[free]], lo[run[free]] + j[free]
-        to = _range_of(h, buckets)
-        order = np.argsort(to, kind="stable")
-        r, to = r[order], to[order]
-        edge = np.r_[np.flatnonzero(np.r_[True, to[1:] != to[:-1]]), len(to)] if len(to) else np.zeros(1, np.int64)
-        blobs = [pa.compress(r[i:k].tobytes(), codec="zstd", asbytes=True) for i, k in zip(edge[:-1], edge[1:], strict=True)]
-        if blobs:
-            none = [None] * len(blobs)
-            yield _found([to[edge[:-1]], none, none, none, np.diff(edge).astype("i4"), blobs])
+        held, size = [], 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            size += batch.num_rows
+            while size >= unit.bucket:
+                t = pa.Table.from_batches(held)
+                t0, t1 = t.column(0).to_numpy(), t.column(1).to_numpy()
+                change = np.flatnonzero((t0[1:] != t0[:-1]) | (t1[1:] != t1[:-1])) + 1
+                if not len(change) and size < 2 * unit.bucket:
+                    break
+                cut = int(change[-1]) if len(change) else size
+                yield from compared(unit, kernel, t.slice(0, cut), buckets)
+                held, size = t.slice(cut).to_batches(), size - cut
+        if size:
+            yield from compared(unit, kernel, pa.Table.from_batches(held), buckets)
 
     return task
 
 
 def repeated_spans(docs: DataFrame, unit: Unit, kernel: Callable, placed: DataFrame) -> DataFrame:
     """(doc, spans array<struct<lo, hi>>): token ranges of each document whose windows also start earlier. docs: (doc, text); placed: docs, partitioned by doc."""
-    spark = docs.sparkSession
-    small_batches(spark)
-    parts = partitions_for(docs, 4 << 20)
-    merged = docs.mapInArrow(_local(unit, 4 * parts), SLIM).repartition(parts, "bucket").mapInArrow(_merge, DONE)
-    merged = written(merged)
-    whole = merged.where(F.col("kind") == _SPAN).select("doc", "lo", (F.col("lo") + F.col("n") + unit.window).alias("hi"))
-    wanted = merged.where(F.col("kind") == _RUN).groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("lo", "n", "off"))).alias("runs"))
+    small_batches(docs.sparkSession)
+    parts, buckets = partitions_for(docs, 4 << 20), 4 * pieces_of(docs, 4 << 20)
+    slim = docs.mapInArrow(_local(unit, buckets), SLIM)
+    merged = written(slim.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_merge, PLACES))
+    wanted = merged.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("lo", "n", "off"))).alias("runs"))
     columns = ["doc", "text", "runs", *(c for c in placed.columns if c not in ("doc", "text"))]
-    texts = placed.join(wanted.hint("shuffle_hash"), "doc").select(*columns).mapInArrow(_fetch(unit), TEXTS)
-    found = texts.repartitionByRange(parts, "t0", "t1", "doc", "lo").mapInArrow(_bucket(unit, kernel, parts), FOUND)
-    found = found.repartition(parts, "bucket").mapInArrow(_across(unit), FOUND).select("doc", "lo", "hi")
-    return whole.unionByName(found).groupBy("doc").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    texts = placed.join(wanted.hint("merge"), "doc").select(*columns).mapInArrow(_fetch(unit), TEXTS)
+    texts = texts.repartitionByRange(parts, "t0", "t1", "doc", "lo").sortWithinPartitions("t0", "t1", "doc", "lo")
+    found = texts.mapInArrow(_bucketed(unit, kernel, buckets), FOUND)
+    found = found.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_across(unit), FOUND)
+    return found.groupBy("doc").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
 
 
 def kept_mask(length: int, spans) -> np.ndarray:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 import tempfile
-import uuid
 import zipfile
 from collections.abc import Iterator
 from pathlib import Path
@@ -15,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import groundshift
+from groundshift.operators.components import written  # noqa: F401  shared by all that cut lineage
 
 #: Rows of one Arrow batch. Texts can be long; a batch stays a few megabytes.
 BATCH_ROWS = 512
@@ -47,27 +47,20 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir (the cluster's setting), or below /tmp where it is unset, as in tests."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return f"{base or 'file:///tmp/checkpoints'}/{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame) -> DataFrame:
-    """Cut the lineage: write to the shared folder as Parquet and read it again."""
-    path = shared_dir(df.sparkSession)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def partitions_for(df: DataFrame, bytes_each: int = 8 << 20) -> int:
-    """Partitions for a shuffle of df's volume: the session's number, or more where Catalyst's size estimate asks for it."""
+def pieces_of(df: DataFrame, bytes_each: int) -> int:
+    """Into how many pieces of this size df's volume goes by Catalyst's estimate; the session's shuffle partitions at least."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     try:
         size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # no classic plan, as over Spark Connect
         return n
-    return max(n, min(100_000, math.ceil(size / bytes_each))) if size < 1 << 60 else n
+    return max(n, min(1 << 28, math.ceil(size / bytes_each))) if size < 1 << 60 else n
+
+
+def partitions_for(df: DataFrame, bytes_each: int = 8 << 20) -> int:
+    """Partitions of a shuffle of df's volume. Their number is what a driver can follow; beyond it partitions grow, so what
+    works on them goes through a partition piece by piece."""
+    return min(pieces_of(df, bytes_each), 100_000)
 
 
 def utf8(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -4,7 +4,7 @@ Suffixes start at anchors (see repeats), of which every window of the text conta
 range-partition them by their leading 8-byte tokens; each bucket sorts its suffixes by multikey quicksort over 8-byte tokens,
 takes longest common prefixes of neighbours, and does the same with the reversed text before the anchors. A window that
 begins d bytes before its anchor equals an earlier one if both fall in one class of the first (100 - d bytes deep) and of the second
-(d bytes deep). Suffixes at a bucket's ends are compared across boundaries.
+(d bytes deep). Windows at a bucket's ends are compared across boundaries.
 
 Definite results: null text is empty; texts shorter than the window lose nothing; empty tables give empty results; a null
 doc_id sorts first; rows that repeat a doc_id are one document and do not count against each other; further columns are
@@ -115,7 +115,7 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def digest(docs: DataFrame, unit: Unit = BYTES) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of each document."""
     placed, spans = spans_of(docs, unit)
-    joined = placed.join(spans.hint("shuffle_hash"), "doc", "left").select("doc", "text", "spans")
+    joined = placed.join(spans.hint("merge"), "doc", "left").select("doc", "text", "spans")
     out = joined.mapInArrow(_digest, "doc bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
     return out.withColumn("doc", F.when(F.col("doc") != NO_ID, F.col("doc"))).withColumnRenamed("doc", "doc_id")
 
@@ -138,7 +138,7 @@ def remove_repeats(docs: DataFrame, unit: Unit = BYTES) -> DataFrame:
     others = [c for c in docs.columns if c != "text"]
     rest = F.struct(*(docs[c].alias(f"c{i}") for i, c in enumerate(others)), docs["text"].isNull().alias("none")).alias("rest")
     placed, spans = spans_of(docs, unit, rest)
-    joined = placed.join(spans.hint("shuffle_hash"), "doc", "left").select("doc", "text", "spans", "rest")
+    joined = placed.join(spans.hint("merge"), "doc", "left").select("doc", "text", "spans", "rest")
     out = joined.mapInArrow(_cut, T.StructType([joined.schema["rest"], T.StructField("cut", T.StringType())]))
     text = F.when(~F.col("rest.none"), F.col("cut"))
     return out.select(*(text.alias(c) if c == "text" else F.col(f"rest.c{others.index(c)}").alias(c) for c in docs.columns))

@@ -2,12 +2,17 @@
 
 import hashlib
 import random
+from dataclasses import replace
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from groundshift.llm import fm_dedup, repeats, suffix_dedup
 
 SCHEMA = "doc_id bigint, text string, doc string, lo string, spans string"
+#: Units that make every bound bite on a small corpus.
+TIGHT = dict(flush=40, piece=500, fetch=1500, bucket=16)
 
 
 def corpus():
@@ -18,7 +23,7 @@ def corpus():
     texts = [prose(80) + " " + passage + " " + prose(rng.randint(0, 40)) for _ in range(8)]
     texts += [passage, passage + other, other + "\n" + passage, "a" * 700, "ab" * 300, "a" * 350 + "b", "", None, prose(3), " \t\n", texts[0], texts[0], (other + " ") * 4]
     texts += [texts[1][: 50 + 7 * i] + " x " + texts[1][55 + 7 * i :] for i in range(6)]
-    texts += [" ".join(["so"] * 90), " ".join(["so", "it"] * 40) + " end"]
+    texts += [" ".join(["so"] * 90), " ".join(["so", "it"] * 40) + " end", prose(700), passage + " " + prose(500) + " " + other]
     return [(i * 3, t, "x", "y", "z") for i, t in enumerate(texts)]
 
 
@@ -37,11 +42,10 @@ def repeated(rows, units, width):
     return out
 
 
-@pytest.mark.parametrize("flush", [400_000, 40])
-def test_bytes(spark, monkeypatch, flush):
-    monkeypatch.setattr(repeats, "FLUSH", flush)
+@pytest.mark.parametrize("bounds", [{}, TIGHT])
+def test_bytes(spark, bounds):
     rows = corpus()
-    got = {r.doc_id: r for r in suffix_dedup.digest(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()}
+    got = {r.doc_id: r for r in suffix_dedup.digest(spark.createDataFrame(rows, SCHEMA).repartition(3), replace(suffix_dedup.BYTES, **bounds)).collect()}
     assert len(got) == len(rows)
     for doc, (u, gone) in repeated(rows, lambda t: list(t.encode()), 100).items():
         runs = sum(g and not (i and gone[i - 1]) for i, g in enumerate(gone))
@@ -50,9 +54,10 @@ def test_bytes(spark, monkeypatch, flush):
         assert (x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256) == (len(u), sum(gone), runs, hashlib.sha256(kept).hexdigest()), doc
 
 
-def test_words(spark):
+@pytest.mark.parametrize("bounds", [{}, TIGHT])
+def test_words(spark, bounds):
     rows = corpus()
-    got = {r.doc_id: r for r in fm_dedup.digest(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()}
+    got = {r.doc_id: r for r in fm_dedup.digest(spark.createDataFrame(rows, SCHEMA).repartition(3), replace(fm_dedup.WORDS, **bounds)).collect()}
     assert len(got) == len(rows)
     for doc, (u, gone) in repeated(rows, lambda t: t.encode().split(), 20).items():
         kept = b" ".join(x for x, g in zip(u, gone, strict=True) if not g)
@@ -60,30 +65,76 @@ def test_words(spark):
         assert (x.n_words, x.n_removed, x.kept_sha256) == (len(u), sum(gone), hashlib.sha256(kept).hexdigest()), doc
 
 
-def test_a_long_document_in_pieces(spark, monkeypatch):
-    monkeypatch.setattr(repeats, "PIECE", 500)
+@pytest.mark.parametrize("operator", [suffix_dedup, fm_dedup])
+def test_no_window_is_settled_by_a_hash(monkeypatch, operator):
+    """With hashes that are all equal, a bucket's verdicts stay right: the index or the array decides every window by its tokens."""
+    unit = suffix_dedup.BYTES if operator is suffix_dedup else fm_dedup.WORDS
+    tokens = (lambda t: list(t.encode())) if operator is suffix_dedup else (lambda t: t.encode().split())
+    rows = [r for r in corpus() if r[1]]
+    table = pa.table({"doc": pa.array([r[0] for r in rows]), "text": pa.array([r[1] for r in rows])})
+    places = [[{"lo": i, "n": 0, "off": 0} for i in range(0, len(tokens(r[1])) - unit.window + 1)] for r in rows]
+    table = table.append_column("runs", pa.array(places, pa.list_(pa.struct([("lo", pa.int32()), ("n", pa.int32()), ("off", pa.int32())]))))
+    whole = [b for x in table.to_batches() for b in repeats._fetch(unit)(iter([x]))]
+    monkeypatch.setattr(repeats.Rolling, "spans", lambda self, start, end: np.zeros(len(start), np.uint64))
+    with_equal_hashes = [b for x in table.to_batches() for b in repeats._fetch(unit)(iter([x]))] if operator is suffix_dedup else whole
+    got = {}
+    for b in repeats.compared(unit, operator.kernel(unit), pa.Table.from_batches(with_equal_hashes), 1):
+        for doc, lo, hi in zip(*(b.column(k).to_pylist() for k in (1, 2, 3)), strict=True):
+            if doc is not None:
+                got.setdefault(doc, set()).update(range(lo, hi))
+    want = {d: {i for i, g in enumerate(gone) if g} for d, (_, gone) in repeated(rows, tokens, unit.window).items()}
+    assert {d: x for d, x in want.items() if x} == got
+
+
+def test_index_gives_matching_statistics_and_places():
+    rng = np.random.default_rng(2)
+    text = np.r_[rng.integers(1, 4, 400), 0]
+    index = fm_dedup.FMIndex(text)
+    order = [len(text), *sorted(range(len(text)), key=lambda i: text[i:].tolist())]
+    assert index.locate(np.arange(len(order))).tolist() == order and len(index.places) <= len(text) // fm_dedup.STEP + 1
+    start = np.arange(380)
+    far, lo, hi = index.search(text, start, 20)
+    flat = bytes(text.tolist())
+    for p in start.tolist():
+        k = 0
+        while k < 20 and sum(flat.startswith(flat[p + 19 - k : p + 20], q) for q in range(len(flat))) > 1:
+            k += 1
+        assert far[p] == k
+        want = [q for q in range(len(flat)) if flat.startswith(flat[p + 20 - k : p + 20], q)]
+        assert sorted(order[lo[p] : hi[p]]) == want
+
+
+def test_a_long_document_in_pieces(spark):
     rng = random.Random(5)
     t = "".join(rng.choice("abcdefgh ") for _ in range(4000))
     rows = [(1, t, "", "", ""), (2, "zz" + t + "zz", "", "", "")]
-    got = {r.doc_id: r.n_removed for r in suffix_dedup.digest(spark.createDataFrame(rows, SCHEMA)).collect()}
+    got = {r.doc_id: r.n_removed for r in suffix_dedup.digest(spark.createDataFrame(rows, SCHEMA), replace(suffix_dedup.BYTES, piece=500)).collect()}
     assert got == {1: 0, 2: 4000}
 
 
+def test_one_very_long_text(spark):
+    t = "the same again and " * 120_000  # 2.3 MB of one period
+    got = {r.doc_id: r for r in suffix_dedup.digest(spark.createDataFrame([(1, t, "", "", ""), (2, "x", "", "", "")], SCHEMA)).collect()}
+    assert (got[1].n_removed, got[1].n_spans, got[2].n_removed) == (len(t) - 19, 1, 0)
+    words = {r.doc_id: r.n_removed for r in fm_dedup.digest(spark.createDataFrame([(1, t, "", "", "")], SCHEMA)).collect()}
+    assert words == {1: 480_000 - 4}
+
+
 def test_repeated_rows_null_ids_and_an_empty_table(spark):
     t = "one two three four five " * 3 + "x" * 120
     df = spark.createDataFrame([(1, t, "", "", ""), (1, t, "", "", ""), (None, t, "", "", ""), (2, None, "", "", "")], SCHEMA)
-    got = sorted(suffix_dedup.digest(df).select("doc_id", "n_removed").collect(), key=str)
     n = len(t)
-    assert sorted((r.doc_id is None, r.n_removed) for r in got if r.n_removed in (0, n) or r.doc_id is None)[-1][0]
-    assert [r.n_removed for r in got if r.doc_id == 1] == [n, n]
-    assert [r.n_removed for r in got if r.doc_id == 2] == [0]
+    got = sorted(((r.doc_id, r.n_removed) for r in suffix_dedup.digest(df).collect()), key=str)
+    inside = repeated([(0, t)], lambda x: list(x.encode()), 100)[0][1]
+    assert got == sorted([(1, n), (1, n), (None, sum(inside)), (2, 0)], key=str)
     for f in (suffix_dedup.digest, fm_dedup.digest, suffix_dedup.remove_repeats):
         assert f(df.limit(0)).count() == 0
 
 
 def test_remove_repeats_keeps_columns_and_nulls(spark):
-    t = "é" * 100
+    t = "é" * 50 + "ab" + "ü" * 60
     df = spark.createDataFrame([(1, t, "p", "q", "r"), (2, "a" + t, "p", "q", "r"), (3, None, "p", "q", "r")], SCHEMA)
     out = suffix_dedup.remove_repeats(df)
     assert out.columns == df.columns
-    assert {r.doc_id: r.text for r in out.collect()} == {1: t[:51], 2: "a", 3: None} or {r.doc_id: r.text for r in out.collect()}[2] == "a"
+    kept = {d: bytes(x for x, g in zip(u, gone, strict=True) if not g).decode(errors="ignore") for d, (u, gone) in repeated([(1, t), (2, "a" + t)], lambda x: list(x.encode()), 100).items()}
+    assert {r.doc_id: r.text for r in out.collect()} == {**kept, 3: None}
