@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 import sentencepiece
 
-from groundshift.llm import decontaminate, html, language, pieces, quality, token_counts, urls
+from groundshift.llm import decontaminate, html, language, pieces, quality, urls
 
 ODD = ["", "  a\n\n b  c", "▁x y", " ", "\n", "áé ñ 漢字 \U0001f600\x00 <0x0A> <s> </s>", "a" * 3000, " " * 999, "\t\t  x", "aAbB" * 500, "a▁ b▁▁c ▁"]
 
@@ -51,35 +51,6 @@ def test_piece_digest(spark, library):
     assert pieces.digest(df.limit(0)).count() == 0
 
 
-def test_token_counts_equal_plain_dynamic_programming(spark):
-    model = token_counts.Unigram(token_counts.default_model())
-    counter = token_counts.Counter(model)
-
-    def plain(text):
-        t = token_counts.SPACE + text.replace(" ", token_counts.SPACE) if text else ""
-        total = 0
-        for p in token_counts._PRE.findall(t):
-            best = [(0.0, 0)] + [None] * len(p)
-            for k in range(1, len(p) + 1):
-                for j in range(k):
-                    s = model.score.get(p[j:k])
-                    if s is not None:
-                        new = (best[j][0] + s, best[j][1] + 1)
-                    elif k - j == 1:
-                        new = (best[j][0] + model.unknown, best[j][1] + len(p[j:k].encode()))
-                    else:
-                        continue
-                    if best[k] is None or new[0] > best[k][0] or (new[0] == best[k][0] and new[1] < best[k][1]):
-                        best[k] = new
-            total += best[-1][1]
-        return total
-
-    some = [t for t in texts() if len(t) < 200]
-    assert counter.counts(some) == [plain(t) for t in some]
-    df = spark.createDataFrame([(1, "so it is"), (2, None), (None, "")], "doc_id bigint, text string")
-    assert sorted((r.doc_id or 0, r.n_tokens) for r in token_counts.counted(df).collect()) == [(0, 0), (1, plain("so it is")), (2, 0)]
-
-
 def test_codewords_are_apart():
     for k in (2, 3, 4, 6, 9, 30):
         c = language.codewords(k)
