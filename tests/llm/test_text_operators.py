@@ -3,11 +3,10 @@
 import random
 
 import duckdb
-import numpy as np
 import pytest
 import sentencepiece
 
-from groundshift.llm import decontaminate, html, language, pieces, quality, urls
+from groundshift.llm import decontaminate, html, language, pieces, quality
 
 ODD = ["", "  a\n\n b  c", "▁x y", " ", "\n", "áé ñ 漢字 \U0001f600\x00 <0x0A> <s> </s>", "a" * 3000, " " * 999, "\t\t  x", "aAbB" * 500, "a▁ b▁▁c ▁"]
 
@@ -94,28 +93,6 @@ def test_quality_equals_sql(spark):
     assert quality.judged(df.limit(0)).count() == 0
 
 
-def test_url_rules(spark):
-    rows = [(1, None), (2, "abc"), (3, "http://A.B.com/en/7?x"), (4, "http://example.com/en/77"), (5, "x://example.com"), (6, "http://EXAMPLE.net/de/8#a"), (7, "http://a.org?/es/"), (8, "http://org/es/1"), (9, "http://xnet/de/"), (10, "ftp://net/de/://q")]
-    got = {r.page_id: (r.host, r.path, r.rule) for r in urls.judged(spark.createDataFrame(rows, "page_id bigint, url string")).collect()}
-    assert got[1] == got[2] == ("", "", None)
-    assert got[3] == ("a.b.com", "/en/7", "com/en/") and got[4] == ("example.com", "/en/77", "example.com/en/7")
-    assert got[5] == ("example.com", "", None) and got[6] == ("example.net", "/de/8", "example.net/de/8")
-    assert got[7] == ("a.org", "", None) and got[8][2] == "org/es/" and got[9][2] is None and got[10] == ("net", "/de/://q", "net/de/")
-    assert urls.judged(spark.createDataFrame([], "page_id bigint, url string")).count() == 0
-
-
-def test_url_models_tell_their_own_apart(spark):
-    rows = [(i, f"http://a{i}.net/de/{i}") for i in range(60)] + [(100 + i, f"http://b{i}.org/es/{i}") for i in range(60)] + [(300, "http://a9.net/dx/9"), (301, "http://b9.org/ex/9")]
-    got = {r.page_id: r for r in urls.judged(spark.createDataFrame(rows, "page_id bigint, url string")).collect()}
-    assert got[1].verdict == "allow" and got[101].verdict == "block"
-    assert (got[300].verdict, got[301].verdict) == ("allow", "block") and got[300].ratio > got[301].ratio
-
-
-def test_url_ratio_is_that_of_plain_counts():
-    model = urls.Model(np.zeros((2, 1 << urls.TABLE_BITS)), np.zeros((2, 1 << urls.TABLE_BITS)))
-    assert model.ratio(np.frombuffer(b"http://x", np.uint8)) == 0.0
-
-
 def test_html_layout():
     page = '<html><head><title>x</title></head><body><h1>Head</h1><p>One <b>two</b> &amp; three<p>Four<ul><li>a<li>b<ul><li>c</ul></ul><table><tr><th>N<th>Long name<tr><td>1<td>x<tr><td>100</table><div style="display:none">no</div><pre>a\n  b\n</pre>tail<br>more < 3 <ol start=3><li>x</ol>'
     assert html.render(page) == "Head\n\nOne two & three\n\nFour\n\n- a\n- b\n  - c\n\nN   | Long name\n1   | x\n100\n\na\n  b\n\ntail\nmore < 3\n\n3. x"
