@@ -1,12 +1,15 @@
 """Language identification by error-correcting output codes.
 
 Each learned language has a codeword; for each of its bits a binary classifier over byte trigrams (hashed to a fixed table) tells
-from the log-odds of naive Bayes whether a text is of the languages with a one. The codeword of least total logistic loss wins;
-where the next one is less than a margin away, the prediction is flagged as ambiguous. Counts are over all texts to learn from.
+from the log-odds of naive Bayes whether a text is of the languages with a one. Its margin is the sum of the log-odds over the root of the number of
+trigrams. Decoding is weighted by loss: the codeword of least total logistic loss wins, where each classifier's loss counts by
+the log-odds of its being right on the texts that were learned from. Where the next codeword is less than a margin away, the prediction is flagged as
+ambiguous. Counts and weights are over all texts to learn from.
 
 Definite results: null texts and texts without a letter are ``und`` with score 0; without any language to learn from all are
-``und``; with one language it is always that one; a null doc_id is never held out and never learned from; repeated rows give repeated
-rows; lang, source and doc_id are no inputs of a prediction.
+``und``; with one language it is always that one, with score 1; of codewords at the same loss the first language by name wins (and is flagged); texts of any
+length are read whole; more than LANGUAGES languages are refused; a null doc_id is never held out and never learned from; repeated rows give
+repeated rows; an empty table gives an empty result; lang, source and doc_id are no inputs of a prediction; other columns play no part, whatever their names.
 """
 
 from __future__ import annotations
@@ -22,6 +25,8 @@ from groundshift.llm.shared import small_batches, utf8
 
 #: Hash table of trigrams, smoothing of its counts, languages with all possible columns, margin of ambiguity in units of loss.
 TABLE_BITS, SMOOTH, EXHAUSTIVE, MARGIN = 13, 0.5, 6, 1.0
+#: Languages that can be learned: each is a row of the table on the driver.
+LANGUAGES = 1000
 UNKNOWN = "und"
 
 
@@ -71,17 +76,27 @@ class Model:
         """counts: a row of trigram counts for each language."""
         self.langs, self.code = langs, codewords(len(langs))
         p = (counts + SMOOTH) / (counts + SMOOTH).sum(1, keepdims=True) if len(langs) else counts
-        self.odds = np.zeros((1 << TABLE_BITS, self.code.shape[1]), np.float32)
+        self.odds = np.zeros((1 << TABLE_BITS, self.code.shape[1]))
         for b in range(self.code.shape[1]):
             one = self.code[:, b] > 0
             self.odds[:, b] = np.log(p[one].mean(0)) - np.log(p[~one].mean(0))
 
-    def losses(self, text: np.ndarray) -> np.ndarray:
-        """Total loss of each codeword; the margin of a bit is bounded."""
+        self.weights = np.ones(self.code.shape[1])
+
+    def margins(self, text: np.ndarray) -> np.ndarray:
+        """How sure each classifier is of a one."""
         counts = np.bincount(grams(text), minlength=1 << TABLE_BITS)
         at = np.flatnonzero(counts)
-        f = np.clip(counts[at].astype(np.float32) @ self.odds[at], -30, 30).astype(float)
-        return np.logaddexp(0, -self.code * f).sum(1)
+        return (counts[at].astype(float) @ self.odds[at]) / max(1.0, np.sqrt(counts.sum()))
+
+    def weigh(self, right: np.ndarray, n: int) -> None:
+        """Weights of the classifiers, one on average, from how many of n texts each got right; one that is no better than a coin has none."""
+        w = np.maximum(0.0, np.log((right + SMOOTH) / (n - right + SMOOTH)))
+        self.weights = w / w.mean() if w.any() else np.ones(len(w))
+
+    def losses(self, text: np.ndarray) -> np.ndarray:
+        """Total weighted loss of each codeword."""
+        return np.round((self.weights * np.logaddexp(0, -self.code * self.margins(text))).sum(1), 9)
 
     def predict(self, text: np.ndarray) -> tuple[str, float, bool]:
         if not self.langs or not has_letter(text):
@@ -114,14 +129,31 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def learn(docs: DataFrame) -> Model:
-    """From text and lang of the rows that have both. What reaches the driver is a table of fixed size for each language."""
+    """From text and lang of the rows that have both. What reaches the driver is a table of fixed size for each language, and a number for each classifier."""
     small_batches(docs.sparkSession)
-    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(F.col("lang").cast("string"), F.col("text").cast("string"))
+    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
+    langs = sorted(r["lang"] for r in known.select("lang").distinct().limit(LANGUAGES + 1).collect())
+    if len(langs) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages to learn")
     got = known.mapInArrow(_counted, "lang string, gram int, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
-    langs = sorted(set(got["lang"]))
     counts = np.zeros((len(langs), 1 << TABLE_BITS))
     counts[got["lang"].map({x: i for i, x in enumerate(langs)}).astype(int), got["gram"].astype(int)] = got["n"]
-    return Model(langs, counts)
+    model = Model(langs, counts)
+    bits = model.code.shape[1]
+
+    def rated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        right, n, row = np.zeros(bits, np.int64), 0, {x: i for i, x in enumerate(langs)}
+        for batch in batches:
+            b, off = utf8(batch.column(1))
+            for i, lang in enumerate(batch.column(0).to_pylist()):
+                right += model.margins(b[off[i] : off[i + 1]]) * model.code[row[lang]] > 0
+            n += batch.num_rows
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(bits, dtype=np.int32)), pa.array(right), pa.array(np.full(bits, n))], ["bit", "right", "n"])
+
+    if bits:
+        rates = known.mapInArrow(rated, "bit int, right bigint, n bigint").groupBy("bit").agg(F.sum("right").alias("right"), F.sum("n").alias("n")).toPandas().sort_values("bit")
+        model.weigh(rates["right"].to_numpy(), int(rates["n"].iloc[0]))
+    return model
 
 
 def predicted(docs: DataFrame, model: Model) -> DataFrame:

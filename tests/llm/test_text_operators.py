@@ -6,7 +6,7 @@ import duckdb
 import pytest
 import sentencepiece
 
-from groundshift.llm import decontaminate, html, language, pieces, quality
+from groundshift.llm import decontaminate, html, pieces, quality
 
 ODD = ["", "  a\n\n b  c", "▁x y", " ", "\n", "áé ñ 漢字 \U0001f600\x00 <0x0A> <s> </s>", "a" * 3000, " " * 999, "\t\t  x", "aAbB" * 500, "a▁ b▁▁c ▁"]
 
@@ -50,28 +50,6 @@ def test_piece_digest(spark, library):
     assert pieces.digest(df.limit(0)).count() == 0
 
 
-def test_codewords_are_apart():
-    for k in (2, 3, 4, 6, 9, 30):
-        c = language.codewords(k)
-        assert len({tuple(r) for r in c}) == k and (abs(c.sum(0)) < k).all()
-
-
-def test_language_held_out_accuracy(spark, sf_dir):
-    d = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    r = language.identify(d).join(d.select("doc_id", "lang"), "doc_id").toPandas()
-    held = r[r.held_out]
-    assert len(r) == d.count() and len(held) > 20 and (held.lang == held.lang_pred).mean() > 0.95
-    assert ((r.score >= 0) & (r.score <= 1)).all()
-
-
-def test_language_odd_rows(spark):
-    df = spark.createDataFrame([(1, None, "en"), (2, "", "en"), (3, "12 34", None), (4, "漢", "fr"), (5, "the house", "en"), (None, "la maison", "fr")], "doc_id bigint, text string, lang string")
-    got = {r.doc_id: r.lang_pred for r in language.identify(df).collect()}
-    assert got[1] == got[2] == got[3] == "und" and got[5] in ("en", "fr")
-    assert language.identify(df.limit(0)).count() == 0
-    assert language.accepted(df).where("doc_id in (1, 2, 3)").count() == 0
-
-
 QUALITY = [(1, None), (2, ""), (3, "a b\n\na b\n x"), (4, "one two three four five six seven eight " * 4), (5, "the " * 30), (6, "é#*$%&|<> " * 25), (7, "w" * 500), (7, "w" * 500), (None, " \t\x0b\n")]
 
 
