@@ -1,7 +1,8 @@
 """Quality rules as one projection: a table of thresholds compiled into column expressions; nothing but DataFrame functions.
 
-Definite results: null and empty texts have no words and fail the base rule; repeated rows give repeated rows; further columns may
-be kept. Windows of words are compared by 64-bit hashes, doubled from words to 2, 4 and 8 of them.
+Definite results: null and empty texts have no words and fail the base rule; very long texts are measured whole; a measure equal to its bound
+passes; repeated rows give repeated rows; an empty table gives an empty result; other columns play no part, whatever their names. Windows of words are
+compared by 64-bit hashes, doubled from words to 2, 4 and 8 of them.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ RULES = [
     ("mean_word_length", "word_chars / nullif(n_words, 0)", 2.0, 15.0, 20),
     ("symbol_word_ratio", "n_symbols / nullif(n_words, 0)", None, 0.3, 20),
     ("duplicate_line_ratio", "n_dup_lines / nullif(n_lines, 0)", None, 0.5, 20),
-    ("stop_words", "n_stop_words", 1.0, None, 100),
+    ("stop_word_ratio", "n_stop_words / nullif(n_words, 0)", 0.03, None, 20),
     ("repeated_word_ratio", "n_repeat_words / nullif(n_words, 0)", None, 0.3, 20),
 ]
 
@@ -49,7 +50,7 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
     d = docs.select("doc_id", t.alias("t"))
     d = d.withColumn("w", F.filter(F.split("t", "[ \\t-\\r]+"), lambda x: x != ""))
-    lines = F.filter(F.split("t", "\n"), lambda x: F.length(F.regexp_replace(x, "[ \\t-\\r]", "")) > 0)
+    lines = F.filter(F.split("t", "\n"), lambda x: x.rlike("[^ \\t-\\r]"))
     d = d.withColumns({"n": F.size("w"), "h1": F.transform("w", lambda x: F.xxhash64(x)), "lines": lines})
     for step in (1, 2, 4):
         d = d.withColumn(f"h{2 * step}", _doubled(F.col(f"h{step}"), F.col("n"), step))
@@ -58,8 +59,8 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     return d.select(
         "doc_id",
         F.col("n").cast("bigint").alias("n_words"),
-        F.length(F.regexp_replace("t", "[ \\t-\\r]", "")).cast("bigint").alias("word_chars"),
-        (F.length("t") - F.length(F.translate("t", "#*$%&|<>", ""))).cast("bigint").alias("n_symbols"),
+        F.length(F.regexp_replace("t", "[ \\t-\\r]+", "")).cast("bigint").alias("word_chars"),
+        F.regexp_count("t", F.lit("[#*$%&|<>]")).cast("bigint").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
         repeated.alias("n_repeat_words"),
         F.size("lines").cast("bigint").alias("n_lines"),

@@ -6,7 +6,7 @@ import duckdb
 import pytest
 import sentencepiece
 
-from groundshift.llm import decontaminate, html, pieces, quality
+from groundshift.llm import html, pieces, quality
 
 ODD = ["", "  a\n\n b  c", "▁x y", " ", "\n", "áé ñ 漢字 \U0001f600\x00 <0x0A> <s> </s>", "a" * 3000, " " * 999, "\t\t  x", "aAbB" * 500, "a▁ b▁▁c ▁"]
 
@@ -50,7 +50,7 @@ def test_piece_digest(spark, library):
     assert pieces.digest(df.limit(0)).count() == 0
 
 
-QUALITY = [(1, None), (2, ""), (3, "a b\n\na b\n x"), (4, "one two three four five six seven eight " * 4), (5, "the " * 30), (6, "é#*$%&|<> " * 25), (7, "w" * 500), (7, "w" * 500), (None, " \t\x0b\n")]
+QUALITY = [(1, None), (2, ""), (3, "a b\n\na b\n x"), (4, "one two three four five six seven eight " * 4), (5, "the " * 30), (6, "é#*$%&|<> " * 25), (7, "w" * 500), (7, "w" * 500), (None, " \t\x0b\n"), (8, "the " + "ab " * 32), (9, "the cab " + "ab " * 32), (10, " ".join(str(i) for i in range(30_000)) + " 1 2 3 4 5 6 7 8" * 3000)]
 
 
 def test_quality_equals_sql(spark):
@@ -100,34 +100,3 @@ def test_html_rows(spark):
 )
 def test_html_keeps_all_visible_text(page, words):
     assert " ".join(html.render(page).split()) == words
-
-
-ITEM = "If Anna has 3 apples and gives 2 of them to Bob every day in the long week now"
-
-
-def test_decontamination_finds_other_parameters(spark):
-    docs = [
-        (1, "x y z. " + ITEM + " and so on"),
-        (2, "So Carl has 7 apples and gives 5 of them to Dora every day in the long week now"),
-        (3, None), (4, ""), (5, "apples and gives of them every day in the long week now for all who ask"), (6, ITEM), (6, ITEM),
-        (7, "If anna had apples she would give some of them to bob"), (None, ITEM),
-    ]
-    d = spark.createDataFrame([(*r, "k") for r in docs], "doc_id bigint, text string, h string")
-    b = spark.createDataFrame([(0, ITEM), (1, None), (2, ""), (3, "too short")], "item_id bigint, text string")
-    assert {(r.doc_id, r.item_id) for r in decontaminate.leaks(d, b).collect()} == {(1, 0), (2, 0), (6, 0)}
-    assert sorted((r.doc_id or -1) for r in decontaminate.clean(d, b).collect()) == [-1, 3, 4, 5, 7]
-    assert decontaminate.leaks(d.limit(0), b).count() == 0 and decontaminate.leaks(d, b.limit(0)).count() == 0
-    twice = spark.createDataFrame([(0, ITEM.replace("2", "3"))], "item_id bigint, text string")  # one value cannot stand for two
-    assert decontaminate.leaks(d.where("doc_id = 2"), twice).count() == 0
-
-
-def test_decontamination_finds_items_with_few_usable_windows(spark):
-    train, legs = "A train travels 60 km in 2 hours and 90 km in 3 hours.", "How many legs do six spiders and two ants have?"
-    b = spark.createDataFrame([(0, train), (1, legs), (2, "5 birds sit on the old tree by the river"), (3, "What is 3 plus 5?"), (4, "1 2 3 4 5 6 7 8 9")], "item_id bigint, text string")
-    docs = [
-        (1, "He said. " + train), (2, "Note: A train travels 70 km in 4 hours and 80 km in 5 hours."), (3, "A train travels 70 km in 4 hours and 80 km in 4 hours and"),
-        (4, "Question: " + legs), (5, legs.lower()), (6, "So. 5 birds sit on the old tree by the river"), (7, "he asked: what is 3 plus 5? and"), (8, "What is 4 plus 5?"),
-        (9, "0 1 2 3 4 5 6 7 8 9 1"), (10, "11 12 13 14 15 16 17 18 19 20"), (11, "A train travels 60 km in 2 hours and 90 miles in 3 days"),
-    ]
-    d = spark.createDataFrame(docs, "doc_id bigint, text string")
-    assert {(r.doc_id, r.item_id) for r in decontaminate.leaks(d, b).collect()} == {(1, 0), (2, 0), (3, 0), (4, 1), (5, 1), (6, 2), (7, 3), (9, 4)}
