@@ -6,7 +6,7 @@ import duckdb
 import pytest
 import sentencepiece
 
-from groundshift.llm import html, pieces, quality
+from groundshift.llm import pieces, quality
 
 ODD = ["", "  a\n\n b  c", "▁x y", " ", "\n", "áé ñ 漢字 \U0001f600\x00 <0x0A> <s> </s>", "a" * 3000, " " * 999, "\t\t  x", "aAbB" * 500, "a▁ b▁▁c ▁"]
 
@@ -69,34 +69,3 @@ def test_quality_equals_sql(spark):
         if r.doc_id is not None:
             assert r.asDict() == want[r.doc_id], r
     assert quality.judged(df.limit(0)).count() == 0
-
-
-def test_html_layout():
-    page = '<html><head><title>x</title></head><body><h1>Head</h1><p>One <b>two</b> &amp; three<p>Four<ul><li>a<li>b<ul><li>c</ul></ul><table><tr><th>N<th>Long name<tr><td>1<td>x<tr><td>100</table><div style="display:none">no</div><pre>a\n  b\n</pre>tail<br>more < 3 <ol start=3><li>x</ol>'
-    assert html.render(page) == "Head\n\nOne two & three\n\nFour\n\n- a\n- b\n  - c\n\nN   | Long name\n1   | x\n100\n\na\n  b\n\ntail\nmore < 3\n\n3. x"
-
-
-@pytest.mark.parametrize("page", ["", "<", "<p", "</", "<!--", "<script>x", "a<b", "<table><td>x</table></table>", "<div>" * 3000 + "deep" + "</div>" * 10, "</p></div><li>x", "<a href='x>y</a>z", "<td>" * 500])
-def test_html_never_fails(page):
-    assert isinstance(html.render(page), str)
-
-
-def test_html_rows(spark):
-    df = spark.createDataFrame([(1, "<p>a", "t"), (2, None, "t"), (3, "", "t")], "page_id bigint, html string, text string")
-    assert {r.page_id: r.text for r in html.extracted(df).collect()} == {1: "a", 2: None, 3: ""}
-
-
-@pytest.mark.parametrize(
-    "page, words",
-    [
-        ("<table><tr><td>x</td></tr><div>note</div></table>", "note x"),
-        ("<table><tr>Hello<td>x</td></tr></table>", "Hello x"),
-        ("<table><tbody>a<tr><td>x<td>y<caption>c</caption></table>end", "c a x | y end"),
-        ("<table>p<b>q</b><tr><td>x<table><tr>in<td>n</table></table>", "pq x in n"),
-        ("<table><form><tr><td>x</td></tr>f</form></table>", "f x"),
-        ("<p>a<textarea>b &amp; c</textarea><select><option>d<option>e</select><math><mi>f</mi></math><svg><text>g</text></svg><i aria-hidden=true>h</i>", "ab & c d e fgh"),
-        ("<table><tr><td>x</td></tr><div hidden>no</div><script>no</script></table>", "x"),
-    ],
-)
-def test_html_keeps_all_visible_text(page, words):
-    assert " ".join(html.render(page).split()) == words
