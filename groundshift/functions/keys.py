@@ -22,6 +22,11 @@ def any_date(x: Column) -> Column:
     )
 
 
+def number(x: Column) -> Column:
+    """Text as a number; what is none, or empty, is NULL."""
+    return F.trim(x).try_cast("double")
+
+
 def zfill(x: Column, n: int) -> Column:
     """Zeros to the left; longer text stays whole."""
     return F.when(F.length(x) >= n, x).otherwise(F.lpad(x, n, "0"))

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from groundshift.operators.components import written
+from groundshift.operators.ranking import numbered
+
 SIZE = 10.0
 #: Score of a persistence status.
 PERSISTENCE_SCORES = {"PERSISTENT": 100.0, "UNCONFIRMED": 50.0, "TEMPORARY": 30.0}
@@ -61,9 +64,10 @@ def priority(parcels: DataFrame, full_ratio: float = 0.5, near: float = 0.0, far
     a, b, c = weights
     out = out.withColumn("priority_score", (a * F.col("score_ratio") + b * F.col("score_persistence") + c * F.col("score_rail")) / (a + b + c))
     out = out.withColumn("candidate", F.col("decline_area") >= least_area)
-    rank = F.row_number().over(Window.partitionBy("candidate").orderBy(F.desc(F.round("priority_score", 9)), F.desc(F.round("decline_area", 6)), "pnu"))
     score = F.round("priority_score", 9)
-    return out.withColumns({"priority_rank": F.when(F.col("candidate"), rank), "tier": F.when(~F.col("candidate"), "NONE").when(score >= high, "HIGH").when(score >= medium, "MEDIUM").otherwise("LOW")})
+    out = written(out.withColumn("tier", F.when(~F.col("candidate"), "NONE").when(score >= high, "HIGH").when(score >= medium, "MEDIUM").otherwise("LOW")))
+    ranked = numbered(out.where("candidate"), [F.desc(score), F.desc(F.round("decline_area", 6)), F.col("pnu")], "priority_rank")
+    return ranked.unionByName(out.where("candidate is null or not candidate").withColumn("priority_rank", F.lit(None).cast("bigint")))
 
 
 def segment_distance(parcels: DataFrame, segments: DataFrame, key: str, limit: int = 1000) -> DataFrame:

@@ -34,34 +34,27 @@ def zoning(shares: DataFrame, key: str, name: str, share: str, least: float = 0.
 
 
 def routed(sites: DataFrame, project: str) -> DataFrame:
-    """sites (project, site_id, tier, score, x, y) with route_order: tiers one after another, nearest neighbour within a tier, from the best score on; sites without a place last.
+    """(project, site_id, route_order): a tour through each project's sites (project, site_id, tier, score, x, y).
 
-    The order depends on itself, so a project is one group; projects run side by side. A project's sites are a field team's work list.
+    A fold over a project's list: each step takes the least remaining site by tier, distance from where the tour stands (at first: highest score)
+    and id. Sites without a place are no part of the tour and follow it by id; sites of other tiers are left out of it. A project's list is what a field team
+    visits; its length is what bounds a group, and a step looks at all that remains.
     """
-
-    def visit(rows):
-        import pandas as pd
-
-        rows = rows.sort_values("site_id", kind="stable").reset_index(drop=True)
-        order: list[int] = []
-        at = None
-        for tier in ("HIGH", "MEDIUM", "LOW"):
-            pool = rows[(rows["tier"] == tier) & rows["x"].notna()]
-            left, x, y = list(pool.index), rows["x"], rows["y"]
-            while left:
-                if at is None:
-                    nxt = max(left, key=lambda i: (rows["score"][i], -i))
-                else:
-                    nxt = min(left, key=lambda i: ((x[i] - at[0]) ** 2 + (y[i] - at[1]) ** 2, i))
-                left.remove(nxt)
-                order.append(nxt)
-                at = (x[nxt], y[nxt])
-        order += [i for i in rows.index if rows["x"].isna()[i]]
-        out = rows.loc[order, [project, "site_id"]]
-        return out.assign(route_order=pd.Series(range(1, len(order) + 1), index=out.index))
-
-    kinds = {f.name: f.dataType.simpleString() for f in sites.schema}
-    return sites.groupBy(project).applyInPandas(visit, f"{project} {kinds[project]}, site_id {kinds['site_id']}, route_order bigint")
+    rank = F.when(F.col("tier") == "HIGH", 0).when(F.col("tier") == "MEDIUM", 1).when(F.col("tier") == "LOW", 2)
+    site = F.struct(rank.alias("rank"), (-F.col("score")).alias("first"), F.col("site_id").cast("bigint").alias("id"), F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
+    placed = F.col("x").isNotNull() & rank.isNotNull()
+    lists = sites.groupBy(project).agg(F.collect_list(F.when(placed, site)).alias("left"), F.array_sort(F.collect_list(F.when(F.col("x").isNull(), F.col("site_id").cast("bigint")))).alias("rest"))
+    here = F.struct(F.lit(None).cast("double").alias("x"), F.lit(None).cast("double").alias("y"))
+    start = F.struct(here.alias("at"), F.col("left").alias("left"), F.array().cast("array<bigint>").alias("tour"))
+
+    def step(state, _):
+        far = lambda s: F.coalesce((s.x - state.at.x) * (s.x - state.at.x) + (s.y - state.at.y) * (s.y - state.at.y), s["first"])
+        nearest = F.array_min(F.transform(state.left, lambda s: F.struct(s["rank"].alias("rank"), far(s).alias("far"), s.id.alias("id"), s.x.alias("x"), s.y.alias("y"))))
+        return F.struct(F.struct(nearest.x.alias("x"), nearest.y.alias("y")).alias("at"), F.filter(state.left, lambda s: s.id != nearest.id).alias("left"), F.concat(state.tour, F.array(nearest.id)).alias("tour"))
+
+    tour = F.aggregate("left", start, step).tour
+    out = lists.select(project, F.posexplode(F.concat(tour, F.col("rest"))).alias("i", "site_id"))
+    return out.select(project, F.col("site_id").cast(sites.schema["site_id"].dataType).alias("site_id"), (F.col("i") + 1).cast("bigint").alias("route_order"))
 
 
 def ring_measures(ring: Column) -> dict[str, Column]:

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from groundshift.operators import components as cc
-from groundshift.operators import series
+from groundshift.operators import parcels, series
+from groundshift.operators.ranking import numbered
 from groundshift.plans.land import _COVER, _DECLINE, _SERIES, _cover, _grid
 from groundshift.plans.registry import query
 from groundshift.sources.tables import ctes, table
@@ -36,12 +36,12 @@ _FEATURES = f"""{_COMP}, feat AS (SELECT k, comp, count(*) AS n_cells, round(avg
 
 @query("A10_A11_W10_change_features", f"WITH RECURSIVE {_FEATURES} SELECT k, concat('CHG_', lpad(CAST(row_number() OVER (PARTITION BY k ORDER BY comp) AS VARCHAR), 5, '0')) AS change_id, n_cells, mean_score, max_score, area_m2 FROM feat WHERE n_cells >= 2")
 def change_features(spark, sf_dir):
-    f = cc.change_features(_labelled(spark, sf_dir), ["k"], least=200.0)
-    number = F.row_number().over(Window.partitionBy("k").orderBy("comp"))
-    return f.select("k", F.format_string("CHG_%05d", number).alias("change_id"), "n_cells", "mean_score", "max_score", "area_m2")
+    f = numbered(cc.change_features(_labelled(spark, sf_dir), ["k"], least=200.0), [F.col("comp")], "number", ["k"])
+    return f.select("k", F.format_string("CHG_%05d", "number").alias("change_id"), "n_cells", "mean_score", "max_score", "area_m2")
 
 
-_HOT = f"""{_FEATURES}, box AS (SELECT k * 1000000000000 + comp AS id, c0 * 10e0 AS x0, r0 * 10e0 AS y0, (c1 + 1) * 10e0 AS x1, (r1 + 1) * 10e0 AS y1, area_m2, -mean_score AS score, 1994 + k AS year_from, 1995 + k AS year_to, concat(CAST(1994 + k AS VARCHAR), '_', CAST(1995 + k AS VARCHAR)) AS pair FROM feat WHERE n_cells >= 4),
+_BOXES_SQL = f"""{_FEATURES}, box AS (SELECT k * 1000000000000 + comp AS id, c0 * 10e0 AS x0, r0 * 10e0 AS y0, (c1 + 1) * 10e0 AS x1, (r1 + 1) * 10e0 AS y1, area_m2, -mean_score AS score, 1994 + k AS year_from, 1995 + k AS year_to, concat(CAST(1994 + k AS VARCHAR), '_', CAST(1995 + k AS VARCHAR)) AS pair FROM feat WHERE n_cells >= 4)"""
+_HOT = f"""{_BOXES_SQL},
     link AS (SELECT a.id AS a, b.id AS b FROM box a JOIN box b ON a.id <> b.id AND pow(greatest(0e0, a.x0 - b.x1, b.x0 - a.x1), 2) + pow(greatest(0e0, a.y0 - b.y1, b.y0 - a.y1), 2) <= 20 * 20),
     hr AS (SELECT id AS node, id AS q FROM box UNION SELECT link.b, hr.q FROM hr JOIN link ON link.a = hr.node), lab AS (SELECT node, min(q) AS label FROM hr GROUP BY node),
     hot AS (SELECT label, count(*) AS n, round(sum(area_m2), 4) AS area_m2, round(sum(area_m2 * score) / sum(area_m2), 6) AS score, min(year_from) AS first_year, max(year_to) AS last_year, count(DISTINCT pair) AS frequency, array_to_string(list_sort(list_distinct(list(pair))), ',') AS pairs FROM box JOIN lab ON lab.node = box.id GROUP BY label)"""
@@ -63,13 +63,10 @@ def near_pairs(spark, sf_dir):
     return cc.near_boxes(_boxes(spark, sf_dir), "id", 20.0)
 
 
-@query("W11_hotspot_rank", f"WITH RECURSIVE {_HOT} SELECT label, rank, rank <= 10 AND area_m2 >= 500 AS recommended FROM (SELECT label, area_m2, row_number() OVER (ORDER BY round(area_m2 * score * frequency, 4) DESC, label) AS rank FROM hot) WHERE rank <= 50")
+@query("W11_hotspot_rank", f"WITH RECURSIVE {_HOT} SELECT label, rank, rank <= 10 AND area_m2 >= 500 AS recommended FROM (SELECT label, area_m2, row_number() OVER (ORDER BY round(area_m2 * score * frequency, 4) DESC, label) AS rank FROM hot)")
 def hotspot_rank(spark, sf_dir):
-    """A report of the first fifty."""
     h = cc.hotspots(_boxes(spark, sf_dir), "id", 20.0).withColumn("key", F.round(F.col("area_m2") * F.col("score") * F.col("frequency"), 4))
-    first = h.orderBy(F.desc("key"), "label").limit(50)
-    listed = first.agg(F.array_sort(F.collect_list(F.struct((-F.col("key")).alias("k"), "label", "area_m2"))).alias("l")).select(F.posexplode("l").alias("i", "x"))
-    return listed.select("x.label", (F.col("i") + 1).cast("bigint").alias("rank"), ((F.col("i") < 10) & (F.col("x.area_m2") >= 500)).alias("recommended"))
+    return numbered(h, [F.desc("key"), F.col("label")], "rank").select("label", "rank", ((F.col("rank") <= 10) & (F.col("area_m2") >= 500)).alias("recommended"))
 
 
 @query("A32_pair_summary", f"WITH RECURSIVE {_FEATURES}, p AS (SELECT CAST(unnest(range(1, 8)) AS INT) AS k) SELECT p.k, count(comp) AS polygons, coalesce(sum(area_m2), 0e0) AS area_m2 FROM p LEFT JOIN feat ON feat.k = p.k GROUP BY p.k")
@@ -87,8 +84,10 @@ def parcel_changes(spark, sf_dir):
     return o.groupBy("pnu").agg(F.round(F.sum("area"), 4).alias("area"), F.count(F.lit(1)).alias("changes"), F.max_by(ident, F.struct(F.round("area", 6), ident)).alias("main_change"))
 
 
-@query("J14_unmatched_changes", f"WITH RECURSIVE {_COMP}, {ctes('parcels')}, {_COVER} SELECT DISTINCT k, comp FROM comp WHERE (k, comp) NOT IN (SELECT (k, comp) FROM comp JOIN cov USING (r, c))")
+@query("J14_unmatched_changes", f"WITH RECURSIVE {_COMP}, {ctes('buildings')}, {_COVER.replace('pnu', 'bld_id').replace('parcels', 'buildings')} SELECT DISTINCT k, comp FROM comp WHERE (k, comp) NOT IN (SELECT (k, comp) FROM comp JOIN cov USING (r, c))")
 def unmatched_changes(spark, sf_dir):
+    """Changes that touch no building."""
     comp = cc.written(components(spark, sf_dir))
-    met = comp.join(_cover(spark, sf_dir).select("r", "c"), ["r", "c"], "left_semi").select("k", "comp").distinct()
+    built = parcels.coverage(table(spark, sf_dir, "buildings"), "bld_id").select("r", "c")
+    met = comp.join(built, ["r", "c"], "left_semi").select("k", "comp").distinct()
     return comp.select("k", "comp").distinct().join(met, ["k", "comp"], "left_anti")

@@ -114,8 +114,3 @@ def lot_parts(spark, sf_dir):
     k = F.col("s_suppkey")
     text = F.concat(F.when(k % 3 == 0, F.lit("산 ")).otherwise(F.lit("")), k.cast("string"), F.when(k % 2 == 0, F.concat(F.lit("-"), (k % 7).cast("string"))).otherwise(F.lit("")), F.when(k % 4 == 0, F.lit(" 전")).when(k % 4 == 1, F.lit(" 임")).otherwise(F.lit("")))
     return table(spark, sf_dir, "supplier").select("s_suppkey", *(c.alias(n) for n, c in keys.lot_parts(text).items()))
-
-
-@query("A42_profile_parcels", f"WITH {_SERIES}, {ctes('parcels')}, {_COVER} SELECT persistence, count(DISTINCT pnu) AS parcels FROM cov JOIN pers USING (r, c) GROUP BY persistence")
-def profile_parcels(spark, sf_dir):
-    return _cover(spark, sf_dir).join(_persistence(spark, sf_dir), ["r", "c"]).groupBy("persistence").agg(F.countDistinct("pnu").alias("parcels"))

@@ -106,9 +106,14 @@ def deduplicated(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("id")).dropDuplicates(["id"])
 
 
-@query("W16_visit_order")
+_VISIT = f"""{ctes('points', 'candidates')}, s AS (SELECT site_id AS project, id AS site_id, CASE WHEN change_ratio > 0.6e0 THEN 0 WHEN change_ratio > 0.3e0 THEN 1 ELSE 2 END AS tr, coalesce(max_change_score, 0e0) AS score, CASE WHEN id % 19 <> 0 THEN x END AS x, y FROM points JOIN candidates ON id = cand_id),
+    walk AS (SELECT project, CAST(1 AS BIGINT) AS step, site_id, x, y, [site_id] AS seen FROM (SELECT *, row_number() OVER (PARTITION BY project ORDER BY tr, score DESC, site_id) AS rn FROM s WHERE x IS NOT NULL) WHERE rn = 1
+        UNION ALL SELECT project, step, site_id, x, y, list_append(seen, site_id) FROM (SELECT s.project, w.step + 1 AS step, s.site_id, s.x, s.y, w.seen, row_number() OVER (PARTITION BY s.project ORDER BY s.tr, (s.x - w.x) * (s.x - w.x) + (s.y - w.y) * (s.y - w.y), s.site_id) AS rn FROM walk w JOIN s ON s.project = w.project AND s.x IS NOT NULL AND NOT list_contains(w.seen, s.site_id)) WHERE rn = 1),
+    last AS (SELECT project, max(step) AS n FROM walk GROUP BY project)"""
+
+
+@query("W16_visit_order", f"WITH RECURSIVE {_VISIT} SELECT project, site_id, step AS route_order FROM walk UNION ALL SELECT s.project, s.site_id, coalesce(n, 0) + row_number() OVER (PARTITION BY s.project ORDER BY s.site_id) FROM s LEFT JOIN last USING (project) WHERE x IS NULL")
 def visit_order(spark, sf_dir):
-    """Not for SQL: each step depends on the one before; the rule is tested on a small case."""
     c = table(spark, sf_dir, "points").join(table(spark, sf_dir, "candidates").withColumnRenamed("cand_id", "id"), "id")
     tier = F.when(F.col("change_ratio") > 0.6, "HIGH").when(F.col("change_ratio") > 0.3, "MEDIUM").otherwise("LOW")
     sites = c.select(F.col("site_id").alias("project"), F.col("id").alias("site_id"), tier.alias("tier"), F.coalesce("max_change_score", F.lit(0.0)).alias("score"), F.when(F.col("id") % 19 != 0, F.col("x")).alias("x"), "y")

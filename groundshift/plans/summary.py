@@ -11,6 +11,7 @@ from groundshift.operators import statistics as st
 from groundshift.operators.components import near_boxes
 from groundshift.plans.land import _COVER, _GRID, _SERIES, _cover, _grid, _indexed, _persistence
 from groundshift.plans.registry import query
+from groundshift.plans.stats_profiles import PROFILES
 from groundshift.sources.tables import ctes, table
 
 _P95 = "SELECT r, c, red FROM pixels WHERE epoch = 1995"
@@ -112,7 +113,7 @@ def threshold_profiles(spark, sf_dir):
     from groundshift.operators.indices import decline
     from groundshift.operators.series import cell
 
-    profiles = {"default": (0.4, 0.35, -0.1), "conservative": (0.45, 0.3, -0.2), "relaxed": (0.35, 0.4, -0.05)}
+    profiles = PROFILES
     g = _grid(spark, sf_dir).withColumn("before", F.lag("ndvi").over(cell().orderBy("k")))
     m = g.groupBy("r", "c").agg(*(F.bool_or(decline(F.col("before"), F.col("ndvi"), *t)).alias(p) for p, t in profiles.items()))
     stats = [F.struct(F.lit(p).alias("profile"), F.count_if(p).alias("cells"), F.round(F.try_divide(F.count_if(F.col(p) & F.col("default")), F.count_if(F.col(p) | F.col("default"))), 6).alias("jaccard")) for p in profiles]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from groundshift.plans import catalog, clusters, composite, evidence, focal, land, more, reporting, stats, summary  # noqa: F401  they register their queries
+from groundshift.plans import catalog, clusters, composite, evidence, focal, land, more, reporting, scoring, stats, summary  # noqa: F401  they register their queries
 from groundshift.plans.registry import QUERIES, SQL, Query
 
 

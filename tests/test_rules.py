@@ -2,23 +2,24 @@
 
 from datetime import date
 
+import pytest
 from pyspark.sql import functions as F
 
 from groundshift.functions import keys
-from groundshift.operators import evidence, indices, parcels, reporting, series, statistics
+from groundshift.operators import evidence, indices, parcels, reporting, scoring, series, statistics
+from groundshift.operators.ranking import numbered
 
 
 def one(spark, **columns):
     return spark.range(1).select(*(c.alias(k) for k, c in columns.items())).first()
 
 
-def test_three_parcel_series(spark):
-    values = {"A": [0.7, 0.7, 0.1, 0.1, 0.1, 0.1], "B": [0.7] * 6, "C": [0.7, 0.7, 0.1, 0.7, 0.7, 0.7]}
-    rows = [(i, 0, 2016 + 2 * k, v) for i, s in enumerate(values.values()) for k, v in enumerate(s)]
+def test_series_that_fall_and_may_rise_again(spark):
+    values = [[0.62, 0.08, 0.11, 0.05], [0.33, 0.41, 0.38, 0.36], [0.55, 0.58, 0.12, 0.66], [0.61, 0.57, 0.59, 0.09]]
+    rows = [(i, 0, 2001 + k, v) for i, s in enumerate(values) for k, v in enumerate(s)]
     df = spark.createDataFrame(rows, "r int, c int, epoch int, ndvi double")
-    got = {x.r: x for x in series.persistence(series.full_grid(df, list(range(2016, 2027, 2)))).collect()}
-    assert [got[i].persistence for i in range(3)] == ["PERSISTENT", "NONE", "TEMPORARY"]
-    assert got[0].first_interval == 1 and got[1].first_interval is None
+    got = {x.r: (x.persistence, x.first_interval) for x in series.persistence(series.full_grid(df, [2001, 2002, 2003, 2004])).collect()}
+    assert got == {0: ("PERSISTENT", 0), 1: ("NONE", None), 2: ("TEMPORARY", 1), 3: ("UNCONFIRMED", 2)}
 
 
 def test_missing_year_is_no_decline(spark):
@@ -61,10 +62,10 @@ def test_register_date_wins(spark):
     assert kind(0.9, False, False, None) == "NEW_BUILDING"
 
 
-def test_confusion_of_five(spark):
-    df = spark.createDataFrame([(True, True), (False, True), (True, False), (False, False), (True, False)], "t boolean, p boolean")
+def test_confusion_counts_each_case(spark):
+    df = spark.createDataFrame([(True, True)] * 4 + [(False, True)] * 3 + [(True, False)] * 2 + [(False, False)], "t boolean, p boolean")
     x = statistics.confusion(df, F.col("t"), F.col("p")).first()
-    assert (x.tp, x.fp, x.fn, x.tn) == (1, 1, 2, 1)
+    assert (x.tp, x.fp, x.fn, x.tn) == (4, 3, 2, 1)
 
 
 def test_neighbours_widen_their_ring(spark):
@@ -73,8 +74,22 @@ def test_neighbours_widen_their_ring(spark):
     assert got == {(1, 1): 2, (1, 2): 3, (2, 1): 1, (2, 2): 3, (3, 1): 2, (3, 2): 1}
 
 
-def test_route_visits_tiers_in_turn(spark):
-    rows = [(1, 1, "LOW", 0.9, 0.0, 0.0), (1, 2, "HIGH", 0.5, 10.0, 0.0), (1, 3, "HIGH", 0.8, 50.0, 0.0), (1, 4, "HIGH", 0.1, 40.0, 0.0), (1, 5, "HIGH", 0.7, None, None), (2, 6, "LOW", 0.0, 1.0, 1.0)]
+def test_route_walks_each_tier(spark):
+    rows = [(7, 4, "MEDIUM", 0.2, 9.0, 0.0), (7, 1, "MEDIUM", 0.9, 2.0, 0.0), (7, 2, "HIGH", 0.1, 1.0, 0.0), (7, 3, "HIGH", 0.6, 6.0, 0.0), (7, 9, "HIGH", 1.0, None, None), (7, 8, "LOW", 1.0, None, 0.0), (8, 5, "LOW", 0.3, 0.0, 0.0)]
     df = spark.createDataFrame(rows, "project int, site_id int, tier string, score double, x double, y double")
     got = {r.site_id: r.route_order for r in reporting.routed(df, "project").collect()}
-    assert got == {3: 1, 4: 2, 2: 3, 1: 4, 5: 5, 6: 1}
+    assert got == {3: 1, 2: 2, 1: 3, 4: 4, 8: 5, 9: 6, 5: 1}
+
+
+def test_numbers_within_groups_and_over_all(spark):
+    df = spark.createDataFrame([(k % 3, (k * 37) % 101) for k in range(101)], "g int, v int").repartition(7)
+    every = {r.v: r.n for r in numbered(df, [F.desc("v")], "n").collect()}
+    assert every == {v: 101 - v for v in range(101)}
+    for g in range(3):
+        got = sorted((r.v, r.n) for r in numbered(df, [F.col("v")], "n", ["g"]).where(F.col("g") == g).collect())
+        assert [n for _, n in got] == list(range(1, len(got) + 1))
+
+
+def test_unknown_threshold_method_is_an_error(spark):
+    with pytest.raises(ValueError, match="unknown"):
+        scoring.masked(spark.range(1), "id", "best", 0.5)
