@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from groundshift.operators.components import written
+
 
 def confusion(df: DataFrame, truth: Column, pred: Column, *by: str) -> DataFrame:
     """tp, fp, fn, tn, precision, recall, f1 and accuracy; NULL where a denominator is 0."""
@@ -63,13 +65,14 @@ def neighbours(points: DataFrame, k: int, cell: float, key: str = "id") -> DataF
         if size < span:
             pairs = pairs.where(F.col("d2") <= size * size)
         ranked = pairs.withColumn("rank", F.row_number().over(Window.partitionBy("id").orderBy("d2", "other"))).where(F.col("rank") <= k).select("id", "other", "d2", "rank")
+        ranked = written(ranked)  # a round reads the last one's result and does not make it again
         if size >= span:
             return ranked if done is None else done.unionByName(ranked)
         full = ranked.groupBy("id").agg(F.max("rank").alias("m")).where(F.col("m") == k).select("id")
         found = ranked.join(full, "id", "left_semi")
         done = found if done is None else done.unionByName(found)
-        todo = todo.join(full.withColumnRenamed("id", key), key, "left_anti")
-        if todo.limit(1).count() == 0:
+        todo = written(todo.join(full.withColumnRenamed("id", key), key, "left_anti"))
+        if not todo.count():
             return done
         size *= 2
 
