@@ -178,11 +178,11 @@ def accepted(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """docs whose language is told with at least this score; und goes."""
     model = learn(docs.where(F.col("doc_id").isNotNull() & ~held_out()))
     small_batches(docs.sparkSession)
+    at = docs.columns.index("text")
 
-    @F.pandas_udf("double")
-    def score(texts):
-        import pandas as pd
-
-        return pd.Series([model.predict(np.frombuffer((t or "").encode(), np.uint8))[1] for t in texts], dtype=float)
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            b, off = utf8(batch.column(at).cast(pa.string()))
+            yield batch.filter(pa.array([model.predict(b[off[i] : off[i + 1]])[1] >= least for i in range(batch.num_rows)], pa.bool_()))
 
-    return docs.where(score(F.col("text")) >= least)
+    return docs.mapInArrow(task, docs.schema)
