@@ -17,7 +17,7 @@ import groundshift
 from groundshift.operators.components import written  # noqa: F401  shared by all that cut lineage
 
 #: Rows of one Arrow batch. Texts can be long; a batch stays a few megabytes.
-BATCH_ROWS = 512
+BATCH_ROWS = 256
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
