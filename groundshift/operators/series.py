@@ -15,7 +15,7 @@ def full_grid(indexed: DataFrame, epochs: list[int]) -> DataFrame:
     """Each cell that was ever observed, at each epoch; k is the epoch's number. Cells come from one aggregation that is spread out, so that no join is needed."""
     values = [c for c in indexed.columns if c not in ("r", "c", "epoch")]
     seen = indexed.groupBy("r", "c").agg(F.map_from_entries(F.collect_list(F.struct("epoch", F.struct(*values)))).alias("by"))
-    grid = seen.select("r", "c", F.posexplode(F.array(*map(F.lit, epochs))).alias("k", "epoch"), "by")
+    grid = seen.select("r", "c", F.posexplode(F.array(*map(F.lit, epochs)).cast("array<int>")).alias("k", "epoch"), "by")
     grid = grid.withColumn("at", F.try_element_at("by", F.col("epoch")))
     return grid.select("r", "c", "epoch", "k", *(F.col(f"at.{v}").alias(v) for v in values))
 

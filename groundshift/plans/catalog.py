@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from groundshift.operators import scenes
+from groundshift.operators.ranking import numbered
 from groundshift.plans.registry import query
 from groundshift.sources.tables import ctes, table
 
@@ -46,14 +47,16 @@ def chosen_scene(spark, sf_dir):
     return scenes.choose(table(spark, sf_dir, "scenes"), F.hour("ts"), datetime(2024, 1, 5)).select("grp", "scene_id", F.round("clear_fraction", 6).alias("clear_fraction"))
 
 
-@query("L05_offer_order", "SELECT p_partkey AS offer, p_size AS cloud, CASE WHEN p_partkey % 9 = 0 THEN NULL ELSE round(p_retailprice, 2) END AS price, row_number() OVER (ORDER BY CASE WHEN p_partkey % 9 = 0 THEN NULL ELSE round(p_retailprice, 2) END DESC NULLS LAST, p_size ASC NULLS LAST, p_partkey) AS nth FROM part ORDER BY nth LIMIT 100")
+_OFFERS = "SELECT p_partkey AS offer, CASE WHEN p_partkey % 9 <> 0 THEN DATE '2024-01-01' + CAST(p_partkey % 97 AS INT) END AS acquired, CASE WHEN p_partkey % 8 <> 0 THEN p_size END AS cloud, CASE WHEN p_partkey % 7 <> 0 THEN p_partkey % 5 END AS resolution FROM part"
+
+
+@query("L05_offer_order", f"SELECT *, row_number() OVER (ORDER BY acquired DESC NULLS LAST, cloud NULLS LAST, resolution NULLS LAST, offer) AS nth FROM ({_OFFERS})")
 def offer_order(spark, sf_dir):
-    """A report of the first hundred offers."""
-    p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("offer"), F.col("p_size").alias("cloud"), F.when(F.col("p_partkey") % 9 != 0, F.round("p_retailprice", 2)).alias("price"))
-    first = p.orderBy(F.desc_nulls_last("price"), F.asc_nulls_last("cloud"), "offer").limit(100)
-    first = first.withColumn("k", F.struct(F.col("price").isNull().alias("n"), (-F.col("price")).alias("p"), F.col("cloud").alias("c"), F.col("offer").alias("o")))
-    listed = first.agg(F.array_sort(F.collect_list(F.struct("k", "offer", "cloud", "price"))).alias("l")).select(F.posexplode("l").alias("i", "r"))
-    return listed.select("r.offer", "r.cloud", "r.price", (F.col("i") + 1).cast("bigint").alias("nth"))
+    """All offers, numbered: newest, then clearest, then finest first."""
+    k = F.col("p_partkey")
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (k % 97).cast("int"))
+    p = table(spark, sf_dir, "part").select(k.alias("offer"), F.when(k % 9 != 0, day).alias("acquired"), F.when(k % 8 != 0, F.col("p_size")).alias("cloud"), F.when(k % 7 != 0, k % 5).alias("resolution"))
+    return numbered(p, [F.desc_nulls_last("acquired"), F.asc_nulls_last("cloud"), F.asc_nulls_last("resolution"), F.col("offer")], "nth")
 
 
 @query("P48_A58_order_costs", "WITH a AS (SELECT * FROM (VALUES (25e0), (100e0), (400e0)) AS v(area)), o AS (SELECT p_partkey AS offer, CASE WHEN p_partkey % 9 = 0 THEN NULL ELSE p_retailprice END AS price, p_size AS minimum, CASE WHEN p_partkey % 2 = 0 THEN p_size * 10 END AS processing FROM part) SELECT offer, area, round(CASE WHEN price IS NOT NULL THEN greatest(area * price, minimum * 1000e0) * 2 + coalesce(processing, 0) END, 4) AS cost, price IS NOT NULL AS comparable FROM a, o")

@@ -9,7 +9,7 @@ from groundshift.operators import parcels, series
 from groundshift.operators.ranking import numbered
 from groundshift.plans.land import _COVER, _DECLINE, _SERIES, _cover, _grid
 from groundshift.plans.registry import query
-from groundshift.sources.tables import ctes, table
+from groundshift.sources.tables import ctes, epochs, table
 
 _CELLS = f"{_SERIES}, cells AS (SELECT k, r, c, ndvi - before AS score FROM ev WHERE event)"
 # the same closure by recursion over neighbours
@@ -40,7 +40,7 @@ def change_features(spark, sf_dir):
     return f.select("k", F.format_string("CHG_%05d", "number").alias("change_id"), "n_cells", "mean_score", "max_score", "area_m2")
 
 
-_BOXES_SQL = f"""{_FEATURES}, box AS (SELECT k * 1000000000000 + comp AS id, c0 * 10e0 AS x0, r0 * 10e0 AS y0, (c1 + 1) * 10e0 AS x1, (r1 + 1) * 10e0 AS y1, area_m2, -mean_score AS score, 1994 + k AS year_from, 1995 + k AS year_to, concat(CAST(1994 + k AS VARCHAR), '_', CAST(1995 + k AS VARCHAR)) AS pair FROM feat WHERE n_cells >= 4)"""
+_BOXES_SQL = f"""{_FEATURES}, box AS (SELECT k * 1000000000000 + comp AS id, c0 * 10e0 AS x0, r0 * 10e0 AS y0, (c1 + 1) * 10e0 AS x1, (r1 + 1) * 10e0 AS y1, area_m2, -mean_score AS score, first + k - 1 AS year_from, first + k AS year_to, concat(CAST(first + k - 1 AS VARCHAR), '_', CAST(first + k AS VARCHAR)) AS pair FROM feat, (SELECT min(epoch) AS first FROM ep) WHERE n_cells >= 4)"""
 _HOT = f"""{_BOXES_SQL},
     link AS (SELECT a.id AS a, b.id AS b FROM box a JOIN box b ON a.id <> b.id AND pow(greatest(0e0, a.x0 - b.x1, b.x0 - a.x1), 2) + pow(greatest(0e0, a.y0 - b.y1, b.y0 - a.y1), 2) <= 20 * 20),
     hr AS (SELECT id AS node, id AS q FROM box UNION SELECT link.b, hr.q FROM hr JOIN link ON link.a = hr.node), lab AS (SELECT node, min(q) AS label FROM hr GROUP BY node),
@@ -49,7 +49,7 @@ _HOT = f"""{_BOXES_SQL},
 
 def _boxes(spark, sf_dir):
     f = cc.change_features(_labelled(spark, sf_dir), ["k"], least=400.0)
-    year = F.col("k") + 1994
+    year = F.col("k") + (epochs(spark, sf_dir)[0] - 1)
     return cc.written(f.select((F.col("k") * F.lit(1000000000000) + F.col("comp")).alias("id"), (F.col("c0") * 10.0).alias("x0"), (F.col("r0") * 10.0).alias("y0"), ((F.col("c1") + 1) * 10.0).alias("x1"), ((F.col("r1") + 1) * 10.0).alias("y1"), "area_m2", (-F.col("mean_score")).alias("score"), year.alias("year_from"), (year + 1).alias("year_to"), F.concat_ws("_", year.cast("string"), (year + 1).cast("string")).alias("pair")))
 
 

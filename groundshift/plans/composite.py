@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from groundshift.operators import composite as comp
 from groundshift.operators import parcels, series
-from groundshift.plans.land import _AREAS, _C, _COMPOSITE, _COVER, COMPOSITE, EPOCHS, _areas, _cover, _grid, _indexed
+from groundshift.plans.land import _AREAS, _C, _COMPOSITE, _COVER, COMPOSITE, _areas, _cover, _grid, _indexed
 from groundshift.plans.registry import query
-from groundshift.sources.tables import ctes, table
+from groundshift.sources.tables import ctes, epochs, table
 
 _TYPES = f"""{_COMPOSITE}, le AS (SELECT *, max(CASE WHEN event = 2 THEN k END) OVER (PARTITION BY r, c) AS last_exposed FROM events),
     jj AS (SELECT st.*, le.event, le.from_exposed, max(le.last_exposed) OVER (PARTITION BY st.r, st.c) AS last_exposed FROM st LEFT JOIN le ON le.r = st.r AND le.c = st.c AND le.k = st.k),
@@ -64,11 +64,12 @@ _ST = f"""{_AREAS}, wm AS (SELECT pnu, epoch, sum(CASE WHEN ndvi IS NOT NULL THE
 _SOK = lambda a: f"({a} >= 300 AND {a} / evaluable_area >= 0.1e0)"
 
 
-@query("P31_P32_P33_series_type", f"WITH {_ST} SELECT pnu, n_valid_years, CASE WHEN len(flags) = 0 THEN 'VALID' ELSE array_to_string(flags, ';') END AS quality_flags, CASE WHEN len(flags) = 0 THEN 'VALID' ELSE flags[1] END AS quality_status, CASE WHEN bad OR len(m) < 2 THEN 'INSUFFICIENT_DATA' WHEN {_SOK('persistent_area')} THEN 'PERSISTENT_DECLINE' WHEN {_SOK('temporary_area')} THEN 'TEMPORARY_DECLINE' WHEN {_SOK('unconfirmed_area')} THEN 'DECLINE_UNCONFIRMED' WHEN {_SOK('decline_area')} THEN CASE WHEN persistent_area >= temporary_area AND persistent_area >= unconfirmed_area THEN 'PERSISTENT_DECLINE' WHEN temporary_area >= unconfirmed_area THEN 'TEMPORARY_DECLINE' ELSE 'DECLINE_UNCONFIRMED' END WHEN delta >= 0.1e0 THEN 'RECOVERY' WHEN sd >= 0.1e0 THEN 'FLUCTUATING' WHEN delta <= -0.1e0 THEN 'GRADUAL_DECLINE' WHEN mu >= 0.35e0 THEN 'STABLE_VEGETATION' ELSE 'STABLE_NON_VEGETATION' END AS change_type, CASE WHEN bad OR len(m) < 2 THEN 'NONE' WHEN len(flags) > 0 THEN 'LOW' WHEN n_valid_years < 6 THEN 'MEDIUM' ELSE 'HIGH' END AS analysis_confidence FROM sx")
+@query("P31_P32_P33_series_type", f"WITH {_ST} SELECT pnu, n_valid_years, CASE WHEN len(flags) = 0 THEN 'VALID' ELSE array_to_string(flags, ';') END AS quality_flags, CASE WHEN len(flags) = 0 THEN 'VALID' ELSE flags[1] END AS quality_status, CASE WHEN bad OR len(m) < 2 THEN 'INSUFFICIENT_DATA' WHEN {_SOK('persistent_area')} THEN 'PERSISTENT_DECLINE' WHEN {_SOK('temporary_area')} THEN 'TEMPORARY_DECLINE' WHEN {_SOK('unconfirmed_area')} THEN 'DECLINE_UNCONFIRMED' WHEN {_SOK('decline_area')} THEN CASE WHEN persistent_area >= temporary_area AND persistent_area >= unconfirmed_area THEN 'PERSISTENT_DECLINE' WHEN temporary_area >= unconfirmed_area THEN 'TEMPORARY_DECLINE' ELSE 'DECLINE_UNCONFIRMED' END WHEN delta >= 0.1e0 THEN 'RECOVERY' WHEN sd >= 0.1e0 THEN 'FLUCTUATING' WHEN delta <= -0.1e0 THEN 'GRADUAL_DECLINE' WHEN mu >= 0.35e0 THEN 'STABLE_VEGETATION' ELSE 'STABLE_NON_VEGETATION' END AS change_type, CASE WHEN bad OR len(m) < 2 THEN 'NONE' WHEN len(flags) > 0 THEN 'LOW' WHEN n_valid_years < (SELECT count(*) FROM ep) THEN 'MEDIUM' ELSE 'HIGH' END AS analysis_confidence FROM sx")
 def series_type(spark, sf_dir):
     a = _areas(spark, sf_dir)
     w = parcels.weighted_means(_cover(spark, sf_dir), _indexed(spark, sf_dir), "pnu", "ndvi").groupBy("pnu").agg(F.map_from_entries(F.collect_list(F.struct("epoch", F.struct("mean", "valid_area")))).alias("by"))
-    years = F.array(*map(F.lit, EPOCHS))
+    observed = epochs(spark, sf_dir)
+    years = F.array(*map(F.lit, observed)).cast("array<int>")
     j = a.join(w, "pnu", "left")
     j = j.withColumns({"means": F.transform(years, lambda y: F.try_element_at("by", y)["mean"]), "fractions": F.transform(years, lambda y: F.coalesce(F.try_element_at("by", y)["valid_area"], F.lit(0.0)) / F.col("area_m2"))})
     j = j.withColumns({"n_valid_years": F.size(F.filter("fractions", lambda x: x >= 0.5)).cast("bigint"), "flags": comp.quality_flags(F.col("area_m2"), F.col("evaluable_area"), F.col("fractions"))})
@@ -76,5 +77,5 @@ def series_type(spark, sf_dir):
     kind = comp.series_type(F.col("evaluable_area"), F.col("persistent_area"), F.col("temporary_area"), F.col("unconfirmed_area"), F.col("decline_area"), F.col("means"), bad)
     j = j.withColumn("change_type", kind)
     fine = F.size("flags") == 0
-    confidence = F.when(F.col("change_type") == "INSUFFICIENT_DATA", "NONE").when(~fine, "LOW").when(F.col("n_valid_years") < len(EPOCHS), "MEDIUM").otherwise("HIGH")
+    confidence = F.when(F.col("change_type") == "INSUFFICIENT_DATA", "NONE").when(~fine, "LOW").when(F.col("n_valid_years") < len(observed), "MEDIUM").otherwise("HIGH")
     return j.select("pnu", "n_valid_years", F.when(fine, "VALID").otherwise(F.array_join("flags", ";")).alias("quality_flags"), F.when(fine, "VALID").otherwise(F.try_element_at("flags", F.lit(1))).alias("quality_status"), "change_type", confidence.alias("analysis_confidence"))

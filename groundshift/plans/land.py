@@ -6,15 +6,14 @@ from pyspark.sql import functions as F
 
 from groundshift.operators import indices, parcels, series
 from groundshift.plans.registry import query
-from groundshift.sources.tables import ctes, table
+from groundshift.sources.tables import ctes, epochs, table
 
-EPOCHS = [1995, 1996, 1997, 1998, 1999, 2000]
 COMPOSITE = dict(exposed_ndvi=0.3, exposed_bsi=0.0, water=0.2, before=0.4, after=0.35, delta=-0.1, increase=0.02, conflict=0.2, recovery=0.4, recovery_delta=0.15, decrease=0.02)
 
 _NDVI = "CASE WHEN n >= 2 AND red > 0 AND nir > 0 AND (nir - red) * 1e0 / (nir + red) BETWEEN -1 AND 1 THEN (nir - red) * 1e0 / (nir + red) END"
 _IDX = f"""idx AS (SELECT *, {_NDVI} AS ndvi, CASE WHEN n >= 2 AND swir + red + nir + blue >= 1e-3 THEN ((swir + red) - (nir + blue)) * 1e0 / (swir + red + nir + blue) END AS bsi,
     CASE WHEN n >= 2 AND green + swir >= 1e-3 THEN (green - swir) * 1e0 / (green + swir) END AS mndwi, CASE WHEN n >= 2 THEN (red + green + blue) / 3e0 END AS gray FROM pixels)"""
-_EPOCH = "ep AS (SELECT * FROM (VALUES " + ", ".join(f"({i}, {e})" for i, e in enumerate(EPOCHS)) + ") AS v(k, epoch))"
+_EPOCH = "ep AS (SELECT CAST(epoch - min(epoch) OVER () AS INT) AS k, epoch FROM (SELECT CAST(unnest(range(lo, hi + 1)) AS INT) AS epoch FROM (SELECT min(epoch) AS lo, max(epoch) AS hi FROM pixels)))"
 _GRID = f"{ctes('pixels')}, {_IDX}, {_EPOCH}, grid AS (SELECT x.r, x.c, ep.epoch, ep.k, i.ndvi, i.bsi, i.mndwi, i.gray, i.n FROM (SELECT DISTINCT r, c FROM pixels) x CROSS JOIN ep LEFT JOIN idx i ON i.r = x.r AND i.c = x.c AND i.epoch = ep.epoch)"
 _TH = "before >= 0.4e0 AND ndvi <= 0.35e0 AND ndvi - before <= -0.1e0"
 _SERIES = f"""{_GRID}, lagged AS (SELECT *, lag(ndvi) OVER (PARTITION BY r, c ORDER BY k) AS before, count(ndvi) OVER (PARTITION BY r, c) AS n_valid FROM grid),
@@ -34,7 +33,7 @@ def _indexed(spark, sf_dir):
 
 
 def _grid(spark, sf_dir):
-    return series.full_grid(_indexed(spark, sf_dir).select("r", "c", "epoch", "n", "ndvi", "bsi", "mndwi", "gray"), EPOCHS)
+    return series.full_grid(_indexed(spark, sf_dir).select("r", "c", "epoch", "n", "ndvi", "bsi", "mndwi", "gray"), epochs(spark, sf_dir))
 
 
 def _persistence(spark, sf_dir):

@@ -11,7 +11,7 @@ from groundshift.plans.clusters import _BOXES_SQL, _COMP, _FEATURES, _boxes, _la
 from groundshift.plans.land import _COVER, _GRID, _IDX, _SERIES, _cover, _grid, _indexed
 from groundshift.plans.registry import query
 from groundshift.plans.stats_profiles import PROFILES
-from groundshift.sources.tables import ctes, table
+from groundshift.sources.tables import ctes, epochs, table
 
 _BANDS = ["red", "green", "blue", "nir"]
 _FIRST, _SECOND = 1996, 1999
@@ -177,11 +177,12 @@ def roi(spark, sf_dir):
     return scoring.roi(_boxes(spark, sf_dir), most=620.0).select("id", "roi_clipped", "roi_size_m", "roi_area_km2", "rx0", "ry0")
 
 
-@query("A57_acquisition_years", f"""WITH RECURSIVE {_FEATURES}, p AS (SELECT CAST(1994 + k AS INT) AS year_from, CAST(1995 + k AS INT) AS year_to, sum(area_m2) AS area FROM feat GROUP BY k), t AS (SELECT max(area) AS top FROM p), a AS (SELECT * FROM p, t WHERE top > 0 AND area >= 0.25e0 * top), e AS (SELECT min(year_from) AS f, max(year_to) AS l FROM a),
-    roles AS (SELECT f AS year, '변화 전 baseline' AS role, 0 AS prio FROM e UNION ALL SELECT year_to, '변화 검출/진행', 1 FROM a UNION ALL SELECT CAST(min(y) AS INT), '변화 후 안정화 확인', 2 FROM (SELECT unnest([1995, 1996, 1997, 1998, 1999, 2000]) AS y), e WHERE y > l) SELECT year, arg_min(role, prio) AS role FROM roles WHERE year IS NOT NULL GROUP BY year""")
+@query("A57_acquisition_years", f"""WITH RECURSIVE {_FEATURES}, p AS (SELECT CAST(first + k - 1 AS INT) AS year_from, CAST(first + k AS INT) AS year_to, sum(area_m2) AS area FROM feat, (SELECT min(epoch) AS first FROM ep) GROUP BY k, first), t AS (SELECT max(area) AS top FROM p), a AS (SELECT * FROM p, t WHERE top > 0 AND area >= 0.25e0 * top), e AS (SELECT min(year_from) AS f, max(year_to) AS l FROM a),
+    roles AS (SELECT f AS year, '변화 전 baseline' AS role, 0 AS prio FROM e UNION ALL SELECT year_to, '변화 검출/진행', 1 FROM a UNION ALL SELECT CAST(min(y) AS INT), '변화 후 안정화 확인', 2 FROM (SELECT epoch AS y FROM pixels), e WHERE y > l) SELECT year, arg_min(role, prio) AS role FROM roles WHERE year IS NOT NULL GROUP BY year""")
 def acquisition_years(spark, sf_dir):
+    first = epochs(spark, sf_dir)[0]
     f = cc.change_features(_labelled(spark, sf_dir), ["k"]).groupBy("k").agg(F.sum("area_m2").alias("area_m2"))
-    pairs = f.select((F.col("k") + 1994).alias("year_from"), (F.col("k") + 1995).alias("year_to"), F.lit("step").alias("kind"), "area_m2")
+    pairs = f.select((F.col("k") + (first - 1)).alias("year_from"), (F.col("k") + first).alias("year_to"), F.lit("step").alias("kind"), "area_m2")
     return scoring.acquisition_years(pairs, table(spark, sf_dir, "pixels").select(F.col("epoch").alias("year")).distinct())
 
 

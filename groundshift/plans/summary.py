@@ -39,10 +39,10 @@ def aligned_bands(spark, sf_dir):
     return w.select("r", "c", F.col("1995").alias("red_1995"), F.col("2000").alias("red_2000"), (F.col("2000") - F.col("1995")).alias("delta"))
 
 
-@query("A07_median_composite", "WITH o AS (SELECT CAST(year(l_shipdate) AS INT) AS epoch, CAST(floor(l_partkey / 50) AS INT) AS r, CAST(l_partkey % 50 AS INT) AS c, l_quantity AS v FROM lineitem WHERE year(l_shipdate) BETWEEN 1995 AND 1997) SELECT r, c, epoch, CASE WHEN count(v) >= 2 THEN median(v) END AS v, count(v) AS n FROM o GROUP BY r, c, epoch")
+@query("A07_median_composite", "WITH o AS (SELECT CAST(year(l_shipdate) AS INT) AS epoch, CAST(floor(l_partkey / 50) AS INT) AS r, CAST(l_partkey % 50 AS INT) AS c, l_quantity AS v FROM lineitem) SELECT r, c, epoch, CASE WHEN count(v) >= 2 THEN median(v) END AS v, count(v) AS n FROM o GROUP BY r, c, epoch")
 def median_composite(spark, sf_dir):
     y = F.year("l_shipdate")
-    o = table(spark, sf_dir, "lineitem").where(y.between(1995, 1997)).select(y.alias("epoch"), F.floor(F.col("l_partkey") / 50).cast("int").alias("r"), (F.col("l_partkey") % 50).cast("int").alias("c"), F.col("l_quantity").cast("double").alias("v"))
+    o = table(spark, sf_dir, "lineitem").select(y.alias("epoch"), F.floor(F.col("l_partkey") / 50).cast("int").alias("r"), (F.col("l_partkey") % 50).cast("int").alias("c"), F.col("l_quantity").cast("double").alias("v"))
     return raster.median_composite(o, "v")
 
 
@@ -96,7 +96,7 @@ def corridor(spark, sf_dir):
     return d.agg(*(F.coalesce(F.sum(F.when(F.col("distance") <= m, 100).otherwise(0)), F.lit(0)).cast("bigint").alias(f"within_{m}") for m in (50, 150)))
 
 
-@query("A30_block_progress", f"WITH {_SERIES}, b AS (SELECT CAST(floor(r / 10) AS INT) AS br, CAST(floor(c / 10) AS INT) AS bc, k, count(*) FILTER (event) AS cells FROM ev WHERE k > 0 GROUP BY 1, 2, 3) SELECT br, bc, count(*) AS epochs, count(*) FILTER (cells > 0) AS active, round(count(*) FILTER (cells > 0) * 1e0 / count(*), 6) AS persistence, CAST(sum(cells) AS BIGINT) * 100 AS area_m2, bool_or(k = 5 AND cells > 0) AS latest_active FROM b GROUP BY br, bc")
+@query("A30_block_progress", f"WITH {_SERIES}, b AS (SELECT CAST(floor(r / 10) AS INT) AS br, CAST(floor(c / 10) AS INT) AS bc, k, count(*) FILTER (event) AS cells FROM ev WHERE k > 0 GROUP BY 1, 2, 3) SELECT br, bc, count(*) AS epochs, count(*) FILTER (cells > 0) AS active, round(count(*) FILTER (cells > 0) * 1e0 / count(*), 6) AS persistence, CAST(sum(cells) AS BIGINT) * 100 AS area_m2, arg_max(cells > 0, k) AS latest_active FROM b GROUP BY br, bc")
 def block_progress(spark, sf_dir):
     from groundshift.operators import series
     from groundshift.plans.land import _DECLINE
@@ -104,7 +104,7 @@ def block_progress(spark, sf_dir):
     e = series.decline_events(_grid(spark, sf_dir), **_DECLINE).where("k > 0")
     b = e.groupBy(F.floor(F.col("r") / 10).cast("int").alias("br"), F.floor(F.col("c") / 10).cast("int").alias("bc"), "k").agg(F.count_if("event").alias("cells"))
     on = F.col("cells") > 0
-    return b.groupBy("br", "bc").agg(F.count(F.lit(1)).alias("epochs"), F.count_if(on).alias("active"), F.round(F.count_if(on) / F.count(F.lit(1)), 6).alias("persistence"), (F.sum("cells") * 100).alias("area_m2"), F.bool_or((F.col("k") == 5) & on).alias("latest_active"))
+    return b.groupBy("br", "bc").agg(F.count(F.lit(1)).alias("epochs"), F.count_if(on).alias("active"), F.round(F.count_if(on) / F.count(F.lit(1)), 6).alias("persistence"), (F.sum("cells") * 100).alias("area_m2"), F.max_by(on, "k").alias("latest_active"))
 
 
 @query("A41_threshold_profiles", f"WITH {_GRID}, pr AS (SELECT * FROM (VALUES ('default', 0.4e0, 0.35e0, -0.1e0), ('conservative', 0.45e0, 0.3e0, -0.2e0), ('relaxed', 0.35e0, 0.4e0, -0.05e0)) AS v(profile, b, a, d)), l AS (SELECT r, c, k, ndvi, lag(ndvi) OVER (PARTITION BY r, c ORDER BY k) AS before FROM grid), m AS (SELECT profile, r, c, bool_or(coalesce(before >= b AND ndvi <= a AND ndvi - before <= d, FALSE)) AS hit FROM l, pr GROUP BY 1, 2, 3), w AS (SELECT m.profile, count(*) FILTER (m.hit) AS cells, round(count(*) FILTER (m.hit AND f.hit) * 1e0 / nullif(count(*) FILTER (m.hit OR f.hit), 0), 6) AS jaccard FROM m JOIN m f ON f.profile = 'default' AND f.r = m.r AND f.c = m.c GROUP BY m.profile) SELECT * FROM w")

@@ -8,6 +8,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 BASE = "region nation customer supplier part orders lineitem events documents labels".split()
 
@@ -19,7 +20,7 @@ ADAPTERS = {
                CAST(floor(sum(CAST(round(l_tax * 100) AS BIGINT)) * 500 / count(*)) AS INT) AS blue,
                CAST(floor(sum(CAST(round(l_discount * 100) AS BIGINT)) * 400 / count(*)) AS INT) AS green,
                CAST(floor(sum(CAST(l_suppkey % 50 AS BIGINT)) * 100 / count(*)) AS INT) AS swir
-        FROM lineitem WHERE year(l_shipdate) BETWEEN 1995 AND 2000 GROUP BY 1, 2, 3""",
+        FROM lineitem WHERE l_shipdate IS NOT NULL GROUP BY 1, 2, 3""",
     "parcels": """
         SELECT concat('01', lpad(CAST(s_suppkey AS STRING), 17, '0')) AS pnu, (s_suppkey % 10) * 50 + 3.5e0 AS x0, floor(s_suppkey / 10) * 40 + 2.5e0 AS y0,
                (s_suppkey % 10) * 50 + 47.5e0 AS x1, floor(s_suppkey / 10) * 40 + 35.5e0 AS y1 FROM supplier""",
@@ -29,7 +30,7 @@ ADAPTERS = {
     "register": """
         SELECT o_custkey AS bld_id, CAST(year(o_orderdate) * 10000 + month(o_orderdate) * 100 + day(o_orderdate) AS STRING) AS use_apr_day,
                CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE CAST((year(o_orderdate) - 1) * 10000 + 615 AS STRING) END AS pms_day,
-               30 + o_orderkey % 60 AS arch_area, o_orderpriority AS purpose, o_orderkey AS rec_id FROM orders WHERE o_orderstatus <> 'P'""",
+               30 + o_orderkey % 60 AS arch_area, o_orderpriority AS purpose, o_orderkey AS rec_id FROM orders""",
     "scenes": """
         SELECT event_id AS scene_id, user_id % 4 AS tile, ts, event_type AS platform, value % 100 AS cloud, 1 - (event_id * 7919 % 1000) / 5e3 AS clear_fraction FROM events""",
     "points": "SELECT c_custkey AS id, (c_custkey * 37 % 4900) / 10e0 AS x, c_custkey * 4 / 15e0 AS y, c_acctbal AS v FROM customer",
@@ -56,6 +57,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(re.sub(rf"(FROM|JOIN) ({'|'.join(used)})\b", r"\1 {\2}", sql), **used)
 
 
+def epochs(spark: SparkSession, sf_dir: str) -> list[int]:
+    """The years of pixels, from the first to the last; only these two come to the driver."""
+    first, last = spark.read.parquet(f"{sf_dir}/lineitem.parquet").agg(F.year(F.min("l_shipdate")), F.year(F.max("l_shipdate"))).first()
+    return [] if first is None else list(range(first, last + 1))
+
+
 def ctes(*names: str) -> str:
     """The adapters of these names as common table expressions."""
     return ", ".join(f"{n} AS ({ADAPTERS[n].strip()})" for n in names)
