@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from groundshift.llm import decontaminate, fm_dedup, html, language, near_dedup, pieces, quality, suffix_dedup, token_counts, urls
+from groundshift.llm import decontaminate, filter_audit, fm_dedup, html, language, near_dedup, pieces, quality, suffix_dedup, token_counts, toxicity, urls, vector_codes
 from groundshift.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,9 +52,21 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.counted(table(spark, sf_dir, "documents"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audited(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compressed(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_quality_rules": quality.SQL}
+    return {"op4_quality_rules": quality.SQL, "op12_filter_audit": filter_audit.SQL, "op13_vector_codes": vector_codes.SQL}
