@@ -40,6 +40,26 @@ ADAPTERS = {
     "rail": "SELECT n_nationkey AS seg_id, n_nationkey * 20 AS xa, 200 + (n_nationkey % 3) * 10 AS ya, (n_nationkey + 1) * 20 AS xb, 200 + ((n_nationkey + 1) % 3) * 10 AS yb FROM nation",
     "samples": """
         SELECT l.doc_id AS id, l.quality = 1 AS truth, d.n_chars > 500 AS pred, d.lang AS stratum FROM labels l JOIN documents d ON l.doc_id = d.doc_id""",
+    # rings of polygons, a row for each corner; ring 0 is the outline, others are holes
+    "zone_points": """
+        SELECT s_suppkey AS zone_id, v.ring, v.i, (s_suppkey % 10) * 50 + 25e0 + v.dx * (0.6e0 + (s_suppkey * 7 % 10) / 10e0) AS x,
+               floor(s_suppkey / 10) * 40 + 20e0 + v.dy * (0.6e0 + (s_suppkey * 7 % 10) / 10e0) AS y
+        FROM supplier JOIN (VALUES (0, 0, 0, -24e0, -10e0), (0, 0, 1, 3e0, -21e0), (0, 0, 2, 27e0, -6e0), (0, 0, 3, 19e0, 16e0), (0, 0, 4, -5e0, 22e0), (0, 0, 5, -21e0, 9e0),
+                                   (0, 1, 0, -4e0, -3e0), (0, 1, 1, 7e0, -5e0), (0, 1, 2, 4e0, 7e0), (0, 1, 3, -6e0, 5e0),
+                                   (1, 0, 0, -22e0, -17e0), (1, 0, 1, -19e0, 18e0), (1, 0, 2, 2e0, 3e0), (1, 0, 3, 23e0, 19e0), (1, 0, 4, 20e0, -15e0),
+                                   (2, 0, 0, -25e0, -4e0), (2, 0, 1, -3e0, -20e0), (2, 0, 2, 26e0, 5e0), (2, 0, 3, 4e0, 21e0)) AS v(kind, ring, i, dx, dy) ON v.kind = s_suppkey % 3""",
+    "quarry_points": """
+        SELECT s_suppkey AS quarry_id, v.ring, v.i, (s_suppkey % 10) * 50 + 40e0 + v.dx * 0.7e0 AS x, floor(s_suppkey / 10) * 40 + 31e0 + v.dy * 0.7e0 AS y
+        FROM supplier JOIN (VALUES (0, 0, 0, -21e0, -3e0), (0, 0, 1, 4e0, -19e0), (0, 0, 2, 25e0, 4e0), (0, 0, 3, 1e0, 22e0), (0, 1, 0, -2e0, -2e0), (0, 1, 1, 5e0, 0e0), (0, 1, 2, 1e0, 6e0),
+                                   (1, 0, 0, -18e0, -14e0), (1, 0, 1, 20e0, -9e0), (1, 0, 2, 6e0, 17e0)) AS v(kind, ring, i, dx, dy) ON v.kind = s_suppkey % 2 WHERE s_suppkey % 7 = 3""",
+    "footprint_points": """
+        SELECT c_custkey AS bld_id, v.ring, v.i, (c_custkey * 37 % 4900) / 10e0 + v.dx AS x, c_custkey * 4 / 15e0 + v.dy AS y
+        FROM customer JOIN (VALUES (0, 0, 0, -4e0, -2e0), (0, 0, 1, 3e0, -5e0), (0, 0, 2, 5e0, 2e0), (0, 0, 3, -2e0, 5e0), (1, 0, 0, -6e0, -3e0), (1, 0, 1, 0e0, -1e0), (1, 0, 2, 6e0, -4e0), (1, 0, 3, 1e0, 6e0),
+                                   (2, 0, 0, -3e0, -6e0), (2, 0, 1, 4e0, -6e0), (2, 0, 2, 4e0, 7e0), (2, 0, 3, -3e0, 7e0)) AS v(kind, ring, i, dx, dy) ON v.kind = c_custkey % 3""",
+    "aoi_points": """
+        SELECT 1 AS aoi_id, v.ring, v.i, v.x, v.y0 + v.h * top AS y FROM (SELECT 1 AS kind, floor(max(s_suppkey) / 10) * 40 + 40e0 AS top FROM supplier) t
+        JOIN (VALUES (1, 0, 0, 37e0, 12e0, 0e0), (1, 0, 1, 471e0, 33e0, 0e0), (1, 0, 2, 452e0, -18e0, 1e0), (1, 0, 3, 243e0, -66e0, 1e0), (1, 0, 4, 52e0, -9e0, 1e0),
+                     (1, 1, 0, 180e0, 3e0, 0.4e0), (1, 1, 1, 260e0, -8e0, 0.4e0), (1, 1, 2, 222e0, 5e0, 0.6e0)) AS v(kind, ring, i, x, y0, h) ON v.kind = t.kind""",
     "candidates": """
         SELECT c_custkey AS cand_id, c_custkey % 5 = 0 AS near_change, CASE WHEN c_custkey % 3 = 0 THEN 0e0 ELSE (c_custkey * 31 % 100) / 100e0 END AS change_ratio,
                CASE WHEN c_custkey % 17 = 0 THEN NULL ELSE (c_custkey * 57 % 100) / 100e0 END AS max_change_score, (c_custkey * 13 % 200) * 1e0 AS change_area,
