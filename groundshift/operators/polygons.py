@@ -127,6 +127,15 @@ class Shapes:
         other.points, other.pieces, other.cover = (d.withColumnRenamed(self.key, key) for d in (self.points, self.pieces, self.cover))
         return other
 
+    def centres(self) -> DataFrame:
+        """(key, r, c): cells whose centre lies in a polygon."""
+        full = self.size**2 - LEAST
+        x, y = (F.col("c") + 0.5) * self.size, (F.col("r") + 0.5) * self.size
+        j = self.cover.where(F.col("area") < full).select(self.key, "r", "c").join(self.pieces, [self.key, "c"]).where((F.col("xa") <= x) & (x < F.col("xb")))
+        above = F.col("ya") + (F.col("yb") - F.col("ya")) / (F.col("xb") - F.col("xa")) * (x - F.col("xa")) > y
+        cut = j.where(above).groupBy(self.key, "r", "c").agg(F.sum("s").alias("s")).where("s > 0").select(self.key, "r", "c")
+        return self.cover.where(F.col("area") >= full).select(self.key, "r", "c").union(cut)
+
     def cutting(self, cells: DataFrame, by: list[str], layer: int) -> DataFrame:
         """Pieces of the polygons of cells (by, key, r, c) that run through these cells or above."""
         p = cells.join(self.pieces, [self.key, "c"]).where(F.col("hi") >= F.col("r"))

@@ -31,18 +31,6 @@ def cell_types(spark, sf_dir):
     return _types(spark, sf_dir)
 
 
-_Q = "(r % 10 < 3 AND c % 10 < 4)"
-
-
-@query("P22_quarry_class", f"WITH {_TYPES}, q AS (SELECT r, c, CASE WHEN type IS NULL AND NOT {_Q} THEN NULL WHEN from_exposed AND type IS DISTINCT FROM 'EXPOSED_SURFACE_INCREASE' THEN 'POSSIBLE_REVEGETATION' WHEN type = 'EXPOSED_SURFACE_INCREASE' AND r % 10 < 5 AND NOT {_Q} THEN 'POTENTIAL_QUARRY_EXPANSION' WHEN type = 'EXPOSED_SURFACE_INCREASE' AND {_Q} THEN 'QUARRY_INTERNAL_CHANGE' WHEN type = 'EXPOSED_SURFACE_INCREASE' THEN 'EXPOSED_SURFACE_CHANGE' WHEN type IN ('VEGETATION_LOSS', 'UNCERTAIN_CHANGE') THEN 'UNCLASSIFIED' WHEN {_Q} THEN 'VERIFIED_QUARRY_AREA' END AS quarry_class FROM types) SELECT quarry_class, count(*) AS cells FROM q GROUP BY 1")
-def quarry_class(spark, sf_dir):
-    t = _types(spark, sf_dir)
-    inside = (F.col("r") % 10 < 3) & (F.col("c") % 10 < 4)
-    is_ = lambda *x: F.coalesce(F.col("type").isin(*x), F.lit(False))
-    q = comp.quarry_class(inside, F.col("r") % 10 < 5, is_("EXPOSED_SURFACE_INCREASE"), is_("VEGETATION_LOSS", "UNCERTAIN_CHANGE"), F.col("from_exposed"), F.col("type").isNotNull())
-    return t.select(q.alias("quarry_class")).groupBy("quarry_class").agg(F.count(F.lit(1)).alias("cells"))
-
-
 _MASK = {"exposed": "EXPOSED_SURFACE_INCREASE", "loss": "VEGETATION_LOSS", "recovery": "VEGETATION_RECOVERY", "persistent": "PERSISTENT_EXPOSED_SURFACE", "uncertain": "UNCERTAIN_CHANGE", "stable": "STABLE_VEGETATION"}
 _PT = f"{_TYPES}, {ctes('parcels')}, {_COVER}, pa AS (SELECT pnu, sum(area) AS area_m2, coalesce(sum(CASE WHEN type IS NOT NULL THEN area END), 0e0) AS evaluable, " + ", ".join(f"coalesce(sum(CASE WHEN type = '{t}' THEN area END), 0e0) AS {m}" for m, t in _MASK.items()) + " FROM cov LEFT JOIN types USING (r, c) GROUP BY pnu)"
 _OK = lambda m: f"({m} >= 100 AND {m} / greatest(evaluable, 1e0) >= 0.1e0)"

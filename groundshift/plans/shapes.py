@@ -24,16 +24,16 @@ def _near(a: str, b: str, by: float = 0) -> str:
 
 
 def _sweep(src: str, out: str) -> str:
-    """Areas of layer 0, layer 1 and both of each group g of edges (g, layer, s, xa, ya, xb, yb), from slabs between all places where an edge ends or two cross."""
+    """Areas of layer 0, layer 1, both and all three layers of each group g of edges (g, layer, s, xa, ya, xb, yb), from slabs between all places where an edge ends or two cross."""
     y = "(({0}.yb - {0}.ya) / ({0}.xb - {0}.xa) * ({1} - {0}.xa) + {0}.ya)"
     lo, hi = "greatest(p.xa, q.xa)", "least(p.xb, q.xb)"
     return f"""{out}_c AS (SELECT g, lo + (hi - lo) * d0 / (d0 - d1) AS x FROM (SELECT p.g, {lo} AS lo, {hi} AS hi, {y.format('p', lo)} - {y.format('q', lo)} AS d0, {y.format('p', hi)} - {y.format('q', hi)} AS d1
             FROM {src} p JOIN {src} q ON p.g = q.g AND p.xa < q.xb AND q.xa < p.xb) WHERE d0 * d1 < 0),
         {out}_x AS (SELECT g, x AS lo, lead(x) OVER (PARTITION BY g ORDER BY x) AS hi FROM (SELECT g, xa AS x FROM {src} UNION SELECT g, xb FROM {src} UNION SELECT g, x FROM {out}_c)),
         {out}_y AS (SELECT e.g, lo, hi, layer, s, (lo + hi) / 2 AS m, {y.format('e', '((lo + hi) / 2)')} AS y FROM {out}_x x JOIN {src} e ON e.g = x.g AND e.xa <= (lo + hi) / 2 AND e.xb >= (lo + hi) / 2 WHERE hi > lo),
-        {out}_w AS (SELECT g, (hi - lo) * (y - coalesce(lead(y) OVER o, y)) AS area, sum(CASE WHEN layer = 0 THEN s ELSE 0 END) OVER o > 0 AS a, sum(CASE WHEN layer = 1 THEN s ELSE 0 END) OVER o > 0 AS b FROM {out}_y
+        {out}_w AS (SELECT g, (hi - lo) * (y - coalesce(lead(y) OVER o, y)) AS area, sum(CASE WHEN layer = 0 THEN s ELSE 0 END) OVER o > 0 AS a, sum(CASE WHEN layer = 1 THEN s ELSE 0 END) OVER o > 0 AS b, sum(CASE WHEN layer = 2 THEN s ELSE 0 END) OVER o > 0 AS c FROM {out}_y
             WINDOW o AS (PARTITION BY g, lo ORDER BY y DESC, layer, s ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
-        {out} AS (SELECT g, coalesce(sum(area) FILTER (a), 0e0) AS a, coalesce(sum(area) FILTER (b), 0e0) AS b, coalesce(sum(area) FILTER (a AND b), 0e0) AS ab FROM {out}_w GROUP BY g)"""
+        {out} AS (SELECT g, coalesce(sum(area) FILTER (a), 0e0) AS a, coalesce(sum(area) FILTER (b), 0e0) AS b, coalesce(sum(area) FILTER (a AND b), 0e0) AS ab, coalesce(sum(area) FILTER (a AND b AND c), 0e0) AS abc FROM {out}_w GROUP BY g)"""
 
 
 def _over(a: str, b: str, out: str = "o") -> str:
