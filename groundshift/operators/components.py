@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -57,16 +58,82 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
             return labels
 
 
+#: Cells of a tile's side; a tile is labelled in one task.
+TILE = 256
+
+
+def _tiled(cells: DataFrame, by: list[str], steps: list[tuple[int, int]], width: int) -> DataFrame:
+    """cells (by, r, c) with __at = r * width + c and __near, the least __at of the cells of its tile that it hangs together with."""
+    side = lambda x: F.floor(F.col(x) / TILE).cast("string")
+    t = cells.select(*by, F.col("r").cast("int").alias("r"), F.col("c").cast("int").alias("c"))
+    t = t.withColumn("__tile", F.concat_ws("|", *(F.coalesce(F.col(x).cast("string"), F.lit("")) for x in by), side("r"), side("c")))
+    moves = [dr * width + dc for dr, dc in steps]
+
+    def task(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        def labelled(rows):
+            t = pa.Table.from_batches(rows)
+            at = t["r"].to_numpy().astype(np.int64) * width + t["c"].to_numpy()
+            a, inverse = np.unique(at, return_inverse=True)
+            pairs = []
+            for move in moves:
+                to = np.searchsorted(a, a + move)
+                hit = np.flatnonzero(a[np.minimum(to, len(a) - 1)] == a + move)
+                pairs.append((hit, to[hit]))
+            x, y = (np.concatenate(p) for p in zip(*pairs))
+            label = np.arange(len(a))
+            while True:
+                low, new = np.minimum(label[x], label[y]), label.copy()
+                for k in (x, y, label[x], label[y]):
+                    np.minimum.at(new, k, low)
+                while (new[new] != new).any():
+                    new = new[new]
+                if (new == label).all():
+                    break
+                label = new
+            out = t.drop_columns(["__tile"]).append_column("__at", pa.array(at)).append_column("__near", pa.array(a[label][inverse]))
+            return out.combine_chunks().to_batches()
+
+        held, now = [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            tile = batch.column("__tile")
+            cut = (np.flatnonzero(pc.not_equal(tile[1:], tile[:-1]).to_numpy(zero_copy_only=False)) + 1).tolist()
+            for i, j in zip([0, *cut], [*cut, batch.num_rows]):
+                if held and tile[i].as_py() != now:
+                    yield from labelled(held)
+                    held = []
+                now = tile[i].as_py()
+                held.append(batch.slice(i, j - i))
+        if held:
+            yield from labelled(held)
+
+    fields = [*t.drop("__tile").schema.fields, T.StructField("__at", T.LongType()), T.StructField("__near", T.LongType())]
+    return t.repartition("__tile").sortWithinPartitions("__tile").mapInArrow(task, T.StructType(fields))
+
+
 def cell_components(cells: DataFrame, by: list[str], eight: bool = False, width: int = 1 << 20) -> DataFrame:
-    """cells (by, r, c) with comp, the least r * width + c of the connected cells of one group; groups are kept apart in the key."""
-    key = F.concat_ws("|", *(F.col(x).cast("string") for x in by))
-    at = F.col("r").cast("bigint") * width + F.col("c")
-    nodes = cells.select(*by, "r", "c", F.struct(key.alias("g"), at.alias("at")).alias("node"))
+    """cells (by, r, c) with comp, the least r * width + c of the connected cells of one group; groups are kept apart in the key.
+
+    Tiles are labelled each in one task; what is joined and followed from round to round is only the labels that meet at the borders of tiles.
+    """
     steps = [(0, 1), (1, 0)] + ([(1, 1), (1, -1)] if eight else [])
-    moved = cells.select(*by, "r", "c", F.explode(F.array(*(F.struct(F.lit(dr).alias("dr"), F.lit(dc).alias("dc")) for dr, dc in steps))).alias("d"))
-    moved = moved.select(F.struct(key.alias("g"), at.alias("at")).alias("a"), F.struct(key.alias("g"), ((F.col("r") + F.col("d.dr")).cast("bigint") * width + F.col("c") + F.col("d.dc")).alias("at")).alias("b"))
-    edges = moved.join(nodes.select(F.col("node").alias("b")), "b").select("a", "b")
-    return nodes.join(components(nodes.select("node"), edges), "node").select(*by, "r", "c", F.col("label.at").alias("comp"))
+    key = F.concat_ws("|", *(F.col(x).cast("string") for x in by))
+    local = written(_tiled(cells, by, steps, width).withColumn("__g", key))
+    place = lambda x: F.pmod(F.col(x), F.lit(TILE))
+    rim = local.where(place("r").isin(0, TILE - 1) | place("c").isin(0, TILE - 1)).select(F.col("__g").alias("g"), F.col("__at").alias("at"), F.col("__near").alias("near"))
+    moved = rim.select("g", F.col("near").alias("from"), F.explode(F.array(*(F.lit(dr * width + dc) for dr, dc in steps))).alias("move"), "at").select("g", "from", (F.col("at") + F.col("move")).alias("at"))
+    met = moved.join(rim, ["g", "at"]).where("from <> near")
+    edges = written(met.select(F.struct("g", F.col("from").alias("at")).alias("a"), F.struct("g", F.col("near").alias("at")).alias("b")).distinct())
+    if not edges.limit(1).count():
+        return local.select(*by, "r", "c", F.col("__near").alias("comp"))
+    up = components(edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct(), edges)
+    up = up.select(F.col("node.g").alias("__g"), F.col("node.at").alias("__near"), F.col("label.at").alias("top"))
+    return local.join(up, ["__g", "__near"], "left").select(*by, "r", "c", F.coalesce("top", "__near").alias("comp"))
 
 
 def change_features(cells: DataFrame, by: list[str], area: float = 100.0, least: float = 0.0) -> DataFrame:

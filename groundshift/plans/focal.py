@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from groundshift.operators import focal
 from groundshift.plans.registry import query
-from groundshift.sources.tables import ctes, table
+from groundshift.sources.tables import ctes, epochs, table
 
 WIDTH = 50
 _G = f"{ctes('pixels')}, dim AS (SELECT CAST(max(r) + 1 AS INT) AS h FROM pixels), base AS (SELECT CAST(a.r AS INT) AS r, CAST(b.c AS INT) AS c, h FROM (SELECT unnest(range(0, h)) AS r, h FROM dim) a, (SELECT unnest(range(0, {WIDTH})) AS c) b), g AS (SELECT b.r, b.c, h, coalesce(p.red, 2500) AS g1, coalesce(q.red, 2500) AS g2, CASE WHEN coalesce(p.red, 2500) < 2700 THEN 1 ELSE 0 END AS on_ FROM base b LEFT JOIN pixels p ON p.r = b.r AND p.c = b.c AND p.epoch = 1995 LEFT JOIN pixels q ON q.r = b.r AND q.c = b.c AND q.epoch = 2000)"
@@ -42,3 +42,35 @@ def opened_mask(spark, sf_dir):
 def sobel(spark, sf_dir):
     g, height = _grid(spark, sf_dir)
     return focal.sobel(g, "g1", height, WIDTH).select("r", "c", F.round("magnitude", 5).alias("magnitude"))
+
+
+# full grids of every date, numbered from 0; 0 where nothing was observed
+_DATES = f"""{ctes('pixels')}, dim AS (SELECT CAST(max(r) + 1 AS INT) AS h, min(epoch) AS first, max(epoch) AS last FROM pixels),
+    base AS (SELECT CAST(e - first AS INT) AS k, e AS epoch, CAST(a AS INT) AS r, CAST(b AS INT) AS c, h FROM (SELECT *, unnest(range(0, h)) AS a FROM (SELECT *, unnest(range(first, last + 1)) AS e FROM dim)), (SELECT unnest(range(0, {WIDTH})) AS b)),
+    dg AS (SELECT b.k, b.r, b.c, b.h, coalesce((p.red + p.green + p.blue) / 3e0, 0e0) AS v FROM base b LEFT JOIN pixels p ON p.r = b.r AND p.c = b.c AND p.epoch = b.epoch)"""
+_HOLD = lambda x, n: f"greatest(0, least({n} - 1, {x}))"
+_EDGES = f"""{_DATES}, ug AS (SELECT k, r, c, h, CASE WHEN max(v) OVER w > min(v) OVER w THEN CAST(floor((v - min(v) OVER w) * (255e0 / (max(v) OVER w - min(v) OVER w))) AS INT) ELSE 0 END AS v FROM dg WINDOW w AS (PARTITION BY k)),
+    st AS (SELECT * FROM (SELECT unnest(range(-1, 2)) AS dr), (SELECT unnest(range(-1, 2)) AS dc)),
+    gr AS (SELECT a.k, a.r, a.c, sum(b.v * dc * (2 - abs(dr))) AS gx, sum(b.v * dr * (2 - abs(dc))) AS gy FROM ug a, st JOIN ug b ON b.k = a.k AND b.r = {_HOLD('a.r + dr', 'a.h')} AND b.c = {_HOLD('a.c + dc', WIDTH)} GROUP BY 1, 2, 3),
+    mg AS (SELECT *, abs(gx) + abs(gy) AS m FROM gr), nb AS (SELECT a.k, a.r, a.c, a.gx, a.gy, a.m, {', '.join(f"coalesce(max(b.m) FILTER (dr = {y} AND dc = {x}), 0) AS n{y + 1}{x + 1}" for y in (-1, 0, 1) for x in (-1, 0, 1))}
+        FROM mg a, st LEFT JOIN mg b ON b.k = a.k AND b.r = a.r + dr AND b.c = a.c + dc GROUP BY 1, 2, 3, 4, 5, 6),
+    weak AS (SELECT k, r, c, m FROM nb WHERE m > 50 AND CASE WHEN abs(gy) * 32768 < abs(gx) * 13573 THEN m > n10 AND m >= n12 WHEN abs(gy) * 32768 > abs(gx) * 13573 + abs(gx) * 65536 THEN m > n01 AND m >= n21
+        WHEN (gx < 0) <> (gy < 0) THEN m > n02 AND m > n20 ELSE m > n00 AND m > n22 END),
+    edge AS (SELECT k, r, c FROM weak WHERE m > 150 UNION SELECT w.k, w.r, w.c FROM edge e JOIN weak w ON w.k = e.k AND abs(w.r - e.r) <= 1 AND abs(w.c - e.c) <= 1),
+    wide AS (SELECT g.k, g.r, g.c, max(CASE WHEN e.r IS NULL THEN 0 ELSE 1 END) AS on_ FROM ug g LEFT JOIN edge e ON e.k = g.k AND abs(e.r - g.r) <= 2 AND abs(e.c - g.c) <= 2 GROUP BY 1, 2, 3),
+    ec AS (SELECT a.k, a.r, a.c, abs(a.on_ - b.on_) * 1e0 AS score FROM wide a JOIN wide b ON b.k = a.k - 1 AND b.r = a.r AND b.c = a.c)"""
+
+
+def _dates(spark, sf_dir):
+    """(k, r, c, v): a full grid of brightness for each date, and its height."""
+    p, years = table(spark, sf_dir, "pixels"), epochs(spark, sf_dir)
+    height = p.agg(F.max("r")).first()[0] + 1
+    base = spark.range(height * WIDTH).select(F.floor(F.col("id") / WIDTH).cast("int").alias("r"), (F.col("id") % WIDTH).cast("int").alias("c"), F.explode(F.array(*map(F.lit, years))).alias("epoch"))
+    v = F.coalesce((F.col("red") + F.col("green") + F.col("blue")) / 3, F.lit(0.0))
+    return base.join(p, ["epoch", "r", "c"], "left").select((F.col("epoch") - years[0]).alias("k"), "r", "c", v.alias("v")), height
+
+
+@query("W06_edge_change", f"WITH RECURSIVE {_EDGES} SELECT k, r, c, score FROM ec")
+def edge_change(spark, sf_dir):
+    g, height = _dates(spark, sf_dir)
+    return focal.edge_change(g, height, WIDTH)
