@@ -24,9 +24,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from groundshift.llm.repeats import NO_ID, Unit, kept_mask, place, repeated_spans, row_spans
-from groundshift.llm.shared import utf8, word_spans
+from groundshift.llm.shared import freed, utf8, word_spans
 
-WORDS = Unit(window=20, gram=7, words=True)
+WORDS = Unit(window=20, gram=7, words=True, bucket=3 << 20)
 #: Text positions of which one is kept.
 STEP = 8
 
@@ -193,5 +193,5 @@ def digest(docs: DataFrame, unit: Unit = WORDS) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 of each document."""
     placed, spans = spans_of(docs, unit)
     joined = placed.join(spans.hint("merge"), "doc", "left").select("doc", "text", "spans")
-    out = joined.mapInArrow(_digest, "doc bigint, n_words bigint, n_removed bigint, kept_sha256 string")
+    out = joined.mapInArrow(freed(_digest), "doc bigint, n_words bigint, n_removed bigint, kept_sha256 string")
     return out.withColumn("doc", F.when(F.col("doc") != NO_ID, F.col("doc"))).withColumnRenamed("doc", "doc_id")

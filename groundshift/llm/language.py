@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from groundshift.llm.shared import small_batches, utf8
+from groundshift.llm.shared import freed, small_batches, utf8
 
 #: Hash table of trigrams, smoothing of its counts, languages with all possible columns, margin of ambiguity in units of loss.
 TABLE_BITS, SMOOTH, EXHAUSTIVE, MARGIN = 13, 0.5, 6, 1.0
@@ -135,7 +135,7 @@ def learn(docs: DataFrame) -> Model:
     langs = sorted(r["lang"] for r in known.select("lang").distinct().limit(LANGUAGES + 1).collect())
     if len(langs) > LANGUAGES:
         raise ValueError(f"more than {LANGUAGES} languages to learn")
-    got = known.mapInArrow(_counted, "lang string, gram int, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
+    got = known.mapInArrow(freed(_counted), "lang string, gram int, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros((len(langs), 1 << TABLE_BITS))
     counts[got["lang"].map({x: i for i, x in enumerate(langs)}).astype(int), got["gram"].astype(int)] = got["n"]
     model = Model(langs, counts)
@@ -151,7 +151,7 @@ def learn(docs: DataFrame) -> Model:
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(bits, dtype=np.int32)), pa.array(right), pa.array(np.full(bits, n))], ["bit", "right", "n"])
 
     if bits:
-        rates = known.mapInArrow(rated, "bit int, right bigint, n bigint").groupBy("bit").agg(F.sum("right").alias("right"), F.sum("n").alias("n")).toPandas().sort_values("bit")
+        rates = known.mapInArrow(freed(rated), "bit int, right bigint, n bigint").groupBy("bit").agg(F.sum("right").alias("right"), F.sum("n").alias("n")).toPandas().sort_values("bit")
         model.weigh(rates["right"].to_numpy(), int(rates["n"].iloc[0]))
     return model
 
@@ -167,7 +167,7 @@ def predicted(docs: DataFrame, model: Model) -> DataFrame:
 
     small_batches(docs.sparkSession)
     d = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), held_out().alias("held_out"), F.col("text").cast("string").alias("text"))
-    return d.mapInArrow(task, "doc_id bigint, held_out boolean, lang_pred string, score double, ambiguous boolean")
+    return d.mapInArrow(freed(task), "doc_id bigint, held_out boolean, lang_pred string, score double, ambiguous boolean")
 
 
 def identify(docs: DataFrame) -> DataFrame:
@@ -185,4 +185,4 @@ def accepted(docs: DataFrame, least: float = 0.5) -> DataFrame:
             b, off = utf8(batch.column(at).cast(pa.string()))
             yield batch.filter(pa.array([model.predict(b[off[i] : off[i + 1]])[1] >= least for i in range(batch.num_rows)], pa.bool_()))
 
-    return docs.mapInArrow(task, docs.schema)
+    return docs.mapInArrow(freed(task), docs.schema)

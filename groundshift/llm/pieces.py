@@ -22,7 +22,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from groundshift.llm.shared import small_batches
+from groundshift.llm.shared import freed, small_batches
 
 SPACE = "▁"
 _NONE: dict = {}
@@ -237,7 +237,7 @@ def _encoded(docs: DataFrame, model: str | None, with_ids: bool) -> DataFrame:
 
     small_batches(docs.sparkSession)
     d = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    return d.mapInArrow(task, DIGEST + (", ids array<int>" if with_ids else ""))
+    return d.mapInArrow(freed(task), DIGEST + (", ids array<int>" if with_ids else ""))
 
 
 def digest(docs: DataFrame, model: str | None = None) -> DataFrame:

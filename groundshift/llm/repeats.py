@@ -21,10 +21,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from groundshift.llm.shared import Rolling, byte_values, groups, mix, partitions_for, pieces_of, signed, small_batches, utf8, words, written
+from groundshift.llm.shared import Rolling, byte_values, freed, groups, mix, partitions_for, pieces_of, signed, small_batches, utf8, words, written
 
 RUN = [("kg", "u4"), ("doc", "i8"), ("lo", "i4"), ("n", "u1"), ("off", "u1"), ("kind", "u1")]
 _ONE, _MARK, _MORE = 0, 1, 2
@@ -33,15 +34,15 @@ _ONE, _MARK, _MORE = 0, 1, 2
 @dataclass(frozen=True)
 class Unit:
     """What a token is, a byte or a word, and what bounds a task's memory: runs counted before they are sent off, the longest
-    piece of a document whose anchors are computed at once, tokens fetched at once, and runs of a bucket."""
+    piece of a document whose anchors are computed at once, tokens fetched at once, and tokens of a bucket's runs."""
 
     window: int
     gram: int
     words: bool
     flush: int = 400_000
     piece: int = 1 << 20
-    fetch: int = 1 << 22
-    bucket: int = 150_000
+    fetch: int = 1 << 21
+    bucket: int = 8 << 20
 
     def values(self, b: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Token values of all rows and for each row the index of its first token."""
@@ -389,22 +390,26 @@ def compared(unit: Unit, kernel: Callable, t: pa.Table, buckets: int) -> Iterato
 def _bucketed(unit: Unit, kernel: Callable, buckets: int) -> Callable:
     """Rows come in the order of leading tokens; they are cut into buckets where the tokens change, or at twice the size, and one bucket is held at a time."""
 
+    def tokens(t: pa.RecordBatch | pa.Table) -> int:
+        return (pc.sum(t.column(4)).as_py() or 0) + t.num_rows * unit.window
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
             if not batch.num_rows:
                 continue
             held.append(batch)
-            size += batch.num_rows
+            size += tokens(batch)
             while size >= unit.bucket:
                 t = pa.Table.from_batches(held)
                 t0, t1 = t.column(0).to_numpy(), t.column(1).to_numpy()
                 change = np.flatnonzero((t0[1:] != t0[:-1]) | (t1[1:] != t1[:-1])) + 1
                 if not len(change) and size < 2 * unit.bucket:
                     break
-                cut = int(change[-1]) if len(change) else size
+                cut = int(change[-1]) if len(change) else t.num_rows
                 yield from compared(unit, kernel, t.slice(0, cut), buckets)
-                held, size = t.slice(cut).to_batches(), size - cut
+                rest = t.slice(cut)
+                held, size = rest.to_batches(), tokens(rest)
         if size:
             yield from compared(unit, kernel, pa.Table.from_batches(held), buckets)
 
@@ -415,14 +420,14 @@ def repeated_spans(docs: DataFrame, unit: Unit, kernel: Callable, placed: DataFr
     """(doc, spans array<struct<lo, hi>>): token ranges of each document whose windows also start earlier. docs: (doc, text); placed: docs, partitioned by doc."""
     small_batches(docs.sparkSession)
     parts, buckets = partitions_for(docs, 4 << 20), 4 * pieces_of(docs, 4 << 20)
-    slim = docs.mapInArrow(_local(unit, buckets), SLIM)
-    merged = written(slim.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_merge, PLACES))
+    slim = docs.mapInArrow(freed(_local(unit, buckets)), SLIM)
+    merged = written(slim.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(freed(_merge), PLACES))
     wanted = merged.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("lo", "n", "off"))).alias("runs"))
     columns = ["doc", "text", "runs", *(c for c in placed.columns if c not in ("doc", "text"))]
-    texts = placed.join(wanted.hint("merge"), "doc").select(*columns).mapInArrow(_fetch(unit), TEXTS)
+    texts = placed.join(wanted.hint("merge"), "doc").select(*columns).mapInArrow(freed(_fetch(unit)), TEXTS)
     texts = texts.repartitionByRange(parts, "t0", "t1", "doc", "lo").sortWithinPartitions("t0", "t1", "doc", "lo")
-    found = texts.mapInArrow(_bucketed(unit, kernel, buckets), FOUND)
-    found = found.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_across(unit), FOUND)
+    found = texts.mapInArrow(freed(_bucketed(unit, kernel, buckets)), FOUND)
+    found = found.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(freed(_across(unit)), FOUND)
     return found.groupBy("doc").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
 
 

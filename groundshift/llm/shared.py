@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import math
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -47,6 +48,20 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
+def freed(task: Callable) -> Callable:
+    """A task over Arrow batches that gives its memory back to the system when it ends: workers are kept, and what one stage took would stay with them through all later ones."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from task(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+                trim(0)
+
+    return run
+
+
 def pieces_of(df: DataFrame, bytes_each: int) -> int:
     """Into how many pieces of this size df's volume goes by Catalyst's estimate; the session's shuffle partitions at least."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from groundshift.llm.repeats import NO_ID, Unit, first_seen, kept_mask, place, repeated_spans, row_spans
-from groundshift.llm.shared import utf8
+from groundshift.llm.shared import freed, utf8
 
 BYTES = Unit(window=100, gram=32, words=False)
 
@@ -116,7 +116,7 @@ def digest(docs: DataFrame, unit: Unit = BYTES) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of each document."""
     placed, spans = spans_of(docs, unit)
     joined = placed.join(spans.hint("merge"), "doc", "left").select("doc", "text", "spans")
-    out = joined.mapInArrow(_digest, "doc bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
+    out = joined.mapInArrow(freed(_digest), "doc bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
     return out.withColumn("doc", F.when(F.col("doc") != NO_ID, F.col("doc"))).withColumnRenamed("doc", "doc_id")
 
 
@@ -139,6 +139,6 @@ def remove_repeats(docs: DataFrame, unit: Unit = BYTES) -> DataFrame:
     rest = F.struct(*(docs[c].alias(f"c{i}") for i, c in enumerate(others)), docs["text"].isNull().alias("none")).alias("rest")
     placed, spans = spans_of(docs, unit, rest)
     joined = placed.join(spans.hint("merge"), "doc", "left").select("doc", "text", "spans", "rest")
-    out = joined.mapInArrow(_cut, T.StructType([joined.schema["rest"], T.StructField("cut", T.StringType())]))
+    out = joined.mapInArrow(freed(_cut), T.StructType([joined.schema["rest"], T.StructField("cut", T.StringType())]))
     text = F.when(~F.col("rest.none"), F.col("cut"))
     return out.select(*(text.alias(c) if c == "text" else F.col(f"rest.c{others.index(c)}").alias(c) for c in docs.columns))
