@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from groundshift.operators.components import written
+from groundshift.operators.selection import quantiles
+
 from groundshift.operators.indices import decline, exposed
 
 def cell() -> WindowSpec:
@@ -55,9 +58,10 @@ def interval_shifts(grid: DataFrame, stable: float = 0.05, least: int = 100) ->
     """For each interval: median change of all valid cells, and of bare soil over cells of stable vegetation; 0 where too few cells are valid."""
     order = cell().orderBy("k")
     g = grid.withColumns({"dn": F.col("ndvi") - F.lag("ndvi").over(order), "db": F.col("bsi") - F.lag("bsi").over(order)}).where("k > 0")
-    quiet = F.when(F.abs("dn") < stable, F.col("db"))
-    pick = lambda x: F.when(F.count(x) > least, F.median(x)).otherwise(F.lit(0.0))
-    return g.groupBy("k").agg(pick(F.col("dn")).alias("ndvi_shift"), pick(quiet).alias("bsi_shift"), F.count("dn").alias("n"))
+    g = written(g.select("k", "dn", F.when(F.abs("dn") < stable, F.col("db")).alias("quiet")))
+    one = lambda c, name: quantiles(g.select("k", F.col(c).alias("v")), ["k"], [0.5]).select("k", F.when(F.col("n") > least, F.col("value")).otherwise(0.0).alias(name))
+    out = g.groupBy("k").agg(F.count("dn").alias("n")).join(one("dn", "ndvi_shift"), "k", "left").join(one("quiet", "bsi_shift"), "k", "left")
+    return out.select("k", F.coalesce("ndvi_shift", F.lit(0.0)).alias("ndvi_shift"), F.coalesce("bsi_shift", F.lit(0.0)).alias("bsi_shift"), "n")
 
 
 def composite_events(grid: DataFrame, shifts: DataFrame, th: dict, min_valid: int = 3) -> DataFrame:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from groundshift.operators import indices, parcels, series
+from groundshift.operators import indices, parcels, raster, series
+from groundshift.operators.selection import quantiles
 from groundshift.plans.registry import query
 from groundshift.sources.tables import ctes, epochs, table
 
@@ -182,8 +183,13 @@ def area_summary(spark, sf_dir):
 
 @query("A25_raster_quality", f"WITH {ctes('pixels')}, {_IDX} SELECT epoch, count(*) AS cells, count(ndvi) AS valid, round(min(ndvi), 6) AS lo, round(max(ndvi), 6) AS hi, round(median(ndvi), 6) AS med, round(quantile_cont(ndvi, 0.05), 6) AS p05, round(quantile_cont(ndvi, 0.95), 6) AS p95, round(quantile_cont(red, 0.005), 6) AS dark, round(avg(CASE WHEN nir > 4000 THEN 1e0 ELSE 0e0 END), 6) AS bright FROM idx GROUP BY epoch")
 def raster_quality(spark, sf_dir):
-    q = lambda c, p, name: F.round(F.percentile(c, F.lit(p)), 6).alias(name)
-    return _indexed(spark, sf_dir).groupBy("epoch").agg(F.count(F.lit(1)).alias("cells"), F.count("ndvi").alias("valid"), F.round(F.min("ndvi"), 6).alias("lo"), F.round(F.max("ndvi"), 6).alias("hi"), F.round(F.median("ndvi"), 6).alias("med"), q("ndvi", 0.05, "p05"), q("ndvi", 0.95, "p95"), q("red", 0.005, "dark"), F.round(F.avg((F.col("nir") > 4000).cast("double")), 6).alias("bright"))
+    i = _indexed(spark, sf_dir)
+    v = i.select("epoch", F.explode(F.array(F.struct(F.lit("ndvi").alias("band"), F.col("ndvi").alias("v")), F.struct(F.lit("red").alias("band"), F.col("red").cast("double").alias("v")))).alias("x")).select("epoch", "x.*")
+    q = quantiles(v, ["epoch", "band"], [0.005, 0.05, 0.5, 0.95])
+    at = lambda band, p, name: F.round(F.max(F.when((F.col("band") == band) & (F.col("p") == p), F.col("value"))), 6).alias(name)
+    q = q.groupBy("epoch").agg(at("ndvi", 0.5, "med"), at("ndvi", 0.05, "p05"), at("ndvi", 0.95, "p95"), at("red", 0.005, "dark"))
+    g = i.groupBy("epoch").agg(F.count(F.lit(1)).alias("cells"), F.count("ndvi").alias("valid"), F.round(F.min("ndvi"), 6).alias("lo"), F.round(F.max("ndvi"), 6).alias("hi"), F.round(F.avg((F.col("nir") > 4000).cast("double")), 6).alias("bright"))
+    return g.join(q, "epoch")
 
 
 @query("A26_year_correlation", f"WITH {_GRID}, p AS (SELECT k, ndvi, lag(ndvi) OVER (PARTITION BY r, c ORDER BY k) AS b FROM grid) SELECT k, count(*) AS n, CASE WHEN count(*) > 10 THEN round(corr(ndvi, b), 6) END AS r FROM p WHERE ndvi IS NOT NULL AND b IS NOT NULL GROUP BY k")
@@ -198,22 +204,23 @@ def block_mean(spark, sf_dir):
     return _indexed(spark, sf_dir).groupBy("epoch", half("r"), half("c")).agg(F.when(F.count("ndvi") >= 2, F.round(F.avg("ndvi"), 6)).alias("ndvi"), F.count("ndvi").alias("n"))
 
 
-@query("A01_robust_change", f"""WITH {ctes('pixels')}, j AS (SELECT a.r, a.c, b.red - a.red AS d1, b.nir - a.nir AS d2, b.green - a.green AS d3 FROM pixels a JOIN pixels b ON a.r = b.r AND a.c = b.c WHERE a.epoch = 1995 AND b.epoch = 2000),
-    m AS (SELECT median(d1) AS m1, median(d2) AS m2, median(d3) AS m3 FROM j), s AS (SELECT median(abs(d1 - m1)) * 1.4826e0 AS s1, median(abs(d2 - m2)) * 1.4826e0 AS s2, median(abs(d3 - m3)) * 1.4826e0 AS s3 FROM j, m),
-    g AS (SELECT r, c, sqrt(pow((d1 - m1) / s1, 2) + pow((d2 - m2) / s2, 2) + pow((d3 - m3) / s3, 2)) AS mag FROM j, m, s), q AS (SELECT quantile_cont(mag, 0.99) AS p FROM g)
-    SELECT r, c, round(greatest(0e0, least(1e0, mag / p)), 6) AS score FROM g, q""")
+_ROBUST = f"""{ctes('pixels')}, bd AS (SELECT epoch, r, c, unnest(['red', 'nir', 'green']) AS band, unnest([red, nir, green]) AS v FROM pixels), ch AS (SELECT b.epoch AS k, b.r, b.c, b.band, b.v - a.v AS d FROM bd a JOIN bd b ON a.r = b.r AND a.c = b.c AND a.band = b.band AND b.epoch = a.epoch + 1),
+    cm AS (SELECT k, band, median(d) AS m, stddev_pop(d) AS sd FROM ch GROUP BY k, band), cs AS (SELECT k, band, m, CASE WHEN median(abs(d - m)) > 0 THEN median(abs(d - m)) * 1.4826e0 ELSE any_value(sd) END AS s FROM ch JOIN cm USING (k, band) GROUP BY k, band, m),
+    cg AS (SELECT k, r, c, sqrt(sum(CASE WHEN s > 0 THEN pow((d - m) / s, 2) ELSE 0e0 END)) AS mag FROM ch JOIN cs USING (k, band) GROUP BY k, r, c), cq AS (SELECT k, quantile_cont(mag, 0.99) AS top FROM cg GROUP BY k),
+    robust AS (SELECT k, r, c, CASE WHEN top > 0 THEN greatest(0e0, least(1e0, mag / top)) ELSE 0e0 END AS score FROM cg JOIN cq USING (k))"""
+
+
+def _robust(spark, sf_dir):
+    """Change vector analysis of every pair of consecutive years."""
+    order = series.cell().orderBy("epoch")
+    band = lambda x: F.struct(F.lit(x).alias("band"), (F.col(x) - F.lag(x).over(order)).alias("d"))
+    p = table(spark, sf_dir, "pixels").select("r", "c", F.col("epoch").alias("k"), (F.lag("epoch").over(order) + 1).alias("next"), F.array(*map(band, ("red", "nir", "green"))).alias("x"))
+    return raster.robust_change(p.where("k = next").select("k", "r", "c", F.explode("x").alias("x")).select("k", "r", "c", "x.*"))
+
+
+@query("A01_robust_change", f"WITH {_ROBUST} SELECT k, r, c, round(score, 6) AS score FROM robust")
 def robust_change(spark, sf_dir):
-    """Change vector analysis with medians and median deviations; the three one-row tables of statistics are broadcast."""
-    p = table(spark, sf_dir, "pixels")
-    a, b = p.where("epoch = 1995"), p.where("epoch = 2000").select("r", "c", *(F.col(x).alias(f"{x}2") for x in ("red", "nir", "green")))
-    j = a.join(b, ["r", "c"]).select("r", "c", *((F.col(f"{x}2") - F.col(x)).alias(f"d{i}") for i, x in enumerate(("red", "nir", "green"))))
-    k = range(3)
-    med = j.agg(*(F.median(f"d{i}").alias(f"m{i}") for i in k))
-    dev = j.join(F.broadcast(med)).agg(*((F.median(F.abs(F.col(f"d{i}") - F.col(f"m{i}"))) * 1.4826).alias(f"s{i}") for i in k), *(F.first(f"m{i}").alias(f"m{i}") for i in k))
-    z = sum((F.pow((F.col(f"d{i}") - F.col(f"m{i}")) / F.nullif(f"s{i}", F.lit(0)), F.lit(2)) for i in k), F.lit(0.0))
-    g = j.join(F.broadcast(dev)).select("r", "c", F.sqrt(z).alias("mag"))
-    top = g.agg(F.percentile("mag", F.lit(0.99)).alias("p"))
-    return g.join(F.broadcast(top)).select("r", "c", F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("mag") / F.col("p"))), 6).alias("score"))
+    return _robust(spark, sf_dir).withColumn("score", F.round("score", 6))
 
 
 @query("A46_transitions", f"WITH {_GRID}, t AS (SELECT k, ndvi >= 0.4e0 AS v2, lag(ndvi) OVER (PARTITION BY r, c ORDER BY k) >= 0.4e0 AS v1 FROM grid) SELECT k, v1, v2, count(*) * 100 AS area_m2 FROM t WHERE v1 IS NOT NULL AND v2 IS NOT NULL GROUP BY k, v1, v2")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from groundshift.functions import keys
 from groundshift.operators import reporting as rp
 from groundshift.plans.land import _COVER, _SERIES, _cover, _persistence
+from groundshift.operators.selection import quantiles
 from groundshift.plans.registry import query
 from groundshift.sources.tables import ctes, table
 
@@ -82,7 +83,10 @@ def context_window(spark, sf_dir):
 
 @query("A35_period_statistics", f"WITH {ctes('candidates')} SELECT district, count(*) AS n, round(median(change_area), 4) AS med, round(avg(change_area), 4) AS mean, max(change_area) AS most, round(count(*) / (1096 / 365.25e0), 6) AS per_year FROM candidates GROUP BY district")
 def period_statistics(spark, sf_dir):
-    return table(spark, sf_dir, "candidates").groupBy("district").agg(F.count(F.lit(1)).alias("n"), F.round(F.median("change_area"), 4).alias("med"), F.round(F.avg("change_area"), 4).alias("mean"), F.max("change_area").alias("most"), F.round(F.count(F.lit(1)) / (1096 / 365.25), 6).alias("per_year"))
+    c = table(spark, sf_dir, "candidates")
+    middle = quantiles(c.select("district", F.col("change_area").alias("v")), ["district"], [0.5]).select(F.col("district").alias("of"), F.round("value", 4).alias("med"))
+    g = c.groupBy("district").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("change_area"), 4).alias("mean"), F.max("change_area").alias("most"), F.round(F.count(F.lit(1)) / (1096 / 365.25), 6).alias("per_year"))
+    return g.join(middle, F.col("district").eqNullSafe(F.col("of"))).drop("of")
 
 
 @query("A37_quality_summary", f"WITH {_SERIES} SELECT 'persistence' AS section, persistence AS item, count(*) AS value FROM pers GROUP BY 2 UNION ALL SELECT 'n_valid', CAST(n_valid AS VARCHAR), count(*) FROM pers GROUP BY 2 UNION ALL SELECT 'check', 'evaluable', count(*) FILTER (evaluable) FROM pers")

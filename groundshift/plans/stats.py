@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from groundshift.operators import permutations as pm
+from groundshift.operators import selection
 from groundshift.operators import statistics as st
+from groundshift.operators.ranking import numbered
 from groundshift.plans.land import _COVER, _GRID, _SERIES, _cover, _grid, _persistence
 from groundshift.plans.registry import query
 from groundshift.sources.tables import ctes, table
@@ -82,3 +85,39 @@ def mask_overlap(spark, sf_dir):
 def consistency(spark, sf_dir):
     j = _cover(spark, sf_dir).join(_persistence(spark, sf_dir), ["r", "c"], "left").groupBy("pnu").agg(F.sum("area").alias("a"), F.sum(F.when(F.col("evaluable"), F.col("area")).otherwise(0)).alias("e"), F.sum(F.when(F.col("frequency") > 0, F.col("area")).otherwise(0)).alias("d"))
     return j.agg(F.count(F.lit(1)).alias("parcels"), F.countDistinct("pnu").alias("keys"), F.count_if(F.col("d") > F.col("e") + 1e-6).alias("decline_over_evaluable"), F.count_if(F.col("e") > F.col("a") + 1e-6).alias("evaluable_over_area"))
+
+
+_PERMUTATIONS, _SEED = 199, 42
+_PLACED = f"""{ctes('points')}, {_KNN}, pl AS (SELECT id, v, row_number() OVER (ORDER BY sha256(CAST(id AS VARCHAR)), id) - 1 AS place FROM points WHERE v IS NOT NULL), nn AS (SELECT count(*) AS n FROM pl)"""
+_AB = lambda less: f"SELECT s, a, CASE WHEN a % m = 1 AND b = 0 THEN 1 ELSE b END AS b FROM (SELECT s, m, list_filter(range(c, c + 200), lambda x: gcd(x, m) = 1)[1] AS a, b FROM (SELECT s, m, 1 + (s * s * 7919 + s * 104729 + {_SEED}) % m AS c, (s * 15485863 + {_SEED}) % m AS b FROM range(1, {_PERMUTATIONS + 1}) r(s), (SELECT n - {less} AS m FROM nn)))"
+
+
+@query("A49_moran_permutations", f"""WITH {_PLACED}, ab AS ({_AB(0)} UNION ALL SELECT 0, 1, 0), z AS (SELECT id, place, v - avg(v) OVER () AS v FROM pl),
+    q AS (SELECT s, e.id, ((p.place * a + b) % n) AS own, ((o.place * a + b) % n) AS other FROM ab, nn, e JOIN pl p ON p.id = e.id JOIN pl o ON o.id = e.other),
+    t AS (SELECT s, q.id, any_value(x.v) * avg(y.v) AS m FROM q JOIN z x ON x.place = own JOIN z y ON y.place = other GROUP BY s, q.id), i AS (SELECT s, round(sum(m) / (SELECT sum(v * v) FROM z), 12) AS i FROM t GROUP BY s), f AS (SELECT i AS moran_i FROM i WHERE s = 0)
+    SELECT (SELECT n FROM nn) AS n, round(moran_i, 6) AS moran_i, round((least(count(*) FILTER (i >= moran_i), {_PERMUTATIONS} - count(*) FILTER (i >= moran_i)) + 1) / {_PERMUTATIONS + 1}e0, 6) AS p_sim, round((moran_i - avg(i)) / stddev_pop(i), 5) AS z_sim FROM i, f WHERE s > 0 GROUP BY moran_i""")
+def moran_permutations(spark, sf_dir):
+    m = pm.morans_i(table(spark, sf_dir, "points"), _edges(spark, sf_dir), "v", permutations=_PERMUTATIONS, seed=_SEED)
+    return m.select("n", F.round("moran_i", 6).alias("moran_i"), F.round("p_sim", 6).alias("p_sim"), F.round("z_sim", 5).alias("z_sim"))
+
+
+@query("A50_gi_permutations", f"""WITH {_PLACED}, ab AS ({_AB(1)}), r AS (SELECT e.id, p.place, sum(o.v) AS total, count(*) AS k FROM e JOIN pl p ON p.id = e.id JOIN pl o ON o.id = e.other GROUP BY 1, 2),
+    d AS (SELECT r.id, s, total, (place + 1 + (m * a + b + place * 7) % (n - 1)) % n AS spot FROM r, ab, nn, range(1, 9) w(m) WHERE m <= k), t AS (SELECT d.id, s, any_value(total) AS total, sum(v) AS x FROM d JOIN pl ON pl.place = spot GROUP BY d.id, s)
+    SELECT id, count(*) FILTER (round(x, 9) >= round(total, 9)) AS above, round((least(count(*) FILTER (round(x, 9) >= round(total, 9)), {_PERMUTATIONS} - count(*) FILTER (round(x, 9) >= round(total, 9))) + 1) / {_PERMUTATIONS + 1}e0, 6) AS p_sim FROM t GROUP BY id""")
+def gi_permutations(spark, sf_dir):
+    return pm.getis_ord(table(spark, sf_dir, "points"), _edges(spark, sf_dir), "v", permutations=_PERMUTATIONS, seed=_SEED).withColumn("p_sim", F.round("p_sim", 6))
+
+
+_ROI = "roi AS (SELECT c_custkey AS roi_id, c_nationkey % 3 AS project, row_number() OVER (PARTITION BY c_nationkey % 3 ORDER BY c_acctbal DESC, c_custkey) AS rank, (c_custkey * 37 % 4900) / 10e0 AS x0, c_custkey * 4 / 15e0 AS y0, (c_custkey * 37 % 4900) / 10e0 + 20 + c_custkey % 25 AS x1, c_custkey * 4 / 15e0 + 20 + c_custkey % 25 AS y1 FROM customer)"
+_INTER = "greatest(0e0, least(a.x1, b.x1) - greatest(a.x0, b.x0)) * greatest(0e0, least(a.y1, b.y1) - greatest(a.y0, b.y0)) >= 0.5e0 * (b.x1 - b.x0) * (b.y1 - b.y0)"
+
+
+@query("W14_roi_suppression", f"""WITH RECURSIVE {_ROI}, g AS (SELECT project, CAST(0 AS BIGINT) AS i, CAST([] AS STRUCT(roi_id BIGINT, x0 DOUBLE, y0 DOUBLE, x1 DOUBLE, y1 DOUBLE)[]) AS kept FROM (SELECT DISTINCT project FROM roi)
+    UNION ALL SELECT g.project, i + 1, CASE WHEN len(list_filter(kept, lambda a: {_INTER})) = 0 THEN list_append(kept, {{'roi_id': CAST(b.roi_id AS BIGINT), 'x0': CAST(b.x0 AS DOUBLE), 'y0': CAST(b.y0 AS DOUBLE), 'x1': CAST(b.x1 AS DOUBLE), 'y1': CAST(b.y1 AS DOUBLE)}}) ELSE kept END FROM g JOIN roi b ON b.project = g.project AND b.rank = i + 1),
+    l AS (SELECT project, max_by(kept, i) AS kept FROM g GROUP BY project) SELECT project, k.roi_id FROM (SELECT project, unnest(kept) AS k FROM l)""")
+def roi_suppression(spark, sf_dir):
+    c, key = table(spark, sf_dir, "customer"), F.col("c_custkey")
+    x, y, side = (key * 37 % 4900) / F.lit(10.0), key * 4 / F.lit(15.0), 20 + key % 25
+    b = c.select(key.alias("roi_id"), (F.col("c_nationkey") % 3).alias("project"), "c_acctbal", x.alias("x0"), y.alias("y0"), (x + side).alias("x1"), (y + side).alias("y1"))
+    b = numbered(b, [F.desc("c_acctbal"), F.col("roi_id")], "rank", ["project"])
+    return selection.suppressed(b, "roi_id", "project", "rank").select("project", "roi_id")

@@ -46,10 +46,17 @@ def median_composite(spark, sf_dir):
     return raster.median_composite(o, "v")
 
 
-@query("A62_registration_offset", f"WITH {ctes('pixels')}, a AS (SELECT r, c, nir AS v FROM pixels WHERE epoch = 1995), b AS (SELECT r + 1 AS r, c - 1 AS c, nir AS v FROM pixels WHERE epoch = 1995), d AS (SELECT unnest(range(-2, 3)) AS d), g AS (SELECT y.d AS dy, x.d AS dx, round(corr(a.v, b.v), 9) AS corr, count(*) AS n FROM a, d y, d x, b WHERE b.r = a.r + y.d AND b.c = a.c + x.d GROUP BY 1, 2) SELECT CAST(dy AS INT) AS dy, CAST(dx AS INT) AS dx, corr, n FROM g ORDER BY corr DESC, dy * dy + dx * dx, dy, dx LIMIT 1")
+@query("A62_registration_offset", f"""WITH {ctes('pixels')}, d AS (SELECT unnest(range(-2, 3)) AS d), g AS (SELECT b.epoch AS k, y.d AS dy, x.d AS dx, round(corr(a.nir, b.nir), 9) AS corr, count(*) AS n FROM pixels a, d y, d x, pixels b WHERE b.epoch = a.epoch + 1 AND b.r = a.r + y.d AND b.c = a.c + x.d GROUP BY 1, 2, 3),
+    best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY corr DESC, dy * dy + dx * dx, dy, dx) AS i FROM g WHERE corr IS NOT NULL) WHERE i = 1),
+    p AS (SELECT b.k, b.corr, b.n, b.dy, b.dx, abs(b.dy) < 2 AND abs(b.dx) < 2 AS ok, max(g.corr) FILTER (g.dy = b.dy - 1 AND g.dx = b.dx) AS yl, max(g.corr) FILTER (g.dy = b.dy + 1 AND g.dx = b.dx) AS yh, max(g.corr) FILTER (g.dy = b.dy AND g.dx = b.dx - 1) AS xl, max(g.corr) FILTER (g.dy = b.dy AND g.dx = b.dx + 1) AS xh
+        FROM best b JOIN g USING (k) GROUP BY 1, 2, 3, 4, 5, 6), s AS (SELECT *, CASE WHEN ok THEN dy + (yl - yh) / (2 * (yl - 2 * corr + yh)) END AS y, CASE WHEN ok THEN dx + (xl - xh) / (2 * (xl - 2 * corr + xh)) END AS x FROM p)
+    SELECT k, round(y, 5) AS dy, round(x, 5) AS dx, round(10 * sqrt(x * x + y * y), 4) AS displacement, corr AS quality, n FROM s""")
 def registration_offset(spark, sf_dir):
-    a = table(spark, sf_dir, "pixels").where("epoch = 1995").select("r", "c", F.col("nir").alias("v"))
-    return raster.offset(a, a.select((F.col("r") + 1).alias("r"), (F.col("c") - 1).alias("c"), "v"))
+    p = table(spark, sf_dir, "pixels").select("epoch", "r", "c", "nir")
+    first = p.select((F.col("epoch") + 1).alias("k"), "r", "c", F.col("nir").alias("v"))
+    pairs = first.join(p.select(F.col("epoch").alias("k"), "r", "c", F.col("nir").alias("w")), ["k", "r", "c"], "full")
+    o = raster.offsets(pairs, 10.0)
+    return o.select("k", F.round("dy", 5).alias("dy"), F.round("dx", 5).alias("dx"), F.round("displacement", 4).alias("displacement"), "quality", "n")
 
 
 @query("P50_stretch", f"WITH {ctes('pixels')}, q AS (SELECT quantile_cont(red, 0.02) AS lo, quantile_cont(red, 0.98) AS hi FROM pixels) SELECT epoch, r, c, round(greatest(0e0, least(1e0, (red - lo) / CASE WHEN hi > lo THEN hi - lo ELSE 1e0 END)), 6) AS stretched FROM pixels, q")
