@@ -30,7 +30,7 @@ from groundshift.llm.shared import small_batches, written
 #: Table of features, lengths of windows, rows of each class to learn from (a documented bound on the sample), partitions of the sample.
 TABLE_BITS, LENGTHS, SAMPLE, SAMPLE_PARTS = 19, (3, 4, 5, 6), 10_000, 12
 #: Smoothing of counts, texts that must hold a feature, penalty, steps of the fit and how many it remembers, one in so many rows sets slope and bias.
-SMOOTH, LEAST_TEXTS, PENALTY, STEPS, MEMORY, FOLDS = 1.0, 5, 1.0, 15, 8, 5
+SMOOTH, LEAST_TEXTS, PENALTY, STEPS, MEMORY, FOLDS = 1.0, 5, 1.0, 15, 5, 5
 #: Characters of a text whose windows are hashed at once.
 PIECE = 1 << 18
 _TABLE = 1 << TABLE_BITS
@@ -118,9 +118,10 @@ def counted(table: DataFrame) -> np.ndarray:
         at = np.flatnonzero(n.any(0))
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(n[0, at]), pa.array(n[1, at])], ["feature", "n0", "n1"])
 
-    got = table.mapInArrow(task, "feature int, n0 bigint, n1 bigint").groupBy("feature").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toPandas()
+    got = table.mapInArrow(task, "feature int, n0 bigint, n1 bigint").groupBy("feature").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toArrow()
     out = np.zeros((2, _TABLE))
-    out[:, got["feature"].to_numpy(np.int64)] = got[["n0", "n1"]].to_numpy(float).T
+    for k, c in enumerate(("n0", "n1")):
+        out[k, got.column("feature").to_numpy()] = got.column(c).to_numpy()
     return out
 
 
@@ -148,10 +149,16 @@ def _gradient(table: DataFrame, ratio: np.ndarray, by_class: tuple[float, float]
             grad[-1] += slope.sum()
         yield pa.RecordBatch.from_arrays([pa.array([loss]), pa.array([grad.astype(np.float32).tobytes()], pa.binary())], ["loss", "grad"])
 
-    parts = sorted(table.mapInArrow(task, "loss double, grad binary").collect())  # a vector of fixed length from each of SAMPLE_PARTS tasks
-    grad = np.sum([np.frombuffer(r["grad"], np.float32).astype(float) for r in parts], 0)
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = sorted((r["loss"], r["grad"]) for batch in batches for r in batch.to_pylist())
+        grad = sum((np.frombuffer(g, np.float32).astype(float) for _, g in parts), np.zeros(_TABLE + 1))
+        yield pa.RecordBatch.from_arrays([pa.array([sum(x for x, _ in parts)], pa.float64()), pa.array([grad.astype(np.float32).tobytes()], pa.binary())], ["loss", "grad"])
+
+    # one vector of fixed length from each of SAMPLE_PARTS tasks meet in a task; the driver gets their sum
+    whole = table.mapInArrow(task, "loss double, grad binary").repartition(1).mapInArrow(added, "loss double, grad binary").first()
+    grad = np.frombuffer(whole["grad"], np.float32).astype(float)
     grad[:-1] *= ratio
-    return sum(r["loss"] for r in parts), grad
+    return whole["loss"], grad
 
 
 def minimised(f: Callable[[np.ndarray], tuple[float, np.ndarray]], x: np.ndarray, steps: int = STEPS, memory: int = MEMORY) -> np.ndarray:
