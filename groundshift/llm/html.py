@@ -5,8 +5,9 @@ left out with all it holds (head, scripts, noscript, as scripts are taken to run
 invisible by an inherited visibility is left out, but not what is visible again within it. What a table holds outside captions and cells stands
 before it. Rendering keeps blank lines between blocks and those of repeated line breaks, marks and indents list items, and aligns
 table cells in columns: a cell may have several lines, as of blocks, lists and tables in it; one that spans columns is as wide as all
-of them, and below one that spans rows its column stays empty. A cell wider than WIDE is written whole beyond its column. Texts of form fields, formulas and
-drawings are visible text. Nesting of any depth is walked without recursion; indents grow up to INDENT levels.
+of them, and below one that spans rows its column stays empty. A cell wider than WIDE is written whole beyond its column. Texts and values of form fields, formulas and
+drawings are visible text; images are not loaded, so their alternative texts stand for them. Line breaks and blanks are kept in all that is preformatted. Of styles only those in
+attributes count, not those of style sheets, and closed details count as open. Nesting of any depth is walked without recursion; indents grow up to INDENT levels.
 
 Definite results: a null page has null text; an empty one has empty text; unclosed, stray and misnested tags never fail; text of any
 length is rendered whole; repeated rows give repeated rows; an empty table gives an empty result; other columns play no part, whatever their names.
@@ -34,9 +35,12 @@ INDENT = 40
 #: Elements by their role.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title xmp iframe noembed noframes".split())
-HIDDEN = set("head script style template noscript iframe object audio video canvas datalist title noembed noframes meta link base input".split())
+HIDDEN = set("head script style template noscript iframe object audio video canvas datalist title noembed noframes meta link base".split())
 BLOCK = set("html body address article aside blockquote center details dialog dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre section summary table tr ul caption thead tbody tfoot legend option optgroup".split())
 SPACED = set("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol dl table figure hr menu".split())
+PREFORMATTED = set("pre textarea xmp listing".split())
+#: Types of input whose value is not shown as text.
+WORDLESS = set("hidden checkbox radio file image password color range".split())
 #: Which open elements a start tag ends, and where the search for them stops.
 ENDS = {
     **dict.fromkeys("address article aside blockquote center details dialog div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section summary table ul".split(), ({"p"}, {"td", "th", "caption", "button", "table"})),
@@ -53,7 +57,7 @@ ENDS = {
     "option": ({"option"}, {"select"}),
     "body": ({"head"}, set()),
 }
-_TAG = re.compile(r"<(?:!--(?P<comment>.*?)(?:-->|$)|(?P<decl>[!?][^>]*)>?|/(?P<end>[a-zA-Z][^\s/>]*)[^>]*>?|(?P<start>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)>?)", re.DOTALL)
+_TAG = re.compile(r"<(?:!--(?:-?>|(?P<comment>.*?)(?:--!?>|$))|(?P<decl>[!?][^>]*)>?|/(?P<end>[a-zA-Z][^\s/>]*)[^>]*>?|(?P<start>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)>?)", re.DOTALL)
 _ATTR = re.compile(r"([^\s=\"'>/]+)(?:\s*=\s*(\"[^\"]*\"?|'[^']*'?|[^\s>]+))?")
 _NONE = re.compile(r"display\s*:\s*none", re.I)
 _VISIBLE = re.compile(r"visibility\s*:\s*(visible|hidden|collapse)", re.I)
@@ -150,7 +154,11 @@ def tree(page: str) -> Node:
             node.start = int(a["start"])
         if tag == "img" and a.get("alt") and not hidden:
             node.children.append(a["alt"])
+        if tag == "input" and a.get("value") and not hidden and a.get("type", "").lower() not in WORDLESS:
+            node.children.append(f" {a['value']} ")
         open_nodes[-1].children.append(node)
+        if tag in ("pre", "textarea", "listing"):  # a line break that comes first does not count
+            at += len(page[at : at + 2]) - len(page[at : at + 2].removeprefix("\r\n").removeprefix("\n"))
         if tag in RAW:
             close = re.compile(f"</{tag}[\\s/>]", re.I).search(page, at)
             stop_at = close.start() if close else n
@@ -287,18 +295,20 @@ def _grid(rows: list[list[tuple[list[str], int, int]]]) -> list[str]:
                     last += 1
                 line.append((lines[i] if i < len(lines) else "").ljust(at[z + 1] - at[c] - 3))
                 last = z + 1
-            out.append(" | ".join(line).rstrip(" |") if any(i < len(x) and x[i] for *_, x in cells) else "")
+            while line and not line[-1].strip(" "):
+                line.pop()
+            out.append(" | ".join(line).rstrip(" ") if any(i < len(x) and x[i] for *_, x in cells) else "")
     return out
 
 
-def _lines_of(node: Node, visible: bool, level: int):
+def _lines_of(node: Node, visible: bool, level: int, pre: bool = False):
     """Steps of laying out a node; yields what is to be laid out first, is sent its lines, and returns its own."""
     out = _Lines()
-    # the nodes that are open: children to come, number of the next item, whether text is visible, what ends the node
-    todo = [[iter(node.children), node, node.start, visible, None]]
+    # the nodes that are open: children to come, number of the next item, whether text is visible and preformatted, what ends the node
+    todo = [[iter(node.children), node, node.start, visible, pre or node.tag in PREFORMATTED, None]]
     while todo:
         top = todo[-1]
-        children, parent, number, seen, end = top
+        children, parent, number, seen, kept, end = top
         c = next(children, None)
         if c is None:
             todo.pop()
@@ -308,8 +318,8 @@ def _lines_of(node: Node, visible: bool, level: int):
         if isinstance(c, str):
             if not seen:
                 continue
-            if parent.tag == "pre":
-                first, *more = c.split("\n")
+            if kept:
+                first, *more = c.replace("\r\n", "\n").split("\n")
                 out.now.append(first)
                 for s in more:
                     out.put(["".join(out.now).rstrip()])
@@ -326,15 +336,15 @@ def _lines_of(node: Node, visible: bool, level: int):
             out.space()
             captions, loose, rows = _table(c, own)
             for caption, shown in captions:
-                lines = yield _lines_of(caption, shown, level)
+                lines = yield _lines_of(caption, shown, level, kept)
                 out.put(lines) if lines else None
-            lines = yield _lines_of(loose, own, level)
+            lines = yield _lines_of(loose, own, level, kept)
             out.put(lines) if lines else None
             cells = []
             for row in rows:
                 cells.append([])
                 for cell, shown in row:
-                    lines = yield _lines_of(cell, shown, level)
+                    lines = yield _lines_of(cell, shown, level, kept)
                     cells[-1].append((lines, cell.wide, cell.high))
             lines = _grid(cells)
             if any(lines):
@@ -342,7 +352,7 @@ def _lines_of(node: Node, visible: bool, level: int):
             out.space()
         elif c.tag == "li":
             out.line()
-            lines = yield _lines_of(c, own, level + 1)
+            lines = yield _lines_of(c, own, level + 1, kept)
             mark = f"{number}. " if parent.tag == "ol" else "- "
             top[2] += 1
             if lines:
@@ -351,9 +361,9 @@ def _lines_of(node: Node, visible: bool, level: int):
         elif c.tag in BLOCK:
             around = out.space if c.tag in SPACED and not (parent.tag == "li" and c.tag in ("ul", "ol")) else out.line
             around()
-            todo.append([iter(c.children), c, c.start, own, around])
+            todo.append([iter(c.children), c, c.start, own, kept or c.tag in PREFORMATTED, around])
         else:
-            todo.append([iter(c.children), c, c.start, own, None])
+            todo.append([iter(c.children), c, c.start, own, kept or c.tag in PREFORMATTED, None])
     out.line()
     return out.lines
 

@@ -147,3 +147,15 @@ def plain_words(page):
     c.feed(page)
     c.close()
     return " ".join(c.text).split()
+
+
+def test_text_that_looks_like_layout_is_kept():
+    assert html.render("<table><tr><td>x ||<td>|<tr><td>y</table>") == "x || | |\ny"
+    assert html.render("<!-->visible<p>x") == "visible\n\nx"
+    assert html.render("x<!-- a --!>c") == "xc" and html.render("a<!--->b-->c") == "ab-->c" and html.render("a<!-- -- > -->b") == "ab"
+    code = "def f():\n    return 1\n\n\tx = 2"
+    assert html.render(f"<pre><code>{code}</code></pre>") == code
+    assert html.render(f"<pre>\n<b>{code}</b></pre>after") == f"{code}\n\nafter"
+    assert html.render(f"<p>a</p><textarea>\n{code}</textarea>") == f"a\n\n{code}"
+    assert html.render("<table><tr><td><pre>a\n  b</pre><td>c</table>") == "a   | c\n  b"
+    assert html.render('<form><input type=submit value="Send now"><input type=hidden value=no><input type=checkbox value=no> <input value=me></form>') == "Send now me"
