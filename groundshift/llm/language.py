@@ -3,7 +3,7 @@
 Each learned language has a codeword; for each of its bits a binary classifier over byte trigrams (hashed to a fixed table) tells
 from the log-odds of naive Bayes whether a text is of the languages with a one. Its margin is the sum of the log-odds over the root of the number of
 trigrams. Decoding is weighted by loss: the codeword of least total logistic loss wins, where each classifier's loss counts by
-the log-odds of its being right on the texts that were learned from. Where the next codeword is less than a margin away, the prediction is flagged as
+the log-odds of its being right on the texts that were learned from, each told without its own counts. Where the next codeword is less than a margin away, the prediction is flagged as
 ambiguous. Counts and weights are over all texts to learn from.
 
 Definite results: null texts and texts without a letter are ``und`` with score 0; without any language to learn from all are
@@ -74,7 +74,7 @@ def codewords(k: int) -> np.ndarray:
 class Model:
     def __init__(self, langs: list[str], counts: np.ndarray):
         """counts: a row of trigram counts for each language."""
-        self.langs, self.code = langs, codewords(len(langs))
+        self.langs, self.code, self.counts = langs, codewords(len(langs)), counts
         p = (counts + SMOOTH) / (counts + SMOOTH).sum(1, keepdims=True) if len(langs) else counts
         self.odds = np.zeros((1 << TABLE_BITS, self.code.shape[1]))
         for b in range(self.code.shape[1]):
@@ -89,6 +89,18 @@ class Model:
         at = np.flatnonzero(counts)
         return (counts[at].astype(float) @ self.odds[at]) / max(1.0, np.sqrt(counts.sum()))
 
+    def unseen_margins(self, text: np.ndarray, row: int) -> np.ndarray:
+        """As margins, of classifiers that have not counted this text of the language of a row."""
+        seen = np.bincount(grams(text), minlength=1 << TABLE_BITS)
+        at = np.flatnonzero(seen)
+        own = seen[at].astype(float)
+        total = self.counts.sum(1) + SMOOTH * (1 << TABLE_BITS)
+        p = (self.counts[:, at] + SMOOTH) / total[:, None]
+        p[row] = (self.counts[row, at] - own + SMOOTH) / (total[row] - own.sum())
+        one = self.code > 0
+        odds = np.log(one.T @ p / one.sum(0)[:, None]) - np.log(~one.T @ p / (~one).sum(0)[:, None])
+        return odds @ own / max(1.0, np.sqrt(own.sum()))
+
     def weigh(self, right: np.ndarray, n: int) -> None:
         """Weights of the classifiers, one on average, from how many of n texts each got right; one that is no better than a coin has none."""
         w = np.maximum(0.0, np.log((right + SMOOTH) / (n - right + SMOOTH)))
@@ -146,13 +158,14 @@ def learn(docs: DataFrame) -> Model:
         for batch in batches:
             b, off = utf8(batch.column(1))
             for i, lang in enumerate(batch.column(0).to_pylist()):
-                right += model.margins(b[off[i] : off[i + 1]]) * model.code[row[lang]] > 0
+                right += model.unseen_margins(b[off[i] : off[i + 1]], row[lang]) * model.code[row[lang]] > 0
             n += batch.num_rows
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(bits, dtype=np.int32)), pa.array(right), pa.array(np.full(bits, n))], ["bit", "right", "n"])
 
     if bits:
         rates = known.mapInArrow(freed(rated), "bit int, right bigint, n bigint").groupBy("bit").agg(F.sum("right").alias("right"), F.sum("n").alias("n")).toPandas().sort_values("bit")
         model.weigh(rates["right"].to_numpy(), int(rates["n"].iloc[0]))
+    model.counts = None  # predictions need none
     return model
 
 

@@ -35,7 +35,15 @@ def plain(rows):
         c = places(text)
         return [sum(n * o[g] for g, n in c.items()) / max(1.0, math.sqrt(sum(c.values()))) for o in odds]
 
-    right = [sum(margins(t)[b] * code[langs.index(x), b] > 0 for t, x in learn) for b in range(len(odds))]
+    def unseen(text, lang):
+        """Margins of classifiers that did not count this text."""
+        own = places(text)
+        p = lambda x, g: (counts[x][g] - own[g] * (x == lang) + language.SMOOTH) / (sum(counts[x].values()) - sum(own.values()) * (x == lang) + language.SMOOTH * size)
+        mean = lambda g, bit, s: sum(p(x, g) for i, x in enumerate(langs) if code[i, bit] == s) / (code[:, bit] == s).sum()
+        return [sum(n * math.log(mean(g, b, 1) / mean(g, b, -1)) for g, n in own.items()) / max(1.0, math.sqrt(sum(own.values()))) for b in range(code.shape[1])]
+
+    told = [(unseen(t, x), langs.index(x)) for t, x in learn]
+    right = [sum(m[b] * code[i, b] > 0 for m, i in told) for b in range(len(odds))]
     w = [max(0.0, math.log((r + language.SMOOTH) / (len(learn) - r + language.SMOOTH))) for r in right]
     w = [x * len(w) / sum(w) for x in w] if any(w) else [1.0] * len(w)
     out = []
@@ -94,3 +102,15 @@ def test_too_many_languages_are_refused(spark, monkeypatch):
     monkeypatch.setattr(language, "LANGUAGES", 1)
     with pytest.raises(ValueError, match="languages"):
         language.learn(spark.createDataFrame([("xy", "b"), ("xy", "a")], "text string, lang string"))
+
+
+def test_weights_come_from_texts_that_were_not_counted():
+    rng = np.random.default_rng(5)
+    texts = {x: ["".join(rng.choice(list(letters), 12)) for _ in range(6)] for x, letters in (("a", "abcd "), ("b", "abce "), ("c", "xyz "))}
+    count = lambda some: np.sum([np.bincount(language.grams(np.frombuffer(t.encode(), np.uint8)), minlength=1 << language.TABLE_BITS) for t in some], 0).astype(float)
+    m = language.Model(list(texts), np.stack([count(v) for v in texts.values()]))
+    for row, own in enumerate(texts.values()):
+        for k, t in enumerate(own):
+            without = language.Model(list(texts), np.stack([count([*v[:k], *v[k + 1 :]]) if v is own else count(v) for v in texts.values()]))
+            b = np.frombuffer(t.encode(), np.uint8)
+            assert np.allclose(m.unseen_margins(b, row), without.margins(b))
