@@ -19,6 +19,14 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base}/{uuid.uuid4().hex}"
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new shared folder that goes when the session ends."""
+    path = shared_dir(spark)
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
+    return path
+
+
 def written(df: DataFrame) -> DataFrame:
     """Cut the lineage through a table in the shared folder; lost executors do not lose it. The table goes when the session ends."""
     spark = df.sparkSession

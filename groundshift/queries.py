@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from groundshift.plans import building, catalog, clusters, composite, evidence, focal, land, more, quarry, reporting, scoring, shapes, stats, summary  # noqa: F401  they register their queries
+from groundshift.plans import building, catalog, clusters, composite, epochs, evidence, features, focal, land, more, quarry, reporting, scoring, shapes, stats, summary  # noqa: F401  they register their queries
 from groundshift.plans.registry import QUERIES, SQL, Query
 
 
