@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from groundshift.operators.components import written
@@ -64,26 +64,35 @@ def interval_shifts(grid: DataFrame, stable: float = 0.05, least: int = 100) ->
     return out.select("k", F.coalesce("ndvi_shift", F.lit(0.0)).alias("ndvi_shift"), F.coalesce("bsi_shift", F.lit(0.0)).alias("bsi_shift"), "n")
 
 
-def composite_events(grid: DataFrame, shifts: DataFrame, th: dict, min_valid: int = 3) -> DataFrame:
-    """Event of each interval from both indices, corrected by the interval's shifts: 2 exposed, 1 vegetation loss, 3 recovery, 4 uncertain, 0 none, NULL not known."""
+def interval_differences(grid: DataFrame, shifts: DataFrame, th: dict, min_valid: int = 3) -> DataFrame:
+    """A row for each cell and interval: both ends of the indices, their differences dn and db corrected by the interval's shifts, v (known at both ends), wt (water at either end)."""
     order = cell().orderBy("k")
     both = F.col("ndvi").isNotNull() & F.col("bsi").isNotNull()
     g = grid.withColumns({"ok": both, "state": both & exposed(F.col("ndvi"), F.col("bsi"), th["exposed_ndvi"], th["exposed_bsi"]), "wet": F.coalesce(F.col("mndwi") > th["water"], F.lit(False))})
     g = g.withColumn("n_valid", F.count_if("ok").over(cell()))
     g = g.withColumns({f"{c}0": F.lag(c).over(order) for c in ("ndvi", "bsi", "ok", "state", "wet")})
     g = g.join(F.broadcast(shifts.select("k", "ndvi_shift", "bsi_shift")), "k")  # one row for each interval
-    dn = F.col("ndvi") - F.col("ndvi0") - F.col("ndvi_shift")
-    db = F.col("bsi") - F.col("bsi0") - F.col("bsi_shift")
-    v = F.coalesce(F.col("ok") & F.col("ok0"), F.lit(False)) & (F.col("n_valid") >= min_valid)
-    wet = F.col("wet") | F.col("wet0")
+    known = F.coalesce(F.col("ok") & F.col("ok0"), F.lit(False)) & (F.col("n_valid") >= min_valid)
+    changed = {"dn": F.col("ndvi") - F.col("ndvi0") - F.col("ndvi_shift"), "db": F.col("bsi") - F.col("bsi0") - F.col("bsi_shift"), "v": known, "wt": F.col("wet") | F.col("wet0")}
+    return g.withColumns(changed).where("k > 0")
+
+
+def interval_event(th: dict) -> tuple[Column, Column]:
+    """Event of a row of interval_differences (2 exposed, 1 vegetation loss, 3 recovery, 4 uncertain, 0 none, NULL not known), and whether it is a recovery from exposure."""
+    v, wet, dn, db = (F.col(x) for x in ("v", "wt", "dn", "db"))
     loss = v & (F.col("ndvi0") >= th["before"]) & (F.col("ndvi") <= th["after"]) & (dn <= th["delta"])
     bare = loss & (db >= th["increase"]) & (F.col("bsi") >= th["exposed_bsi"]) & ~wet
     conflict = loss & (db <= -th["conflict"])
     plain = loss & ~bare & ~wet & ~conflict
     back = v & (F.col("ndvi0") < th["recovery"]) & (dn >= th["recovery_delta"]) & (F.col("ndvi") >= th["recovery"]) & (db <= -th["decrease"]) & ~wet
     unsure = v & ((loss & (wet | conflict)) | (wet & (F.abs(dn) >= th["recovery_delta"])) | ((dn >= th["recovery_delta"]) & ~back & ~wet))
-    code = F.when(~v, None).when(bare, 2).when(plain, 1).when(back, 3).when(unsure, 4).otherwise(0)
-    return g.where("k > 0").select("r", "c", "k", "epoch", code.alias("event"), (back & F.col("state0")).alias("from_exposed"))
+    return F.when(~v, None).when(bare, 2).when(plain, 1).when(back, 3).when(unsure, 4).otherwise(0), back & F.col("state0")
+
+
+def composite_events(grid: DataFrame, shifts: DataFrame, th: dict, min_valid: int = 3) -> DataFrame:
+    """Event of each interval from both indices, corrected by the interval's shifts."""
+    code, back = interval_event(th)
+    return interval_differences(grid, shifts, th, min_valid).select("r", "c", "k", "epoch", code.alias("event"), back.alias("from_exposed"))
 
 
 def year_pairs(years: DataFrame, long_term: list[tuple[int, int]]) -> DataFrame:

@@ -21,8 +21,8 @@ _TYPES = f"""{_COMPOSITE}, le AS (SELECT *, max(CASE WHEN event = 2 THEN k END)
     types AS (SELECT r, c, n_valid, first_change, first_exposed, follow, type, CASE WHEN type = 'STABLE_VEGETATION' OR (type = 'EXPOSED_SURFACE_INCREASE' AND follow = 'PERSISTENT') THEN 3 WHEN type IN ('EXPOSED_SURFACE_INCREASE', 'PERSISTENT_EXPOSED_SURFACE', 'VEGETATION_RECOVERY') THEN 2 WHEN type IN ('VEGETATION_LOSS', 'UNCERTAIN_CHANGE') THEN 1 ELSE 0 END AS confidence, from_exposed FROM ty)"""
 
 
-def _types(spark, sf_dir):
-    g = _grid(spark, sf_dir)
+def _types(spark, sf_dir, source="pixels"):
+    g = _grid(spark, sf_dir, source)
     return comp.cell_types(g, series.composite_events(g, series.interval_shifts(g), COMPOSITE), COMPOSITE)
 
 

@@ -29,16 +29,16 @@ _COVER = """cov AS (SELECT pnu, r, c, w * h AS area FROM (SELECT pnu, r, c, leas
 _DECLINE = dict(before_min=0.4, after_max=0.35, delta_max=-0.1)
 
 
-def _indexed(spark, sf_dir):
-    return indices.with_indices(table(spark, sf_dir, "pixels"))
+def _indexed(spark, sf_dir, source="pixels"):
+    return indices.with_indices(table(spark, sf_dir, source))
 
 
-def _grid(spark, sf_dir):
-    return series.full_grid(_indexed(spark, sf_dir).select("r", "c", "epoch", "n", "ndvi", "bsi", "mndwi", "gray"), epochs(spark, sf_dir))
+def _grid(spark, sf_dir, source="pixels"):
+    return series.full_grid(_indexed(spark, sf_dir, source).select("r", "c", "epoch", "n", "ndvi", "bsi", "mndwi", "gray"), epochs(spark, sf_dir))
 
 
-def _persistence(spark, sf_dir):
-    return series.persistence(_grid(spark, sf_dir), recovery=0.4, **_DECLINE)
+def _persistence(spark, sf_dir, source="pixels"):
+    return series.persistence(_grid(spark, sf_dir, source), recovery=0.4, **_DECLINE)
 
 
 def _cover(spark, sf_dir):

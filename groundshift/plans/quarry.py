@@ -29,9 +29,9 @@ _RELATED = f"""{_TYPES}, {_LAYER}, qc AS (SELECT k, r, c, (c + 0.5e0) * 10 AS x,
         WHEN type = 'EXPOSED_SURFACE_INCREASE' AND inside THEN 'QUARRY_INTERNAL_CHANGE' WHEN type = 'EXPOSED_SURFACE_INCREASE' THEN 'EXPOSED_SURFACE_CHANGE' WHEN type IN ('VEGETATION_LOSS', 'UNCERTAIN_CHANGE') THEN 'UNCLASSIFIED' WHEN inside THEN 'VERIFIED_QUARRY_AREA' END AS quarry_class FROM rel)"""
 
 
-def _related(spark, sf_dir, quarries: pg.Shapes):
+def _related(spark, sf_dir, quarries: pg.Shapes, source: str = "pixels"):
     """Cell types with their relation to the quarries, and the class that follows."""
-    t = qy.related(_types(spark, sf_dir), F.col("type") == "EXPOSED_SURFACE_INCREASE", quarries.centres(), pg.SIZE)
+    t = qy.related(_types(spark, sf_dir, source), F.col("type") == "EXPOSED_SURFACE_INCREASE", quarries.centres(), pg.SIZE)
     is_ = lambda *x: F.coalesce(F.col("type").isin(*x), F.lit(False))
     kind = comp.quarry_class(F.col("inside"), F.col("connected"), is_("EXPOSED_SURFACE_INCREASE"), is_("VEGETATION_LOSS", "UNCERTAIN_CHANGE"), F.col("from_exposed"), F.col("type").isNotNull())
     return t.withColumn("quarry_class", kind)
@@ -104,10 +104,15 @@ _REVIEW = f"""{_RELATED}{_SERIES[len(_GRID):]}, {ctes('zone_points', 'rail', 'cl
     round(b_score + 1e-9, 6) AS b_score, b_candidate, CASE WHEN b_candidate THEN row_number() OVER (PARTITION BY b_candidate ORDER BY round(b_score, 9) DESC, round(exposed, 6) DESC, k) END AS b_rank FROM b4""")
 def quarry_review(spark, sf_dir):
     """From pixels and polygons to two rankings: types of cells, their relation to the reference, areas of parcels inside and outside of it, contexts, flags and scores."""
+    return _ranked(_reviewed(spark, sf_dir))
+
+
+def _reviewed(spark, sf_dir, source="pixels"):
+    """Parcels with the areas of all masks, their type, context, flags, confidence and risks, from one table of pixels."""
     z, q = _shapes(spark, sf_dir, "zone_points", "zone_id"), _quarries(spark, sf_dir)
-    cells = written(_related(spark, sf_dir, q))
-    declines = _persistence(spark, sf_dir).select("r", "c", F.col("evaluable").alias("p_evaluable"), "frequency", "persistence")
-    wet = _indexed(spark, sf_dir).groupBy("r", "c").agg(F.coalesce(F.bool_or(F.col("mndwi") > 0.2), F.lit(False)).alias("wet"))
+    cells = written(_related(spark, sf_dir, q, source))
+    declines = _persistence(spark, sf_dir, source).select("r", "c", F.col("evaluable").alias("p_evaluable"), "frequency", "persistence")
+    wet = _indexed(spark, sf_dir, source).groupBy("r", "c").agg(F.coalesce(F.bool_or(F.col("mndwi") > 0.2), F.lit(False)).alias("wet"))
     w = pg.overlaid(z, q).withColumn("outside", F.col("area") - F.col("both"))
     j = w.join(cells, ["r", "c"], "left").join(declines, ["r", "c"], "left").join(wet, ["r", "c"], "left").join(table(spark, sf_dir, "classes"), ["r", "c"], "left")
     total = lambda m, v: F.coalesce(F.sum(F.when(F.expr(m), F.col(v))), F.lit(0.0))
@@ -131,6 +136,10 @@ def quarry_review(spark, sf_dir):
         "decline_ratio_out": F.try_divide("decline_out", F.nullif("evaluable_out", F.lit(0.0))), "exposed_ratio": F.try_divide("exposed", F.nullif("evaluable", F.lit(0.0))),
         "sufficient": F.col("composite_type") != "INSUFFICIENT_DATA",
     })
+    return a
+
+
+def _ranked(a):
     out = qy.ranking_b(qy.ranking_a(a, "zone_id"), "zone_id")
     return out.select(
         "zone_id", "composite_type", "quarry_context", "flags", "confidence", "confusion_risk", "status_out", _r("overlap_ratio", 6).alias("overlap_ratio"), _r("decline_out", 4).alias("decline_out"), _r("exposed", 4).alias("exposed"),

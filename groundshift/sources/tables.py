@@ -21,6 +21,15 @@ ADAPTERS = {
                CAST(floor(sum(CAST(round(l_discount * 100) AS BIGINT)) * 400 / count(*)) AS INT) AS green,
                CAST(floor(sum(CAST(l_suppkey % 50 AS BIGINT)) * 100 / count(*)) AS INT) AS swir
         FROM lineitem WHERE l_shipdate IS NOT NULL GROUP BY 1, 2, 3""",
+    # the same cells and epochs from medians of the observations instead of their means: the input of a second run
+    "median_pixels": """
+        SELECT CAST(year(l_shipdate) AS INT) AS epoch, CAST(floor(l_partkey / 50) AS INT) AS r, CAST(l_partkey % 50 AS INT) AS c, count(*) AS n,
+               CAST(floor(median(CAST(round(l_extendedprice * 100) AS BIGINT)) / 1000) AS INT) AS nir,
+               CAST(floor(median(CAST(round(l_quantity) AS BIGINT)) * 100) AS INT) AS red,
+               CAST(floor(median(CAST(round(l_tax * 100) AS BIGINT)) * 500) AS INT) AS blue,
+               CAST(floor(median(CAST(round(l_discount * 100) AS BIGINT)) * 400) AS INT) AS green,
+               CAST(floor(median(CAST(l_suppkey % 50 AS BIGINT)) * 100) AS INT) AS swir
+        FROM lineitem WHERE l_shipdate IS NOT NULL GROUP BY 1, 2, 3""",
     "parcels": """
         SELECT concat('01', lpad(CAST(s_suppkey AS STRING), 17, '0')) AS pnu, (s_suppkey % 10) * 50 + 3.5e0 AS x0, floor(s_suppkey / 10) * 40 + 2.5e0 AS y0,
                (s_suppkey % 10) * 50 + 47.5e0 AS x1, floor(s_suppkey / 10) * 40 + 35.5e0 AS y1 FROM supplier""",
