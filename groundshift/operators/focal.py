@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from groundshift.operators.components import cell_components, written
+from groundshift.operators.selection import quantiles
 
 TILE = 512
 
@@ -57,15 +58,16 @@ def ssim_change(pairs: DataFrame, height: int, width: int, window: int = 7, span
     return s.select(*by, "r", "c", F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1 - ssim)).alias("score"))
 
 
-def opened(mask: DataFrame, k: int, height: int, width: int) -> DataFrame:
-    """(r, c, on) after erosion and then dilation with a k x k square. mask: a full grid with on in {0, 1}."""
+def opened(mask: DataFrame, k: int, height: int, width: int, by: tuple[str, ...] = ()) -> DataFrame:
+    """(by, r, c, on) after erosion and then dilation with a k x k square. mask: a full grid with on in {0, 1}, or one for each of by."""
     half = k // 2
-    return box(box(mask, half, height, width, F.min, on=F.col("on")), half, height, width, F.max, on=F.col("on"))
+    return box(box(mask, half, height, width, F.min, by, on=F.col("on")), half, height, width, F.max, by, on=F.col("on"))
 
 
-def closed(mask: DataFrame, k: int, height: int, width: int) -> DataFrame:
+def closed(mask: DataFrame, k: int, height: int, width: int, by: tuple[str, ...] = ()) -> DataFrame:
+    """The same after dilation and then erosion."""
     half = k // 2
-    return box(box(mask, half, height, width, F.max, on=F.col("on")), half, height, width, F.min, on=F.col("on"))
+    return box(box(mask, half, height, width, F.max, by, on=F.col("on")), half, height, width, F.min, by, on=F.col("on"))
 
 
 def gradient(cells: DataFrame, value: str, height: int, width: int, by: tuple[str, ...] = ()) -> DataFrame:
@@ -83,6 +85,19 @@ def sobel(cells: DataFrame, value: str, height: int, width: int, by: tuple[str,
     return gradient(cells, value, height, width, by).select(*by, "r", "c", F.sqrt(F.col("gx") * F.col("gx") + F.col("gy") * F.col("gy")).alias("magnitude"))
 
 
+def gradient_change(dates: DataFrame, value: str, height: int, width: int, spread: int = 2) -> DataFrame:
+    """(k, r, c, score): how far the Sobel magnitudes of a date (k) and the one before differ. Each date's are divided by their 99th percentile and cut at 1; the differences are averaged over
+    2 spread + 1 cells each way and divided by their own 99th percentile. A percentile of 0 gives 0 for a date and leaves differences as they are."""
+    peak = lambda d, x: quantiles(d.select("k", F.col(x).alias("v")), ["k"], [0.99]).select("k", F.col("value").alias("peak"))
+    cut = lambda x: F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col(x) / F.col("peak")))
+    m = written(sobel(dates, value, height, width, by=("k",)))
+    m = m.join(F.broadcast(peak(m, "magnitude")), "k").withColumn("m", F.when(F.col("peak") > 0, cut("magnitude")).otherwise(0.0))  # one percentile for each date
+    d = m.withColumn("d", F.abs(F.col("m") - F.lag("m").over(Window.partitionBy("r", "c").orderBy("k")))).where("d is not null").select("k", "r", "c", "d")
+    n = float((2 * spread + 1) ** 2)
+    w = written(box(d, spread, height, width, by=("k",), s=F.col("d")).select("k", "r", "c", (F.col("s") / n).alias("s")))
+    return w.join(F.broadcast(peak(w, "s")), "k").select("k", "r", "c", F.when(F.col("peak") > 0, cut("s")).otherwise(F.col("s")).alias("score"))
+
+
 #: Tangent of 22.5 degrees, as a fraction of 2^15; directions flatter than it are horizontal, steeper than its complement vertical.
 _FLAT = 13573
 

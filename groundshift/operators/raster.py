@@ -9,22 +9,22 @@ from groundshift.operators.components import written
 from groundshift.operators.selection import quantiles
 
 
-def nearest(target: DataFrame, source: DataFrame, value: str, size: float, source_size: float, x0: float = 0.0, y0: float = 0.0) -> DataFrame:
-    """(r, c, value): each target cell takes the source cell that holds its centre; NULL outside."""
+def nearest(target: DataFrame, source: DataFrame, value: str, size: float, source_size: float, x0: float = 0.0, y0: float = 0.0, by: tuple[str, ...] = ()) -> DataFrame:
+    """(by, r, c, value): each target cell takes the source cell that holds its centre; NULL outside."""
     at = lambda n, o: F.floor(((F.col(n) + 0.5) * size - o) / source_size).cast("int")
-    t = target.select("r", "c", at("r", y0).alias("sr"), at("c", x0).alias("sc"))
-    return t.join(source.select(F.col("r").alias("sr"), F.col("c").alias("sc"), value), ["sr", "sc"], "left").select("r", "c", value)
+    t = target.select(*by, "r", "c", at("r", y0).alias("sr"), at("c", x0).alias("sc"))
+    return t.join(source.select(*by, F.col("r").alias("sr"), F.col("c").alias("sc"), value), [*by, "sr", "sc"], "left").select(*by, "r", "c", value)
 
 
-def bilinear(target: DataFrame, source: DataFrame, value: str, size: float, source_size: float) -> DataFrame:
-    """(r, c, value): weighted mean of the four nearest source centres, over those that are there."""
+def bilinear(target: DataFrame, source: DataFrame, value: str, size: float, source_size: float, by: tuple[str, ...] = ()) -> DataFrame:
+    """(by, r, c, value): weighted mean of the four nearest source centres, over those that are there."""
     y, x = (F.col("r") + 0.5) * size / source_size - 0.5, (F.col("c") + 0.5) * size / source_size - 0.5
-    t = target.select("r", "c", y.alias("y"), x.alias("x")).withColumn("d", F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (0, 1) for j in (0, 1)))))
+    t = target.select(*by, "r", "c", y.alias("y"), x.alias("x")).withColumn("d", F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (0, 1) for j in (0, 1)))))
     fy, fx = F.col("y") - F.floor("y"), F.col("x") - F.floor("x")
     w = F.when(F.col("d.i") == 1, fy).otherwise(1 - fy) * F.when(F.col("d.j") == 1, fx).otherwise(1 - fx)
-    t = t.select("r", "c", (F.floor("y") + F.col("d.i")).cast("int").alias("sr"), (F.floor("x") + F.col("d.j")).cast("int").alias("sc"), w.alias("w"))
-    j = t.join(source.where(F.col(value).isNotNull()).select(F.col("r").alias("sr"), F.col("c").alias("sc"), value), ["sr", "sc"])
-    return j.groupBy("r", "c").agg((F.sum(F.col("w") * F.col(value)) / F.nullif(F.sum("w"), F.lit(0.0))).alias(value))
+    t = t.select(*by, "r", "c", (F.floor("y") + F.col("d.i")).cast("int").alias("sr"), (F.floor("x") + F.col("d.j")).cast("int").alias("sc"), w.alias("w"))
+    j = t.join(source.where(F.col(value).isNotNull()).select(*by, F.col("r").alias("sr"), F.col("c").alias("sc"), value), [*by, "sr", "sc"])
+    return j.groupBy(*by, "r", "c").agg((F.sum(F.col("w") * F.col(value)) / F.nullif(F.sum("w"), F.lit(0.0))).alias(value))
 
 
 def median_composite(scenes: DataFrame, value: str, least: int = 2) -> DataFrame:

@@ -19,20 +19,24 @@ def looked_up(code: Column, names: dict) -> Column:
     return F.create_map(*(F.lit(x) for kv in names.items() for x in kv))[code]
 
 
-def two_dates(pixels: DataFrame, bands: list[str], first: int, second: int, valid: Column) -> DataFrame:
-    """r, c, valid (at both dates), and each band at both dates as {band}_1, {band}_2, of the cells that both dates have. One pass, no join."""
-    at = lambda x, e: F.max(F.when(F.col("epoch") == e, x))
-    g = pixels.where(F.col("epoch").isin(first, second)).groupBy("r", "c").agg(
-        F.count_if(valid).alias("n_valid"), F.count(F.lit(1)).alias("n_dates"), *(at(F.col(b), e).alias(f"{b}_{i}") for b in bands for i, e in ((1, first), (2, second)))
-    )
-    return g.where("n_dates = 2").withColumn("valid", F.col("n_valid") == 2).drop("n_valid", "n_dates")
+def date_pairs(pixels: DataFrame, bands: list[str], valid: Column, only: tuple[int, int] | None = None) -> DataFrame:
+    """k, r, c, valid (at both dates), and each band at both dates as {band}_1, {band}_2, of the cells that both dates have. k is the later date of each pair of consecutive years;
+    with only, the pair of these two dates alone. One window by cell, no join."""
+    p = pixels if only is None else pixels.where(F.col("epoch").isin(*only))
+    step = 1 if only is None else only[1] - only[0]
+    order = Window.partitionBy("r", "c").orderBy("epoch")
+    before = F.lag(F.struct("epoch", valid.alias("valid"), *bands)).over(order)
+    j = p.withColumn("__a", before).where(F.col("__a.epoch") == F.col("epoch") - step)
+    both = F.coalesce(valid & F.col("__a.valid"), F.lit(False))
+    return j.select(F.col("epoch").alias("k"), "r", "c", both.alias("valid"), *(F.col(f"__a.{b}" if i == 1 else b).alias(f"{b}_{i}") for b in bands for i in (1, 2)))
 
 
 def spectral_distance(cells: DataFrame, bands: list[str], name: str = "spectral") -> DataFrame:
-    """cells with the Euclidean distance of the two dates' bands over the largest one; 0 where all are 0."""
+    """cells (k, ...) with the Euclidean distance of the two dates' bands over the largest one of the pair; 0 where all are 0."""
     far = F.sqrt(sum((F.pow(F.col(f"{b}_1") - F.col(f"{b}_2"), F.lit(2)) for b in bands), F.lit(0.0)))
     d = cells.withColumn(name, far)
-    return d.crossJoin(F.broadcast(d.agg(F.max(name).alias("__most")))).withColumn(name, F.when(F.col("__most") > 0, F.col(name) / F.col("__most")).otherwise(F.lit(0.0))).drop("__most")
+    most = d.groupBy("k").agg(F.max(name).alias("__most"))  # a row for each pair of dates
+    return d.join(F.broadcast(most), "k").withColumn(name, F.when(F.col("__most") > 0, F.col(name) / F.col("__most")).otherwise(F.lit(0.0))).drop("__most")
 
 
 def ensemble(weights: dict[str, float]) -> Column:
@@ -40,29 +44,33 @@ def ensemble(weights: dict[str, float]) -> Column:
 
 
 def masked(cells: DataFrame, score: str, method: str, threshold: float) -> DataFrame:
-    """cells with mask: a score at or above the threshold where valid. An unknown method is an error."""
+    """cells (k, ...) with mask: a score at or above the threshold where valid; "otsu" takes the threshold of each pair from its valid scores, and the given one where they are all equal.
+    An unknown method is an error."""
     if method not in ("fixed", "otsu"):
         raise ValueError(f"unknown threshold method {method}")
     if method == "fixed":
         return cells.withColumn("mask", (F.col(score) >= threshold) & F.col("valid"))
-    return cells.crossJoin(F.broadcast(plateau_otsu(cells.where("valid"), score, threshold))).withColumn("mask", (F.col(score) >= F.col("threshold")) & F.col("valid")).drop("threshold")
+    t = plateau_otsu(cells.where("valid"), score, threshold)  # a row for each pair of dates
+    return cells.join(F.broadcast(t), "k", "left").withColumn("mask", (F.col(score) >= F.coalesce("threshold", F.lit(threshold))) & F.col("valid")).drop("threshold")
 
 
 def plateau_otsu(values: DataFrame, value: str, fallback: float = 0.5, bins: int = 256) -> DataFrame:
-    """One row: the threshold of largest variance between classes; of bins tied within 1e-9 the middle one. What meets in one task is a row for each bin."""
-    v = values.where(F.col(value).isNotNull() & ~F.isnan(value)).select(F.col(value).cast("double").alias("v"))
-    ends = v.agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
+    """(k, threshold) for each k with values: the threshold of largest variance between classes; of bins tied within 1e-9 the middle one; fallback where all values are equal.
+    Windows run over a row for each bin of a k."""
+    v = values.where(F.col(value).isNotNull() & ~F.isnan(value)).select("k", F.col(value).cast("double").alias("v"))
+    ends = v.groupBy("k").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
     at = F.least(F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins), F.lit(bins - 1)).cast("int")
-    counted = v.crossJoin(F.broadcast(ends)).where("hi > lo").groupBy(at.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    every = values.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin")).join(counted, "bin", "left").crossJoin(F.broadcast(ends))
-    h = every.select("bin", F.coalesce("n", F.lit(0)).cast("double").alias("n"), (F.col("lo") + (F.col("bin") + 0.5) * (F.col("hi") - F.col("lo")) / bins).alias("centre"))
-    below = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-    above = Window.orderBy("bin").rowsBetween(1, Window.unboundedFollowing)
+    counted = v.join(F.broadcast(ends), "k").where("hi > lo").groupBy("k", at.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    every = ends.where("hi > lo").withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1)))).join(counted, ["k", "bin"], "left")
+    h = every.select("k", "bin", F.coalesce("n", F.lit(0)).cast("double").alias("n"), (F.col("lo") + (F.col("bin") + 0.5) * (F.col("hi") - F.col("lo")) / bins).alias("centre"))
+    order = Window.partitionBy("k").orderBy("bin")
+    below, above = order.rowsBetween(Window.unboundedPreceding, 0), order.rowsBetween(1, Window.unboundedFollowing)
     w = h.withColumns({"w1": F.sum("n").over(below), "s1": F.sum(F.col("n") * F.col("centre")).over(below), "w2": F.sum("n").over(above), "s2": F.sum(F.col("n") * F.col("centre")).over(above)})
     w = w.where("w1 > 0 and w2 > 0").withColumn("variance", F.col("w1") * F.col("w2") * F.pow(F.col("s1") / F.col("w1") - F.col("s2") / F.col("w2"), F.lit(2)))
-    best = w.agg(F.max("variance").alias("best"))
-    tied = w.crossJoin(F.broadcast(best)).where("best > 0 and variance >= best * (1 - 1e-9)").agg(F.array_sort(F.collect_list(F.struct("bin", "centre"))).alias("l"))
-    return tied.select(F.coalesce(F.get("l", F.floor(F.size("l") / 2).cast("int")).getField("centre"), F.lit(fallback)).alias("threshold"))
+    w = w.withColumn("best", F.max("variance").over(Window.partitionBy("k")))
+    tied = w.where("best > 0 and variance >= best * (1 - 1e-9)").groupBy("k").agg(F.array_sort(F.collect_list(F.struct("bin", "centre"))).alias("l"))
+    middle = F.get("l", F.floor(F.size("l") / 2).cast("int")).getField("centre")
+    return ends.select("k").join(tied, "k", "left").select("k", F.coalesce(middle, F.lit(fallback)).alias("threshold"))
 
 
 def strength(i: Column, p: Column) -> Column:

@@ -9,7 +9,7 @@ from groundshift.operators import components as cc
 from groundshift.operators import evidence as ev
 from groundshift.operators import focal, parcels, series
 from groundshift.operators.indices import tier
-from groundshift.plans.focal import _EDGES, WIDTH, _dates
+from groundshift.plans.focal import _EDGES, _MIRROR, WIDTH, _dates
 from groundshift.plans.land import _ROBUST, _robust
 from groundshift.plans.registry import query
 from groundshift.plans.shapes import _edges, _shapes, _sweep
@@ -17,7 +17,6 @@ from groundshift.sources.tables import ctes, epochs, table
 
 #: Least probability of change, cells of a change, metres around a building in which a change is near.
 _LEAST, _CELLS, _NEAR = 0.45, 2, 3.0
-_MIRROR = lambda x, n: f"CASE WHEN {x} < 0 THEN -({x}) - 1 WHEN {x} >= {n} THEN 2 * {n} - 1 - ({x}) ELSE {x} END"
 _SCORES = f"""{_EDGES}{_ROBUST[len(ctes('pixels')):]},
     sp AS (SELECT a.k, a.r, a.c, a.h, b.v AS g1, a.v AS g2 FROM dg a JOIN dg b ON b.k = a.k - 1 AND b.r = a.r AND b.c = a.c), sr AS (SELECT k, CASE WHEN greatest(max(g1), max(g2)) > least(min(g1), min(g2)) THEN greatest(max(g1), max(g2)) - least(min(g1), min(g2)) ELSE 1e0 END AS l FROM sp GROUP BY k),
     s7 AS (SELECT * FROM (SELECT unnest(range(-3, 4)) AS dr), (SELECT unnest(range(-3, 4)) AS dc)),

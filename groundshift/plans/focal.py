@@ -2,46 +2,72 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from groundshift.operators import focal
+from groundshift.operators.components import written
 from groundshift.plans.registry import query
 from groundshift.sources.tables import ctes, epochs, table
 
 WIDTH = 50
-_G = f"{ctes('pixels')}, dim AS (SELECT CAST(max(r) + 1 AS INT) AS h FROM pixels), base AS (SELECT CAST(a.r AS INT) AS r, CAST(b.c AS INT) AS c, h FROM (SELECT unnest(range(0, h)) AS r, h FROM dim) a, (SELECT unnest(range(0, {WIDTH})) AS c) b), g AS (SELECT b.r, b.c, h, coalesce(p.red, 2500) AS g1, coalesce(q.red, 2500) AS g2, CASE WHEN coalesce(p.red, 2500) < 2700 THEN 1 ELSE 0 END AS on_ FROM base b LEFT JOIN pixels p ON p.r = b.r AND p.c = b.c AND p.epoch = 1995 LEFT JOIN pixels q ON q.r = b.r AND q.c = b.c AND q.epoch = 2000)"
-_NEAR = lambda k: f"(SELECT g.r, g.c, n.* EXCLUDE (r, c, h) FROM g, (SELECT unnest(range(-{k}, {k} + 1)) AS dr) y, (SELECT unnest(range(-{k}, {k} + 1)) AS dc) x, g n WHERE n.r = CASE WHEN g.r + dr < 0 THEN -(g.r + dr) - 1 WHEN g.r + dr >= g.h THEN 2 * g.h - 1 - g.r - dr ELSE g.r + dr END AND n.c = CASE WHEN g.c + dc < 0 THEN -(g.c + dc) - 1 WHEN g.c + dc >= {WIDTH} THEN {2 * WIDTH - 1} - g.c - dc ELSE g.c + dc END)"
+_MIRROR = lambda x, n: f"CASE WHEN {x} < 0 THEN -({x}) - 1 WHEN {x} >= {n} THEN 2 * {n} - 1 - ({x}) ELSE {x} END"
+# full grids of every date, numbered from 0, filled where nothing was observed; g1 is the date before
+_G = f"""{ctes('pixels')}, dim AS (SELECT CAST(max(r) + 1 AS INT) AS h, min(epoch) AS first, max(epoch) AS last FROM pixels),
+    base AS (SELECT CAST(e - first AS INT) AS k, e AS epoch, CAST(a AS INT) AS r, CAST(b AS INT) AS c, h FROM (SELECT *, unnest(range(0, h)) AS a FROM (SELECT *, unnest(range(first, last + 1)) AS e FROM dim)), (SELECT unnest(range(0, {WIDTH})) AS b)),
+    g AS (SELECT b.k, b.r, b.c, b.h, coalesce(p.red, 2500) AS g2, CASE WHEN coalesce(p.red, 2500) < 2700 THEN 1 ELSE 0 END AS on_, lag(coalesce(p.red, 2500)) OVER (PARTITION BY b.r, b.c ORDER BY b.k) AS g1 FROM base b LEFT JOIN pixels p ON p.r = b.r AND p.c = b.c AND p.epoch = b.epoch)"""
+_NEAR = lambda n, src="g": f"(SELECT g.k, g.r, g.c, dr, dc, n.* EXCLUDE (k, r, c, h) FROM {src} g, (SELECT unnest(range(-{n}, {n} + 1)) AS dr) y, (SELECT unnest(range(-{n}, {n} + 1)) AS dc) x, {src} n WHERE n.k = g.k AND n.r = {_MIRROR('g.r + dr', 'g.h')} AND n.c = {_MIRROR('g.c + dc', WIDTH)})"
 
 
 def _grid(spark, sf_dir):
-    """A full grid of both dates, filled where nothing was observed; and its height."""
-    p = table(spark, sf_dir, "pixels")
+    """A full grid of every date (k, r, c, g2, g1 of the date before, on), filled where nothing was observed; and its height."""
+    p, years = table(spark, sf_dir, "pixels"), epochs(spark, sf_dir)
     height = p.agg(F.max("r")).first()[0] + 1
-    base = spark.range(height * WIDTH).select(F.floor(F.col("id") / WIDTH).cast("int").alias("r"), (F.col("id") % WIDTH).cast("int").alias("c"))
-    one = lambda e, name: p.where(F.col("epoch") == e).select("r", "c", F.col("red").alias(name))
-    g = base.join(one(1995, "g1"), ["r", "c"], "left").join(one(2000, "g2"), ["r", "c"], "left").na.fill(2500, ["g1", "g2"])
-    return g.select("r", "c", F.col("g1").cast("long").alias("g1"), F.col("g2").cast("long").alias("g2"), (F.col("g1") < 2700).cast("int").alias("on")), height
+    base = spark.range(height * WIDTH).select(F.floor(F.col("id") / WIDTH).cast("int").alias("r"), (F.col("id") % WIDTH).cast("int").alias("c"), F.explode(F.array(*map(F.lit, years))).alias("epoch"))
+    red = F.coalesce("red", F.lit(2500)).cast("long")
+    g = base.join(p.select("epoch", "r", "c", "red"), ["epoch", "r", "c"], "left").select((F.col("epoch") - years[0]).alias("k"), "r", "c", red.alias("g2"), (red < 2700).cast("int").alias("on"))
+    return g.withColumn("g1", F.lag("g2").over(Window.partitionBy("r", "c").orderBy("k"))), height
 
 
-@query("W01_ssim_change", f"""WITH {_G}, s AS (SELECT r, c, sum(g1)::DOUBLE AS sa, sum(g2)::DOUBLE AS sb, sum(CAST(g1 AS BIGINT) * g1)::DOUBLE AS saa, sum(CAST(g2 AS BIGINT) * g2)::DOUBLE AS sbb, sum(CAST(g1 AS BIGINT) * g2)::DOUBLE AS sab FROM {_NEAR(3)} GROUP BY r, c),
-    rg AS (SELECT greatest(max(g1), max(g2)) - least(min(g1), min(g2)) AS l FROM g), m AS (SELECT r, c, sa / 49 AS ua, sb / 49 AS ub, 49e0 / 48 * (saa / 49 - (sa / 49) * (sa / 49)) AS va, 49e0 / 48 * (sbb / 49 - (sb / 49) * (sb / 49)) AS vb, 49e0 / 48 * (sab / 49 - (sa / 49) * (sb / 49)) AS vab, pow(0.01e0 * l, 2) AS c1, pow(0.03e0 * l, 2) AS c2 FROM s, rg)
-    SELECT r, c, round(greatest(0e0, least(1e0, 1 - ((2 * ua * ub + c1) * (2 * vab + c2)) / ((ua * ua + ub * ub + c1) * (va + vb + c2)))), 5) AS score FROM m""")
+@query("W01_ssim_change", f"""WITH {_G}, pg AS (SELECT * FROM g WHERE k > 0), s AS (SELECT k, r, c, sum(g1)::DOUBLE AS sa, sum(g2)::DOUBLE AS sb, sum(CAST(g1 AS BIGINT) * g1)::DOUBLE AS saa, sum(CAST(g2 AS BIGINT) * g2)::DOUBLE AS sbb, sum(CAST(g1 AS BIGINT) * g2)::DOUBLE AS sab FROM {_NEAR(3, 'pg')} GROUP BY k, r, c),
+    rg AS (SELECT k, CASE WHEN greatest(max(g1), max(g2)) > least(min(g1), min(g2)) THEN greatest(max(g1), max(g2)) - least(min(g1), min(g2)) ELSE 1 END AS l FROM pg GROUP BY k), m AS (SELECT k, r, c, sa / 49 AS ua, sb / 49 AS ub, 49e0 / 48 * (saa / 49 - (sa / 49) * (sa / 49)) AS va, 49e0 / 48 * (sbb / 49 - (sb / 49) * (sb / 49)) AS vb, 49e0 / 48 * (sab / 49 - (sa / 49) * (sb / 49)) AS vab, pow(0.01e0 * l, 2) AS c1, pow(0.03e0 * l, 2) AS c2 FROM s JOIN rg USING (k))
+    SELECT k, r, c, round(greatest(0e0, least(1e0, 1 - ((2 * ua * ub + c1) * (2 * vab + c2)) / ((ua * ua + ub * ub + c1) * (va + vb + c2)))), 5) AS score FROM m""")
 def ssim(spark, sf_dir):
     g, height = _grid(spark, sf_dir)
-    return focal.ssim_change(g, height, WIDTH).select("r", "c", F.round("score", 5).alias("score"))
+    return focal.ssim_change(written(g.where("k > 0")), height, WIDTH, by=("k",)).select("k", "r", "c", F.round("score", 5).alias("score"))
+
 
+def _twice(first: str, then: str) -> str:
+    return f"WITH {_G}, e AS (SELECT k, r, c, {first}(on_) AS on_ FROM {_NEAR(1)} GROUP BY k, r, c), g2 AS (SELECT e.*, h FROM e, dim) SELECT k, r, c, CAST({then}(on_) AS INT) AS on_ FROM {_NEAR(1, 'g2')} GROUP BY k, r, c"
 
-@query("W05_opened_mask", f"WITH {_G}, e AS (SELECT r, c, min(on_) AS on_ FROM {_NEAR(1)} GROUP BY r, c), g2 AS (SELECT e.*, h FROM e, dim) SELECT r, c, CAST(max(on_) AS INT) AS on_ FROM {_NEAR(1).replace('FROM g,', 'FROM g2 g,').replace(', g n WHERE', ', g2 n WHERE')} GROUP BY r, c")
+
+@query("W05_opened_mask", _twice("min", "max"))
 def opened_mask(spark, sf_dir):
     g, height = _grid(spark, sf_dir)
-    return focal.opened(g, 3, height, WIDTH).select("r", "c", F.col("on").alias("on_"))
+    return focal.opened(g, 3, height, WIDTH, by=("k",)).select("k", "r", "c", F.col("on").alias("on_"))
+
 
+@query("W05_closed_mask", _twice("max", "min"))
+def closed_mask(spark, sf_dir):
+    g, height = _grid(spark, sf_dir)
+    return focal.closed(g, 3, height, WIDTH, by=("k",)).select("k", "r", "c", F.col("on").alias("on_"))
 
-@query("W02_sobel", f"""WITH {_G}, n AS (SELECT g.r, g.c, dr, dc, n.g1 FROM g, (SELECT unnest(range(-1, 2)) AS dr) y, (SELECT unnest(range(-1, 2)) AS dc) x, g n WHERE n.r = CASE WHEN g.r + dr < 0 THEN -(g.r + dr) - 1 WHEN g.r + dr >= g.h THEN 2 * g.h - 1 - g.r - dr ELSE g.r + dr END AND n.c = CASE WHEN g.c + dc < 0 THEN -(g.c + dc) - 1 WHEN g.c + dc >= {WIDTH} THEN {2 * WIDTH - 1} - g.c - dc ELSE g.c + dc END)
-    SELECT r, c, round(sqrt(pow(sum(g1 * dc * CASE dr WHEN 0 THEN 2 ELSE 1 END), 2) + pow(sum(g1 * dr * CASE dc WHEN 0 THEN 2 ELSE 1 END), 2)), 5) AS magnitude FROM n GROUP BY r, c""")
+
+_SOBEL = f"{_G}, sm AS (SELECT k, r, c, sqrt(pow(sum(g2 * dc * CASE dr WHEN 0 THEN 2 ELSE 1 END), 2) + pow(sum(g2 * dr * CASE dc WHEN 0 THEN 2 ELSE 1 END), 2)) AS magnitude FROM {_NEAR(1)} GROUP BY k, r, c)"
+
+
+@query("W02_sobel", f"WITH {_SOBEL} SELECT k, r, c, round(magnitude, 5) AS magnitude FROM sm")
 def sobel(spark, sf_dir):
     g, height = _grid(spark, sf_dir)
-    return focal.sobel(g, "g1", height, WIDTH).select("r", "c", F.round("magnitude", 5).alias("magnitude"))
+    return focal.sobel(g, "g2", height, WIDTH, by=("k",)).select("k", "r", "c", F.round("magnitude", 5).alias("magnitude"))
+
+
+@query("W02_gradient_change", f"""WITH {_SOBEL}, pk AS (SELECT k, quantile_cont(magnitude, 0.99) AS peak FROM sm GROUP BY k), nm AS (SELECT k, r, c, CASE WHEN peak > 0 THEN least(1e0, magnitude / peak) ELSE 0e0 END AS m FROM sm JOIN pk USING (k)),
+    df AS (SELECT k, r, c, h, d FROM (SELECT *, abs(m - lag(m) OVER (PARTITION BY r, c ORDER BY k)) AS d FROM nm), dim WHERE d IS NOT NULL), av AS (SELECT k, r, c, sum(d) / 25 AS s FROM {_NEAR(2, 'df')} GROUP BY k, r, c), pd AS (SELECT k, quantile_cont(s, 0.99) AS peak FROM av GROUP BY k)
+    SELECT k, r, c, round(CASE WHEN peak > 0 THEN least(1e0, s / peak) ELSE s END + 1e-9, 5) AS score FROM av JOIN pd USING (k)""")
+def gradient_change(spark, sf_dir):
+    g, height = _grid(spark, sf_dir)
+    return focal.gradient_change(g, "g2", height, WIDTH).select("k", "r", "c", F.round(F.col("score") + 1e-9, 5).alias("score"))
 
 
 # full grids of every date, numbered from 0; 0 where nothing was observed

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from groundshift.functions import keys
-from groundshift.operators import raster
+from groundshift.operators import raster, scoring
 from groundshift.plans.evidence import _SCORED, _TYPED, _scored, _typed
 from groundshift.plans.land import _AREAS, _COVER, _GRID, _SERIES, _areas, _cover, _grid, _indexed, _persistence
 from groundshift.plans.registry import query
@@ -56,10 +56,10 @@ def zonal_table(spark, sf_dir):
     return j.groupBy("pnu", "epoch").agg(F.round(F.avg("red"), 6).alias("mean_red"), F.min("nir").alias("lo_nir"), F.max("nir").alias("hi_nir"), F.count(F.lit(1)).alias("cells"))
 
 
-@query("A17_mean_delta", f"WITH {ctes('pixels', 'parcels')}, {_COVER}, w AS (SELECT r, c, max(CASE WHEN epoch = 1995 THEN nir END) AS a, max(CASE WHEN epoch = 2000 THEN nir END) AS b FROM pixels GROUP BY r, c) SELECT pnu, round(sum(area * (b - a)) / sum(area), 6) AS delta FROM cov JOIN w USING (r, c) WHERE a IS NOT NULL AND b IS NOT NULL GROUP BY pnu")
+@query("A17_mean_delta", f"WITH {ctes('pixels', 'parcels')}, {_COVER}, w AS (SELECT b.epoch, a.r, a.c, b.nir - a.nir AS d FROM pixels a JOIN pixels b ON b.epoch = a.epoch + 1 AND b.r = a.r AND b.c = a.c) SELECT pnu, epoch, round(sum(area * d) / sum(area), 6) AS delta FROM cov JOIN w USING (r, c) GROUP BY pnu, epoch")
 def mean_delta(spark, sf_dir):
-    w = table(spark, sf_dir, "pixels").where(F.col("epoch").isin(1995, 2000)).groupBy("r", "c").pivot("epoch", [1995, 2000]).agg(F.max("nir")).select("r", "c", (F.col("2000") - F.col("1995")).alias("d")).where("d is not null")
-    return _cover(spark, sf_dir).join(w, ["r", "c"]).groupBy("pnu").agg(F.round(F.sum(F.col("area") * F.col("d")) / F.sum("area"), 6).alias("delta"))
+    w = scoring.date_pairs(table(spark, sf_dir, "pixels"), ["nir"], F.lit(True)).select(F.col("k").alias("epoch"), "r", "c", (F.col("nir_2") - F.col("nir_1")).alias("d"))
+    return _cover(spark, sf_dir).join(w, ["r", "c"]).groupBy("pnu", "epoch").agg(F.round(F.sum(F.col("area") * F.col("d")) / F.sum("area"), 6).alias("delta"))
 
 
 @query("A33_run_summary", f"WITH {ctes('candidates')} SELECT count(*) AS n, coalesce(sum(change_area), 0e0) AS total, round(coalesce(avg(change_area), 0e0), 6) AS mean, coalesce(max(max_change_score), 0e0) AS best FROM candidates WHERE change_ratio > 0")

@@ -14,47 +14,56 @@ from groundshift.plans.stats_profiles import PROFILES
 from groundshift.sources.tables import ctes, epochs, table
 
 _BANDS = ["red", "green", "blue", "nir"]
-_FIRST, _SECOND = 1996, 1999
-_TWO = f"""{ctes('pixels')}, {_IDX}, two AS (SELECT a.r, a.c, a.n >= 2 AND b.n >= 2 AS valid, sqrt(pow(a.red - b.red, 2) + pow(a.green - b.green, 2) + pow(a.blue - b.blue, 2) + pow(a.nir - b.nir, 2)) AS far,
-        abs(coalesce(a.gray, 0e0) - coalesce(b.gray, 0e0)) AS light, abs(coalesce(a.ndvi, 0e0) - coalesce(b.ndvi, 0e0)) AS green FROM idx a JOIN idx b ON a.r = b.r AND a.c = b.c AND a.epoch = {_FIRST} AND b.epoch = {_SECOND}),
-    sc AS (SELECT r, c, valid, CASE WHEN max(far) OVER () > 0 THEN far / max(far) OVER () ELSE 0e0 END AS spectral, CASE WHEN max(light) OVER () > 0 THEN light / max(light) OVER () ELSE 0e0 END AS brightness, CASE WHEN max(green) OVER () > 0 THEN green / max(green) OVER () ELSE 0e0 END AS vegetation FROM two),
+_TWO = f"""{ctes('pixels')}, {_IDX}, two AS (SELECT b.epoch AS k, a.r, a.c, a.n >= 2 AND b.n >= 2 AS valid, sqrt(pow(a.red - b.red, 2) + pow(a.green - b.green, 2) + pow(a.blue - b.blue, 2) + pow(a.nir - b.nir, 2)) AS far,
+        abs(coalesce(a.gray, 0e0) - coalesce(b.gray, 0e0)) AS light, abs(coalesce(a.ndvi, 0e0) - coalesce(b.ndvi, 0e0)) AS green FROM idx a JOIN idx b ON a.r = b.r AND a.c = b.c AND b.epoch = a.epoch + 1),
+    sc AS (SELECT k, r, c, valid, CASE WHEN max(far) OVER w > 0 THEN far / max(far) OVER w ELSE 0e0 END AS spectral, CASE WHEN max(light) OVER w > 0 THEN light / max(light) OVER w ELSE 0e0 END AS brightness, CASE WHEN max(green) OVER w > 0 THEN green / max(green) OVER w ELSE 0e0 END AS vegetation FROM two WINDOW w AS (PARTITION BY k)),
     pr AS (SELECT *, 0.5e0 * spectral + 0.3e0 * brightness + 0.2e0 * vegetation AS prob FROM sc)"""
 
 
 def _scores(spark, sf_dir):
-    """Three scores of two dates: distance of all bands, of brightness and of vegetation."""
+    """Three scores of every pair of consecutive years: distance of all bands, of brightness and of vegetation."""
     p = _indexed(spark, sf_dir).withColumns({"light": F.coalesce("gray", F.lit(0.0)), "veg": F.coalesce("ndvi", F.lit(0.0))})
-    d = scoring.two_dates(p, [*_BANDS, "light", "veg"], _FIRST, _SECOND, F.col("n") >= 2)
+    d = scoring.date_pairs(p, [*_BANDS, "light", "veg"], F.col("n") >= 2)
     d = scoring.spectral_distance(d, _BANDS)
     d = scoring.spectral_distance(scoring.spectral_distance(d, ["light"], "brightness"), ["veg"], "vegetation")
-    return d.select("r", "c", "valid", "spectral", "brightness", "vegetation", scoring.ensemble({"spectral": 0.5, "brightness": 0.3, "vegetation": 0.2}).alias("prob"))
+    return d.select("k", "r", "c", "valid", "spectral", "brightness", "vegetation", scoring.ensemble({"spectral": 0.5, "brightness": 0.3, "vegetation": 0.2}).alias("prob"))
 
 
-@query("P04_P14_spectral_distance", f"WITH {_TWO} SELECT r, c, valid, round(spectral, 6) AS spectral FROM sc")
+@query("P04_P14_spectral_distance", f"WITH {_TWO} SELECT k, r, c, valid, round(spectral, 6) AS spectral FROM sc")
 def spectral_distance(spark, sf_dir):
-    return _scores(spark, sf_dir).select("r", "c", "valid", F.round("spectral", 6).alias("spectral"))
+    return _scores(spark, sf_dir).select("k", "r", "c", "valid", F.round("spectral", 6).alias("spectral"))
 
 
-@query("P15_P16_ensemble_mask", f"WITH {_TWO} SELECT r, c, round(prob, 6) AS prob, round(prob, 9) >= 0.3e0 AND valid AS mask FROM pr")
+@query("P15_P16_ensemble_mask", f"WITH {_TWO} SELECT k, r, c, round(prob, 6) AS prob, round(prob, 9) >= 0.3e0 AND valid AS mask FROM pr")
 def ensemble_mask(spark, sf_dir):
     s = _scores(spark, sf_dir).withColumn("p", F.round("prob", 9))
-    return scoring.masked(s, "p", "fixed", 0.3).select("r", "c", F.round("prob", 6).alias("prob"), "mask")
+    return scoring.masked(s, "p", "fixed", 0.3).select("k", "r", "c", F.round("prob", 6).alias("prob"), "mask")
 
 
-@query("A04_change_statistics", f"WITH {_TWO} SELECT count(*) FILTER (valid) AS valid_cells, count(*) FILTER (valid AND round(prob, 9) >= 0.3e0) AS changed_cells, round(100e0 * count(*) FILTER (valid AND round(prob, 9) >= 0.3e0) / greatest(count(*) FILTER (valid), 1), 4) AS changed_pct, round(avg(spectral) FILTER (valid), 4) AS spectral, round(avg(brightness) FILTER (valid), 4) AS brightness, round(avg(vegetation) FILTER (valid), 4) AS vegetation FROM pr")
+@query("A04_change_statistics", f"WITH {_TWO} SELECT k, count(*) FILTER (valid) AS valid_cells, count(*) FILTER (valid AND round(prob, 9) >= 0.3e0) AS changed_cells, round(100e0 * count(*) FILTER (valid AND round(prob, 9) >= 0.3e0) / greatest(count(*) FILTER (valid), 1), 4) AS changed_pct, round(avg(spectral) FILTER (valid), 4) AS spectral, round(avg(brightness) FILTER (valid), 4) AS brightness, round(avg(vegetation) FILTER (valid), 4) AS vegetation FROM pr GROUP BY k")
 def change_statistics(spark, sf_dir):
     s = scoring.masked(_scores(spark, sf_dir).withColumn("p", F.round("prob", 9)), "p", "fixed", 0.3)
     n = F.count_if("valid")
-    return s.agg(n.alias("valid_cells"), F.count_if("mask").alias("changed_cells"), F.round(100.0 * F.count_if("mask") / F.greatest(n, F.lit(1)), 4).alias("changed_pct"), *(F.round(F.avg(F.when(F.col("valid"), F.col(x))), 4).alias(x) for x in ("spectral", "brightness", "vegetation")))
+    return s.groupBy("k").agg(n.alias("valid_cells"), F.count_if("mask").alias("changed_cells"), F.round(100.0 * F.count_if("mask") / F.greatest(n, F.lit(1)), 4).alias("changed_pct"), *(F.round(F.avg(F.when(F.col("valid"), F.col(x))), 4).alias(x) for x in ("spectral", "brightness", "vegetation")))
 
 
-@query("A03_plateau_otsu", f"""WITH {_TWO}, v AS (SELECT round(prob, 9) AS v FROM pr WHERE valid), e AS (SELECT min(v) AS lo, max(v) AS hi FROM v), b AS (SELECT least(CAST(floor((v - lo) / (hi - lo) * 256) AS INT), 255) AS bin, count(*) AS n FROM v, e WHERE hi > lo GROUP BY 1),
-    h AS (SELECT i AS bin, coalesce(n, 0) * 1e0 AS n, lo + (i + 0.5e0) * (hi - lo) / 256 AS centre FROM (SELECT unnest(range(256)) AS i) LEFT JOIN b ON b.bin = i, e),
-    w AS (SELECT a.bin, a.centre, sum(x.n) FILTER (x.bin <= a.bin) AS w1, sum(x.n * x.centre) FILTER (x.bin <= a.bin) AS s1, sum(x.n) FILTER (x.bin > a.bin) AS w2, sum(x.n * x.centre) FILTER (x.bin > a.bin) AS s2 FROM h a, h x GROUP BY 1, 2),
-    q AS (SELECT bin, centre, w1 * w2 * pow(s1 / w1 - s2 / w2, 2) AS variance FROM w WHERE w1 > 0 AND w2 > 0), t AS (SELECT list(centre ORDER BY bin) AS l FROM q WHERE variance >= (SELECT max(variance) FROM q) * (1 - 1e-9)) SELECT round(l[len(l) // 2 + 1], 6) AS threshold FROM t""")
+_OTSU = f"""{_TWO}, v AS (SELECT k, round(prob, 9) AS v FROM pr WHERE valid), e AS (SELECT k, min(v) AS lo, max(v) AS hi FROM v GROUP BY k), b AS (SELECT k, least(CAST(floor((v - lo) / (hi - lo) * 256) AS INT), 255) AS bin, count(*) AS n FROM v JOIN e USING (k) WHERE hi > lo GROUP BY 1, 2),
+    h AS (SELECT e.k, i AS bin, coalesce(n, 0) * 1e0 AS n, lo + (i + 0.5e0) * (hi - lo) / 256 AS centre FROM (SELECT unnest(range(256)) AS i) CROSS JOIN e LEFT JOIN b ON b.bin = i AND b.k = e.k WHERE hi > lo),
+    w AS (SELECT a.k, a.bin, a.centre, sum(x.n) FILTER (x.bin <= a.bin) AS w1, sum(x.n * x.centre) FILTER (x.bin <= a.bin) AS s1, sum(x.n) FILTER (x.bin > a.bin) AS w2, sum(x.n * x.centre) FILTER (x.bin > a.bin) AS s2 FROM h a JOIN h x USING (k) GROUP BY 1, 2, 3),
+    q AS (SELECT k, bin, centre, w1 * w2 * pow(s1 / w1 - s2 / w2, 2) AS variance FROM w WHERE w1 > 0 AND w2 > 0), t AS (SELECT k, list(centre ORDER BY bin) AS l FROM (SELECT *, max(variance) OVER (PARTITION BY k) AS best FROM q) WHERE best > 0 AND variance >= best * (1 - 1e-9) GROUP BY k),
+    ot AS (SELECT e.k, coalesce(l[len(l) // 2 + 1], 0.5e0) AS threshold FROM e LEFT JOIN t USING (k))"""
+
+
+@query("A03_plateau_otsu", f"WITH {_OTSU} SELECT k, round(threshold, 6) AS threshold FROM ot")
 def plateau_otsu(spark, sf_dir):
-    s = _scores(spark, sf_dir).where("valid").select(F.round("prob", 9).alias("prob"))
-    return scoring.plateau_otsu(s, "prob").select(F.round("threshold", 6).alias("threshold"))
+    s = _scores(spark, sf_dir).where("valid").select("k", F.round("prob", 9).alias("prob"))
+    return scoring.plateau_otsu(s, "prob").select("k", F.round("threshold", 6).alias("threshold"))
+
+
+@query("P16_otsu_mask", f"WITH {_OTSU} SELECT k, count(*) AS cells, count(*) FILTER (valid AND round(prob, 9) >= coalesce(threshold, 0.5e0)) AS changed_cells FROM pr LEFT JOIN ot USING (k) GROUP BY k")
+def otsu_mask(spark, sf_dir):
+    s = scoring.masked(_scores(spark, sf_dir).withColumn("p", F.round("prob", 9)), "p", "otsu", 0.5)
+    return s.groupBy("k").agg(F.count(F.lit(1)).alias("cells"), F.count_if("mask").alias("changed_cells"))
 
 
 @query("A12_brightness", f"WITH RECURSIVE {_COMP} SELECT k, comp, round(avg(g1), 2) AS brightness_t1, round(avg(g2), 2) AS brightness_t2, round(round(avg(g2), 2) - round(avg(g1), 2), 2) AS brightness_delta FROM (SELECT comp.k, comp.comp, a.gray AS g1, b.gray AS g2 FROM comp JOIN grid a ON a.r = comp.r AND a.c = comp.c AND a.k = comp.k - 1 JOIN grid b ON b.r = comp.r AND b.c = comp.c AND b.k = comp.k) GROUP BY k, comp")

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from groundshift.functions import keys
-from groundshift.operators import parcels, raster
+from groundshift.operators import parcels, raster, scoring
 from groundshift.operators import statistics as st
 from groundshift.operators.components import near_boxes
 from groundshift.plans.land import _COVER, _GRID, _SERIES, _cover, _grid, _indexed, _persistence
@@ -14,29 +14,31 @@ from groundshift.plans.registry import query
 from groundshift.plans.stats_profiles import PROFILES
 from groundshift.sources.tables import ctes, table
 
-_P95 = "SELECT r, c, red FROM pixels WHERE epoch = 1995"
+_COARSE = "t AS (SELECT DISTINCT epoch, CAST(floor(r * 10 / 15) AS INT) AS r, CAST(floor(c * 10 / 15) AS INT) AS c FROM pixels)"
 
 
-@query("J03_nearest", f"WITH {ctes('pixels')}, s AS ({_P95}), t AS (SELECT DISTINCT CAST(floor(r * 10 / 15) AS INT) AS r, CAST(floor(c * 10 / 15) AS INT) AS c FROM pixels) SELECT t.r, t.c, s.red FROM t LEFT JOIN s ON s.r = CAST(floor((t.r + 0.5e0) * 15 / 10) AS INT) AND s.c = CAST(floor((t.c + 0.5e0) * 15 / 10) AS INT)")
+def _coarse(p):
+    """Cells of 15 m that the cells of each epoch touch first."""
+    return p.select("epoch", F.floor(F.col("r") * 10 / 15).cast("int").alias("r"), F.floor(F.col("c") * 10 / 15).cast("int").alias("c")).distinct()
+
+
+@query("J03_nearest", f"WITH {ctes('pixels')}, {_COARSE} SELECT t.epoch, t.r, t.c, s.red FROM t LEFT JOIN pixels s ON s.epoch = t.epoch AND s.r = CAST(floor((t.r + 0.5e0) * 15 / 10) AS INT) AND s.c = CAST(floor((t.c + 0.5e0) * 15 / 10) AS INT)")
 def nearest(spark, sf_dir):
     p = table(spark, sf_dir, "pixels")
-    t = p.select(F.floor(F.col("r") * 10 / 15).cast("int").alias("r"), F.floor(F.col("c") * 10 / 15).cast("int").alias("c")).distinct()
-    return raster.nearest(t, p.where("epoch = 1995"), "red", 15.0, 10.0)
+    return raster.nearest(_coarse(p), p, "red", 15.0, 10.0, by=("epoch",))
 
 
-@query("J04_bilinear", f"WITH {ctes('pixels')}, s AS ({_P95}), t AS (SELECT r, c, (r + 0.5e0) * 15 / 10 - 0.5e0 AS y, (c + 0.5e0) * 15 / 10 - 0.5e0 AS x FROM (SELECT DISTINCT CAST(floor(r * 10 / 15) AS INT) AS r, CAST(floor(c * 10 / 15) AS INT) AS c FROM pixels)), n AS (SELECT t.*, i, j, CASE WHEN i = 1 THEN y - floor(y) ELSE 1 - (y - floor(y)) END * CASE WHEN j = 1 THEN x - floor(x) ELSE 1 - (x - floor(x)) END AS w FROM t, (VALUES (0), (1)) a(i), (VALUES (0), (1)) b(j)) SELECT n.r, n.c, round(sum(w * red) / nullif(sum(w), 0), 6) AS red FROM n JOIN s ON s.r = CAST(floor(y) AS INT) + i AND s.c = CAST(floor(x) AS INT) + j GROUP BY n.r, n.c")
+@query("J04_bilinear", f"WITH {ctes('pixels')}, {_COARSE}, y AS (SELECT *, (r + 0.5e0) * 15 / 10 - 0.5e0 AS y, (c + 0.5e0) * 15 / 10 - 0.5e0 AS x FROM t), n AS (SELECT y.*, i, j, CASE WHEN i = 1 THEN y - floor(y) ELSE 1 - (y - floor(y)) END * CASE WHEN j = 1 THEN x - floor(x) ELSE 1 - (x - floor(x)) END AS w FROM y, (VALUES (0), (1)) a(i), (VALUES (0), (1)) b(j)) SELECT n.epoch, n.r, n.c, round(sum(w * red) / nullif(sum(w), 0), 6) AS red FROM n JOIN pixels s ON s.epoch = n.epoch AND s.r = CAST(floor(n.y) AS INT) + i AND s.c = CAST(floor(n.x) AS INT) + j GROUP BY n.epoch, n.r, n.c")
 def bilinear(spark, sf_dir):
     p = table(spark, sf_dir, "pixels")
-    t = p.select(F.floor(F.col("r") * 10 / 15).cast("int").alias("r"), F.floor(F.col("c") * 10 / 15).cast("int").alias("c")).distinct()
-    return raster.bilinear(t, p.where("epoch = 1995"), "red", 15.0, 10.0).withColumn("red", F.round("red", 6))
+    return raster.bilinear(_coarse(p), p, "red", 15.0, 10.0, by=("epoch",)).withColumn("red", F.round("red", 6))
 
 
-@query("J01_J02_aligned_bands", f"WITH {ctes('pixels')} SELECT a.r, a.c, a.red AS red_1995, b.red AS red_2000, b.red - a.red AS delta FROM pixels a JOIN pixels b ON a.r = b.r AND a.c = b.c WHERE a.epoch = 1995 AND b.epoch = 2000")
+@query("J01_J02_aligned_bands", f"WITH {ctes('pixels')} SELECT b.epoch, a.r, a.c, a.red AS red_before, b.red AS red_after, b.red - a.red AS delta FROM pixels a JOIN pixels b ON a.r = b.r AND a.c = b.c AND b.epoch = a.epoch + 1")
 def aligned_bands(spark, sf_dir):
-    """Two dates in one row by a pivot over a fixed list of epochs: one aggregation instead of a self join."""
-    p = table(spark, sf_dir, "pixels").where(F.col("epoch").isin(1995, 2000))
-    w = p.groupBy("r", "c").pivot("epoch", [1995, 2000]).agg(F.first("red")).where("`1995` is not null and `2000` is not null")
-    return w.select("r", "c", F.col("1995").alias("red_1995"), F.col("2000").alias("red_2000"), (F.col("2000") - F.col("1995")).alias("delta"))
+    """Both dates of every pair of consecutive years in one row: one window by cell instead of a self join."""
+    w = scoring.date_pairs(table(spark, sf_dir, "pixels"), ["red"], F.lit(True))
+    return w.select(F.col("k").alias("epoch"), "r", "c", F.col("red_1").alias("red_before"), F.col("red_2").alias("red_after"), (F.col("red_2") - F.col("red_1")).alias("delta"))
 
 
 @query("A07_median_composite", "WITH o AS (SELECT CAST(year(l_shipdate) AS INT) AS epoch, CAST(floor(l_partkey / 50) AS INT) AS r, CAST(l_partkey % 50 AS INT) AS c, l_quantity AS v FROM lineitem) SELECT r, c, epoch, CASE WHEN count(v) >= 2 THEN median(v) END AS v, count(v) AS n FROM o GROUP BY r, c, epoch")
