@@ -101,9 +101,12 @@ def status_counts(spark, sf_dir):
     return compensation(spark, sf_dir).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("P29_illegal_grade", f"""WITH {_TYPED}, g AS (SELECT *, NOT matched AND coalesce(change_type IN ('NEW_BUILDING', 'EXPANSION_OR_RECONSTRUCTION'), FALSE) AS suspect, CASE WHEN arch_area > 0 THEN round(building_area * 1e0 / arch_area, 3) END AS excess FROM t),
+_GRADE = """g AS (SELECT *, NOT matched AND coalesce(change_type IN ('NEW_BUILDING', 'EXPANSION_OR_RECONSTRUCTION'), FALSE) AS suspect, CASE WHEN arch_area > 0 THEN round(building_area * 1e0 / arch_area, 3) END AS excess FROM t),
     h AS (SELECT *, suspect AND change_ratio >= 0.5e0 AND coalesce(max_change_score, 0e0) >= 0.6e0 AS strong, coalesce(excess >= 1.3e0, FALSE) AS over, matched AND approved IS NOT NULL AND coalesce(excess < 1.3e0, FALSE) AS explained FROM g),
-    i AS (SELECT *, CASE WHEN strong THEN 0.45e0 WHEN suspect THEN 0.15e0 ELSE 0e0 END + CASE WHEN over THEN 0.4e0 ELSE 0e0 END + CASE WHEN NOT consistent THEN 0.1e0 ELSE 0e0 END AS score FROM h)
+    i AS (SELECT *, CASE WHEN strong THEN 0.45e0 WHEN suspect THEN 0.15e0 ELSE 0e0 END + CASE WHEN over THEN 0.4e0 ELSE 0e0 END + CASE WHEN NOT consistent THEN 0.1e0 ELSE 0e0 END AS score FROM h)"""
+
+
+@query("P29_illegal_grade", f"""WITH {_TYPED}, {_GRADE}
     SELECT cand_id, CASE WHEN explained THEN 'NONE' WHEN strong AND over THEN 'A_STRONG' WHEN strong OR over THEN 'B_MODERATE' WHEN score > 0 THEN 'C_WEAK' ELSE 'NONE' END AS illegal_grade, CASE WHEN explained THEN 0e0 ELSE round(least(score, 1e0), 3) END AS illegal_score, excess AS area_excess_ratio FROM i""")
 def illegal_grade(spark, sf_dir):
     t = _typed(spark, sf_dir)
