@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from groundshift.plans import building, catalog, clusters, composite, epochs, evidence, features, fieldwork, focal, land, more, parcelview, quarry, reporting, scoring, screening, sensors, shapes, stats, summary, sweep  # noqa: F401  they register their queries
+from groundshift.plans import building, catalog, clusters, composite, epochs, evidence, features, fieldwork, focal, land, layers, more, parcelview, quarry, reporting, scoring, screening, sensors, shapes, stats, summary, sweep  # noqa: F401  they register their queries
 from groundshift.plans.registry import QUERIES, SQL, Query
 
 
