@@ -1,6 +1,6 @@
 """Polygons of any shape: coverage of cells, overlays, unions and distances, from edges alone.
 
-A polygon is its rings: ring 0 the outline, further ones holes, any direction. Each edge that is not vertical carries a sign, 1 where the inside lies below it and -1
+A polygon is its rings: ring 0 the outline, further ones holes within it, any direction; no side crosses another. Each edge that is not vertical carries a sign, 1 where the inside lies below it and -1
 where it lies above; the sum of the signs of all edges above a point is then 1 inside and 0 outside, and areas are signed sums of what lies below the edges. So an edge is worked on
 where it runs, without the rest of its polygon:
 

@@ -67,8 +67,8 @@ ADAPTERS = {
                                    (2, 0, 0, -3e0, -6e0), (2, 0, 1, 4e0, -6e0), (2, 0, 2, 4e0, 7e0), (2, 0, 3, -3e0, 7e0)) AS v(kind, ring, i, dx, dy) ON v.kind = c_custkey % 3""",
     "aoi_points": """
         SELECT 1 AS aoi_id, v.ring, v.i, v.x, v.y0 + v.h * top AS y FROM (SELECT 1 AS kind, floor(max(s_suppkey) / 10) * 40 + 40e0 AS top FROM supplier) t
-        JOIN (VALUES (1, 0, 0, 37e0, 12e0, 0e0), (1, 0, 1, 471e0, 33e0, 0e0), (1, 0, 2, 452e0, -18e0, 1e0), (1, 0, 3, 243e0, -66e0, 1e0), (1, 0, 4, 52e0, -9e0, 1e0),
-                     (1, 1, 0, 180e0, 3e0, 0.4e0), (1, 1, 1, 260e0, -8e0, 0.4e0), (1, 1, 2, 222e0, 5e0, 0.6e0)) AS v(kind, ring, i, x, y0, h) ON v.kind = t.kind""",
+        JOIN (VALUES (1, 0, 0, 37e0, 2e0, 0e0), (1, 0, 1, 471e0, 5e0, 0e0), (1, 0, 2, 452e0, 0e0, 0.96e0), (1, 0, 3, 243e0, 0e0, 0.85e0), (1, 0, 4, 52e0, 0e0, 0.98e0),
+                     (1, 1, 0, 180e0, 3e0, 0.4e0), (1, 1, 1, 260e0, -2e0, 0.4e0), (1, 1, 2, 222e0, 5e0, 0.6e0)) AS v(kind, ring, i, x, y0, h) ON v.kind = t.kind""",
     "candidates": """
         SELECT c_custkey AS cand_id, c_custkey % 5 = 0 AS near_change, CASE WHEN c_custkey % 3 = 0 THEN 0e0 ELSE (c_custkey * 31 % 100) / 100e0 END AS change_ratio,
                CASE WHEN c_custkey % 17 = 0 THEN NULL ELSE (c_custkey * 57 % 100) / 100e0 END AS max_change_score, (c_custkey * 13 % 200) * 1e0 AS change_area,
