@@ -19,7 +19,7 @@ def compared(single: DataFrame, composite: DataFrame, key: str, columns: list[st
 
 
 def agreement(runs: DataFrame, area: str) -> DataFrame:
-    """One row from compared: parcels, those that both runs can judge, the share of equal types among them, counts and overlap of each finding, correlation of the areas (over more than three)."""
+    """One row from compared: parcels, those that both runs can judge, the share of equal types among them, counts and overlap of each finding, correlation of the areas (over more than three; NULL where those of a run are all equal)."""
     ok = (F.col("composite_type_single") != "INSUFFICIENT_DATA") & (F.col("composite_type_comp") != "INSUFFICIENT_DATA")
     found = []
     for n, (c, t) in TARGETS.items():
@@ -28,5 +28,5 @@ def agreement(runs: DataFrame, area: str) -> DataFrame:
     pair = lambda x: F.when(ok, F.col(f"{area}_{x}"))
     return runs.agg(
         F.count(F.lit(1)).alias("n"), F.count_if(ok).alias("n_evaluable"), F.try_divide(F.count_if(ok & F.col("type_agree")), F.count_if(ok)).alias("agreement"), *found,
-        F.when(F.count_if(ok) > 3, F.corr(pair("single"), pair("comp"))).alias("exposed_r"), F.count_if("robust_any").alias("robust"),
+        F.when(F.count_if(ok) > 3, F.try_divide(F.covar_pop(pair("single"), pair("comp")), F.stddev_pop(pair("single")) * F.stddev_pop(pair("comp")))).alias("exposed_r"), F.count_if("robust_any").alias("robust"),
     )

@@ -84,7 +84,7 @@ def run_comparison(spark, sf_dir):
 @query("A48_two_runs", f"""WITH {_TWO_RUNS}, e AS (SELECT *, composite_type_single <> 'INSUFFICIENT_DATA' AND composite_type_comp <> 'INSUFFICIENT_DATA' AS ok FROM runs)
     SELECT count(*) AS n, count(*) FILTER (ok) AS n_evaluable, round(count(*) FILTER (ok AND type_agree) * 1e0 / nullif(count(*) FILTER (ok), 0), 6) AS agreement,
     {', '.join(f"count(*) FILTER ({c}_single = '{t}') AS {n}_single, count(*) FILTER ({c}_comp = '{t}') AS {n}_comp, count(*) FILTER ({c}_single = '{t}' AND {c}_comp = '{t}') AS {n}_both, round(count(*) FILTER ({c}_single = '{t}' AND {c}_comp = '{t}') * 1e0 / nullif(count(*) FILTER ({c}_single = '{t}' OR {c}_comp = '{t}'), 0), 6) AS {n}_jaccard" for n, (c, t) in comparison.TARGETS.items())},
-    CASE WHEN count(*) FILTER (ok) > 3 THEN round(corr(exposed_single, exposed_comp) FILTER (ok), 6) END AS exposed_r, count(*) FILTER (robust_exposed_increase OR robust_quarry_expansion) AS robust FROM e""")
+    CASE WHEN count(*) FILTER (ok) > 3 THEN round(covar_pop(exposed_single, exposed_comp) FILTER (ok) / nullif(stddev_pop(exposed_single) FILTER (ok) * stddev_pop(exposed_comp) FILTER (ok), 0), 6) END AS exposed_r, count(*) FILTER (robust_exposed_increase OR robust_quarry_expansion) AS robust FROM e""")
 def two_runs(spark, sf_dir):
     s = comparison.agreement(_runs(spark, sf_dir), "exposed")
     return s.select(*(F.round(c, 6).alias(c) if c in ("agreement", "exposed_r") or c.endswith("_jaccard") else c for c in s.columns))
