@@ -1,5 +1,6 @@
 """Rules on small hand-made cases."""
 
+import random
 from datetime import date
 
 import pytest
@@ -81,6 +82,25 @@ def test_route_walks_each_tier(spark):
     assert got == {3: 1, 2: 2, 1: 3, 4: 4, 8: 5, 9: 6, 5: 1}
 
 
+def test_long_route_is_the_plain_one(spark):
+    """Thousands of sites of one project, with places shared by several and some without a y: each step the least by tier, distance and id."""
+    rng = random.Random(3)
+    rows = [(1, k, rng.choice(["HIGH", "LOW"]), rng.random(), float(rng.randrange(80)), None if k % 97 == 0 else float(rng.randrange(400))) for k in range(4000)]
+    got = [r.site_id for r in reporting.routed(spark.createDataFrame(rows, "project int, site_id int, tier string, score double, x double, y double"), "project").orderBy("route_order").collect()]
+    want, here = [], None
+    for tier in ("HIGH", "LOW"):
+        left = {k: (x, y) for _, k, t, _, x, y in rows if t == tier}
+        while left:
+            if not want:
+                k = min((-r[3], r[1]) for r in rows if r[2] == tier)[1]
+            else:
+                far = lambda p: float("inf") if p[1] is None or here[1] is None else (p[0] - here[0]) ** 2 + (p[1] - here[1]) ** 2  # noqa: B023,E731
+                k = min(left, key=lambda k: (far(left[k]), k))  # noqa: B023
+            here = left.pop(k)
+            want.append(k)
+    assert got == want
+
+
 def test_numbers_within_groups_and_over_all(spark):
     df = spark.createDataFrame([(k % 3, (k * 37) % 101) for k in range(101)], "g int, v int").repartition(7)
     every = {r.v: r.n for r in numbered(df, [F.desc("v")], "n").collect()}
