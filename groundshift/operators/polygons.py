@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from groundshift.operators.components import written
 
 SIZE = 10.0
+#: Least side of the buckets in which sides meet: with buckets as small as a short reach a side would be in dozens of them.
+BUCKET = 16.0
 #: Areas below this are rounding.
 LEAST = 1e-6
 
@@ -220,10 +222,14 @@ def _bucketed(side: DataFrame, reach: float, around: float) -> DataFrame:
 
 def near_sides(a: DataFrame, b: DataFrame, reach: float, keep: list[str]) -> DataFrame:
     """Pairs of sides not farther apart than reach: columns keep of both, and distance. b's sides are (pa, qa, pb, qb)."""
+    size = max(reach, BUCKET)
     other = b.select(*(F.col(x) for x in b.columns if x not in ("pa", "qa", "pb", "qb")), F.col("pa").alias("xa"), F.col("qa").alias("ya"), F.col("pb").alias("xb"), F.col("qb").alias("yb"))
-    other = _bucketed(other, reach, 0.0)
+    other = _bucketed(other, size, 0.0)
     other = other.select(*(x for x in other.columns if x not in ("xa", "ya", "xb", "yb")), F.col("xa").alias("pa"), F.col("ya").alias("qa"), F.col("xb").alias("pb"), F.col("yb").alias("qb"))
-    j = _bucketed(a, reach, reach).join(other, ["bx", "by"]).withColumn("distance", side_distance())
+    apart = lambda u, v, p, q: F.greatest(F.least(u, v) - F.greatest(p, q), F.least(p, q) - F.greatest(u, v))
+    # boxes tell most pairs before their distance is worked out; a thousandth more than reach lets rounding tell none
+    boxes = (apart("xa", "xb", "pa", "pb") <= reach * 1.001) & (apart("ya", "yb", "qa", "qb") <= reach * 1.001)
+    j = _bucketed(a, size, reach).join(other, ["bx", "by"]).where(boxes).withColumn("distance", side_distance())
     return j.where(F.col("distance") <= reach).select(*keep, "distance")
 
 
@@ -255,10 +261,15 @@ def nearest_side(a: DataFrame, b: DataFrame, key: str, names: list[str], reach:
     return keys.join(told, key, "left")
 
 
+def covering(corners: DataFrame, b: Shapes) -> DataFrame:
+    """corners (x, y and more) with the polygons of b that cover some of their cell."""
+    at = corners.withColumns({"r": F.floor(F.col("y") / b.size).cast("int"), "c": F.floor(F.col("x") / b.size).cast("int")})
+    return at.join(b.cover.select(b.key, "r", "c"), ["r", "c"])
+
+
 def corners_inside(corners: DataFrame, key: str, b: Shapes) -> DataFrame:
-    """(key, key of b) of corners (key, x, y) that lie inside of a polygon of b: more sides end the inside above the corner than begin it."""
-    at = corners.withColumn("c", F.floor(F.col("x") / b.size).cast("int"))
-    j = at.join(b.pieces, "c").where((F.col("xa") <= F.col("x")) & (F.col("x") < F.col("xb")))
+    """(key, key of b) of corners (key, x, y) that lie inside of a polygon of b: more sides end the inside above the corner than begin it. A corner meets the polygons of its cell only, not all of its column."""
+    j = covering(corners, b).join(b.pieces, [b.key, "c"]).where((F.col("xa") <= F.col("x")) & (F.col("x") < F.col("xb")))
     above = F.col("ya") + (F.col("yb") - F.col("ya")) / (F.col("xb") - F.col("xa")) * (F.col("x") - F.col("xa")) > F.col("y")
     return j.where(above).groupBy(key, b.key).agg(F.sum("s").alias("s")).where("s > 0").select(key, b.key)
 

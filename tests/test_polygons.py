@@ -95,3 +95,12 @@ def test_empty_layers(spark):
     assert none.cover.count() == 0
     assert pg.overlaid(s, none).agg(F.sum("both")).first()[0] == 0
     assert pg.overlaps(s, none).count() == 0 and pg.touching(s, none, 9.0).count() == 0
+
+
+def test_corners_meet_the_polygons_of_their_cell_only(spark):
+    """A hundred squares one above another share their columns: a corner meets its own square, not all of them."""
+    many = {k: [[(x + 3, y + 40 * k + 3) for x, y in SQUARE]] for k in range(100)}
+    b = shapes(spark, many, "j")
+    corners = spark.createDataFrame([(k, 13.0, 40.0 * k + (13 if k % 2 else 33)) for k in range(100)], "k bigint, x double, y double")
+    assert pg.covering(corners, b).count() == 50
+    assert {tuple(r) for r in pg.corners_inside(corners, "k", b).collect()} == {(k, k) for k in range(1, 100, 2)}
