@@ -131,7 +131,7 @@ def uncovered(spark, sf_dir):
     SELECT k AS bld_id, round(coalesce(ab, 0e0) + 1e-9, 4) AS overlap_m2, round(coalesce(ab, 0e0) / area + 1e-9, 6) AS change_ratio, score AS max_score, CASE WHEN most > 0 THEN site END AS site_id, coalesce(near, FALSE) AS near_change FROM f LEFT JOIN h ON ka = k""")
 def shape_overlay(spark, sf_dir):
     f, z = _shapes(spark, sf_dir, "footprint_points", "bld_id"), _shapes(spark, sf_dir, "zone_points", "zone_id")
-    o = pg.overlaps(f, z).select("bld_id", "zone_id", _r("overlap", 4).alias("both"))
+    o = pg.overlaps(f, z).select("bld_id", "zone_id", _r("overlap", 4).alias("both")).where("both > 0")  # what rounds to nothing is none
     score = (F.col("zone_id") * 31 % 100) / F.lit(100.0)
     o = o.groupBy("bld_id").agg(F.sum("both").alias("both"), F.max_by("zone_id", F.struct("both", -F.col("zone_id"))).alias("site_id"), F.max(score).alias("max_score"))
     near = pg.touching(f, z, 3.0).select("bld_id").distinct().withColumn("near", F.lit(True))
