@@ -48,31 +48,92 @@ def validation_split(key: Column, folds: int = 5) -> Column:
     return F.conv(F.substring(F.sha2(key.cast("string"), 256), 1, 4), 16, 10).cast("int") % folds == 0
 
 
+#: Rows of a task that looks for neighbours, and distances that are worked out at a time.
+TASK_ROWS, DISTANCES = 500_000, 1 << 20
+
+
+def _nearest(k: int, reach: float):
+    """The task of whole cells, one after another: (cx, cy, asks, key, x, y) in the order of cells and keys to (id, other, d2, rank, full). It holds one cell's candidates and needs nothing of this package."""
+    most = DISTANCES
+
+    def task(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        def told(parts):
+            t = pa.Table.from_batches(parts)
+            key, x, y = t.column(3).combine_chunks(), t.column(4).to_numpy(), t.column(5).to_numpy()
+            asks = t.column(2).to_numpy()
+            code = np.r_[0, np.cumsum(np.asarray(pc.not_equal(key[1:], key[:-1])))]  # equal keys have one number
+            of, to = np.flatnonzero(asks), np.flatnonzero(~asks)
+            step = max(1, most // max(1, len(to)))
+            for i in range(0, len(of) if len(to) else 0, step):
+                q = of[i : i + step]
+                dx, dy = x[q][:, None] - x[to], y[q][:, None] - y[to]
+                d = dx * dx + dy * dy
+                d[(code[q][:, None] == code[to]) | ~(d <= reach * reach)] = np.inf
+                last = np.partition(d, k - 1, 1)[:, k - 1] if len(to) > k else np.full(len(q), np.inf)
+                row, at = np.nonzero((d <= last[:, None]) & np.isfinite(d))
+                far = d[row, at]
+                order = np.lexsort((at, far, row))  # of equally near ones the least key
+                row, at, far = row[order], at[order], far[order]
+                rank = np.arange(len(row)) - np.searchsorted(row, row) + 1
+                keep = rank <= k
+                row, at, far, rank = row[keep], at[keep], far[keep], rank[keep]
+                full = (np.bincount(row, minlength=len(q)) == k)[row]
+                yield pa.RecordBatch.from_arrays([key.take(pa.array(q[row])), key.take(pa.array(to[at])), pa.array(far), pa.array(rank.astype(np.int32)), pa.array(full)], ["id", "other", "d2", "rank", "full"])
+
+        now, parts = None, []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            cx, cy = (batch.column(c).to_numpy() for c in range(2))
+            cut = np.flatnonzero((cx[1:] != cx[:-1]) | (cy[1:] != cy[:-1])) + 1
+            for i, j in zip([0, *cut.tolist()], [*cut.tolist(), batch.num_rows]):
+                if parts and (cx[i], cy[i]) != now:
+                    yield from told(parts)
+                    parts = []
+                now = (cx[i], cy[i])
+                parts.append(batch.slice(i, j - i))
+        if parts:
+            yield from told(parts)
+
+    return task
+
+
 def neighbours(points: DataFrame, k: int, cell: float, key: str = "id") -> DataFrame:
     """(id, other, d2, rank): the k nearest others. Candidates are in the 3 x 3 cells around a point; a ring that may be too small is widened until
-    each point has k neighbours nearer than the ring's edge, so the result is exact. Rounds end, as rings double up to the extent."""
-    p = points.select(key, "x", "y")
+    each point has k neighbours nearer than the ring's edge, so the result is exact. Rounds end, as rings double up to the extent. Pairs are compared within a cell and only the nearest leave it;
+    tasks grow in number with the points, not in size."""
+    spark = points.sparkSession
+    p = points.where("x is not null and y is not null").select(key, F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
     size = cell
     todo, done = p, None
-    span = p.agg(F.greatest(F.max("x") - F.min("x"), F.max("y") - F.min("y")).alias("s")).first()["s"] or 0.0
+    all_ = p.agg(F.greatest(F.max("x") - F.min("x"), F.max("y") - F.min("y")).alias("s"), F.count(F.lit(1)).alias("n")).first()
+    span, waiting = all_["s"] or 0.0, all_["n"]
+    of = points.schema[key].dataType.simpleString()
     while True:
-        at = lambda c: F.floor(F.col(c) / size)  # noqa: B023,E731
-        near = todo.select(F.col(key).alias("id"), F.col("x").alias("ax"), F.col("y").alias("ay"), F.explode(F.sequence(at("x") - 1, at("x") + 1)).alias("cx"), at("y").alias("by"))
-        near = near.withColumn("cy", F.explode(F.sequence(F.col("by") - 1, F.col("by") + 1)))
-        others = p.select(F.col(key).alias("other"), F.col("x").alias("bx"), F.col("y").alias("byy"), at("x").alias("cx"), at("y").alias("cy"))
-        d2 = F.pow(F.col("ax") - F.col("bx"), F.lit(2)) + F.pow(F.col("ay") - F.col("byy"), F.lit(2))
-        pairs = near.join(others, ["cx", "cy"]).where("id <> other").withColumn("d2", d2)
-        if size < span:
-            pairs = pairs.where(F.col("d2") <= size * size)
-        ranked = pairs.withColumn("rank", F.row_number().over(Window.partitionBy("id").orderBy("d2", "other"))).where(F.col("rank") <= k).select("id", "other", "d2", "rank")
-        ranked = written(ranked)  # a round reads the last one's result and does not make it again
+        at = lambda c: F.floor(F.col(c) / size).cast("bigint")  # noqa: B023,E731
+        placed = lambda d: d.withColumns({"cx": at("x"), "cy": at("y")})  # noqa: B023,E731
+        around = lambda d: d.withColumn("cx", F.explode(F.sequence(F.col("cx") - 1, F.col("cx") + 1))).withColumn("cy", F.explode(F.sequence(F.col("cy") - 1, F.col("cy") + 1)))
+        asked, others = placed(todo), placed(p)
+        if done is None:
+            others = around(others)
+        else:  # few are left: only what lies around them
+            wanted = asked.select("cx", "cy").distinct().withColumns({"tx": F.col("cx"), "ty": F.col("cy")})
+            others = others.join(around(wanted), ["cx", "cy"]).drop("cx", "cy").withColumnsRenamed({"tx": "cx", "ty": "cy"})
+        rows = asked.select("cx", "cy", F.lit(True).alias("asks"), key, "x", "y").union(others.select("cx", "cy", F.lit(False), key, "x", "y"))
+        parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-10 * waiting // TASK_ROWS))
+        near = rows.repartition(parts, "cx", "cy").sortWithinPartitions("cx", "cy", key).mapInArrow(_nearest(k, size if size < span else float("inf")), f"id {of}, other {of}, d2 double, rank int, full boolean")
+        near = written(near)  # a round reads the last one's result and does not make it again
+        found = near.where("full").drop("full")
         if size >= span:
-            return ranked if done is None else done.unionByName(ranked)
-        full = ranked.groupBy("id").agg(F.max("rank").alias("m")).where(F.col("m") == k).select("id")
-        found = ranked.join(full, "id", "left_semi")
+            return near.drop("full") if done is None else done.unionByName(near.drop("full"))
         done = found if done is None else done.unionByName(found)
-        todo = written(todo.join(full.withColumnRenamed("id", key), key, "left_anti"))
-        if not todo.count():
+        todo = written(todo.join(found.where("rank = 1").select(F.col("id").alias(key)), key, "left_anti").select(p.columns))
+        waiting = todo.count()
+        if not waiting:
             return done
         size *= 2
 

@@ -75,6 +75,18 @@ def test_neighbours_widen_their_ring(spark):
     assert got == {(1, 1): 2, (1, 2): 3, (2, 1): 1, (2, 2): 3, (3, 1): 2, (3, 2): 1}
 
 
+def test_neighbours_in_small_pieces_equal_brute_force(spark, monkeypatch):
+    """Few rows a task and few distances at a time, places shared by several, one point far away, keys that are text."""
+    monkeypatch.setattr(statistics, "TASK_ROWS", 50)
+    monkeypatch.setattr(statistics, "DISTANCES", 64)
+    rng = random.Random(5)
+    at = {f"p{k:03d}": (float(rng.randrange(30)), float(rng.randrange(30))) for k in range(120)} | {"far": (900.0, 900.0)}
+    got = {(r.id, r["rank"]): (r.other, r.d2) for r in statistics.neighbours(spark.createDataFrame([(k, *v) for k, v in at.items()], "id string, x double, y double"), 4, 4.0).collect()}
+    far = lambda a, b: (at[a][0] - at[b][0]) ** 2 + (at[a][1] - at[b][1]) ** 2
+    want = {(a, i + 1): (b, far(a, b)) for a in at for i, b in enumerate(sorted((b for b in at if b != a), key=lambda b: (far(a, b), b))[:4])}
+    assert got == want
+
+
 def test_route_walks_each_tier(spark):
     rows = [(7, 4, "MEDIUM", 0.2, 9.0, 0.0), (7, 1, "MEDIUM", 0.9, 2.0, 0.0), (7, 2, "HIGH", 0.1, 1.0, 0.0), (7, 3, "HIGH", 0.6, 6.0, 0.0), (7, 9, "HIGH", 1.0, None, None), (7, 8, "LOW", 1.0, None, 0.0), (8, 5, "LOW", 0.3, 0.0, 0.0)]
     df = spark.createDataFrame(rows, "project int, site_id int, tier string, score double, x double, y double")
