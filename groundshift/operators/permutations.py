@@ -1,22 +1,22 @@
 """Permutation tests of spatial statistics without a row for each point and permutation.
 
 Points are numbered in the order of a hash of their key, so their places say nothing about where they lie. Permutation s is the bijection place -> (a(s) * place + b(s)) mod n
-of these numbers, with a(s) prime to n; a row computes all its permutations from an array of values, and what is added up from row to row is one number for each
-permutation. There are n * phi(n) such bijections: enough for hundreds of permutations of some hundred points, while for a few dozen points some come twice. For the conditional test of a point, its neighbours are drawn from the other n - 1 places in the same way.
+of these numbers, with a(s) prime to n; rows are dealt to groups, and each group gets the values of all places, one number a place, by a
+shuffle of blocks; a row then computes all its permutations, and what is added up from row to row is one number for each permutation. No value passes the driver. There are n * phi(n) such bijections: enough for hundreds of permutations of some hundred points, while for a few dozen points some come twice. For the conditional test of a point, its neighbours are drawn from the other n - 1 places in the same way.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from groundshift.operators.components import written
 from groundshift.operators.ranking import numbered
 
-#: Values that are sent to every task as one array; with more of them permuted places are joined with the values.
-BROADCAST = 2_000_000
+#: Rows of one group on average (BROADCAST: each group gets all values), groups for each core at least, values of one block and rows that are worked on at a time.
+BROADCAST, GROUPS, VALUES, ROWS = 250_000, 2, 1 << 16, 8192
 
 
 def multipliers(n: int, permutations: int, seed: int) -> list[tuple[int, int]]:
@@ -37,21 +37,17 @@ def _placed(points: DataFrame, value: str, key: str) -> DataFrame:
     return numbered(p, [F.col("h"), F.col("id")], "place").select("id", "v", (F.col("place") - 1).alias("place"))
 
 
-def _sums(rows: DataFrame, placed: DataFrame, n: int, draws: Column, total) -> DataFrame:
-    """rows with sums: for each permutation total() of the values at the places that draws names for it (an array of places for each permutation)."""
-    if n <= BROADCAST:
-        values = placed.agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "v"))), lambda x: x["v"]).alias("values"))
-        j = rows.join(F.broadcast(values))
-        return j.withColumn("sums", F.transform(draws, lambda at: total(F.transform(at, lambda k: F.get("values", k.cast("int")))))).drop("values")
-    long = rows.select("id", F.posexplode(draws).alias("s", "at")).select("id", "s", F.posexplode("at").alias("i", "place"))
-    got = long.join(placed.select("place", "v"), "place").groupBy("id", "s").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "v"))), lambda x: x["v"]).alias("x"))
-    got = got.withColumn("x", total(F.col("x"))).groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct("s", "x"))), lambda x: x["x"]).alias("sums"))
-    return rows.join(got, "id")
+def _permuted(rows: DataFrame, placed: DataFrame, n: int, task, schema: str) -> DataFrame:
+    """task(rows of a group as a table, values of all n places as an array) of each group of rows."""
+    groups = max(GROUPS * rows.sparkSession.sparkContext.defaultParallelism, -(-n // max(1, BROADCAST)))
+    blocks = placed.groupBy(F.floor(F.col("place") / VALUES).alias("block")).agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "v"))), lambda x: x["v"]).alias("v"))
+    blocks = written(blocks).select(F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"), "block", "v")
 
+    def whole(own, values):
+        return task(own, values.sort_by("block")["v"].combine_chunks().flatten().to_numpy())
 
-def _array(pairs: list[tuple[int, int]]) -> Column:
-    text = "[" + ",".join(f'{{"a":{a},"b":{b}}}' for a, b in pairs) + "]"
-    return F.from_json(F.lit(text), "array<struct<a:bigint,b:bigint>>")
+    own = rows.withColumn("group", F.pmod(F.xxhash64("id"), F.lit(groups)).cast("int"))
+    return own.repartition(groups, "group").groupBy("group").cogroup(blocks.repartition(groups, "group").groupBy("group")).applyInArrow(whole, schema)
 
 
 def morans_i(points: DataFrame, edges: DataFrame, value: str, key: str = "id", permutations: int = 999, seed: int = 42) -> DataFrame:
@@ -65,11 +61,25 @@ def morans_i(points: DataFrame, edges: DataFrame, value: str, key: str = "id", p
     z = placed.join(F.broadcast(mean)).select("id", (F.col("v") - F.col("m")).alias("v"), "place")
     own, other = z.select("id", "place"), z.select(F.col("id").alias("other"), F.col("place").alias("to"))
     rows = edges.select("id", "other").join(other, "other").groupBy("id").agg(F.array_sort(F.collect_list("to")).alias("to")).join(own, "id")
-    # permutation 0 leaves all as it is
-    moved = lambda s: F.transform(F.concat(F.array("place"), "to"), lambda x: (x * s["a"] + s["b"]) % n)
-    draws = F.transform(_array([(1, 0), *multipliers(n, permutations, seed)]), moved)
-    product = lambda x: F.get(x, F.lit(0)) * (F.aggregate(x, F.lit(0.0), lambda a, v: a + v) - F.get(x, F.lit(0))) / (F.size(x) - 1)
-    sums = _sums(rows, z, n, draws, product).select(F.posexplode("sums").alias("s", "x")).groupBy("s").agg(F.sum("x").alias("x"))
+    pairs, most = [(1, 0), *multipliers(n, permutations, seed)], ROWS  # permutation 0 leaves all as it is
+
+    def task(own, values):
+        import numpy as np
+        import pyarrow as pa
+
+        total = np.zeros(len(pairs))
+        if own.num_rows:
+            place, to = own["place"].to_numpy(), own["to"].combine_chunks()
+            size = to.value_lengths().to_numpy()
+            flat, ends = to.flatten().to_numpy(), np.r_[0, np.cumsum(size)]
+            for i in range(0, len(place), most):
+                j = min(i + most, len(place))
+                p, t, start = place[i:j], flat[ends[i] : ends[j]], ends[i:j] - ends[i]
+                for s, (a, b) in enumerate(pairs):
+                    total[s] += (values[(p * a + b) % n] * np.add.reduceat(values[(t * a + b) % n], start) / size[i:j]).sum()
+        return pa.table({"s": pa.array(np.arange(len(pairs), dtype=np.int32)), "x": pa.array(total)})
+
+    sums = _permuted(rows, z, n, task, "s int, x double").groupBy("s").agg(F.sum("x").alias("x"))
     scale = z.agg(F.sum(F.col("v") * F.col("v")).alias("s2"))
     i = sums.join(F.broadcast(scale)).select("s", F.round(F.try_divide("x", "s2"), 12).alias("i"))
     first = i.where("s = 0").select(F.col("i").alias("moran_i"))
@@ -87,9 +97,22 @@ def getis_ord(points: DataFrame, edges: DataFrame, value: str, key: str = "id",
         return points.select(F.col(key).alias("id"), F.lit(None).cast("bigint").alias("above"), F.lit(None).cast("double").alias("p_sim"))
     value_of = placed.select(F.col("id").alias("other"), F.col("v").alias("w"))
     rows = edges.select("id", "other").join(value_of, "other").groupBy("id").agg(F.sum("w").alias("sum"), F.count(F.lit(1)).alias("k")).join(placed.select("id", "place"), "id")
-    drawn = lambda s: F.transform(F.sequence(F.lit(1), F.col("k").cast("int")), lambda m: (F.col("place") + 1 + (m * s["a"] + s["b"] + F.col("place") * 7) % (n - 1)) % n)
-    draws = F.transform(_array(multipliers(n - 1, permutations, seed)), drawn)
-    total = lambda x: F.aggregate(x, F.lit(0.0), lambda a, v: a + v)
-    j = _sums(rows, placed, n, draws, total)
-    above = F.size(F.filter("sums", lambda x: F.round(x, 9) >= F.round("sum", 9))).cast("bigint")
-    return j.select("id", above.alias("above")).select("id", "above", ((F.least("above", permutations - F.col("above")) + 1) / (permutations + 1.0)).alias("p_sim"))
+    pairs, most = multipliers(n - 1, permutations, seed), ROWS
+
+    def task(own, values):
+        import numpy as np
+        import pyarrow as pa
+
+        place, k, total = own["place"].to_numpy(), own["k"].to_numpy(), own["sum"].to_numpy()
+        above = np.zeros(len(place), np.int64)
+        for i in range(0, len(place), most):
+            p, size, least = place[i : i + most], k[i : i + most], np.round(total[i : i + most], 9)
+            for a, b in pairs:
+                x = np.zeros(len(p))
+                for m in range(1, int(size.max()) + 1):
+                    x += np.where(size >= m, values[(p + 1 + (m * a + b + p * 7) % (n - 1)) % n], 0.0)
+                above[i : i + most] += np.round(x, 9) >= least
+        return pa.table({"id": own["id"], "above": pa.array(above)})
+
+    j = _permuted(rows, placed, n, task, f"id {points.schema[key].dataType.simpleString()}, above bigint")
+    return j.select("id", "above", ((F.least("above", permutations - F.col("above")) + 1) / (permutations + 1.0)).alias("p_sim"))

@@ -98,3 +98,17 @@ def test_offset_of_two_dates(spark):
     got = {x.k: x for x in raster.offsets(spark.createDataFrame(rows, "k int, r int, c int, v double, w double"), 10.0).collect()}
     assert abs(got[1].dy - 1) < 0.1 and abs(got[1].dx + 1) < 0.1 and got[1].quality > 0.99 and abs(got[1].displacement - 14.14) < 1
     assert got[2].dy is None and got[2].displacement is None
+
+
+def test_permutations_do_not_depend_on_blocks_and_groups(spark, monkeypatch):
+    points = spark.createDataFrame([(i, float(i * 37 % 41)) for i in range(60)], "id int, v double")
+    edges = spark.createDataFrame([(i, (i + d) % 60, d) for i in range(60) for d in (1, 2, 3)], "id int, other int, rank int")
+
+    def told():
+        m = pm.morans_i(points, edges, "v", permutations=29, seed=3).first()
+        return m.n, round(m.moran_i, 9), m.p_sim, round(m.z_sim, 9), sorted((r.id, r.above) for r in pm.getis_ord(points, edges, "v", permutations=29, seed=3).collect())
+
+    one = told()
+    for name, value in (("VALUES", 7), ("ROWS", 3), ("GROUPS", 5)):
+        monkeypatch.setattr(pm, name, value)
+    assert told() == one
