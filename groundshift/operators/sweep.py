@@ -64,14 +64,15 @@ def swept(states: DataFrame, expansion: DataFrame, area: DataFrame, parcels: Dat
     at = lambda name, v: F.element_at(name, settings.index((v.delta, v.increase)) + 1)
     found = lambda i: F.coalesce(F.array_contains("variants", i), F.lit(False))
     own = F.array(*(F.struct(F.lit(i).alias("i"), at("exposed", v).alias("exposed"), at("loss", v).alias("loss"), at("recovery", v).alias("recovery"), found(i).alias("expansion")) for i, v in enumerate(variants)))
-    cells = written(states.join(expansion, ["r", "c"], "left").select("r", "c", own.alias("s")))
-    rows = lambda df, *keep: df.select(*keep, F.explode("s").alias("x")).select(*keep, "x.*")
+    # a cell's row is its few flags until it has met its area. Such rows are written in far less than they take in memory, so their files' size must not let them be sent to all tasks
+    cells = written(states.join(expansion, ["r", "c"], "left")).hint("merge")
+    rows = lambda df, *keep: df.select(*keep, F.explode(own).alias("x")).select(*keep, "x.*")
     total = lambda m: F.coalesce(F.sum(F.when(F.col(m), F.col("area"))), F.lit(0.0))
     inner = rows(area.join(cells, ["r", "c"]), "area").groupBy("i").agg(*((total(m) / 10000.0).alias(f"{m}_ha") for m in ("exposed", "loss", "expansion", "recovery")))
     by = rows(parcels.join(cells, ["r", "c"]), key, "area").groupBy("i", key).agg(total("exposed").alias("e"), total("expansion").alias("p"))
     enough = lambda c: F.round(c, 6) >= least_area
     by = by.groupBy("i").agg(F.count_if(enough("e")).alias("parcels_exposed"), F.count_if(enough("p")).alias("parcels_expansion"))
-    first = cells.withColumn("b", F.element_at("s", 1))
+    first = cells.withColumn("b", F.element_at(own, 1))
     both = rows(first, "b").groupBy("i").agg(*(F.count_if(F.col(m) & F.col(f"b.{m}")).alias(f"{m}_both") for m in ("exposed", "expansion")), *(F.count_if(F.col(m) | F.col(f"b.{m}")).alias(f"{m}_either") for m in ("exposed", "expansion")))
     names = states.sparkSession.createDataFrame([(i, v.parameter, v.value) for i, v in enumerate(variants)], "i int, parameter string, value string")
     out = names.join(inner, "i", "left").join(by, "i", "left").join(both, "i", "left")

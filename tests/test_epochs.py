@@ -99,3 +99,18 @@ def test_ways_make_rings(spark):
         at = ring.index(got[rel][0])
         around = [ring[(at + k) % len(ring)] for k in range(len(ring))]
         assert got[rel] in (around, [around[0], *around[:0:-1]])
+
+
+def test_swept_cells_are_not_sent_to_all_tasks(spark):
+    """The table of all cells compresses well; its files' size lets nothing be broadcast."""
+    from groundshift.operators import sweep
+
+    variants = sweep.one_at_a_time({"delta": -0.2, "increase": 0.1, "least": 1, "adjacency": 30.0, "followup": 1}, {"least": [2, 3]})
+    states = spark.range(400).selectExpr("int(id / 20) r", "int(id % 20) c", "array(id % 3 = 0) exposed", "array(id % 2 = 0) loss", "array(false) recovery")
+    expansion = states.where("r < 2").selectExpr("r", "c", "array(0, 2) variants")
+    cover = states.selectExpr("r", "c", "100.0D area")
+    out = sweep.swept(states, expansion, cover, cover.selectExpr("r k", "r", "c", "area"), variants, [(-0.2, 0.1)], "k", 100.0)
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("SortMergeJoin [r#") == 2
+    got = {(r.parameter, r.value): (r.loss_ha, r.expansion_ha, r.parcels_expansion) for r in out.collect()}
+    assert got == {("default", "default"): (2.0, 0.4, 2), ("least", "2"): (2.0, 0.0, 0), ("least", "3"): (2.0, 0.4, 2)}
