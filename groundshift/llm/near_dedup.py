@@ -10,9 +10,9 @@ Texts with equal multisets are one node. Signatures are cut into bands; nodes th
 are verified by the overlap of their multisets, kept as 32-bit hashes (bags of 20,000 words that share nothing seem to share a tenth of an element). Each
 node is first tried with its smallest partner, then with the smallest of each shared key, and at last all pairs of a key that are still in
 different classes are tried, block of rows by block of rows, unless sketches of their signatures differ too much (a pair of similarity 0.8
-does so with probability 2e-8). A key with more members than a block is parted by the other bands first: of its pairs those that share a
-second band are tried. Pairs within a class that is already known are never made, and there is no cap on partners. A pair of
-similarity 0.8 shares no band with probability 5e-6, and not two with 8e-5. Hot keys are salted wherever rows meet by key.
+does so with probability 2e-8). Of a key with more members than a block the blocks meet by their sketches alone, and the pairs that these leave are verified; both ways try the
+same pairs. Pairs within a class that is already known are never made, and there is no cap on partners. A pair of
+similarity 0.8 shares no band with probability 5e-6. Hot keys are salted wherever rows meet by key.
 
 Definite results: texts of one to four words are one shingle; null texts and texts without words are classes of their own; very long texts are compared
 whole; of a class's members the least doc_id names it, so ties cannot arise; a null doc_id has a null class; repeated rows get equal classes; an
@@ -214,20 +214,37 @@ def _unit_links(block, band, label, doc, bag, keys, sketch) -> list[tuple[int, i
     return out
 
 
+def _unit_close(block, label, doc, size, sketch) -> list[tuple[int, int]]:
+    """Pairs of a unit of a large key that their sketches do not part; their bags are still to be compared."""
+    one = block[0] == block[-1] and (block == block[0]).all()
+    out = []
+    for a in range(len(doc)):
+        others = np.flatnonzero((doc > doc[a]) & (label != label[a]) & (one | (block != block[a])) & (np.minimum(size, size[a]) >= SIMILAR * np.maximum(size, size[a])))
+        if len(others):
+            others = others[np.bitwise_count(sketch[others] ^ sketch[a]).sum(1) <= APART]
+            out.extend((int(doc[a]), int(doc[b])) for b in others)
+    return out
+
+
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links of the units of a partition, which come one after another; a unit has two blocks of rows at most."""
+    """Links of the units of a partition, which come one after another; a unit has two blocks of rows at most. Of rows without bags: the pairs that sketches leave."""
 
     def closed(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
         t = pa.Table.from_batches(rows)
-        block, band, label, doc = (t[c].to_numpy() for c in ("block", "band", "label", "doc"))
-        lists = t["bag"].combine_chunks()
-        flat, ends = lists.flatten().to_numpy(), np.r_[0, np.cumsum(lists.value_lengths().to_numpy())]
-        bag = [flat[x:y] for x, y in zip(ends[:-1], ends[1:], strict=True)]
-        keys = t["keys"].combine_chunks().flatten().to_numpy().reshape(len(doc), -1)
+        block, label, doc = (t[c].to_numpy() for c in ("block", "label", "doc"))
         sketch = np.stack([t[f"s{k}"].to_numpy() for k in range(SKETCH)], 1).view(np.uint64)
         unit = np.stack([t[c].to_numpy().astype(np.int64) for c in ("key", "i", "j")])
         edge = np.r_[0, np.flatnonzero((unit[:, 1:] != unit[:, :-1]).any(0)) + 1, len(doc)]
-        found = [x for i, j in zip(edge[:-1], edge[1:], strict=True) if j > i + 1 for x in _unit_links(block[i:j], band[i:j], label[i:j], doc[i:j], bag[i:j], keys[i:j], sketch[i:j])]
+        several = [(i, j) for i, j in zip(edge[:-1], edge[1:], strict=True) if j > i + 1]
+        if "bag" in t.column_names:
+            band, lists = t["band"].to_numpy(), t["bag"].combine_chunks()
+            flat, ends = lists.flatten().to_numpy(), np.r_[0, np.cumsum(lists.value_lengths().to_numpy())]
+            bag = [flat[x:y] for x, y in zip(ends[:-1], ends[1:], strict=True)]
+            keys = t["keys"].combine_chunks().flatten().to_numpy().reshape(len(doc), -1)
+            found = [x for i, j in several for x in _unit_links(block[i:j], band[i:j], label[i:j], doc[i:j], bag[i:j], keys[i:j], sketch[i:j])]
+        else:
+            size = t["size"].to_numpy()
+            found = [x for i, j in several for x in _unit_close(block[i:j], label[i:j], doc[i:j], size[i:j], sketch[i:j])]
         return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in range(2)], ["a", "b"])
 
     held: list[pa.RecordBatch] = []
@@ -305,16 +322,21 @@ def classes(docs: DataFrame) -> DataFrame:
     labels = _relabelled(labels, verified(m.join(least, "least").where("label != other").select(F.col("least").alias("a"), F.col("doc").alias("b"))))
     m = open_keys()
     keys = s.select("doc", "keys").dropDuplicates(["doc"])
-    few = m.where(F.col("n") <= BLOCK).select("key", F.lit(-1).alias("second"), "band", "label", "doc", "n")
-    many = m.where(F.col("n") > BLOCK).select("key", "band", "label", "doc").join(keys, "doc").select("key", "band", "label", "doc", F.posexplode("keys").alias("at", "other"))
-    many = many.where(F.col("at") != F.col("band")).select(F.xxhash64("key", "other").alias("key"), F.col("at").alias("second"), "band", "label", "doc")
-    units = few.unionByName(met(written(many), "key", "second").select(few.columns))
-    units = units.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
-    units = units.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    units = written(units.select(F.xxhash64("key", "second").alias("key"), F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "band", "label", "doc"))
-    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-units.count() // UNIT_ROWS))
-    m = units.join(bags, "doc").join(keys, "doc").select("key", "i", "j", "block", "band", "label", "doc", "bag", "keys", *(f"s{k}" for k in range(SKETCH)))
-    links = m.repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j", "doc").mapInArrow(freed(_links), "a bigint, b bigint")
+    marks = [f"s{k}" for k in range(SKETCH)]
+    least_parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def linked(units: DataFrame, rows: int) -> DataFrame:
+        return units.repartition(max(least_parts, -(-rows // UNIT_ROWS)), "key", "i", "j").sortWithinPartitions("key", "i", "j", "doc").mapInArrow(freed(_links), "a bigint, b bigint")
+
+    few, many = m.where(F.col("n") <= BLOCK), m.where(F.col("n") > BLOCK)
+    zero = F.lit(0).cast("int")
+    units = written(few.select("key", zero.alias("i"), zero.alias("j"), zero.alias("block"), "band", "label", "doc"))
+    links = linked(units.join(bags, "doc").join(keys, "doc").select("key", "i", "j", "block", "band", "label", "doc", "bag", "keys", *marks), units.count())
+    # a large key: every two of its blocks meet, with sketches instead of bags
+    many = many.join(bags.select("doc", "size", *marks), "doc").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
+    many = written(many.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "label", "doc", "size", *marks))
+    if rows := many.count():
+        links = links.union(verified(linked(many, rows)))
     labels = _relabelled(labels, written(links.distinct()))
 
     of_node = copies.join(labels, copies["node"] == labels["doc"], "left").select("d0", "d1", "n", F.coalesce("label", "node").alias("class_id"))

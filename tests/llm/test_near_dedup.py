@@ -94,6 +94,30 @@ def test_blocks_lose_no_link(spark, monkeypatch, block):
     assert {r.doc_id: r.class_id for r in near_dedup.classes(df).collect()} == brute(rows)
 
 
+def test_a_large_key_tries_pairs_that_share_no_other_band(spark, monkeypatch):
+    """All texts share one band and no other: with more of them than a block holds, no pair is lost."""
+
+    def one_band(batches):
+        import pyarrow as pa
+
+        from groundshift.llm import near_dedup
+
+        for b in near_dedup._signed(batches):
+            keys = [None if not k else [7, *(1000 * doc + i for i in range(1, len(k)))] for doc, k in zip(b.column(0).to_pylist(), b.column(4).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(keys, pa.list_(pa.int64()))], b.schema.names)
+
+    monkeypatch.setattr(near_dedup, "_signed", one_band)
+    monkeypatch.setattr(near_dedup, "BLOCK", 8)
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(500)]
+    rows = []
+    for _ in range(20):
+        base = [rng.choice(words) for _ in range(150)]
+        rows += [(len(rows), " ".join(base), "k"), (len(rows) + 1, " ".join([*base[:-1], "other"]), "k")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, key string")
+    assert {r.doc_id: r.class_id for r in near_dedup.classes(docs).collect()} == brute(rows)
+
+
 def test_units_give_all_links_once():
     rng = np.random.default_rng(4)
     n = 40
