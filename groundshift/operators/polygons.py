@@ -7,7 +7,7 @@ where it runs, without the rest of its polygon:
 * coverage cuts edges at grid columns, integrates them in the cells that they run through, and lets a running sum down each column tell the cells between;
 * an overlay needs a sweep only in cells that several shapes cut; there, between the places where edges begin, end, cross or leave the cell, all edges are straight and in one order, so the
   area is width times the height at the middle;
-* distances are those of sides that meet in a bucket, in rounds of growing buckets where the nearest one is wanted.
+* distances are those of sides that meet in a bucket; the nearest side is found by going down a tree of cells.
 """
 
 from __future__ import annotations
@@ -233,31 +233,57 @@ def near_sides(a: DataFrame, b: DataFrame, reach: float, keep: list[str]) -> Dat
     return j.where(F.col("distance") <= reach).select(*keep, "distance")
 
 
+#: Sides of a task that looks for the nearest ones.
+TASK_SIDES = 10_000
+
+
 def nearest_side(a: DataFrame, b: DataFrame, key: str, names: list[str], reach: float = 64.0) -> DataFrame:
     """(key, distance, names): of each key of a (key, xa, ya, xb, yb) the nearest side of b (names, pa, qa, pb, qb), ties to the least names; NULL if b is empty.
 
-    Rounds: what has a side within reach is told; the others go on with four times the reach, until it spans everything.
+    The sides of b lie in cells of size reach by their middles, these in cells four times as large, and so on up to a few; a cell has the box of its sides. The sides of a go down from the
+    largest cells: a cell is left out if its box begins farther from the side than another one's ends from a side of the same key. Only the sides of b that are left at the end are measured, so work
+    grows with a and with the sides that compete for the nearest place, however far away that is; tasks grow in number with a, not in size.
     """
-    box = a.agg(*(f(x).alias(f"{n}{x}") for x in ("xa", "xb", "ya", "yb") for n, f in (("lo", F.min), ("hi", F.max)))).crossJoin(F.broadcast(b.agg(*(f(x).alias(f"{n}{x}") for x in ("pa", "pb", "qa", "qb") for n, f in (("lo", F.min), ("hi", F.max)))))).first()
+    cell = lambda u, v: F.floor((F.col(u) + F.col(v)) / (2 * reach)).cast("bigint")
+    side = written(b.where("pa is not null and qa is not null and pb is not null and qb is not null").select(*names, "pa", "qa", "pb", "qb", cell("pa", "pb").alias("cx"), cell("qa", "qb").alias("cy")))
+    ends = {"lx": F.least("pa", "pb"), "ly": F.least("qa", "qb"), "hx": F.greatest("pa", "pb"), "hy": F.greatest("qa", "qb")}
+    box = lambda of: [(F.min if x[0] == "l" else F.max)(of.get(x, F.col(x))).alias(x) for x in ends]
+    leaf = written(side.groupBy("cx", "cy").agg(*box(ends)))
+    whole = leaf.agg(*box({})).first()
     keys = a.select(key).distinct()
-    nothing = keys.select(key, F.lit(None).cast("double").alias("distance"), *(F.lit(None).cast(b.schema[n].dataType).alias(n) for n in names))
-    if box is None or box["lopa"] is None or box["loxa"] is None:
-        return nothing
-    wide = max(max(box[k] for k in ("hixa", "hixb", "hipa", "hipb")) - min(box[k] for k in ("loxa", "loxb", "lopa", "lopb")), max(box[k] for k in ("hiya", "hiyb", "hiqa", "hiqb")) - min(box[k] for k in ("loya", "loyb", "loqa", "loqb")))
-    out, left = [], a
-    while True:
-        last = reach >= 2 * wide
-        found = written(near_sides(left, b, reach, [key, *names]).groupBy(key).agg(F.min(F.struct("distance", *names)).alias("m")).select(key, "m.*"))
-        out.append(found)
-        if last:
-            break
-        left = written(left.join(found.select(key), key, "left_anti"))
-        if not left.limit(1).count():
-            break
-        reach *= 4
-    told = out[0]
-    for more in out[1:]:
-        told = told.union(more)
+    if whole["lx"] is None:
+        return keys.select(key, F.lit(None).cast("double").alias("distance"), *(F.lit(None).cast(b.schema[n].dataType).alias(n) for n in names))
+    top = 0
+    while reach * 4**top < max(whole["hx"] - whole["lx"], whole["hy"] - whole["ly"]):
+        top += 1
+
+    def level(i: int) -> DataFrame:
+        """Cells of reach * 4^i and the cells (px, py) that they lie in."""
+        up = lambda x, n: F.shiftright(x, 2 * n)
+        g = leaf.groupBy(up("cx", i).alias("cx"), up("cy", i).alias("cy")).agg(*box({})) if i else leaf
+        return g.withColumns({"px": up("cx", 1), "py": up("cy", 1)})
+
+    square = lambda x, y: x * x + y * y
+    gap = lambda u, v, lo, hi: F.greatest(F.lit(0.0), F.col(lo) - F.greatest(u, v), F.least(u, v) - F.col(hi))
+    far = lambda u, v, lo, hi: F.greatest(F.col(hi) - F.least(u, v), F.greatest(u, v) - F.col(lo))
+    least, most = (square(f("xa", "xb", "lx", "hx"), f("ya", "yb", "ly", "hy")) for f in (gap, far))
+    ends_apart = F.least(*(square(F.col(f"x{m}") - F.col(f"p{n}"), F.col(f"y{m}") - F.col(f"q{n}")) for m in "ab" for n in "ab"))
+
+    def nearer(d: DataFrame, most: Column) -> DataFrame:
+        """d without boxes that begin farther away than another one of the key surely reaches (most)."""
+        d = d.withColumns({"__least": least, "__most": F.min(most).over(Window.partitionBy(key))})
+        # a billionth more, so that rounding leaves out none
+        return d.where(F.col("__least") <= F.col("__most") * 1.000000001).drop("__least", "__most")
+
+    own = a.select(key, "xa", "ya", "xb", "yb")
+    sides_ = [key, "xa", "ya", "xb", "yb"]
+    parts = 1 + a.count() // TASK_SIDES
+    at = nearer(own.repartition(parts, key).crossJoin(F.broadcast(level(top).drop("px", "py"))), most)
+    for i in range(top, -1, -1):
+        below = level(i - 1) if i else side.select(*names, "pa", "qa", "pb", "qb", *(x.alias(n) for n, x in ends.items()), F.col("cx").alias("px"), F.col("cy").alias("py"))
+        at = nearer(at.select(*sides_, F.col("cx").alias("px"), F.col("cy").alias("py")).join(below, ["px", "py"]).drop("px", "py"), most if i else ends_apart)
+    told = at.select(key, *names, side_distance().alias("distance")).groupBy(key, *names).agg(F.min("distance").alias("distance"))
+    told = told.groupBy(key).agg(F.min(F.struct("distance", *names)).alias("m")).select(key, "m.*")
     return keys.join(told, key, "left")
 
 

@@ -90,6 +90,30 @@ def test_distances(spark):
     assert {r.distance for r in pg.nearest_side(own, other.limit(0), "k", ["j"]).collect()} == {None}
 
 
+def test_nearest_sides_far_away_are_not_all_measured(spark, monkeypatch):
+    """Squares in a long column and a short row of sides at its foot: what is measured grows with the squares, not with squares times sides times rounds."""
+    rng = random.Random(8)
+    a = {k: [[(x + rng.uniform(0, 60), y + 400 * k) for x, y in SQUARE]] for k in range(60)}
+    b = spark.createDataFrame([(i, 3.0 * i, -10.0 * i, 3.0 * i + 2, -10.0 * i - 1) for i in range(50)], "j int, pa double, qa double, pb double, qb double")
+    own, measured, real = pg.sides(points(spark, a), "k").drop("ring"), spark.sparkContext.accumulator(0), pg.side_distance
+    counted = F.udf(lambda d: (measured.add(1), d)[1], "double")
+    exact = own.crossJoin(b).withColumn("distance", real()).groupBy("k").agg(F.min(F.struct("distance", "j")).alias("m")).select("k", "m.*")
+    want = {tuple(r) for r in exact.collect()}
+    monkeypatch.setattr(pg, "side_distance", lambda: counted(real()))
+    assert {tuple(r) for r in pg.nearest_side(own, b, "k", ["j"], reach=4.0).collect()} == want
+    assert measured.value <= 8 * len(a)
+
+
+def test_random_nearest_sides(spark):
+    rng = random.Random(3)
+    place = lambda: (rng.choice((-3000, 0, 700)) + rng.uniform(-60, 60), rng.choice((-900, 0, 5000)) + rng.uniform(-60, 60))
+    own = pg.sides(points(spark, {k: [star(rng, *place())] for k in range(40)}), "k").drop("ring")
+    other = pg.sides(points(spark, {k: [star(rng, *place(), wide=400 if k < 2 else 9)] for k in range(25)}, "j"), "j").select("j", F.col("xa").alias("pa"), F.col("ya").alias("qa"), F.col("xb").alias("pb"), F.col("yb").alias("qb"))
+    want = {r.k: r.d for r in own.crossJoin(other).withColumn("d", pg.side_distance()).groupBy("k").agg(F.min("d").alias("d")).collect()}
+    for reach in (1.0, 64.0, 100000.0):
+        assert {r.k: r.distance for r in pg.nearest_side(own, other, "k", ["j"], reach).collect()} == pytest.approx(want)
+
+
 def test_empty_layers(spark):
     s, none = shapes(spark, {1: [SQUARE]}), shapes(spark, {9: [[(0, 0)]]}, "j")
     assert none.cover.count() == 0
