@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 
 from groundshift.llm.shared import small_batches, written
 
-#: Table of features, lengths of windows, rows of each class to learn from (a documented bound on the sample), partitions of the sample.
-TABLE_BITS, LENGTHS, SAMPLE, SAMPLE_PARTS = 19, (3, 4, 5, 6), 10_000, 12
+#: Table of features, lengths of windows, rows of each class to learn from (a documented bound on the sample), partitions of the sample, tasks of a step of the fit.
+TABLE_BITS, LENGTHS, SAMPLE, SAMPLE_PARTS, STEP_PARTS = 19, (3, 4, 5, 6), 10_000, 12, 6
 #: Smoothing of counts, texts that must hold a feature, penalty, steps of the fit and how many it remembers, one in so many rows sets slope and bias.
 SMOOTH, LEAST_TEXTS, PENALTY, STEPS, MEMORY, FOLDS = 1.0, 5, 1.0, 15, 5, 5
 #: Characters of a text whose windows are hashed at once.
@@ -132,33 +132,36 @@ def ratios(counts: np.ndarray) -> np.ndarray:
     return np.where(counts.sum(0) >= LEAST_TEXTS, smooth[1] - smooth[0], 0.0)
 
 
-def _gradient(table: DataFrame, ratio: np.ndarray, by_class: tuple[float, float], point: np.ndarray) -> tuple[float, np.ndarray]:
-    """Loss over the rows at the point (a weight for each ratio, and the bias), and its gradient. by_class: what a row of class 1 and of class 0 counts."""
-    model = np.append(point[:-1] * ratio, 0.0).astype(np.float32)
-    bias = float(point[-1])
+def _gradient(table: DataFrame, held: np.ndarray, model: np.ndarray, by_class: tuple[float, float]) -> tuple[float, np.ndarray]:
+    """Loss over the rows of a model (a weight for each place that is held, and the bias), and its gradient. held: the table's places with a weight, as bits. by_class: what a row of class 1 and of
+    class 0 counts. Places without a weight stay away from the tasks and from what they send."""
+    weights, bias = model[:-1].astype(np.float32), float(model[-1])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        loss, grad = 0.0, np.zeros(_TABLE + 1)
+        bits = np.unpackbits(held, count=_TABLE)
+        place = np.where(bits, np.cumsum(bits, dtype=np.int32), 0)  # 0 has no weight
+        own = np.append(np.float32(0), weights)
+        loss, grad, first = 0.0, np.zeros(len(own)), 0.0
         for batch in batches:
             y, flat, row = _rows(batch)
+            at = place[flat]
             weight = np.where(y == 1, *by_class)
-            z = bias + np.bincount(row, model[flat], len(y))
+            z = bias + np.bincount(row, own[at], len(y))
             loss += float((weight * (np.logaddexp(0, z) - y * z)).sum())
             slope = weight * (1 / (1 + np.exp(-np.clip(z, -500, 500))) - y)
-            grad[:-1] += np.bincount(flat, slope[row], _TABLE)
-            grad[-1] += slope.sum()
+            grad += np.bincount(at, slope[row], len(own))
+            first += slope.sum()
+        grad = np.append(grad[1:], first)
         yield pa.RecordBatch.from_arrays([pa.array([loss]), pa.array([grad.astype(np.float32).tobytes()], pa.binary())], ["loss", "grad"])
 
     def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = sorted((r["loss"], r["grad"]) for batch in batches for r in batch.to_pylist())
-        grad = sum((np.frombuffer(g, np.float32).astype(float) for _, g in parts), np.zeros(_TABLE + 1))
+        grad = sum((np.frombuffer(g, np.float32).astype(float) for _, g in parts), np.zeros(len(weights) + 1))
         yield pa.RecordBatch.from_arrays([pa.array([sum(x for x, _ in parts)], pa.float64()), pa.array([grad.astype(np.float32).tobytes()], pa.binary())], ["loss", "grad"])
 
-    # one vector of fixed length from each of SAMPLE_PARTS tasks meet in a task; the driver gets their sum
-    whole = table.mapInArrow(task, "loss double, grad binary").repartition(1).mapInArrow(added, "loss double, grad binary").first()
-    grad = np.frombuffer(whole["grad"], np.float32).astype(float)
-    grad[:-1] *= ratio
-    return whole["loss"], grad
+    # one vector of fixed length from each of STEP_PARTS tasks meet in a task; the driver gets their sum
+    whole = table.coalesce(STEP_PARTS).mapInArrow(task, "loss double, grad binary").repartition(1).mapInArrow(added, "loss double, grad binary").first()
+    return whole["loss"], np.frombuffer(whole["grad"], np.float32).astype(float)
 
 
 def minimised(f: Callable[[np.ndarray], tuple[float, np.ndarray]], x: np.ndarray, steps: int = STEPS, memory: int = MEMORY) -> np.ndarray:
@@ -208,13 +211,19 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     ratio = ratios(counted(fitted))
     by_class = tuple(sum(r["fitted"] for r in rows.values()) / (2 * rows[c]["fitted"]) for c in (1, 0))
 
+    at = np.flatnonzero(ratio)  # a place without a ratio has no gradient; its weight stays zero
+    held, scale = np.packbits(ratio != 0), np.append(ratio[at], 1.0)
+
     def f(point: np.ndarray) -> tuple[float, np.ndarray]:
-        loss, grad = _gradient(fitted, ratio, by_class, point)
+        loss, grad = _gradient(fitted, held, point * scale, by_class)
+        grad *= scale
         grad[:-1] += PENALTY * point[:-1]
         return loss + PENALTY / 2 * float(point[:-1] @ point[:-1]), grad
 
-    point = minimised(f, np.zeros(_TABLE + 1))
-    return calibrated(rest, Model(point[:-1] * ratio, point[-1]))
+    point = minimised(f, np.zeros(len(scale)))
+    weights = np.zeros(_TABLE)
+    weights[at] = point[:-1] * ratio[at]
+    return calibrated(rest, Model(weights, point[-1]))
 
 
 def calibrated(table: DataFrame, model: Model) -> Model:

@@ -123,3 +123,15 @@ def test_sample_is_bounded_and_weighted(spark):
     assert 2 * 20 < len(got) < 2 * 90
     total = sum(1 for _ in labels)
     assert 0.5 * total < sum(r.weight for r in got) < 1.2 * total
+
+
+def test_steps_send_only_features_with_a_ratio(spark, monkeypatch):
+    docs, known = frames(spark, *corpus(300))
+    ratio, sent, real = [], [], toxicity._gradient
+    plain = toxicity.ratios
+    monkeypatch.setattr(toxicity, "ratios", lambda n: ratio.append(plain(n)) or ratio[0])
+    monkeypatch.setattr(toxicity, "_gradient", lambda *x: sent.append(real(*x)) or sent[-1])
+    model = toxicity.learn(docs, known)
+    held = np.flatnonzero(ratio[0])
+    assert {len(grad) for _, grad in sent} == {len(held) + 1} and len(held) < 2**15
+    assert model.weights[held].any() and not np.delete(model.weights, held).any()
