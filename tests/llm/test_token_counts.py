@@ -100,3 +100,16 @@ def test_trie_restarts_and_long_pretokens_change_nothing(v, monkeypatch):
     monkeypatch.setattr(tc, "LONG", 50)
     t = tc.Trie(v, logp)
     assert [t.count(p.encode()) for p in tokens] == want
+
+
+def test_a_node_looks_only_at_pieces_that_end_at_it():
+    from groundshift.llm import token_counts as t
+
+    v = t.vocabulary(None)
+    trie = t.Trie(v, np.full(len(v.pieces), -3.0))
+    for w in (" international", " nationality", " zzqxé", "\n", " überall漢字"):
+        trie.count(w.encode())
+    assert len(trie.states) > 20
+    for text, _, ends in trie.states.values():
+        assert [n for n, _ in ends] == [n for n in range(1, len(text) + 1) if text[-n:] in v.number]
+        assert not text or any(p.startswith(text) for p in v.pieces)
