@@ -86,20 +86,29 @@ def covered(piece: DataFrame, key: list[str], size: float = SIZE, least: float =
     return g.select(*key, F.col("x.r").alias("r"), "c", F.least(F.col("x.area"), F.lit(size * size)).alias("area")).where(F.col("area") > least)
 
 
+#: Pieces of a task that sweeps cells.
+TASK_PIECES = 40_000
+
+
 def swept(piece: DataFrame, by: list[str], size: float = SIZE) -> DataFrame:
     """(by, r, c, a, b, both, either): areas inside of layer 0, of layer 1, of both and of one at least, in cells that pieces (by, r, c, layer, s, xa, ya, xb, yb) cut or lie above."""
     cell = [*by, "r", "c"]
     base = F.col("r") * F.lit(size)
     p = written(piece.withColumn("__k", (F.col("yb") - F.col("ya")) / (F.col("xb") - F.col("xa"))))
+    # dealt by cell once, into as many tasks as the pieces need; all that follows keeps this partitioning
+    p = p.repartition(1 + p.count() // TASK_PIECES, *cell)
     leaves = lambda y: F.when((F.col("ya") - y) * (F.col("yb") - y) < 0, F.col("xa") + (y - F.col("ya")) / F.col("__k"))
-    own = p.select(*cell, F.explode(F.array("xa", "xb", leaves(base), leaves(base + size))).alias("x"))
-    q = p.select(*cell, *(F.col(x).alias(f"{x}_") for x in ("xa", "ya", "xb", "yb", "__k"))).distinct()
-    q = p.select(*cell, "xa", "ya", "xb", "yb", "__k").distinct().join(q, cell).where(F.struct("xa", "ya", "xb", "yb") < F.struct("xa_", "ya_", "xb_", "yb_"))
+    line = ("xa", "ya", "xb", "yb")
+    one = p.select(*cell, *line, "__k").distinct()
+    q = one.join(one.select(*cell, *(F.col(x).alias(f"{x}_") for x in (*line, "__k"))), cell)
+    here, there = F.struct(*line), F.struct(*(F.col(f"{x}_").alias(x) for x in line))
     lo, hi = F.greatest("xa", "xa_"), F.least("xb", "xb_")
     gap = lambda x: F.col("ya") + (x - F.col("xa")) * F.col("__k") - F.col("ya_") - (x - F.col("xa_")) * F.col("__k_")
-    q = q.where(lo < hi).withColumns({"d0": gap(lo), "d1": gap(hi)}).where(F.col("d0") * F.col("d1") < 0)
-    met = q.select(*cell, (lo + (hi - lo) * F.col("d0") / (F.col("d0") - F.col("d1"))).alias("x"))
-    xs = own.union(met).where("x is not null").groupBy(*cell).agg(F.array_sort(F.collect_set("x")).alias("xs"))
+    q = q.where((here <= there) & (lo < hi)).withColumns({"d0": gap(lo), "d1": gap(hi), "own": here == there})
+    crossing = F.when(F.col("d0") * F.col("d1") < 0, lo + (hi - lo) * F.col("d0") / (F.col("d0") - F.col("d1")))
+    # a piece that meets itself tells its own places
+    x = F.when(F.col("own"), F.array("xa", "xb", leaves(base), leaves(base + size))).otherwise(F.array(crossing))
+    xs = q.select(*cell, F.explode(x).alias("x")).where("x is not null").groupBy(*cell).agg(F.array_sort(F.collect_set("x")).alias("xs"))
     slab = F.explode(F.zip_with(F.slice("xs", F.lit(1), F.size("xs") - 1), F.slice("xs", F.lit(2), F.size("xs") - 1), lambda x, y: F.struct(x.alias("lo"), y.alias("hi"))))
     slabs = xs.select(*cell, slab.alias("slab")).where("slab.hi > slab.lo")
     middle = (F.col("slab.lo") + F.col("slab.hi")) / 2

@@ -144,3 +144,21 @@ def test_overlap_that_rounds_to_nothing_names_no_site(spark, tmp_path):
     want = c.execute(f"SELECT {', '.join(got.columns)} FROM ({oracle_sql()['J12_shape_overlay']}) ORDER BY bld_id").fetchall()
     assert [tuple(r) for r in got.orderBy("bld_id").collect()] == want
     assert want[0][3:5] == (None, None)
+
+
+def test_cells_are_swept_in_tasks_that_grow_in_number(spark, monkeypatch):
+    """Twice the pieces, twice the tasks; each cell is swept in one of them and its areas are those of a single task."""
+    rng = random.Random(6)
+    places = [(rng.uniform(0, 300), rng.uniform(0, 300)) for _ in range(60)]
+    s = shapes(spark, {k: [star(rng, x, y)] for k, (x, y) in enumerate(places)})
+    few = {k: [star(rng, x, y, wide=9)] for k, (x, y) in enumerate(places[:9])}
+    cells = s.cover.select("r", "c").distinct().crossJoin(s.cover.select("k").distinct())
+    piece = s.cutting(cells, [], 0).union(shapes(spark, few).cutting(cells, [], 1))
+    n = piece.count()
+    areas = lambda d: {(r.r, r.c): pytest.approx((r.a, r.b, r.both, r.either)) for r in d.collect()}
+    monkeypatch.setattr(pg, "TASK_PIECES", 10 * n)
+    once = pg.swept(piece, [])
+    monkeypatch.setattr(pg, "TASK_PIECES", n // 40)
+    dealt = pg.swept(piece, [])
+    assert once.rdd.getNumPartitions() == 1 and dealt.rdd.getNumPartitions() >= 40
+    assert {(r.r, r.c): (r.a, r.b, r.both, r.either) for r in dealt.collect()} == areas(once)
