@@ -15,12 +15,17 @@ def cell() -> WindowSpec:
 
 
 def full_grid(indexed: DataFrame, epochs: list[int]) -> DataFrame:
-    """Each cell that was ever observed, at each epoch; k is the epoch's number. Cells come from one aggregation that is spread out, so that no join is needed."""
+    """Each cell that was ever observed, at each epoch; k is the epoch's number. A row stands for itself and for the epochs without one up to the cell's next row, the first also for those
+    before it, so that rows are dealt by cell once and nothing is collected or joined."""
     values = [c for c in indexed.columns if c not in ("r", "c", "epoch")]
-    seen = indexed.groupBy("r", "c").agg(F.map_from_entries(F.collect_list(F.struct("epoch", F.struct(*values)))).alias("by"))
-    grid = seen.select("r", "c", F.posexplode(F.array(*map(F.lit, epochs)).cast("array<int>")).alias("k", "epoch"), "by")
-    grid = grid.withColumn("at", F.try_element_at("by", F.col("epoch")))
-    return grid.select("r", "c", "epoch", "k", *(F.col(f"at.{v}").alias(v) for v in values))
+    listed = F.array(*map(F.lit, epochs)).cast("array<int>")
+    own = F.coalesce(F.array_position(listed, F.col("epoch").cast("int")), F.lit(0)).cast("int") - 1
+    order = cell().orderBy("__k")
+    g = indexed.withColumn("__k", own).withColumns({"__number": F.row_number().over(order), "__next": F.lead("__k").over(order)})
+    start = F.when(F.col("__number") == 1, 0).otherwise(F.greatest(F.lit(0), F.col("__k")))
+    g = g.withColumns({"__start": start, "__stop": F.coalesce(F.col("__next"), F.lit(len(epochs))) - 1}).where("__start <= __stop")
+    grid = g.withColumn("k", F.explode(F.sequence("__start", "__stop")))
+    return grid.select("r", "c", F.get(listed, F.col("k")).alias("epoch"), "k", *(F.when(F.col("k") == F.col("__k"), F.col(v)).alias(v) for v in values))
 
 
 def decline_events(grid: DataFrame, min_valid: int = 4, **thresholds: float) -> DataFrame:
