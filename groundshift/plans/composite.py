@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from groundshift.operators import composite as comp
 from groundshift.operators import parcels, series
+from groundshift.operators.components import written
 from groundshift.plans.land import _AREAS, _C, _COMPOSITE, _COVER, COMPOSITE, _areas, _cover, _grid, _indexed
 from groundshift.plans.registry import query
 from groundshift.sources.tables import ctes, epochs, table
@@ -22,7 +23,7 @@ _TYPES = f"""{_COMPOSITE}, le AS (SELECT *, max(CASE WHEN event = 2 THEN k END)
 
 
 def _types(spark, sf_dir, source="pixels"):
-    g = _grid(spark, sf_dir, source)
+    g = written(_grid(spark, sf_dir, source))  # read by the shifts, the events and the types
     return comp.cell_types(g, series.composite_events(g, series.interval_shifts(g), COMPOSITE), COMPOSITE)
 
 

@@ -35,3 +35,10 @@ def test_pixels_equal_the_text(spark):
     one = spark.createDataFrame([(x,) for x in odd + [None]], "x double")
     from groundshift.sources.tables import _whole
     assert not [r for r in one.select("x", _whole(F.col("x")).alias("a"), F.round("x").cast("bigint").alias("b")).collect() if r.a != r.b]
+
+
+def test_cell_types_have_their_grid_made_once(spark, sf_dir):
+    """Shifts, events and types read one written grid; none of them goes back to the lines."""
+    from groundshift.plans.composite import _types
+
+    assert not [f for f in _types(spark, sf_dir).inputFiles() if "lineitem" in f]
