@@ -22,7 +22,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from groundshift.llm.shared import freed, small_batches
+from groundshift.llm.shared import freed, kept, small_batches
 
 SPACE = "▁"
 _NONE: dict = {}
@@ -196,13 +196,8 @@ class Remembered(dict):
         return [self.encoded([s]) for s in self.pieces.segments(text)]
 
 
-_loaded: dict[str, Remembered] = {}
-
-
 def remembered(path: str) -> Remembered:
-    if path not in _loaded:
-        _loaded[path] = Remembered(Pieces(path))
-    return _loaded[path]
+    return kept(f"pieces {path}", lambda: Remembered(Pieces(path)))
 
 
 def default_model() -> str:

@@ -196,18 +196,34 @@ def _spread(start: np.ndarray, length: np.ndarray) -> np.ndarray:
     return np.repeat(start - (ends - length), length) + np.arange(ends[-1] if len(ends) else 0)
 
 
+#: Tokens that are hashed, gathered or compared at once: eight-byte temporaries of a whole bucket would be most of a task's memory.
+AT_ONCE = 1 << 19
+
+
+def _gathered(flat: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The tokens of the given stretches, one after another."""
+    ends = np.r_[0, np.cumsum(length)]
+    out = np.empty(int(ends[-1]), flat.dtype)
+    for i, j in groups(ends, AT_ONCE):
+        out[ends[i] : ends[j]] = flat[_spread(start[i:j], length[i:j])]
+    return out
+
+
 def distinct(flat: np.ndarray, ends: np.ndarray, off: np.ndarray) -> np.ndarray:
     """For each text (its tokens end at ends) the first one with the same tokens and the same anchor. A hash proposes it, the tokens decide."""
     if len(ends) < 2:
         return np.zeros(0, np.int64)
     length = np.diff(ends)
-    h = Rolling(mix(flat.astype(np.uint64) + np.uint64(1))).spans(ends[:-1], ends[1:]) + off.astype(np.uint64)
+    h = off.astype(np.uint64)
+    for i, j in groups(ends, AT_ONCE):
+        part = flat[ends[i] : ends[j]].astype(np.uint64) + np.uint64(1)
+        h[i:j] += Rolling(mix(part)).spans(ends[i:j] - ends[i], ends[i + 1 : j + 1] - ends[i])
     _, first, inverse = np.unique(h, return_index=True, return_inverse=True)
     rep = first[inverse]
     own = np.arange(len(rep))
     asked = np.flatnonzero((rep != own) & (length == length[rep]) & (off == off[rep]))
     out = own.copy()
-    for part in np.array_split(asked, max(1, int(length[asked].sum()) >> 21)):
+    for part in np.array_split(asked, max(1, int(length[asked].sum()) // AT_ONCE)):
         if len(part):
             differ = flat[_spread(ends[part], length[part])] != flat[_spread(ends[rep[part]], length[part])]
             bad = np.logical_or.reduceat(differ, np.r_[0, np.cumsum(length[part])[:-1]])
@@ -226,14 +242,14 @@ def _fetch(unit: Unit) -> Callable:
     def fetched(v, start, lo, n, off, ids):
         length = n + unit.window
         ends = np.r_[0, np.cumsum(length)]
-        body = v[_spread(start, length)]
+        body = _gathered(v, start, length)
         rep = distinct(body, ends, off)
         order = np.lexsort((lo, ids, rep))
         edge = _edges(rep[order])
         head = order[edge[:-1]]  # the earliest place of each text
         places = np.zeros(len(ids), PLACE)
         places["doc"], places["lo"] = ids[order], lo[order]
-        flat, size = body[_spread(ends[head], length[head])], np.r_[0, np.cumsum(length[head])]
+        flat, size = _gathered(body, ends[head], length[head]), np.r_[0, np.cumsum(length[head])]
         lead = flat if unit.words else np.r_[flat, np.zeros(16, np.uint8)]
         first = size[:-1] + off[head]
         t = [lead[first], lead[first + 1]] if unit.words else [np.ascontiguousarray(lead[first[:, None] + np.arange(q, q + 8)]).view(">u8").ravel().astype("u8") for q in (0, 8)]
@@ -341,7 +357,7 @@ def compared(unit: Unit, kernel: Callable, t: pa.Table, buckets: int) -> Iterato
     rep = distinct(flat, ends, off)  # rows are in the order of places: the first of equal texts is the earliest
     head = np.flatnonzero(rep == np.arange(len(rep)))
     length = np.diff(ends)[head]
-    flat, ends = flat[_spread(ends[head], length)], np.r_[0, np.cumsum(length)]
+    flat, ends = _gathered(flat, ends[head], length), np.r_[0, np.cumsum(length)]
     # all other places of a text are later than its earliest one: what the text shows holds for all their windows
     owner = np.r_[rep, np.repeat(rep, np.diff(more_ends))]
     d, s = np.r_[doc, more["doc"]], np.r_[lo, more["lo"].astype(np.int64)]
@@ -374,8 +390,13 @@ def compared(unit: Unit, kernel: Callable, t: pa.Table, buckets: int) -> Iterato
         touch |= (t0 == t0[x]) & (t1 == t1[x])
     free = np.flatnonzero(~seen & touch[run])
     r = np.zeros(len(free), OPEN)
-    from_, values = ends[run[free]] + j[free], flat if unit.words else byte_values(flat)
-    r["h0"], r["h1"] = Rolling(values).spans(from_, from_ + unit.window), Rolling(mix(values + np.uint64(1))).spans(from_, from_ + unit.window)
+    from_ = ends[run[free]] + j[free]
+    for i, k in groups(ends, AT_ONCE):
+        x, y = np.searchsorted(run[free], [i, k])
+        if x < y:
+            part, at = flat[ends[i] : ends[k]], from_[x:y] - ends[i]
+            values = part if unit.words else byte_values(part)
+            r["h0"][x:y], r["h1"][x:y] = Rolling(values).spans(at, at + unit.window), Rolling(mix(values + np.uint64(1))).spans(at, at + unit.window)
     r["doc"], r["lo"] = doc[run[free]], lo[run[free]] + j[free]
     to = _range_of(r["h0"], buckets)
     order = np.argsort(to, kind="stable")

@@ -48,13 +48,29 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
+_kept: dict[str, object] = {}
+_asked: set[str] = set()
+
+
+def kept(key: str, make: Callable):
+    """What a worker keeps for later tasks that ask for it too. It goes with the first freed() task that does not."""
+    _asked.add(key)
+    if key not in _kept:
+        _kept[key] = make()
+    return _kept[key]
+
+
 def freed(task: Callable) -> Callable:
-    """A task over Arrow batches that gives its memory back to the system when it ends: workers are kept, and what one stage took would stay with them through all later ones."""
+    """A task over Arrow batches that gives its memory back to the system when it ends, with what a worker kept and the task did not ask for:
+    workers live on, and what one stage took would stay with them through all later ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:
             yield from task(batches)
         finally:
+            for key in _kept.keys() - _asked:
+                del _kept[key]
+            _asked.clear()
             pa.default_memory_pool().release_unused()
             if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
                 trim(0)
@@ -118,13 +134,21 @@ _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
+#: Powers that a worker keeps: workers live through all stages, and what they keep counts in each of them.
+KEPT_POWERS = 1 << 20
+
+
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers of the base and of its inverse, modulo 2**64."""
+    """The first n powers of the base and of its inverse, modulo 2**64. More than KEPT_POWERS are made anew and not kept."""
     if len(_powers[0]) < n:
-        for k, x in enumerate((_BASE, _INVERSE)):
-            a = np.full(max(n, 1 << 20), x, np.uint64)
+        made = []
+        for x in (_BASE, _INVERSE):
+            a = np.full(max(n, KEPT_POWERS), x, np.uint64)
             a[0] = 1
-            _powers[k] = np.multiply.accumulate(a)
+            made.append(np.multiply.accumulate(a, out=a))
+        if n > KEPT_POWERS:
+            return made[0], made[1]
+        _powers[:] = made
     return _powers[0][:n], _powers[1][:n]
 
 

@@ -2,13 +2,14 @@
 
 import hashlib
 import random
+import tracemalloc
 from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
-from groundshift.llm import fm_dedup, repeats, suffix_dedup
+from groundshift.llm import fm_dedup, repeats, shared, suffix_dedup
 
 SCHEMA = "doc_id bigint, text string, doc string, lo string, spans string"
 #: Units that make every bound bite on a small corpus.
@@ -138,3 +139,53 @@ def test_remove_repeats_keeps_columns_and_nulls(spark):
     assert out.columns == df.columns
     kept = {d: bytes(x for x, g in zip(u, gone, strict=True) if not g).decode(errors="ignore") for d, (u, gone) in repeated([(1, t), (2, "a" + t)], lambda x: list(x.encode()), 100).items()}
     assert {r.doc_id: r.text for r in out.collect()} == {**kept, 3: None}
+
+
+def bucket(unit, n, seed=5):
+    """A bucket of n texts around anchors, as it comes from _fetch; a third of them are copies."""
+    rng = np.random.default_rng(seed)
+    further = rng.integers(0, 31, n)
+    off = rng.integers(0, 20, n) if not unit.words else rng.integers(0, 5, n)
+    common = rng.integers(97, 123, unit.window + 64)
+    texts = [np.r_[common[:40], rng.integers(97, 123, unit.window + x - 40)] if unit.window > 40 else rng.integers(97, 123, unit.window + x) for x in further]
+    for i in range(2, n, 3):
+        texts[i], further[i], off[i] = texts[i - 2], further[i - 2], off[i - 2]
+    kind = np.uint64 if unit.words else np.uint8
+    lead = [np.array([t[o + k] for t, o in zip(texts, off, strict=True)], np.int64) % 2 for k in (0, 1)]
+    body = pa.array([t.astype(kind).tobytes() for t in texts], pa.binary())
+    ints = lambda x: pa.array(x, pa.int32())
+    return pa.table([pa.array(lead[0]), pa.array(lead[1]), pa.array(np.arange(n), pa.int64()), ints(np.full(n, 7)), ints(further), ints(off), body, pa.nulls(n, pa.binary())], names=["t0", "t1", "doc", "lo", "n", "off", "body", "more"])
+
+
+@pytest.mark.parametrize(("unit", "kernel"), [(suffix_dedup.BYTES, suffix_dedup.kernel), (fm_dedup.WORDS, fm_dedup.kernel)])
+def test_pieces_of_a_bucket_change_nothing(monkeypatch, unit, kernel):
+    t, got = bucket(unit, 90), []
+    for at_once in (1 << 30, 300, 1):
+        monkeypatch.setattr(repeats, "AT_ONCE", at_once)
+        got.append([b.to_pydict() for b in repeats.compared(unit, kernel(unit), t, 8)])
+    assert got[0] == got[1] == got[2] and any(b is not None for x in got[0] for b in x["blob"])
+
+
+def test_memory_of_a_bucket():
+    t, unit = bucket(suffix_dedup.BYTES, 24_000), suffix_dedup.BYTES
+    shared.powers(1 << 20)  # kept by a worker and not counted
+    tracemalloc.start()
+    for _ in repeats.compared(unit, suffix_dedup.kernel(unit), t, 8):
+        pass
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 64 << 20
+
+
+def test_powers_kept_by_a_worker_are_bounded():
+    n = 2 << 20
+    up, down = shared.powers(n)
+    assert len(up) == len(down) == n and max(map(len, shared._powers)) <= 1 << 20
+    assert (up * down == 1).all() and int(up[n - 1]) == pow(0x9E3779B97F4A7C15, n - 1, 1 << 64)
+
+
+def test_a_task_lets_go_of_what_it_does_not_ask_for():
+    made = []
+    asks = shared.freed(lambda batches: (shared.kept("x", lambda: made.append(1) or "kept") for _ in batches))
+    assert [*asks([1]), *asks([1])] == ["kept"] * 2 and len(made) == 1
+    assert list(shared.freed(iter)([1])) == [1] and not shared._kept
