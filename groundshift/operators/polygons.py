@@ -217,6 +217,27 @@ def side_distance() -> Column:
     return F.when(cross, F.lit(0.0)).otherwise(F.least(to_side("pa", "qa", *one), to_side("pb", "qb", *one), to_side("xa", "ya", *two), to_side("xb", "yb", *two)))
 
 
+def measured(pairs: DataFrame) -> DataFrame:
+    """pairs of sides with distance, that of side_distance(), worked out column by column: as one expression its parts are repeated in each other, and code that long is not compiled.
+
+    A filter of the distance would put them together again; put it behind an aggregation.
+    """
+    ends = (("pa", "qa", "x"), ("pb", "qb", "x"), ("xa", "ya", "p"), ("xb", "yb", "p"))  # an end, and the side that it is measured to
+    of = {"x": ("xa", "ya", "__dx", "__dy"), "p": ("pa", "qa", "__ex", "__ey")}
+    d = pairs.withColumns({"__dx": F.col("xb") - F.col("xa"), "__dy": F.col("yb") - F.col("ya"), "__ex": F.col("pb") - F.col("pa"), "__ey": F.col("qb") - F.col("qa")})
+    long = lambda u, v: F.nullif(F.col(u) * F.col(u) + F.col(v) * F.col(v), F.lit(0.0))
+    d = d.withColumns({"__lx": long("__dx", "__dy"), "__lp": long("__ex", "__ey")})
+    # from the beginning of the side to the end
+    d = d.withColumns({f"__{c}{i}": F.col(end) - F.col(of[to][k]) for i, (x, y, to) in enumerate(ends) for k, (c, end) in enumerate((("u", x), ("v", y)))})
+    d = d.withColumns({f"__t{i}": F.coalesce((F.col(f"__u{i}") * F.col(of[to][2]) + F.col(f"__v{i}") * F.col(of[to][3])) / F.col(f"__l{to}"), F.lit(0.0)) for i, (_, _, to) in enumerate(ends)})
+    d = d.withColumns({f"__t{i}": F.greatest(F.lit(0.0), F.least(F.lit(1.0), f"__t{i}")) for i in range(4)})
+    d = d.withColumns({f"__{c}_{i}": F.col(f"__{c}{i}") - F.col(f"__t{i}") * F.col(of[to][k]) for i, (_, _, to) in enumerate(ends) for k, c in ((2, "u"), (3, "v"))})
+    d = d.withColumns({f"__d{i}": F.col(f"__u_{i}") * F.col(f"__u_{i}") + F.col(f"__v_{i}") * F.col(f"__v_{i}") for i in range(4)})
+    turn = lambda i, to: F.col(of[to][2]) * F.col(f"__v{i}") - F.col(of[to][3]) * F.col(f"__u{i}")
+    cross = (turn(0, "x") * turn(1, "x") < 0) & (turn(2, "p") * turn(3, "p") < 0)
+    return d.withColumn("distance", F.when(cross, F.lit(0.0)).otherwise(F.sqrt(F.least(*(f"__d{i}" for i in range(4)))))).select(*pairs.columns, "distance")
+
+
 def _bucketed(side: DataFrame, reach: float, around: float) -> DataFrame:
     """side with the buckets (bx, by) of reach a side that it runs through, widened by around; long sides are cut at columns first, so that no bucket off the side is taken."""
     low, high = F.least("xa", "xb"), F.greatest("xa", "xb")
@@ -230,7 +251,7 @@ def _bucketed(side: DataFrame, reach: float, around: float) -> DataFrame:
 
 
 def near_sides(a: DataFrame, b: DataFrame, reach: float, keep: list[str]) -> DataFrame:
-    """Pairs of sides not farther apart than reach: columns keep of both, and distance. b's sides are (pa, qa, pb, qb)."""
+    """Columns keep of both and distance, the least of their sides that are not farther apart than reach. b's sides are (pa, qa, pb, qb)."""
     size = max(reach, BUCKET)
     other = b.select(*(F.col(x) for x in b.columns if x not in ("pa", "qa", "pb", "qb")), F.col("pa").alias("xa"), F.col("qa").alias("ya"), F.col("pb").alias("xb"), F.col("qb").alias("yb"))
     other = _bucketed(other, size, 0.0)
@@ -238,8 +259,8 @@ def near_sides(a: DataFrame, b: DataFrame, reach: float, keep: list[str]) -> Dat
     apart = lambda u, v, p, q: F.greatest(F.least(u, v) - F.greatest(p, q), F.least(p, q) - F.greatest(u, v))
     # boxes tell most pairs before their distance is worked out; a thousandth more than reach lets rounding tell none
     boxes = (apart("xa", "xb", "pa", "pb") <= reach * 1.001) & (apart("ya", "yb", "qa", "qb") <= reach * 1.001)
-    j = _bucketed(a, size, reach).join(other, ["bx", "by"]).where(boxes).withColumn("distance", side_distance())
-    return j.where(F.col("distance") <= reach).select(*keep, "distance")
+    j = _bucketed(a, size, reach).join(other, ["bx", "by"]).where(boxes)
+    return measured(j).groupBy(*keep).agg(F.min("distance").alias("distance")).where(F.col("distance") <= reach)
 
 
 #: Sides of a task that looks for the nearest ones.

@@ -104,6 +104,19 @@ def test_nearest_sides_far_away_are_not_all_measured(spark, monkeypatch):
     assert measured.value <= 8 * len(a)
 
 
+def test_distances_made_column_by_column_are_those_of_one_expression(spark):
+    """Crossing, touching, parallel and upright sides, and sides without length; what a pair is told is equal to the last bit, and the plan holds no expression with parts repeated in each other."""
+    rng = random.Random(12)
+    side = lambda: [rng.choice((0.0, 1.0, rng.uniform(-9, 9))) for _ in range(4)]
+    pairs = spark.createDataFrame([(k, *side(), *side()) for k in range(400)], "k int, xa double, ya double, xb double, yb double, pa double, qa double, pb double, qb double")
+    got = pg.measured(pairs)
+    assert got.columns == [*pairs.columns, "distance"]
+    assert {r.k: r.distance for r in got.collect()} == {r.k: r.d for r in pairs.withColumn("d", pg.side_distance()).collect()}
+    near = pg.near_sides(pairs.select("k", "xa", "ya", "xb", "yb"), pairs.select(F.col("k").alias("j"), "pa", "qa", "pb", "qb"), 2.0, ["k", "j"])
+    plan = near._jdf.queryExecution().optimizedPlan().toString()
+    assert max(map(len, plan.splitlines())) < 5000
+
+
 def test_random_nearest_sides(spark):
     rng = random.Random(3)
     place = lambda: (rng.choice((-3000, 0, 700)) + rng.uniform(-60, 60), rng.choice((-900, 0, 5000)) + rng.uniform(-60, 60))
