@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from groundshift.llm.shared import Rolling, freed, groups, mix, partitions_for, signed, small_batches, utf8, words, written
-from groundshift.operators.components import components
+from groundshift.operators.components import components, unsent
 
 WORDS, SIMILAR, BANDS, BAND_ROWS = 5, 0.8, 40, 6
 SLOTS = BANDS * BAND_ROWS
@@ -271,18 +271,18 @@ def by_key(rows: DataFrame, keys: DataFrame, total: int, *on: str) -> DataFrame:
     marked = rows.join(F.broadcast(keys.where(hot).select(*on, F.lit(True).alias("hot"))), list(on), "left")
     marked = marked.withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("doc"), F.lit(SALTS))).otherwise(F.lit(0).cast("bigint"))).drop("hot")
     salts = F.explode(F.when(hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))).cast("array<bigint>"))
-    return marked.join(keys.withColumn("salt", salts), [*on, "salt"]).drop("salt")
+    return marked.join(unsent(keys.withColumn("salt", salts)), [*on, "salt"]).drop("salt")
 
 
 def _relabelled(labels: DataFrame, edges: DataFrame) -> DataFrame:
     """Labels after classes that new edges join are merged."""
     a, b = labels.select(F.col("doc").alias("a"), F.col("label").alias("la")), labels.select(F.col("doc").alias("b"), F.col("label").alias("lb"))
-    between = edges.join(a, "a").join(b, "b").where("la != lb").select(F.col("la").alias("a"), F.col("lb").alias("b"))
+    between = edges.join(unsent(a), "a").join(unsent(b), "b").where("la != lb").select(F.col("la").alias("a"), F.col("lb").alias("b"))
     between = written(between)
     if not between.count():
         return labels
     up = components(between.select(F.col("a").alias("node")).union(between.select("b")).distinct(), between)
-    return written(labels.join(up, labels["label"] == up["node"], "left").select("doc", F.coalesce(up["label"], labels["label"]).alias("label")))
+    return written(labels.join(unsent(up), labels["label"] == up["node"], "left").select("doc", F.coalesce(up["label"], labels["label"]).alias("label")))
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -294,7 +294,7 @@ def classes(docs: DataFrame) -> DataFrame:
     have = s.where("n > 0")
     copies = written(have.groupBy("d0", "d1", "n").agg(F.min("doc").alias("node")))
     total = BANDS * copies.count()
-    node = have.join(copies.select(F.col("node").alias("doc")), "doc", "left_semi").dropDuplicates(["doc"]).select("doc", F.posexplode("keys").alias("band", "key"))
+    node = have.join(unsent(copies.select(F.col("node").alias("doc"))), "doc", "left_semi").dropDuplicates(["doc"]).select("doc", F.posexplode("keys").alias("band", "key"))
     shared = node.groupBy("key").agg(F.min("doc").alias("least"), F.max("doc").alias("most"), F.count(F.lit(1)).alias("n")).where("least < most")
     members = written(by_key(node, written(shared.select("key", "least", "n")), total, "key").select("key", "band", "doc", "least"))
     wanted = members.select("doc").distinct()
@@ -303,7 +303,7 @@ def classes(docs: DataFrame) -> DataFrame:
 
     def verified(pairs: DataFrame) -> DataFrame:
         x, y = (bags.select(F.col("doc").alias(key), F.col("bag").alias(f"bag_{key}"), F.col("size").alias(f"size_{key}")) for key in ("a", "b"))
-        return written(pairs.select("a", "b").distinct().join(y, "b").join(x, "a").where(similar()).select("a", "b"))
+        return written(pairs.select("a", "b").distinct().join(unsent(y), "b").join(unsent(x), "a").where(similar()).select("a", "b"))
 
     labels = wanted.select("doc", F.col("doc").alias("label"))
     first = members.groupBy("doc").agg(F.min("least").alias("a")).where("a < doc").select("a", F.col("doc").alias("b"))
@@ -315,11 +315,11 @@ def classes(docs: DataFrame) -> DataFrame:
         return written(by_key(rows, written(several), total, *on))
 
     def open_keys() -> DataFrame:
-        return met(written(members.join(labels, "doc")), "key")
+        return met(written(members.join(unsent(labels), "doc")), "key")
 
     m = open_keys()
     least = labels.select(F.col("doc").alias("least"), F.col("label").alias("other"))
-    labels = _relabelled(labels, verified(m.join(least, "least").where("label != other").select(F.col("least").alias("a"), F.col("doc").alias("b"))))
+    labels = _relabelled(labels, verified(m.join(unsent(least), "least").where("label != other").select(F.col("least").alias("a"), F.col("doc").alias("b"))))
     m = open_keys()
     keys = s.select("doc", "keys").dropDuplicates(["doc"])
     marks = [f"s{k}" for k in range(SKETCH)]
@@ -331,20 +331,20 @@ def classes(docs: DataFrame) -> DataFrame:
     few, many = m.where(F.col("n") <= BLOCK), m.where(F.col("n") > BLOCK)
     zero = F.lit(0).cast("int")
     units = written(few.select("key", zero.alias("i"), zero.alias("j"), zero.alias("block"), "band", "label", "doc"))
-    links = linked(units.join(bags, "doc").join(keys, "doc").select("key", "i", "j", "block", "band", "label", "doc", "bag", "keys", *marks), units.count())
+    links = linked(units.join(unsent(bags), "doc").join(unsent(keys), "doc").select("key", "i", "j", "block", "band", "label", "doc", "bag", "keys", *marks), units.count())
     # a large key: every two of its blocks meet, with sketches instead of bags
-    many = many.join(bags.select("doc", "size", *marks), "doc").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
+    many = many.join(unsent(bags.select("doc", "size", *marks)), "doc").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
     many = written(many.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "label", "doc", "size", *marks))
     if rows := many.count():
         links = links.union(verified(linked(many, rows)))
     labels = _relabelled(labels, written(links.distinct()))
 
-    of_node = copies.join(labels, copies["node"] == labels["doc"], "left").select("d0", "d1", "n", F.coalesce("label", "node").alias("class_id"))
-    out = s.select("doc", "d0", "d1", "n").join(of_node, ["d0", "d1", "n"], "left").select(F.col("doc").alias("doc_id"), F.coalesce("class_id", "doc").alias("class_id"))
+    of_node = copies.join(unsent(labels), copies["node"] == labels["doc"], "left").select("d0", "d1", "n", F.coalesce("label", "node").alias("class_id"))
+    out = s.select("doc", "d0", "d1", "n").join(unsent(of_node), ["d0", "d1", "n"], "left").select(F.col("doc").alias("doc_id"), F.coalesce("class_id", "doc").alias("class_id"))
     return out.unionByName(d.where(F.col("doc").isNull()).select(F.col("doc").alias("doc_id"), F.col("doc").alias("class_id")))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """docs without those that are not the first of their class; rows with a null doc_id stay."""
     later = classes(docs).where("doc_id > class_id").select(F.col("doc_id").alias("__later")).distinct()
-    return docs.join(later, docs["doc_id"].cast("bigint") == later["__later"], "left_anti")
+    return docs.join(later.hint("shuffle_hash"), docs["doc_id"].cast("bigint") == later["__later"], "left_anti")  # neither sent whole nor are texts sorted

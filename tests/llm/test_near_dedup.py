@@ -141,6 +141,24 @@ def test_hot_keys_lose_no_row(spark):
     assert sorted(map(tuple, got.collect())) == [(1, d, 3000) for d in range(3000)] + [(2, d, 40) for d in range(40)]
 
 
+def test_nothing_that_grows_with_the_input_is_broadcast(spark, monkeypatch):
+    """By the size of their files all of these tables are small enough; the one thing sent to all is the list of hot keys, at most a thousand."""
+    from groundshift.operators import components as cc
+
+    plans, real = [], cc.written
+    tell = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString())
+    for module in (cc, near_dedup):
+        monkeypatch.setattr(module, "written", lambda df: (tell(df), real(df))[1])
+    rng = random.Random(5)
+    base = [f"w{rng.randint(0, 300)}" for _ in range(120)]
+    rows = [(k, " ".join([*base[: 10 * k], "other", *base[10 * k + 1 :]])) for k in range(10)] + [(90, "a b"), (91, "a b")]
+    out = near_dedup.one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    tell(out)
+    assert sorted(r.doc_id for r in out.collect()) == [0, 90]
+    assert len(plans) > 15 and sum(p.count("SortMergeJoin") for p in plans) > 10
+    assert all(p.count("BroadcastHashJoin") <= p.count("AS hot") for p in plans)
+
+
 def test_recall_on_given_documents_against_all_pairs(spark, sf_dir):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     got = {r.doc_id: r.class_id for r in near_dedup.classes(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
